@@ -2,7 +2,16 @@
 
 from importlib import import_module
 
-MODULES = ["flights"]
+MODULES = [
+    "flights",
+    "facts",
+    "documents",
+    "requests",
+    "sessions",
+    "evals",
+    "storage",
+    "streams",
+]
 
 
 def load_all() -> None:

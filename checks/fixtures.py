@@ -216,3 +216,10 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "conversations"), RESPONSES)
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """JSON rows with whole timestamps; the default writer keeps milliseconds only."""
+    rows.write.mode("append").option(
+        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    ).json(path)

@@ -21,10 +21,35 @@ from flightlake.constants import (
 )
 from flightlake.functions.text import json_rows_text
 from flightlake.operators.facts import document_measures
+from flightlake.session import materialise
 
 ANY = "*"
 SETTING = ["f_airline", "f_route", "days_back"]
 FACTS_PER_QUESTION = 10
+RAG_NAMES = [
+    "airline",
+    "route",
+    "flight_count",
+    "avg_delay_min",
+    "weather_impact_pct",
+    "delayed_pct",
+]
+ROUTE_NAMES = [
+    "route",
+    "flight_count",
+    "avg_risk_score",
+    "disruption_pct",
+    "severe_delay_pct",
+    "weather_impact_pct",
+]
+AIRLINE_NAMES = [
+    "airline",
+    "flight_count",
+    "avg_delay_minutes",
+    "delayed_pct",
+    "weather_impact_pct",
+]
+GENERIC_NAMES = ["total_flights", "airline_count", "route_count", "avg_delay_minutes"]
 
 
 def with_setting(requests: DataFrame) -> DataFrame:
@@ -192,51 +217,39 @@ def batch_facts(
     """Facts of every request (``request_id, fact_rank, source, fact_json``).
 
     As for a single question: the documents answer first; a setting they have
-    no row for is answered by the report its query type names.
+    no row for is answered by the report its query type names. The first
+    answers (ten rows per setting at most) are stored, because they are both
+    returned and used to see what is still open; Silver is read only for the
+    reports that are.
     """
     asked = with_setting(requests)
-    settings = asked.select(*SETTING).distinct()
-    primary = _as_text(
-        setting_rag_facts(settings, documents, as_of),
-        ["airline", "route", "flight_count", "avg_delay_min", "weather_impact_pct", "delayed_pct"],
-        "ai_rag_documents",
+    primary = materialise(
+        _as_text(
+            setting_rag_facts(asked.select(*SETTING).distinct(), documents, as_of),
+            RAG_NAMES,
+            "ai_rag_documents",
+        ),
+        "facts",
     )
     answered = primary.where(F.col("fact_rank") == 1).select(*SETTING)
-    open_settings = (
+    still_open = (
         asked.select(*SETTING, "query_type").distinct().join(answered, SETTING, "left_anti")
     )
-
-    def open_for(kind: str) -> DataFrame:
-        return open_settings.where(F.col("query_type") == kind).select(*SETTING)
-
-    cube = flight_cube(silver, as_of)
-    secondary = {
-        "route_risk": _as_text(
-            _route_setting_facts(open_for("route_risk"), routes),
-            [
-                "route",
-                "flight_count",
-                "avg_risk_score",
-                "disruption_pct",
-                "severe_delay_pct",
-                "weather_impact_pct",
-            ],
-            "secondary",
-        ),
-        "airline": _as_text(
-            _airline_setting_facts(open_for("airline"), cube, as_of),
-            ["airline", "flight_count", "avg_delay_minutes", "delayed_pct", "weather_impact_pct"],
-            "secondary",
-        ),
-        "generic": _as_text(
-            _generic_setting_facts(open_for("generic"), cube, as_of),
-            ["total_flights", "airline_count", "route_count", "avg_delay_minutes"],
-            "secondary",
-        ),
-    }
+    kinds = {row["query_type"] for row in still_open.select("query_type").distinct().collect()}
     keyed = asked.select("request_id", "query_type", *SETTING)
-    answers = keyed.join(primary, SETTING).drop("query_type")
-    for kind, facts in secondary.items():
-        rest = keyed.where(F.col("query_type") == kind).join(facts, SETTING).drop("query_type")
-        answers = answers.unionByName(rest)
+    answers = keyed.join(primary, SETTING)
+    if kinds & {"airline", "generic"}:
+        cube = materialise(flight_cube(silver, as_of), "cube")
+    for kind in sorted(kinds):
+        settings = still_open.where(F.col("query_type") == kind).select(*SETTING)
+        if kind == "route_risk":
+            facts = _as_text(_route_setting_facts(settings, routes), ROUTE_NAMES, "secondary")
+        elif kind == "airline":
+            rows = _airline_setting_facts(settings, cube, as_of)
+            facts = _as_text(rows, AIRLINE_NAMES, "secondary")
+        else:
+            rows = _generic_setting_facts(settings, cube, as_of)
+            facts = _as_text(rows, GENERIC_NAMES, "secondary")
+        asking = keyed.where(F.col("query_type") == kind)
+        answers = answers.unionByName(asking.join(facts, SETTING))
     return answers.select("request_id", "fact_rank", "source", "fact_json")

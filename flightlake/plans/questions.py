@@ -20,6 +20,7 @@ from flightlake.operators.requests import (
 )
 from flightlake.operators.sessions import last_turns
 from flightlake.operators.vectors import embed_documents, vector_top_k
+from flightlake.session import materialise
 
 
 def accepted(requests: DataFrame) -> DataFrame:
@@ -67,13 +68,17 @@ def answer_contexts(
     """Everything an answer is written from, one row per valid request.
 
     ``documents`` carries an ``embedding`` of the same kind as the questions;
-    ``matches`` may be given where another search has already found them.
+    ``matches`` may be given where another search has already found them. The
+    search and the facts are stored once each, as several branches need them.
     """
     asked = accepted(requests)
     if matches is None:
         matches = matched_documents(asked, documents)
+    matches = materialise(matches, "matches")
     gated = retrieval_gate(asked, matches)
-    facts = batch_facts(gated.where("needs_facts"), documents, silver, routes, as_of)
+    facts = materialise(
+        batch_facts(gated.where("needs_facts"), documents, silver, routes, as_of), "answers"
+    )
     contexts = assemble_context(gated, last_turns(entries), matches, facts)
     facts_found = facts.groupBy("request_id").agg(F.count("*").alias("facts_count"))
     counted = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -39,3 +39,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="flightlake-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write rows once to the shared folder and read them back.
+
+    For results that several branches of a job need: they are computed one
+    time, their size is known to the planner, and a lost executor costs nothing.
+    """
+    path = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

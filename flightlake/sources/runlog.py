@@ -11,6 +11,9 @@ from flightlake.constants import LOG_RETENTION_DAYS
 from flightlake.functions.times import retained_from
 from flightlake.schemas import LOG_PAYLOAD, RUN_LOG
 
+# JSON writers cut timestamps to milliseconds unless told otherwise
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def log_records(rows: DataFrame) -> DataFrame:
     """Flat event rows (``log_ts``, ``severity``, payload fields) as log records."""
@@ -33,6 +36,7 @@ def write_run_log(records: DataFrame, path: str, file_format: str = "parquet") -
         records.hint("rebalance", "log_date")
         .write.mode("append")
         .format(file_format)
+        .option("timestampFormat", MICROSECONDS)
         .partitionBy("log_date")
         .save(path)
     )

@@ -8,7 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlake.constants import SESSION_ENTRIES, SESSION_TTL_SECONDS
 from flightlake.schemas import SESSION_ENTRIES as ENTRY_SCHEMA
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 SESSION_DOCUMENT = (
     "session_id string, turns array<struct<role:string,content:string>>, "
@@ -104,18 +109,26 @@ def stream_sessions(
 
     The newest batch of a session is its document. A batch that runs again
     overwrites its own folder. State lives in RocksDB, so it may exceed memory.
+    With a processing-time clock Spark would go on with empty batches for ever,
+    so they are off for this query; the settings are back once it has started.
     """
-    spark = entries.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def save(documents: DataFrame, batch_id: int) -> None:
         documents.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return (
-        session_updates(entries, max_entries, ttl_seconds)
-        .writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    conf = entries.sparkSession.conf
+    before = {name: conf.get(name) for name in STREAM_SETTINGS}
+    for name, value in STREAM_SETTINGS.items():
+        conf.set(name, value)
+    try:
+        return (
+            session_updates(entries, max_entries, ttl_seconds)
+            .writeStream.outputMode("update")
+            .foreachBatch(save)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            conf.set(name, value)
