@@ -10,6 +10,7 @@ from checks.sql import redact, sql
 from flightlake.operators import documents as docs
 from flightlake.operators import vectors
 from flightlake.operators.requests import redact_instructions
+from flightlake.session import work_folder
 
 DOC_COLUMNS = "doc_id, content, source_type, airline, route, event_date, metadata"
 
@@ -145,21 +146,27 @@ def top_k_matches(spark, sf):
     return matches.where(F.col("match_rank") <= 1 + F.col("request_id") % 20)
 
 
+def _cells(spark, sf):
+    """The index of all vectors, saved and read back."""
+    path = work_folder(spark, "cells")
+    vectors.VectorCells.build(fx.embeddings(spark, sf)).save(path)
+    return vectors.VectorCells.load(spark, path)
+
+
 @query("vector_top_k_cells")
 def vector_top_k_cells(spark, sf):
-    cells = vectors.VectorCells.build(fx.embeddings(spark, sf))
-    return cells.search(_questions(spark, sf), 5)
+    return _cells(spark, sf).search(_questions(spark, sf), 5)
 
 
 @query("vector_cells_all", TOP5)
 def vector_cells_all(spark, sf):
     """With every cell probed the pruned search is exact."""
-    cells = vectors.VectorCells.build(fx.embeddings(spark, sf))
-    return cells.search(_questions(spark, sf), 5, searched=1.0, doc_block=64, question_block=256)
+    return _cells(spark, sf).search(
+        _questions(spark, sf), 5, searched=1.0, doc_block=64, question_block=256
+    )
 
 
 @query("vector_recall")
 def vector_recall(spark, sf):
-    cells = vectors.VectorCells.build(fx.embeddings(spark, sf))
     exact = vectors.vector_top_k(_questions(spark, sf), fx.embeddings(spark, sf), 5)
-    return vectors.recall(cells.search(_questions(spark, sf), 5), exact)
+    return vectors.recall(_cells(spark, sf).search(_questions(spark, sf), 5), exact)

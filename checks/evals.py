@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -10,7 +9,7 @@ from checks.registry import query
 from checks.sql import sql
 from flightlake.constants import ANSWER_KEYWORDS
 from flightlake.operators import evals
-from flightlake.operators.facts import rag_facts
+from flightlake.operators.facts import pair_facts, recent_documents, slowest_pairs
 
 FOUND = """
   SELECT run_id, list(author ORDER BY event_no) AS authors FROM (
@@ -64,9 +63,8 @@ def eval_routing(spark, sf):
 
 def _truth(spark, sf):
     """The slowest pair of each airline."""
-    facts = rag_facts(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS, top=10**6)
-    order = Window.partitionBy("airline").orderBy(F.desc("avg_delay_min"), "route")
-    return facts.withColumn("pick", F.row_number().over(order)).where("pick = 1")
+    recent = recent_documents(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS)
+    return slowest_pairs(pair_facts(recent)).where("fact_rank = 1")
 
 
 def _runs(spark, sf):

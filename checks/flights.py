@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import query
-from checks.sql import avg, quoted, rnd, short_number, sql
+from checks.sql import rnd, short_number, sql
 from flightlake.functions.times import event_timestamp
 from flightlake.operators import gold as gold_ops
 from flightlake.operators import quality, views

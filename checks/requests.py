@@ -12,7 +12,7 @@ from flightlake.functions import text
 from flightlake.operators import requests as req
 from flightlake.operators import views
 from flightlake.operators.documents import metadata_defaults
-from flightlake.operators.facts import rag_facts
+from flightlake.operators.facts import pair_facts, recent_documents, slowest_pairs
 from flightlake.operators.sessions import last_turns
 from flightlake.operators.vectors import embed_documents
 from flightlake.plans import questions
@@ -100,9 +100,8 @@ FACT_ROWS = """
 
 
 def _fact_rows(spark, sf):
-    facts = rag_facts(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS, top=10**6)
-    order = Window.partitionBy("airline").orderBy(F.desc("avg_delay_min"), "route")
-    ranked = facts.withColumn("fact_rank", F.row_number().over(order))
+    recent = recent_documents(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS)
+    ranked = slowest_pairs(pair_facts(recent))
     asked = fx.requests(spark, sf).select("request_id", "airline")
     return asked.join(ranked, "airline").select("request_id", "fact_rank", *FACT_NAMES)
 

@@ -10,7 +10,6 @@ from checks import fixtures as fx
 from checks.registry import query
 from checks.sql import sql
 from flightlake.operators import documents as docs
-from flightlake.operators import logs
 from flightlake.operators.vectors import embed_documents
 from flightlake.plans import medallion
 from flightlake.session import work_folder
@@ -26,7 +25,13 @@ def _landed(spark, sf) -> str:
     return root
 
 
-@query("write_bronze", sql("SELECT CAST(substring(event_ts, 1, 10) AS DATE) AS date, count(*) AS landed FROM raw_text GROUP BY 1"))
+@query(
+    "write_bronze",
+    sql(
+        "SELECT CAST(substring(event_ts, 1, 10) AS DATE) AS date, count(*) AS landed "
+        "FROM raw_text GROUP BY 1"
+    ),
+)
 def write_bronze(spark, sf):
     """Rows per landed day, read through the day folders."""
     landed = spark.read.option("header", True).csv(f"{_landed(spark, sf)}/raw")

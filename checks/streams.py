@@ -77,9 +77,8 @@ def stream_sessions(spark, sf):
         fx.MAX_ENTRIES,
     ).awaitTermination()
     documents = spark.read.parquet(path)
-    newest = documents.groupBy("session_id").agg(
-        F.max_by(F.struct(*[c for c in documents.columns if c not in ("session_id", "batch")]), "batch").alias("d")
-    )
+    fields = [name for name in documents.columns if name not in ("session_id", "batch")]
+    newest = documents.groupBy("session_id").agg(F.max_by(F.struct(*fields), "batch").alias("d"))
     return newest.select("session_id", "d.*").withColumn("turns", _joined())
 
 

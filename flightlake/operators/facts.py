@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import (
@@ -87,6 +87,20 @@ def recent_documents(
     return optional_filters(recent, airline, route)
 
 
+def pair_facts(recent: DataFrame) -> DataFrame:
+    """Delay facts for every airline and route among the given documents."""
+    return (
+        document_measures(recent)
+        .groupBy("airline", "route")
+        .agg(
+            F.count("*").alias("flight_count"),
+            mean(F.col("delay_min"), 1).alias("avg_delay_min"),
+            percent(F.col("weather_text") == "true").alias("weather_pct"),
+            percent(F.col("status") == "DELAYED").alias("delayed_pct"),
+        )
+    )
+
+
 def rag_facts(
     documents: DataFrame,
     as_of: dt.date,
@@ -98,19 +112,16 @@ def rag_facts(
     """Delay facts per airline and route, the slowest first."""
     recent = recent_documents(documents, as_of, days_back, airline, route)
     return (
-        document_measures(recent)
-        .groupBy("airline", "route")
-        .agg(
-            F.count("*").alias("flight_count"),
-            mean(F.col("delay_min"), 1).alias("avg_delay_min"),
-            percent(F.col("weather_text") == "true").alias("weather_pct"),
-            percent(F.col("status") == "DELAYED").alias("delayed_pct"),
-        )
-        .orderBy(F.desc("avg_delay_min"), "airline", "route")
-        .limit(top)
+        pair_facts(recent).orderBy(F.desc("avg_delay_min"), "airline", "route").limit(top)
     )
 
 
+def slowest_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs ranked within their airline, the slowest first."""
+    order = Window.partitionBy("airline").orderBy(F.desc("avg_delay_min"), "route")
+    return pairs.withColumn("fact_rank", F.row_number().over(order))
+
+
 def delay_risk(
     documents: DataFrame,
     as_of: dt.date,

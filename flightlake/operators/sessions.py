@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import SESSION_ENTRIES, SESSION_TTL_SECONDS
@@ -39,21 +39,25 @@ def session_history(entries: DataFrame, max_entries: int = SESSION_ENTRIES) -> D
     )
 
 
-def session_tokens(usage: DataFrame) -> DataFrame:
-    """Token sums per session; only rows that carry usage count as a request."""
+def token_totals() -> list[Column]:
+    """Token sums, and the number of rows that carry usage."""
 
-    def total(name: str):
+    def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0).cast("bigint")).alias(name)
 
-    return usage.groupBy("session_id").agg(
+    return [
         total("prompt_tokens"),
         total("response_tokens"),
         total("total_tokens"),
         F.count_if(F.col("total_tokens").isNotNull()).alias("request_count"),
-    )
+    ]
+
+
+def session_tokens(usage: DataFrame) -> DataFrame:
+    return usage.groupBy("session_id").agg(*token_totals())
 
 
-def expire_at(entry_ts: str = "entry_ts", ttl_seconds: int = SESSION_TTL_SECONDS):
+def expire_at(entry_ts: str = "entry_ts", ttl_seconds: int = SESSION_TTL_SECONDS) -> Column:
     return F.max(entry_ts) + F.make_dt_interval(secs=F.lit(float(ttl_seconds)))
 
 
@@ -84,8 +88,7 @@ def session_documents(
     Both aggregates end partitioned by session, so joining them needs no
     further shuffle.
     """
-    totals = session_tokens(entries).join(
-        entries.groupBy("session_id").agg(expire_at(ttl_seconds=ttl_seconds).alias("expire_at")),
-        "session_id",
+    totals = entries.groupBy("session_id").agg(
+        *token_totals(), expire_at(ttl_seconds=ttl_seconds).alias("expire_at")
     )
     return session_history(entries, max_entries).join(totals, "session_id")

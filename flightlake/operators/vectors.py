@@ -14,10 +14,12 @@ from collections.abc import Callable, Iterator
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.constants import LEAF_SIZE, LEAVES_SEARCHED, MAX_TOP_K, VECTOR_DIMENSIONS
+from flightlake.session import materialise
 
 DOC_BLOCK = 8192
 QUESTION_BLOCK = 1024
@@ -52,7 +54,8 @@ def embed_with_model(
 ) -> DataFrame:
     """Embed with a caller's model, in small batches with doubling waits between tries."""
     columns = rows.columns
-    schema = rows.schema.add("embedding", "array<double>")
+    vector = T.StructField("embedding", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*rows.schema.fields, vector])
 
     def embed(frames: Iterator) -> Iterator:
         import time
@@ -214,30 +217,63 @@ def vector_top_k(
 class VectorCells:
     """Documents sorted into cells around k-means centres, for pruned search.
 
-    ``cells`` holds (doc_id, embedding, cell); write it partitioned by cell and
-    a search reads only the folders it probes. The centres are at most
-    ``MAX_CELLS`` vectors, whatever the number of documents.
+    ``cells`` holds (doc_id, embedding, cell). Saved, each cell is a folder and
+    a search reads only the folders it probes. There are at most ``MAX_CELLS``
+    cells whatever the number of documents, so centres and per-cell counts are
+    small; the documents of a cell are not bounded and are split into blocks.
     """
 
-    def __init__(self, cells: DataFrame, centres: list):
+    def __init__(self, cells: DataFrame, centres: list[list[float]]):
         self.cells = cells
         self.centres = centres
 
     @classmethod
     def build(
-        cls, documents: DataFrame, leaf_size: int = LEAF_SIZE, iterations: int = 5, seed: int = 42
+        cls,
+        documents: DataFrame,
+        leaf_size: int = LEAF_SIZE,
+        iterations: int = 5,
+        training_rows: int = 1_000_000,
+        seed: int = 42,
     ) -> VectorCells:
+        """Fit the centres and give every document its cell.
+
+        Beyond ``training_rows`` documents the centres are fitted on a sample;
+        the cells still hold every document.
+        """
         count = documents.count()
-        wanted = max(1, min(MAX_CELLS, math.ceil(count / leaf_size)))
+        wanted = max(2, min(MAX_CELLS, math.ceil(count / leaf_size)))
         points = documents.select("doc_id", "embedding").withColumn(
             "_point", array_to_vector("embedding")
         )
+        training = points
+        if count > training_rows:
+            training = points.sample(fraction=training_rows / count, seed=seed)
         model = KMeans(
-            k=max(2, wanted), maxIter=iterations, seed=seed, featuresCol="_point", predictionCol="cell"
-        ).fit(points)
+            k=wanted, maxIter=iterations, seed=seed, featuresCol="_point", predictionCol="cell"
+        ).fit(training)
         centres = [centre.tolist() for centre in model.clusterCenters()]
         return cls(model.transform(points).drop("_point"), centres)
 
+    def save(self, path: str) -> None:
+        """One folder per cell; a crowded cell is written by several tasks."""
+        (
+            self.cells.hint("rebalance", "cell")
+            .write.mode("overwrite")
+            .partitionBy("cell")
+            .parquet(f"{path}/cells")
+        )
+        spark = self.cells.sparkSession
+        rows = list(enumerate(self.centres))
+        spark.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/centres")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> VectorCells:
+        centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+        return cls(spark.read.parquet(f"{path}/cells"), [row["centre"] for row in centres])
+
     def probes(self, questions: DataFrame, searched: float = LEAVES_SEARCHED) -> DataFrame:
         """The cells each question visits: those with the largest product, 7 % by default."""
         visited = max(1, math.ceil(len(self.centres) * searched))
@@ -257,13 +293,12 @@ class VectorCells:
                 yield pd.DataFrame(
                     {
                         "request_id": np.repeat(frame["request_id"].to_numpy(), visited),
-                        "embedding": frame["embedding"].repeat(visited).to_numpy(),
                         "cell": order.ravel().astype("int32"),
                     }
                 )
 
         return questions.select("request_id", "embedding").mapInPandas(
-            nearest, f"request_id {key}, embedding array<double>, cell int"
+            nearest, f"request_id {key}, cell int"
         )
 
     def search(
@@ -280,30 +315,35 @@ class VectorCells:
         a cell with a third of all documents is scored by many tasks.
         """
         _check_k(k)
-        asked = questions.withColumn("embedding", F.col("embedding").cast("array<double>"))
-        probes = self.probes(asked, searched)
-        doc_blocks = self.cells.groupBy("cell").agg(
-            F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(doc_block))).cast("int").alias("d_blocks")
+        asked = questions.select(
+            "request_id", F.col("embedding").cast("array<double>").alias("embedding")
         )
-        question_blocks = probes.groupBy("cell").agg(
-            F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(question_block)))
-            .cast("int")
-            .alias("q_blocks")
+        probes = materialise(self.probes(asked, searched), "probes")
+
+        def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+            return rows.groupBy("cell").agg(
+                F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name)
+            )
+
+        question_blocks = blocks(probes, question_block, "q_blocks")
+        visited = [row["cell"] for row in question_blocks.select("cell").collect()]
+        documents = self.cells.where(F.col("cell").isin(visited))
+        # one row per cell, at most MAX_CELLS of them: a proven bound for the broadcast
+        sizes = F.broadcast(
+            blocks(documents, doc_block, "d_blocks").join(question_blocks, "cell")
         )
-        # one row per cell, at most MAX_CELLS rows: a proven bound for the broadcast
-        plan = F.broadcast(doc_blocks.join(question_blocks, "cell"))
         left = (
-            probes.join(plan, "cell")
+            asked.join(probes, "request_id")
+            .join(sizes, "cell")
             .withColumn("q_block", F.pmod(F.xxhash64("request_id"), F.col("q_blocks")).cast("int"))
             .withColumn("d_block", F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)))
         )
         right = (
-            self.cells.join(plan, "cell")
+            documents.join(sizes, "cell")
             .withColumn("d_block", F.pmod(F.xxhash64("doc_id"), F.col("d_blocks")).cast("int"))
             .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
         )
-        scored = score_blocks(left, right, k, ["cell", "q_block", "d_block"])
-        return top_matches(scored, k)
+        return top_matches(score_blocks(left, right, k, ["cell", "q_block", "d_block"]), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

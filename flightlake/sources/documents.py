@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.schemas import RAG_DOCUMENTS, VECTORS
 
@@ -28,9 +29,7 @@ def write_rag_docs(documents: DataFrame, root: str, run_date: str) -> None:
 
 
 def read_rag_docs(spark: SparkSession, root: str) -> DataFrame:
-    schema = RAG_DOCUMENTS.__class__(
-        [RAG_DOCUMENTS[name] for name in DOCUMENT_FILE_COLUMNS]
-    )
+    schema = T.StructType([RAG_DOCUMENTS[name] for name in DOCUMENT_FILE_COLUMNS])
     return spark.read.schema(schema).json(f"{root}/rag_docs/date=*/*.json")
 
 
