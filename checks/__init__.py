@@ -11,6 +11,7 @@ MODULES = [
     "evals",
     "storage",
     "streams",
+    "warehouse",
 ]
 
 

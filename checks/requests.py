@@ -276,7 +276,7 @@ def _embedded(spark, sf):
 @query("search_flight_records")
 def search_flight_records(spark, sf):
     """Valid questions against all flight documents; hashed vectors have no SQL twin."""
-    return questions.search_flight_records(
+    return questions.search_requests(
         questions.accepted(fx.requests(spark, sf)), _embedded(spark, sf)
     )
 

@@ -10,6 +10,7 @@ from checks.sessions import SESSION_DOCUMENTS, _joined
 from checks.sql import sql
 from checks.storage import _landed, _log_folder
 from flightlake.session import work_folder
+from flightlake.sources.documents import read_bucketed_table
 from flightlake.streaming import documents as document_stream
 from flightlake.streaming import flights as flight_stream
 from flightlake.streaming import logs as log_stream
@@ -85,11 +86,11 @@ def stream_sessions(spark, sf):
 @query("stream_upsert_docs", sql("SELECT * FROM merged"))
 def stream_upsert_docs(spark, sf):
     """The first batch of documents, then the second, each as files that arrive."""
-    source, root = work_folder(spark, "arriving"), work_folder(spark, "stream-docs")
+    source, path = work_folder(spark, "arriving"), work_folder(spark, "stream-docs")
     checkpoint = work_folder(spark, "offsets")
     for batch in (fx.document_table(spark, sf), fx.document_batch(spark, sf)):
         fx.write_json(batch, source)
         document_stream.stream_upsert_docs(
-            document_stream.document_stream(spark, source, 1000), root, checkpoint
+            document_stream.document_stream(spark, source), path, checkpoint, buckets=8
         ).awaitTermination()
-    return document_stream.newest_version(spark, root).drop("embedding")
+    return read_bucketed_table(spark, path).drop("embedding")

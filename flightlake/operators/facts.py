@@ -296,12 +296,19 @@ def query_analytics(
 
 
 def freshness_status(
-    gold: DataFrame | None, documents: DataFrame, earliest: bool = True
+    gold: DataFrame | None, documents: DataFrame, brief: bool = False
 ) -> DataFrame:
-    """Freshness from Gold, or from the documents while Gold is missing or empty."""
-    if gold is not None and not gold.isEmpty():
-        return with_source(gold_refresh(gold), "gold_layer")
-    return with_source(rag_status(documents, earliest), "ai_rag_documents")
+    """Freshness from Gold, or from the documents while Gold is missing or empty.
+
+    The workers' brief form leaves out the day and on-time rows and the
+    earliest document.
+    """
+    if gold is None or gold.isEmpty():
+        return with_source(rag_status(documents, earliest=not brief), "ai_rag_documents")
+    status = gold_refresh(gold)
+    if brief:
+        status = status.drop("delayed_day_rows", "on_time_rows")
+    return with_source(status, "gold_layer")
 
 
 def mitigation_decision(risk_rows: DataFrame) -> DataFrame:

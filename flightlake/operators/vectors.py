@@ -25,6 +25,7 @@ DOC_BLOCK = 8192
 QUESTION_BLOCK = 1024
 MAX_SENT_QUESTIONS = 4096
 MAX_CELLS = 4096
+MERGED_BATCHES = 16
 
 MATCHES = "request_id {key}, doc_id {doc}, distance double"
 
@@ -90,7 +91,7 @@ def _block_scorer(k: int) -> Callable:
         import numpy as np
         import pandas as pd
 
-        keys, docs, scores = [], [], []
+        keys, docs, scores = [request_ids[:0]], [doc_ids[:0]], [np.zeros(0)]
         order_ids = np.argsort(doc_ids, kind="stable")
         doc_ids, doc_matrix = doc_ids[order_ids], doc_matrix[order_ids]
         for start in range(0, len(request_ids), 256):
@@ -131,20 +132,32 @@ def _check_k(k: int) -> None:
 def score_sent(questions: DataFrame, documents: DataFrame, k: int, rows: list) -> DataFrame:
     """Block-wise best matches with the (bounded) questions sent to every task."""
     kinds = _key_types(questions, documents)
-    best = _block_scorer(k)
+    best, merged = _block_scorer(k), MERGED_BATCHES
     sent = questions.sparkSession.sparkContext.broadcast(
         ([row["request_id"] for row in rows], [row["embedding"] for row in rows])
     )
 
     def score(frames: Iterator) -> Iterator:
         import numpy as np
+        import pandas as pd
+
+        def best_of(parts: list):
+            order = ["request_id", "distance", "doc_id"]
+            rows = pd.concat(parts).sort_values(order, ascending=[True, False, True])
+            return rows.groupby("request_id", sort=False).head(k)
 
         ids, vectors = sent.value
         request_ids, matrix = np.asarray(ids), np.asarray(vectors, dtype="float64")
+        # one result per partition: batches are merged as they come, a few at a time
+        parts = []
         for frame in frames:
             if len(frame):
                 doc_matrix = np.stack(frame["embedding"].to_numpy()).astype("float64")
-                yield best(request_ids, matrix, frame["doc_id"].to_numpy(), doc_matrix)
+                parts.append(best(request_ids, matrix, frame["doc_id"].to_numpy(), doc_matrix))
+            if len(parts) == merged:
+                parts = [best_of(parts)]
+        if parts and len(request_ids):
+            yield best_of(parts)
 
     return documents.select("doc_id", "embedding").mapInPandas(score, MATCHES.format(**kinds))
 

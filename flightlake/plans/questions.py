@@ -42,8 +42,8 @@ def matched_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def search_flight_records(requests: DataFrame, documents: DataFrame) -> DataFrame:
-    """The agent's search: matches with cleaned content and similarity to four places."""
+def search_requests(requests: DataFrame, documents: DataFrame) -> DataFrame:
+    """Search results with cleaned content and similarity to four places."""
     return matched_documents(requests, documents).select(
         "request_id",
         "match_rank",

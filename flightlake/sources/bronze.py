@@ -20,11 +20,15 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_bronze(flights: DataFrame, root: str, day: str = "date") -> None:
-    """Land rows below ``raw/date=D``; rebalancing splits a hot day over several files."""
+    """Land rows below ``raw/date=D``, replacing the days they belong to.
+
+    Rebalancing splits a hot day over several files.
+    """
     (
         flights.select(*FLIGHT_FIELDS, F.col(day).alias("date"))
         .hint("rebalance", "date")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .option("header", True)
         .csv(f"{root}/raw")

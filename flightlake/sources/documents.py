@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightlake.operators.documents import latest_per_doc, upsert_rag_documents
 from flightlake.schemas import RAG_DOCUMENTS, VECTORS
+from flightlake.session import materialise
+from flightlake.sources.tables import available
+
+TABLE_BUCKETS = 1024
 
 DOCUMENT_FILE_COLUMNS = [
     "doc_id",
@@ -73,3 +78,59 @@ def write_rag_table(documents: DataFrame, path: str) -> None:
 
 def read_rag_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAG_DOCUMENTS).parquet(path)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+
+
+def upsert_table(
+    spark: SparkSession, path: str, rows: DataFrame, buckets: int = TABLE_BUCKETS
+) -> None:
+    """Merge rows into a document table kept in folders by hash of the id.
+
+    Only the folders that hold an id of the batch are read and replaced, so the
+    cost follows the batch and not the table. Folders are replaced one by one;
+    after a failure the same call completes the merge.
+    """
+    columns = RAG_DOCUMENTS.fieldNames()
+    batch = materialise(
+        latest_per_doc(rows, ["content"])
+        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAG_DOCUMENTS])
+        .withColumn("bucket", _bucket(buckets)),
+        "batch",
+    )
+    # at most one value per folder
+    touched = [row["bucket"] for row in batch.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    merged = batch.select(*columns)
+    table = available(spark, path)
+    if table is not None:
+        kept = table.where(F.col("bucket").isin(touched)).select(*columns)
+        merged = upsert_rag_documents(kept, merged)
+    (
+        merged.withColumn("bucket", _bucket(buckets))
+        .hint("rebalance", "bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+
+
+def read_bucketed_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select(*RAG_DOCUMENTS.fieldNames())
+
+
+def merge_into(rows: DataFrame, table: str) -> None:
+    """The same merge as one statement, for a table format with row-level changes."""
+    source = latest_per_doc(rows, ["content"]).alias("source")
+    (
+        source.mergeInto(table, F.expr(f"{table}.doc_id = source.doc_id"))
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )

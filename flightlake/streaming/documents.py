@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from flightlake.operators.documents import upsert_rag_documents
 from flightlake.schemas import RAG_DOCUMENTS
-from flightlake.sources.documents import read_rag_table, write_rag_table
+from flightlake.sources.documents import TABLE_BUCKETS, upsert_table
 
 
-def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
+def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     return (
         spark.readStream.schema(RAG_DOCUMENTS)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -19,25 +17,17 @@ def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1) ->
     )
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/v{version:08d}"
-
-
 def stream_upsert_docs(
-    batches: DataFrame, root: str, checkpoint: str
+    batches: DataFrame, path: str, checkpoint: str, buckets: int = TABLE_BUCKETS
 ) -> StreamingQuery:
-    """Merge each micro-batch into the table version before it.
+    """Merge each micro-batch into the table.
 
-    Batch n reads version n-1 and overwrites version n, so a batch that runs
-    again after a failure gives the same version and no id twice.
+    Merging the same batch twice gives the same table, so a batch that runs
+    again after a failure does no harm and leaves no id twice.
     """
 
     def merge(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        target = spark.createDataFrame([], RAG_DOCUMENTS)
-        if batch_id > 0:
-            target = read_rag_table(spark, version_path(root, batch_id - 1))
-        write_rag_table(upsert_rag_documents(target, rows), version_path(root, batch_id))
+        upsert_table(rows.sparkSession, path, rows, buckets)
 
     return (
         batches.writeStream.foreachBatch(merge)
@@ -45,18 +35,3 @@ def stream_upsert_docs(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def newest_version(spark: SparkSession, root: str) -> DataFrame:
-    """The table after the last finished batch."""
-    version, table = 0, None
-    while True:
-        try:
-            table = read_rag_table(spark, version_path(root, version))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            if table is None:
-                raise
-            return table
-        version += 1

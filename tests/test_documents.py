@@ -56,6 +56,33 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 
 
+def test_bucketed_upsert_replaces_touched_folders_only(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "table")
+
+    def files_of():
+        return {f for folder, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+    first = table(spark, *[version(f"d{n}", "old", 1) for n in range(64)])
+    files.upsert_table(spark, path, first, buckets=16)
+    before = files_of()
+    batch = table(spark, version("d7", "new", 2), version("d7", "newest", 3), version("x", "y", 2))
+    for _ in range(2):
+        files.upsert_table(spark, path, batch, buckets=16)
+        rows = dict(contents(files.read_bucketed_table(spark, path)))
+        assert len(rows) == 65 and rows["d7"] == "newest" and rows["x"] == "y"
+    assert len(before & files_of()) >= len(before) - 2
+    files.upsert_table(spark, path, batch.limit(0), buckets=16)
+    assert files.read_bucketed_table(spark, path).count() == 65
+
+
+def test_merge_statement_needs_a_row_level_format(spark):
+    table(spark, version("a", "old", 1)).write.mode("overwrite").saveAsTable("plain_docs")
+    with pytest.raises(Exception, match="MERGE"):
+        files.merge_into(table(spark, version("a", "new", 2)), "plain_docs")
+
+
 def test_staged_rows_require_their_fields(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.createDataFrame([("a", None)], "doc_id string, content string").write.json(path)

@@ -11,6 +11,7 @@ ROWS_ONLY = {
     "vector_recall",
     "search_flight_records",
     "answer_contexts",
+    "tool_search",
 }
 
 

@@ -169,8 +169,10 @@ def test_status_falls_back_while_gold_is_missing(spark):
     docs = documents(spark, doc(1))
     assert facts.freshness_status(None, docs).collect()[0]["source"] == "ai_rag_documents"
     empty = gold.gold_summary(silver(spark))
-    short = facts.freshness_status(empty, docs, earliest=False)
+    short = facts.freshness_status(empty, docs, brief=True)
     assert "earliest_ingest_date" not in short.columns
+    full = gold.gold_summary(silver(spark, row(1)))
+    assert "on_time_rows" not in facts.freshness_status(full, docs, brief=True).columns
 
 
 @pytest.mark.parametrize(
