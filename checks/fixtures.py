@@ -176,7 +176,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document versions of all raw records; ``updated_ts`` is the event's time."""
     raw = flights_text(spark, sf_dir)
     docs = rag_documents(raw)
-    written = F.to_timestamp(F.regexp_extract("content", r"timestamp was (\S+)\.$", 1))
+    # the sentence ends with the ISO timestamp and a full stop
+    written = F.expr("substring(content, -33, 32)").cast("timestamp")
     return docs.withColumn("updated_ts", written.cast("timestamp_ntz"))
 
 

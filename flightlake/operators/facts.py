@@ -26,6 +26,7 @@ from flightlake.operators.views import gold_refresh
 RISK_TYPES = ["route_risk", "risk", "disruption"]
 AIRLINE_TYPES = ["airline", "performance", "delays"]
 WEATHER_TYPES = ["weather", "impact"]
+METADATA = "departure_delay_min string, weather_flag string, status string"
 
 
 def service_days_back(days_back: int) -> int:
@@ -60,19 +61,16 @@ def recent_flights(silver: DataFrame, as_of: dt.date, days_back: int) -> DataFra
     return days_back_filter(silver, "ingest_date", as_of, days_back)
 
 
-def metadata_field(name: str) -> Column:
-    return F.get_json_object("metadata", f"$.{name}")
-
-
 def document_measures(documents: DataFrame) -> DataFrame:
-    """The document columns that facts use, with the JSON read once per row."""
-    return documents.select(
+    """The document columns that facts use; the JSON is parsed once per row."""
+    metadata = F.from_json("metadata", METADATA)
+    return documents.select("airline", "route", "event_date", metadata.alias("m")).select(
         "airline",
         "route",
         "event_date",
-        metadata_field("departure_delay_min").try_cast("double").alias("delay_min"),
-        F.lower(metadata_field("weather_flag")).alias("weather_text"),
-        metadata_field("status").alias("status"),
+        F.col("m.departure_delay_min").try_cast("double").alias("delay_min"),
+        F.lower("m.weather_flag").alias("weather_text"),
+        F.col("m.status").alias("status"),
     )
 
 

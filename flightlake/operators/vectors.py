@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flightlake.constants import LEAF_SIZE, LEAVES_SEARCHED, MAX_TOP_K, VECTOR_DIMENSIONS
 from flightlake.session import materialise
@@ -27,9 +28,6 @@ MAX_SENT_QUESTIONS = 4096
 MAX_CELLS = 4096
 MERGED_BATCHES = 16
 
-MATCHES = "request_id {key}, doc_id {doc}, distance double"
-
-
 def embed_documents(
     rows: DataFrame, text: str = "content", dimensions: int = VECTOR_DIMENSIONS
 ) -> DataFrame:
@@ -77,41 +75,57 @@ def embed_with_model(
     return rows.mapInPandas(embed, schema)
 
 
-def _key_types(questions: DataFrame, documents: DataFrame) -> dict[str, str]:
-    return {
-        "key": questions.schema["request_id"].dataType.simpleString(),
-        "doc": documents.schema["doc_id"].dataType.simpleString(),
-    }
+def _match_schema(questions: DataFrame, documents: DataFrame) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("request_id", questions.schema["request_id"].dataType),
+            T.StructField("doc_id", documents.schema["doc_id"].dataType),
+            T.StructField("distance", T.DoubleType()),
+        ]
+    )
 
 
-def _block_scorer(k: int) -> Callable:
-    """Best k documents of one block for each question, as a pandas frame."""
+def with_vector(rows: DataFrame, key: str) -> DataFrame:
+    """Ids and vectors of the rows that have one."""
+    vector = F.col("embedding").cast("array<double>").alias("embedding")
+    return rows.where(F.size("embedding") > 0).select(key, vector)
 
-    def best(request_ids, question_matrix, doc_ids, doc_matrix):
-        import numpy as np
-        import pandas as pd
 
-        keys, docs, scores = [request_ids[:0]], [doc_ids[:0]], [np.zeros(0)]
-        order_ids = np.argsort(doc_ids, kind="stable")
-        doc_ids, doc_matrix = doc_ids[order_ids], doc_matrix[order_ids]
-        for start in range(0, len(request_ids), 256):
-            block = np.round(question_matrix[start : start + 256] @ doc_matrix.T, 6)
+def _block_scorer(k: int, schema: T.StructType) -> Callable:
+    """Best k documents of one block for each question: Arrow columns in, Arrow table out."""
+    layout = to_arrow_schema(schema)
+
+    def best(request_ids, question_vectors, doc_ids, doc_vectors):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def matrix(column):
+            values = np.asarray(pc.list_flatten(column), dtype="float64")
+            return values.reshape(len(column), -1)
+
+        if not len(request_ids) or not len(doc_ids):
+            return layout.empty_table()
+        by_id = pc.sort_indices(doc_ids)
+        questions, documents = matrix(question_vectors), matrix(pc.take(doc_vectors, by_id)).T
+        rows, columns, scores = [], [], []
+        for start in range(0, len(questions), 256):
+            block = np.round(questions[start : start + 256] @ documents, 6)
             take = min(k, block.shape[1])
             limit = np.partition(block, -take, axis=1)[:, -take][:, None]
             # above the k-th score all count; at it, the smallest ids fill the rest
             above, level = block > limit, block == limit
             missing = take - above.sum(axis=1, keepdims=True)
             row, column = np.nonzero(above | (level & (level.cumsum(axis=1) <= missing)))
-            keys.append(request_ids[start : start + 256][row])
-            docs.append(doc_ids[column])
-            scores.append(block[row, column])
-        return pd.DataFrame(
-            {
-                "request_id": np.concatenate(keys),
-                "doc_id": np.concatenate(docs),
-                "distance": np.concatenate(scores) + 0.0,
-            }
-        )
+            rows.append(row + start)
+            columns.append(column)
+            scores.append(block[row, column] + 0.0)
+        found = [
+            pc.take(request_ids, pa.array(np.concatenate(rows))),
+            pc.take(doc_ids, pc.take(by_id, pa.array(np.concatenate(columns)))),
+            pa.array(np.concatenate(scores)),
+        ]
+        return pa.Table.from_arrays(found, names=layout.names).cast(layout)
 
     return best
 
@@ -129,62 +143,48 @@ def _check_k(k: int) -> None:
         raise ValueError(f"k must be between 1 and {MAX_TOP_K}")
 
 
-def score_sent(questions: DataFrame, documents: DataFrame, k: int, rows: list) -> DataFrame:
-    """Block-wise best matches with the (bounded) questions sent to every task."""
-    kinds = _key_types(questions, documents)
-    best, merged = _block_scorer(k), MERGED_BATCHES
-    sent = questions.sparkSession.sparkContext.broadcast(
-        ([row["request_id"] for row in rows], [row["embedding"] for row in rows])
-    )
+def score_sent(questions, documents: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    """Block-wise best matches with a (bounded) Arrow table of questions sent to every task."""
+    best, merged = _block_scorer(k, schema), MERGED_BATCHES
+    sent = documents.sparkSession.sparkContext.broadcast(questions)
 
-    def score(frames: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
+    def score(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        def best_of(parts: list):
+        def best_of(tables: list):
             order = ["request_id", "distance", "doc_id"]
-            rows = pd.concat(parts).sort_values(order, ascending=[True, False, True])
-            return rows.groupby("request_id", sort=False).head(k)
+            rows = pa.concat_tables(tables).to_pandas()
+            rows = rows.sort_values(order, ascending=[True, False, True])
+            kept = rows.groupby("request_id", sort=False).head(k)
+            return pa.Table.from_pandas(kept, schema=tables[0].schema, preserve_index=False)
 
-        ids, vectors = sent.value
-        request_ids, matrix = np.asarray(ids), np.asarray(vectors, dtype="float64")
+        asked = sent.value
         # one result per partition: batches are merged as they come, a few at a time
-        parts = []
-        for frame in frames:
-            if len(frame):
-                doc_matrix = np.stack(frame["embedding"].to_numpy()).astype("float64")
-                parts.append(best(request_ids, matrix, frame["doc_id"].to_numpy(), doc_matrix))
-            if len(parts) == merged:
-                parts = [best_of(parts)]
-        if parts and len(request_ids):
-            yield best_of(parts)
+        tables = []
+        for batch in batches:
+            tables.append(
+                best(asked["request_id"], asked["embedding"], batch["doc_id"], batch["embedding"])
+            )
+            if len(tables) == merged:
+                tables = [best_of(tables)]
+        if tables:
+            yield from best_of(tables).to_batches()
 
-    return documents.select("doc_id", "embedding").mapInPandas(score, MATCHES.format(**kinds))
+    return documents.mapInArrow(score, schema)
 
 
 def score_blocks(
-    questions: DataFrame, documents: DataFrame, k: int, keys: list[str]
+    questions: DataFrame, documents: DataFrame, k: int, keys: list[str], schema: T.StructType
 ) -> DataFrame:
     """Block-wise best matches of two frames that share the block ``keys``."""
-    kinds = _key_types(questions, documents)
-    best = _block_scorer(k)
+    best = _block_scorer(k, schema)
 
     def score(left, right):
-        import numpy as np
-        import pandas as pd
-
-        if not len(left) or not len(right):
-            return pd.DataFrame({"request_id": [], "doc_id": [], "distance": []})
-        return best(
-            left["request_id"].to_numpy(),
-            np.stack(left["embedding"].to_numpy()).astype("float64"),
-            right["doc_id"].to_numpy(),
-            np.stack(right["embedding"].to_numpy()).astype("float64"),
-        )
+        return best(left["request_id"], left["embedding"], right["doc_id"], right["embedding"])
 
     left = questions.select(*keys, "request_id", "embedding").groupBy(*keys)
     right = documents.select(*keys, "doc_id", "embedding").groupBy(*keys)
-    return left.cogroup(right).applyInPandas(score, MATCHES.format(**kinds))
+    return left.cogroup(right).applyInArrow(score, schema)
 
 
 def _blocks(count: int, size: int) -> int:
@@ -210,21 +210,20 @@ def vector_top_k(
     both sides and every block pair is scored once; the result is the same.
     """
     _check_k(k)
-    asked = questions.select("request_id", "embedding")
-    rows = asked.limit(max_sent + 1).collect()
-    if len(rows) <= max_sent:
-        return top_matches(score_sent(asked, documents, k, rows), k)
-    doc_blocks = _blocks(documents.count(), doc_block)
+    schema = _match_schema(questions, documents)
+    asked, filed = with_vector(questions, "request_id"), with_vector(documents, "doc_id")
+    sent = asked.limit(max_sent + 1).toArrow()
+    if sent.num_rows <= max_sent:
+        return top_matches(score_sent(sent, filed, k, schema), k)
+    doc_blocks = _blocks(filed.count(), doc_block)
     question_blocks = _blocks(asked.count(), question_block)
     left = asked.withColumn(
         "q_block", F.pmod(F.xxhash64("request_id"), F.lit(question_blocks)).cast("int")
     ).withColumn("d_block", _every(doc_blocks))
-    right = (
-        documents.select("doc_id", "embedding")
-        .withColumn("d_block", F.pmod(F.xxhash64("doc_id"), F.lit(doc_blocks)).cast("int"))
-        .withColumn("q_block", _every(question_blocks))
-    )
-    return top_matches(score_blocks(left, right, k, ["q_block", "d_block"]), k)
+    right = filed.withColumn(
+        "d_block", F.pmod(F.xxhash64("doc_id"), F.lit(doc_blocks)).cast("int")
+    ).withColumn("q_block", _every(question_blocks))
+    return top_matches(score_blocks(left, right, k, ["q_block", "d_block"], schema), k)
 
 
 class VectorCells:
@@ -254,11 +253,10 @@ class VectorCells:
         Beyond ``training_rows`` documents the centres are fitted on a sample;
         the cells still hold every document.
         """
+        documents = with_vector(documents, "doc_id")
         count = documents.count()
         wanted = max(2, min(MAX_CELLS, math.ceil(count / leaf_size)))
-        points = documents.select("doc_id", "embedding").withColumn(
-            "_point", array_to_vector("embedding")
-        )
+        points = documents.withColumn("_point", array_to_vector("embedding"))
         training = points
         if count > training_rows:
             training = points.sample(fraction=training_rows / count, seed=seed)
@@ -328,9 +326,8 @@ class VectorCells:
         a cell with a third of all documents is scored by many tasks.
         """
         _check_k(k)
-        asked = questions.select(
-            "request_id", F.col("embedding").cast("array<double>").alias("embedding")
-        )
+        schema = _match_schema(questions, self.cells)
+        asked = with_vector(questions, "request_id")
         probes = materialise(self.probes(asked, searched), "probes")
 
         def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
@@ -356,7 +353,7 @@ class VectorCells:
             .withColumn("d_block", F.pmod(F.xxhash64("doc_id"), F.col("d_blocks")).cast("int"))
             .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
         )
-        return top_matches(score_blocks(left, right, k, ["cell", "q_block", "d_block"]), k)
+        return top_matches(score_blocks(left, right, k, ["cell", "q_block", "d_block"], schema), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

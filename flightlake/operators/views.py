@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.constants import (
     BY_AIRLINE,
@@ -105,7 +106,9 @@ def delay_driver() -> Column:
 
 def delay_explanations(silver: DataFrame) -> DataFrame:
     """Flight rows with route, a normalised timestamp and the delay driver."""
-    flights = _read_flights(silver).withColumn("event_ts", event_timestamp(F.col("event_ts")))
+    flights = _read_flights(silver)
+    if not isinstance(silver.schema["event_ts"].dataType, T.TimestampType):
+        flights = flights.withColumn("event_ts", event_timestamp(F.col("event_ts")))
     return flights.withColumn("primary_delay_driver", delay_driver())
 
 
