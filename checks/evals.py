@@ -29,6 +29,31 @@ def eval_trajectory(spark, sf):
     return evals.eval_trajectory(fx.run_events(spark, sf))
 
 
+@query(
+    "agent_transitions",
+    sql(
+        "SELECT run_id, event_no, author FROM (SELECT *, lag(author) OVER (PARTITION BY run_id "
+        "ORDER BY event_no) AS previous FROM run_events) steps "
+        "WHERE previous IS NULL OR previous <> author"
+    ),
+)
+def agent_transitions(spark, sf):
+    return evals.agent_transitions(fx.run_events(spark, sf), span=3)
+
+
+@query(
+    "workers_called",
+    sql(
+        "SELECT run_id, string_agg(author, ',' ORDER BY first_no) AS workers_called FROM ("
+        "SELECT run_id, author, min(event_no) AS first_no FROM run_events GROUP BY run_id, author) f "
+        "GROUP BY run_id"
+    ),
+)
+def workers_called(spark, sf):
+    called = evals.workers_called(fx.run_events(spark, sf))
+    return called.withColumn("workers_called", F.array_join("workers_called", ","))
+
+
 CONSTRAINT = (
     "CASE run_id % 3 WHEN 0 THEN 'exactly_pipeline_health' WHEN 1 THEN 'mitigation_after_risk' "
     "ELSE 'no_mitigation_for_pure_weather' END"

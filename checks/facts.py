@@ -206,7 +206,10 @@ def rag_freshness(spark, sf):
 
 @query(
     "facts_documents_first",
-    sql(f"SELECT *, 'ai_rag_documents' AS source FROM ({PAIRS} {PAIR_ORDER} LIMIT 10) f"),
+    sql(
+        "SELECT * RENAME (weather_pct AS weather_impact_pct), 'ai_rag_documents' AS source "
+        f"FROM ({PAIRS} {PAIR_ORDER} LIMIT 10) f"
+    ),
 )
 def facts_documents_first(spark, sf):
     silver = fx.silver(spark, sf)
@@ -217,7 +220,10 @@ def facts_documents_first(spark, sf):
 
 @query(
     "facts_with_fallback",
-    sql(f"SELECT *, 'secondary' AS source FROM ({AIRLINE_FACTS} {AIRLINE_ORDER}) f"),
+    sql(
+        "SELECT * RENAME (weather_pct AS weather_impact_pct, avg_delay_min AS avg_delay_minutes), "
+        f"'secondary' AS source FROM ({AIRLINE_FACTS} {AIRLINE_ORDER}) f"
+    ),
 )
 def facts_with_fallback(spark, sf):
     """No document fits the filter, so the report for the query type answers."""
@@ -228,7 +234,7 @@ def facts_with_fallback(spark, sf):
         silver,
         views.route_risk(silver),
         fx.AS_OF,
-        days_back=0 if fx.DAYS == 7 else fx.DAYS,
+        days_back=0,
     )
 
 

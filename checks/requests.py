@@ -231,8 +231,63 @@ def first_fact(spark, sf):
     ),
 )
 def fallback_answer(spark, sf):
-    answered = req.fallback_answer(fx.requests(spark, sf), _fact_rows(spark, sf), FACT_NAMES)
-    return answered.select("request_id", "answer")
+    facts = req.with_fact_pairs(_fact_rows(spark, sf), FACT_NAMES)
+    return req.fallback_answer(fx.requests(spark, sf), facts).select("request_id", "answer")
+
+
+@query(
+    "answered_entries",
+    """
+    SELECT concat('s-', CAST(conv_id AS VARCHAR)) AS session_id, 2 * turn + part AS entry_no,
+      CASE part WHEN 0 THEN 'user' ELSE 'assistant' END AS role,
+      CASE part WHEN 0 THEN 'q ' || text ELSE 'a ' || text END AS content,
+      CASE part WHEN 0 THEN NULL ELSE length(text) END AS total_tokens
+    FROM conversations, (VALUES (0), (1)) parts(part) WHERE role <> 'system'""",
+)
+def answered_entries(spark, sf):
+    """Every turn as an answered request; system turns belong to no session."""
+    session = F.concat(F.lit("s-"), F.col("conv_id").cast("string"))
+    answers = fx.table(spark, sf, "conversations").select(
+        F.when(F.col("role") != "system", session).alias("session_id"),
+        F.col("turn").alias("turn_no"),
+        F.lit(fx.NOW).alias("asked_at"),
+        F.concat(F.lit("q "), "text").alias("question"),
+        F.concat(F.lit("a "), "text").alias("answer"),
+        F.lit(0).alias("prompt_tokens"),
+        F.lit(0).alias("response_tokens"),
+        F.length("text").alias("total_tokens"),
+    )
+    entries = req.answered_entries(answers)
+    return entries.select("session_id", "entry_no", "role", "content", "total_tokens")
+
+
+@query(
+    "request_log",
+    sql(
+        f"""
+        SELECT 'INFO' AS severity, 'router_decision' AS event,
+          coalesce(session_id, 'anonymous') AS session_id, NULL AS reason,
+          CAST(NULL AS BIGINT) AS vs_results,
+          CASE WHEN length(question) - length(replace(question, '?', '')) > 1
+            OR {signals('question')} THEN 'agent' ELSE 'retrieve' END AS route,
+          length(question) AS question_length
+        FROM checked
+        UNION ALL
+        SELECT 'WARNING', 'guardrail_triggered', coalesce(session_id, 'anonymous'), error, NULL,
+          NULL, NULL
+        FROM checked WHERE error IS NOT NULL
+        UNION ALL
+        SELECT 'INFO', 'bq_fallback', coalesce(c.session_id, 'anonymous'), NULL, g.vs_results,
+          NULL, NULL
+        FROM ({GATE}) g JOIN checked c ON c.request_id = g.request_id WHERE g.needs_facts"""
+    ),
+)
+def request_log(spark, sf):
+    checked = req.validate_requests(fx.requests(spark, sf)).withColumn("asked_at", F.lit(fx.NOW))
+    log = req.request_log(checked, req.retrieval_gate(checked, _matches(spark, sf)))
+    return log.select(
+        "severity", "event", "session_id", "reason", "vs_results", "route", "question_length"
+    )
 
 
 @query(
@@ -293,4 +348,9 @@ def answer_contexts(spark, sf):
         views.route_risk(silver),
         fx.AS_OF,
     )
-    return contexts.withColumn("tools_used", F.array_join("tools_used", ","))
+    return contexts.withColumns(
+        {
+            "tools_used": F.array_join("tools_used", ","),
+            "sources": F.array_join(F.transform("sources", lambda c: c["doc_id"]), ","),
+        }
+    )

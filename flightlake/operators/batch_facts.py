@@ -21,6 +21,7 @@ from flightlake.constants import (
 )
 from flightlake.functions.text import json_rows_text
 from flightlake.operators.facts import document_measures
+from flightlake.operators.requests import fact_pairs
 from flightlake.session import materialise
 
 ANY = "*"
@@ -204,6 +205,7 @@ def _as_text(facts: DataFrame, names: list[str], source: str) -> DataFrame:
         F.col("fact_rank").cast("int").alias("fact_rank"),
         F.lit(source).alias("source"),
         json_rows_text(kinds).alias("fact_json"),
+        fact_pairs(names).alias("fact_pairs"),
     )
 
 
@@ -214,7 +216,7 @@ def batch_facts(
     routes: DataFrame,
     as_of: dt.date,
 ) -> DataFrame:
-    """Facts of every request (``request_id, fact_rank, source, fact_json``).
+    """Facts of every request (``request_id, fact_rank, source, fact_json, fact_pairs``).
 
     As for a single question: the documents answer first; a setting they have
     no row for is answered by the report its query type names. The first
@@ -252,4 +254,4 @@ def batch_facts(
             facts = _as_text(rows, GENERIC_NAMES, "secondary")
         asking = keyed.where(F.col("query_type") == kind)
         answers = answers.unionByName(asking.join(facts, SETTING))
-    return answers.select("request_id", "fact_rank", "source", "fact_json")
+    return answers.select("request_id", "fact_rank", "source", "fact_json", "fact_pairs")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import (
@@ -54,6 +54,43 @@ def eval_trajectory(events: DataFrame) -> DataFrame:
     )
 
 
+def agent_transitions(events: DataFrame, span: int = 10_000) -> DataFrame:
+    """The events of a run at which another agent takes over.
+
+    Each event needs its predecessor's author. Events are compared within spans
+    of their number, and the first of a span with the last of the span before
+    it, so that a run with very many events is spread over many tasks.
+    """
+    named = events.where(F.col("author").isNotNull()).withColumn(
+        "span", F.floor(F.col("event_no") / F.lit(span))
+    )
+    within = Window.partitionBy("run_id", "span").orderBy("event_no")
+    spans = Window.partitionBy("run_id").orderBy("span")
+    last = (
+        named.groupBy("run_id", "span")
+        .agg(F.max_by("author", "event_no").alias("last_author"))
+        .withColumn("before_span", F.lag("last_author").over(spans))
+        .drop("last_author")
+    )
+    steps = named.withColumn("previous", F.lag("author").over(within)).join(last, ["run_id", "span"])
+    previous = F.coalesce("previous", "before_span")
+    changed = previous.isNull() | (previous != F.col("author"))
+    return steps.where(changed).select("run_id", "event_no", "author")
+
+
+def workers_called(events: DataFrame) -> DataFrame:
+    """Names of the workers of a run in order of their first call."""
+    firsts = (
+        events.where(F.col("author").isNotNull())
+        .groupBy("run_id", "author")
+        .agg(F.min("event_no").alias("first_no"))
+    )
+    ordered = F.sort_array(F.collect_list(F.struct("first_no", "author")))
+    return firsts.groupBy("run_id").agg(
+        F.transform(ordered, lambda step: step["author"]).alias("workers_called")
+    )
+
+
 def worker_calls(events: DataFrame) -> DataFrame:
     """First call of each worker in a run, and how many workers were called."""
     return events.where(F.col("author").isNotNull()).groupBy("run_id").agg(

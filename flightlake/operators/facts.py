@@ -26,6 +26,17 @@ from flightlake.operators.views import gold_refresh
 RISK_TYPES = ["route_risk", "risk", "disruption"]
 AIRLINE_TYPES = ["airline", "performance", "delays"]
 WEATHER_TYPES = ["weather", "impact"]
+# the service shows some measures under other names and in another order than the tools
+SERVICE_PAIR_ORDER = [
+    "airline",
+    "route",
+    "flight_count",
+    "avg_delay_min",
+    "weather_impact_pct",
+    "delayed_pct",
+]
+SERVICE_PAIR_NAMES = {"weather_pct": "weather_impact_pct"}
+SERVICE_AIRLINE_NAMES = {"avg_delay_min": "avg_delay_minutes", "weather_pct": "weather_impact_pct"}
 METADATA = "departure_delay_min string, weather_flag string, status string"
 
 
@@ -252,14 +263,15 @@ def service_facts(
     days_back = service_days_back(days_back)
     if documents is not None:
         if not recent_documents(documents, as_of, days_back, airline, route).isEmpty():
-            return with_source(
-                rag_facts(documents, as_of, days_back, airline, route), "ai_rag_documents"
-            )
+            found = rag_facts(documents, as_of, days_back, airline, route)
+            found = found.withColumnsRenamed(SERVICE_PAIR_NAMES).select(*SERVICE_PAIR_ORDER)
+            return with_source(found, "ai_rag_documents")
     kind = query_type.lower()
     if kind in RISK_TYPES:
         return with_source(route_risk_facts(routes, route), "secondary")
     if kind in AIRLINE_TYPES:
-        return with_source(airline_facts(silver, as_of, days_back, airline), "secondary")
+        found = airline_facts(silver, as_of, days_back, airline)
+        return with_source(found.withColumnsRenamed(SERVICE_AIRLINE_NAMES), "secondary")
     if kind in WEATHER_TYPES:
         return with_source(weather_facts(silver, as_of, days_back), "secondary")
     return with_source(generic_facts(silver, as_of, days_back), "secondary")

@@ -246,13 +246,93 @@ def fact_pairs(names: list[str]) -> Column:
     return F.concat_ws(", ", *shown)
 
 
-def fallback_answer(requests: DataFrame, facts: DataFrame, names: list[str]) -> DataFrame:
+def with_fact_pairs(facts: DataFrame, names: list[str]) -> DataFrame:
+    return facts.withColumn("fact_pairs", fact_pairs(names))
+
+
+def fallback_answer(requests: DataFrame, facts: DataFrame) -> DataFrame:
     """A fixed-form answer from each question's first fact."""
-    top = first_fact(facts).select("request_id", fact_pairs(names).alias("pairs"))
-    text = F.when(F.col("pairs").isNull(), NO_DATA_ANSWER).otherwise(
+    top = first_fact(facts).select("request_id", "fact_pairs")
+    text = F.when(F.col("fact_pairs").isNull(), NO_DATA_ANSWER).otherwise(
         F.concat(
             F.lit("Deterministic response for '"), F.col("question"),
-            F.lit("': "), F.col("pairs"), F.lit("."),
+            F.lit("': "), F.col("fact_pairs"), F.lit("."),
+        )
+    )
+    return (
+        requests.join(top, "request_id", "left").withColumn("answer", text).drop("fact_pairs")
+    )
+
+
+def answered_entries(answers: DataFrame) -> DataFrame:
+    """The two session entries of each answered request that belongs to a session.
+
+    ``answers`` carries ``turn_no`` (how many questions the session had before),
+    ``asked_at`` and the token counts, which are booked on the answer.
+    """
+    tokens = ["prompt_tokens", "response_tokens", "total_tokens"]
+
+    def entry(offset: int, role: str, text: str) -> Column:
+        booked = [
+            (F.col(name) if role == "assistant" else F.lit(None)).cast("bigint").alias(name)
+            for name in tokens
+        ]
+        return F.struct(
+            (F.col("turn_no") * 2 + offset).cast("bigint").alias("entry_no"),
+            F.col("asked_at").alias("entry_ts"),
+            F.lit(role).alias("role"),
+            F.col(text).alias("content"),
+            *booked,
         )
+
+    turns = F.array(entry(0, "user", "question"), entry(1, "assistant", "answer"))
+    return answers.where(F.col("session_id").isNotNull()).select(
+        "session_id", F.inline(turns)
+    )
+
+
+def request_log(checked: DataFrame, gated: DataFrame) -> DataFrame:
+    """Log rows of a request batch: routing, rejections and sparse searches.
+
+    ``checked`` comes from ``validate_requests`` and ``gated`` from
+    ``retrieval_gate``; both carry ``asked_at``.
+    """
+    session = F.coalesce("session_id", F.lit("anonymous")).alias("session_id")
+
+    def rows(source: DataFrame, severity: str, event: str, **fields: Column) -> DataFrame:
+        kinds = {
+            "guardrail_type": "string",
+            "reason": "string",
+            "vs_results": "bigint",
+            "route": "string",
+            "question_length": "bigint",
+        }
+        extra = [
+            fields.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()
+        ]
+        return source.select(
+            F.col("asked_at").alias("log_ts"),
+            F.lit(severity).alias("severity"),
+            F.lit(event).alias("event"),
+            session,
+            *extra,
+        )
+
+    routed = rows(
+        checked,
+        "INFO",
+        "router_decision",
+        route=question_route(F.col("question")),
+        question_length=F.length("question"),
+    )
+    rejected = rows(
+        checked.where(F.col("error").isNotNull()),
+        "WARNING",
+        "guardrail_triggered",
+        guardrail_type=F.lit("input_validation"),
+        reason=F.col("error"),
+    )
+    sparse = rows(
+        gated.where("needs_facts"), "INFO", "bq_fallback", vs_results=F.col("vs_results")
     )
-    return requests.join(top, "request_id", "left").withColumn("answer", text).drop("pairs")
+    return routed.unionByName(rejected).unionByName(sparse)

@@ -13,12 +13,14 @@ from flightlake.operators.batch_facts import batch_facts
 from flightlake.operators.documents import metadata_defaults
 from flightlake.operators.requests import (
     assemble_context,
+    citations,
     facts_query_type,
+    fallback_answer,
     retrieval_gate,
     tools_used,
     validate_requests,
 )
-from flightlake.operators.sessions import last_turns
+from flightlake.operators.sessions import last_turns, session_history
 from flightlake.operators.vectors import embed_documents, vector_top_k
 from flightlake.session import materialise
 
@@ -67,6 +69,9 @@ def answer_contexts(
 ) -> DataFrame:
     """Everything an answer is written from, one row per valid request.
 
+    That is the three context blocks, the citations, the counts, and the
+    fixed-form answer that stands in when no model writes one.
+
     ``documents`` carries an ``embedding`` of the same kind as the questions;
     ``matches`` may be given where another search has already found them. The
     search and the facts are stored once each, as several branches need them.
@@ -79,11 +84,19 @@ def answer_contexts(
     facts = materialise(
         batch_facts(gated.where("needs_facts"), documents, silver, routes, as_of), "answers"
     )
-    contexts = assemble_context(gated, last_turns(entries), matches, facts)
+    history = session_history(entries)
     facts_found = facts.groupBy("request_id").agg(F.count("*").alias("facts_count"))
-    counted = (
-        gated.select("request_id", F.col("vs_results").alias("context_count"))
+    extras = (
+        gated.select("request_id", "session_id", F.col("vs_results").alias("context_count"))
         .join(facts_found, "request_id", "left")
-        .withColumn("facts_count", F.coalesce("facts_count", F.lit(0).cast("bigint")))
+        .join(citations(matches), "request_id", "left")
+        .join(history.select("session_id", "history_turns"), "session_id", "left")
+        .withColumns(
+            {
+                "facts_count": F.coalesce("facts_count", F.lit(0).cast("bigint")),
+                "history_turns": F.coalesce("history_turns", F.lit(0)),
+            }
+        )
     )
-    return tools_used(contexts.join(counted, "request_id"))
+    contexts = assemble_context(gated, last_turns(entries), matches, facts)
+    return tools_used(fallback_answer(contexts, facts).join(extras, "request_id"))
