@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from flightlake.constants import OVERRIDE_PATTERNS, REDACTED, TRUE_WORDS
 
 
+# Python counts four control characters as white space that Java does not
+SPACE = r"[\s\x1c-\x1f]"
+
+
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.regexp_replace(value, f"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
 def blank_to_null(value: Column) -> Column:
@@ -20,7 +24,7 @@ def blank_to_null(value: Column) -> Column:
 
 def redact(value: Column) -> Column:
     """Replace every instruction-override phrase."""
-    pattern = "(?iU)(" + "|".join(OVERRIDE_PATTERNS) + ")"
+    pattern = "(?iU)(" + "|".join(OVERRIDE_PATTERNS).replace(r"\s", SPACE) + ")"
     return F.regexp_replace(value, pattern, REDACTED)
 
 

@@ -168,3 +168,18 @@ def test_trajectory(spark, authors, verdict):
 def test_routing(spark, constraint, authors, verdict):
     cases = spark.createDataFrame([(1, constraint)], "run_id bigint, constraint string")
     assert evals.eval_routing(cases, run(spark, *authors)).collect()[0]["routing"] == verdict
+
+
+def test_an_idle_session_starts_afresh(spark):
+    import time
+
+    source, path, offsets = (work_folder(spark, n) for n in ("in", "out", "offsets"))
+    for wave in ([entry("a", 0, 0), entry("a", 1, 1, 5)], [entry("a", 2, 2), entry("a", 3, 3, 7)]):
+        spark.createDataFrame(wave, SESSION_ENTRIES).write.mode("append").parquet(source)
+        session_stream.stream_sessions(
+            session_stream.entry_stream(spark, source), path, offsets, ttl_seconds=1
+        ).awaitTermination()
+        time.sleep(3)
+    last = spark.read.parquet(path).orderBy(F.desc("batch")).first()
+    assert [t["content"] for t in last["turns"]] == ["t2", "t3"]
+    assert (last["total_tokens"], last["request_count"]) == (7, 1)
