@@ -310,9 +310,10 @@ WINDOWED = """
 """.format(avg=avg("delay_min", 1), weather=pct("weather"), delayed=pct("status = 'DELAYED'"))
 
 
-def _windowed(body: str) -> str:
+def windowed(body: str, *more: str) -> str:
     """The body behind the named subqueries and the per-request ones."""
-    whole = sql("SELECT * FROM asked JOIN doc_measures ON true")
+    names = " ".join(f"JOIN {name} ON true" for name in ("doc_measures", *more))
+    whole = sql(f"SELECT * FROM asked {names}")
     return whole[: whole.rindex("SELECT * FROM asked")].rstrip() + ",\n" + WINDOWED + body
 
 
@@ -323,7 +324,7 @@ def _asked(spark, sf):
 
 @query(
     "batch_rag_facts",
-    _windowed(
+    windowed(
         """SELECT * FROM (
           SELECT *, CAST(row_number() OVER (PARTITION BY request_id
             ORDER BY avg_delay_min DESC, airline, route) AS INTEGER) AS fact_rank
@@ -360,7 +361,7 @@ def _parsed(rows):
 
 @query(
     "batch_facts",
-    _windowed(
+    windowed(
         f"""SELECT request_id, CAST(pick AS INTEGER) AS fact_rank, 'ai_rag_documents' AS source,
           airline || ' ' || route AS fact_key, flight_count AS flights,
           {rnd('avg_delay_min', 2)} AS measure, {rnd('delayed_pct', 2)} AS second_measure

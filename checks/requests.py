@@ -6,16 +6,19 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from checks.facts import windowed
 from checks.registry import query
 from checks.sql import redact, signals, sql
 from flightlake.functions import text
 from flightlake.operators import requests as req
 from flightlake.operators import views
+from flightlake.operators.batch_facts import RAG_NAMES
 from flightlake.operators.documents import metadata_defaults
 from flightlake.operators.facts import pair_facts, recent_documents, slowest_pairs
 from flightlake.operators.sessions import last_turns
 from flightlake.operators.vectors import embed_documents
 from flightlake.plans import questions
+from flightlake.session import materialise
 
 
 @query(
@@ -336,9 +339,56 @@ def search_flight_records(spark, sf):
     )
 
 
-@query("answer_contexts")
+def _json_sql(names: list[str], texts: set[str]) -> str:
+    lines = []
+    for name in names:
+        value = f"CAST({name} AS VARCHAR)"
+        shown = f"'\"' || {name} || '\"'" if name in texts else value
+        lines.append(f"'  \"{name}\": ' || {shown}")
+    return "'{' || E'\\n' || " + " || ',' || E'\\n' || ".join(lines) + " || E'\\n' || '}'"
+
+
+PAIRS_SHOWN = " || ', ' || ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in RAG_NAMES)
+
+
+@query(
+    "answer_contexts",
+    windowed(
+        f"""
+        SELECT a.request_id, a.question, coalesce(h.history_block, '(none)') AS history_block,
+          coalesce(f.facts_block, '(no BigQuery facts)') AS facts_block,
+          coalesce('Deterministic response for ''' || a.question || ''': ' || f.pairs || '.',
+            'No matching data was found for the requested filters in the selected time window.')
+            AS answer,
+          a.session_id, CAST(a.top_k AS BIGINT) AS context_count,
+          coalesce(f.facts_count, 0) AS facts_count,
+          coalesce(h.entries // 2, 0) AS history_turns,
+          'vector_search,' || CASE WHEN f.facts_count > 0 THEN 'bigquery_fallback,' ELSE '' END
+            || 'gemini_2.5_flash' AS tools_used
+        FROM asked a
+        LEFT JOIN (
+          SELECT session_id, count(*) AS entries, string_agg(
+            CASE WHEN role = 'user' THEN 'User' ELSE 'Assistant' END || ': ' || {redact('content')},
+            E'\\n' ORDER BY entry_no) AS history_block
+          FROM all_entries GROUP BY session_id) h ON h.session_id = a.session_id
+        LEFT JOIN (
+          SELECT request_id, count(*) AS facts_count,
+            string_agg({_json_sql(RAG_NAMES, {'airline', 'route'})}, E'\\n' ORDER BY pick)
+              FILTER (WHERE pick <= 3) AS facts_block,
+            max({PAIRS_SHOWN}) FILTER (WHERE pick = 1) AS pairs
+          FROM (SELECT *, row_number() OVER (PARTITION BY request_id
+                  ORDER BY avg_delay_min DESC, airline, route) AS pick FROM asked_pairs) ranked
+          WHERE pick <= 10 GROUP BY request_id) f
+          ON f.request_id = a.request_id AND a.top_k < 3""",
+        "all_entries",
+    ),
+)
 def answer_contexts(spark, sf):
-    """The whole batch: checked, searched, gated, assembled."""
+    """The whole batch: checked, searched, gated, assembled.
+
+    Which documents are found depends on hashed vectors, so references and
+    citations are left out here; every question finds as many as it asks for.
+    """
     silver = fx.silver(spark, sf)
     contexts = questions.answer_contexts(
         fx.requests(spark, sf),
@@ -348,9 +398,20 @@ def answer_contexts(spark, sf):
         views.route_risk(silver),
         fx.AS_OF,
     )
-    return contexts.withColumns(
+    return contexts.drop("docs_block", "sources").withColumns(
         {
             "tools_used": F.array_join("tools_used", ","),
-            "sources": F.array_join(F.transform("sources", lambda c: c["doc_id"]), ","),
+            "history_turns": F.col("history_turns").cast("bigint"),
         }
     )
+
+
+@query("question_references")
+def question_references(spark, sf):
+    """References and citations of the batch; hashed vectors have no SQL twin."""
+    asked = questions.accepted(fx.requests(spark, sf))
+    matches = materialise(questions.matched_documents(asked, _embedded(spark, sf)), "matches")
+    cited = req.citations(matches).withColumn(
+        "sources", F.array_join(F.transform("sources", lambda c: c["doc_id"]), ",")
+    )
+    return req.reference_blocks(matches).join(cited, "request_id")
