@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -10,7 +12,7 @@ from checks.sessions import SESSION_DOCUMENTS, _joined
 from checks.sql import sql
 from checks.storage import _landed, _log_folder
 from flightlake.session import work_folder
-from flightlake.sources.documents import read_bucketed_table
+from flightlake.sources.documents import create_document_table, read_document_table
 from flightlake.streaming import documents as document_stream
 from flightlake.streaming import flights as flight_stream
 from flightlake.streaming import logs as log_stream
@@ -86,11 +88,12 @@ def stream_sessions(spark, sf):
 @query("stream_upsert_docs", sql("SELECT * FROM merged"))
 def stream_upsert_docs(spark, sf):
     """The first batch of documents, then the second, each as files that arrive."""
-    source, path = work_folder(spark, "arriving"), work_folder(spark, "stream-docs")
+    source, table = work_folder(spark, "arriving"), f"documents_{uuid.uuid4().hex}"
     checkpoint = work_folder(spark, "offsets")
+    create_document_table(spark, table, work_folder(spark, "stream-docs"), buckets=8)
     for batch in (fx.document_table(spark, sf), fx.document_batch(spark, sf)):
         fx.write_json(batch, source)
         document_stream.stream_upsert_docs(
-            document_stream.document_stream(spark, source), path, checkpoint, buckets=8
+            document_stream.document_stream(spark, source), table, checkpoint
         ).awaitTermination()
-    return read_bucketed_table(spark, path).drop("embedding")
+    return read_document_table(spark, table).drop("embedding")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.operators.documents import latest_per_doc, upsert_rag_documents
 from flightlake.schemas import RAG_DOCUMENTS, VECTORS
 from flightlake.session import materialise
-from flightlake.sources.tables import available
 
 TABLE_BUCKETS = 1024
 
@@ -80,47 +81,60 @@ def read_rag_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAG_DOCUMENTS).parquet(path)
 
 
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+def create_document_table(
+    spark: SparkSession, table: str, path: str, buckets: int = TABLE_BUCKETS
+) -> None:
+    """An empty document table below ``path``, partitioned by hash of the id."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAG_DOCUMENTS)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, bucket int) USING parquet "
+        f"PARTITIONED BY (bucket) LOCATION '{path}/empty' "
+        f"TBLPROPERTIES ('folder' = '{path}', 'buckets' = '{buckets}')"
+    )
 
 
-def upsert_table(
-    spark: SparkSession, path: str, rows: DataFrame, buckets: int = TABLE_BUCKETS
-) -> None:
-    """Merge rows into a document table kept in folders by hash of the id.
+def upsert_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Merge rows into a document table.
 
-    Only the folders that hold an id of the batch are read and replaced, so the
-    cost follows the batch and not the table. Folders are replaced one by one;
-    after a failure the same call completes the merge.
+    Only partitions that hold an id of the batch are read. Their new content
+    goes to a folder of its own, and then the catalog is told to look there. The
+    cost follows the batch and not the table, nothing is overwritten in place,
+    and after a failure at any point the same call completes the merge.
     """
-    columns = RAG_DOCUMENTS.fieldNames()
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(int(properties["buckets"]))).cast("int")
     batch = materialise(
         latest_per_doc(rows, ["content"])
         .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAG_DOCUMENTS])
-        .withColumn("bucket", _bucket(buckets)),
+        .withColumn("bucket", bucket),
         "batch",
     )
-    # at most one value per folder
+    # at most one value per partition of the table
     touched = [row["bucket"] for row in batch.select("bucket").distinct().collect()]
     if not touched:
         return
-    merged = batch.select(*columns)
-    table = available(spark, path)
-    if table is not None:
-        kept = table.where(F.col("bucket").isin(touched)).select(*columns)
-        merged = upsert_rag_documents(kept, merged)
+    kept = spark.table(table).where(F.col("bucket").isin(touched))
+    folder = f"{properties['folder']}/{uuid.uuid4().hex}"
     (
-        merged.withColumn("bucket", _bucket(buckets))
+        upsert_rag_documents(kept, batch)
         .hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
+        .write.partitionBy("bucket")
+        .parquet(folder)
     )
-
-
-def read_bucketed_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*RAG_DOCUMENTS.fieldNames())
+    existing = {
+        int(row["partition"].split("=")[1])
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    }
+    for number in sorted(touched):
+        place = f"LOCATION '{folder}/bucket={number}'"
+        if number in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION (bucket = {number}) SET {place}")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (bucket = {number}) {place}")
+
+
+def read_document_table(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).select(*RAG_DOCUMENTS.fieldNames())
 
 
 def merge_into(rows: DataFrame, table: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.schemas import RAG_DOCUMENTS
-from flightlake.sources.documents import TABLE_BUCKETS, upsert_table
+from flightlake.sources.documents import upsert_table
 
 
 def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -17,9 +17,7 @@ def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     )
 
 
-def stream_upsert_docs(
-    batches: DataFrame, path: str, checkpoint: str, buckets: int = TABLE_BUCKETS
-) -> StreamingQuery:
+def stream_upsert_docs(batches: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Merge each micro-batch into the table.
 
     Merging the same batch twice gives the same table, so a batch that runs
@@ -27,7 +25,7 @@ def stream_upsert_docs(
     """
 
     def merge(rows: DataFrame, batch_id: int) -> None:
-        upsert_table(rows.sparkSession, path, rows, buckets)
+        upsert_table(rows.sparkSession, table, rows)
 
     return (
         batches.writeStream.foreachBatch(merge)
