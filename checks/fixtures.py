@@ -142,10 +142,14 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "events"), FLIGHTS)
 
 
-def flights_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_text(raw: DataFrame) -> DataFrame:
     """Raw flights as files hold them: every column text, ISO timestamps."""
     iso = F.concat(F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-    return flights(spark, sf_dir).withColumn("event_ts", iso)
+    return raw.withColumn("event_ts", iso)
+
+
+def flights_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_text(flights(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,16 +178,13 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document versions of all raw records; ``updated_ts`` is the event's time."""
-    raw = flights_text(spark, sf_dir)
-    docs = rag_documents(raw)
-    # the sentence ends with the ISO timestamp and a full stop
-    written = F.expr("substring(content, -33, 32)").cast("timestamp")
-    return docs.withColumn("updated_ts", written.cast("timestamp_ntz"))
+    raw = flights(spark, sf_dir).withColumn("written_at", F.col("event_ts"))
+    return rag_documents(as_text(raw), F.col("written_at"))
 
 
 def document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document id."""
-    return latest_per_doc(documents(spark, sf_dir), ["content"])
+    """One row per document id; no two versions of one share a time at any scale."""
+    return latest_per_doc(documents(spark, sf_dir))
 
 
 def document_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

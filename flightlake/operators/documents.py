@@ -12,8 +12,12 @@ def _python_bool(flag: Column) -> Column:
     return F.initcap(flag.cast("string"))
 
 
-def rag_documents(records: DataFrame) -> DataFrame:
-    """One document per complete raw record: a sentence, filters and JSON metadata."""
+def rag_documents(records: DataFrame, updated_ts: Column | None = None) -> DataFrame:
+    """One document per complete raw record: a sentence, filters and JSON metadata.
+
+    ``updated_ts`` may be any expression over the record, such as the clock.
+    """
+    stamp = [] if updated_ts is None else [updated_ts.alias("updated_ts")]
     flights = valid_records(records).select(
         "flight_id",
         "airline",
@@ -23,6 +27,7 @@ def rag_documents(records: DataFrame) -> DataFrame:
         "status",
         (F.col("weather_flag") == "TRUE").alias("weather_flag"),
         F.col("event_ts").cast("string").alias("event_ts"),
+        *stamp,
     )
     sentence = F.concat(
         F.lit("Flight "), F.col("flight_id"),
@@ -44,6 +49,7 @@ def rag_documents(records: DataFrame) -> DataFrame:
         "route",
         F.substring("event_ts", 1, 10).try_cast("date").alias("event_date"),
         F.to_json(metadata, {"ignoreNullFields": "false"}).alias("metadata"),
+        *(["updated_ts"] if stamp else []),
     )
 
 
