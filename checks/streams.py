@@ -29,6 +29,16 @@ def stream_bronze_to_silver(spark, sf):
     return spark.read.parquet(path).select("flight_id")
 
 
+@query("stream_silver_exact", sql("SELECT * FROM silver"))
+def stream_silver_exact(spark, sf):
+    """All files are one batch here, so the batch job's survivors survive."""
+    path = work_folder(spark, "stream-silver")
+    flight_stream.stream_silver_exact(
+        spark, _landed(spark, sf), path, work_folder(spark, "offsets")
+    ).awaitTermination()
+    return spark.read.parquet(path).drop("batch")
+
+
 @query(
     "stream_run_log",
     sql(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flightlake.operators.quality import clean_flights
-from flightlake.schemas import BRONZE
+from flightlake.operators.quality import clean_flights, dedup_flights
+from flightlake.schemas import BRONZE, SILVER
+from flightlake.session import materialise
+from flightlake.sources.tables import available
 
 
 def bronze_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
@@ -21,9 +24,10 @@ def bronze_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -
 def silver_stream(raw: DataFrame, lateness: str = "2 days") -> DataFrame:
     """The Silver rules in a stream; state is bounded by the watermark.
 
-    A duplicate that arrives later than the watermark delay is not recognised,
-    so ``lateness`` must exceed the spread of one file drop. Which duplicate
-    survives depends on arrival, as in the arbitrary-survivor batch form.
+    Rows older than the watermark are late and do not come through, so
+    ``lateness`` must exceed the spread of the files; where that is unknown, use
+    ``stream_silver_exact``. Which duplicate survives depends on arrival, as in
+    the arbitrary-survivor batch form.
     """
     return (
         clean_flights(raw)
@@ -51,3 +55,44 @@ def stream_bronze_to_silver(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_silver_exact(
+    spark: SparkSession,
+    root: str,
+    silver_path: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """The same job without a lateness bound: ids are checked against all of Silver.
+
+    Each micro-batch is de-duplicated on its own, then loses the ids that an
+    earlier one has already brought. Silver is only scanned for its ids: those
+    of the (stored) batch are sent to it under Spark's broadcast limit, and it is
+    not shuffled. Batch n owns the folder ``batch=n`` and ignores its own earlier
+    attempt, so a rerun changes nothing.
+    """
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        session = rows.sparkSession
+        fresh = materialise(dedup_flights(rows), "flights")
+        silver = available(session, silver_path)
+        if silver is not None:
+            earlier = silver.where(F.col("batch") < batch_id).select("flight_id")
+            known = earlier.join(fresh.select("flight_id"), "flight_id", "left_semi")
+            fresh = fresh.join(known, "flight_id", "left_anti")
+        (
+            fresh.select(*SILVER.fieldNames())
+            .hint("rebalance", "ingest_date")
+            .write.mode("overwrite")
+            .partitionBy("ingest_date")
+            .parquet(f"{silver_path}/batch={batch_id}")
+        )
+
+    return (
+        clean_flights(bronze_stream(spark, root, files_per_batch))
+        .writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

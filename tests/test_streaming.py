@@ -30,6 +30,18 @@ def test_files_that_arrive_later_are_deduplicated(spark):
     assert sorted(r["flight_id"] for r in rows) == [f"F{n}" for n in range(9)]
 
 
+def test_exact_stream_keeps_late_files_and_knows_old_ids(spark):
+    root, path, offsets = (work_folder(spark, n) for n in ("raw", "silver", "offsets"))
+    waves = ((range(5), "2024-03-01"), (range(3, 9), "2024-01-02"), (range(1, 2), "2024-03-02"))
+    for numbers, day in waves:
+        bronze.write_bronze(flight_rows(spark, numbers, day), root)
+        flight_stream.stream_silver_exact(spark, root, path, offsets).awaitTermination()
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r["flight_id"] for r in rows) == [f"F{n}" for n in range(9)]
+    assert {str(r["ingest_date"]) for r in rows if r["batch"] == 1} == {"2024-01-02"}
+    assert not [r for r in rows if r["batch"] == 2]
+
+
 def test_job_metrics_come_from_one_pass(spark):
     root = work_folder(spark, "raw")
     rows = flight_rows(spark, range(6), "2024-01-01")
