@@ -244,7 +244,7 @@ class VectorCells:
         cls,
         documents: DataFrame,
         leaf_size: int = LEAF_SIZE,
-        iterations: int = 5,
+        iterations: int = 10,
         training_rows: int = 1_000_000,
         seed: int = 42,
     ) -> VectorCells:
@@ -261,7 +261,13 @@ class VectorCells:
         if count > training_rows:
             training = points.sample(fraction=training_rows / count, seed=seed)
         model = KMeans(
-            k=wanted, maxIter=iterations, seed=seed, featuresCol="_point", predictionCol="cell"
+            k=wanted,
+            # the default start refines candidates on the driver, which grows with the cells
+            initMode="random",
+            maxIter=iterations,
+            seed=seed,
+            featuresCol="_point",
+            predictionCol="cell",
         ).fit(training)
         centres = [centre.tolist() for centre in model.clusterCenters()]
         return cls(model.transform(points).drop("_point"), centres)
