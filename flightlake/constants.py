@@ -46,6 +46,15 @@ SUMMARY_COLUMNS = [
     "avg_arr_delay_min",
     "total_flights",
 ]
+# Delay drivers, in the order their rules are tried; the last one has no rule.
+DELAY_DRIVERS = [
+    "WEATHER",
+    "SEVERE_DEP_DELAY",
+    "SEVERE_ARR_DELAY",
+    "CANCELLATION",
+    "DIVERSION",
+    "OPERATIONAL",
+]
 RISK_WEIGHTS = {"disruption": 0.45, "severe": 0.35, "weather": 0.20}
 
 # --- Fixed values: questions ----------------------------------------------
@@ -97,6 +106,11 @@ AGENT_SIGNALS = [
     r"additionally",
 ]
 FACT_WORDS = ["risk", "disruption", "delay"]
+RISK_TYPES = ["route_risk", "risk", "disruption"]
+AGENT_RISK_TYPES = ["route_risk", "risk"]
+AIRLINE_TYPES = ["airline", "performance", "delays"]
+WEATHER_TYPES = ["weather", "impact"]
+AGENT_WEATHER_TYPES = ["weather"]
 
 # Instruction-override patterns removed from untrusted text.
 OVERRIDE_PATTERNS = [
@@ -122,6 +136,9 @@ NO_FACTS = "(no BigQuery facts)"
 NO_DATA_ANSWER = (
     "No matching data was found for the requested filters in the selected time window."
 )
+SOURCE_TYPE = "flight_event"
+SOURCE_DOCUMENTS = "ai_rag_documents"
+SOURCE_GOLD = "gold_layer"
 TOOL_VECTOR = "vector_search"
 TOOL_FACTS = "bigquery_fallback"
 TOOL_MODEL = "gemini_2.5_flash"
@@ -131,14 +148,25 @@ METADATA_FIELDS = ["content", "source_type", "airline", "route", "event_date"]
 SESSION_ENTRIES = 20
 SESSION_TTL_SECONDS = 3600
 LOG_RETENTION_DAYS = 30
+EVENT_TOKENS = "token_usage"
+EVENT_GUARDRAIL = "guardrail_triggered"
+EVENT_FALLBACK = "bq_fallback"
+EVENT_ROUTER = "router_decision"
 EXPORTED_EVENTS = ["token_usage", "guardrail_triggered", "bq_fallback"]
 GUARDRAIL_EVENTS = ["guardrail_triggered", "bq_fallback"]
 TRUE_WORDS = ["1", "true", "t", "yes", "y", "on"]
 
 # --- Fixed values: evaluation ---------------------------------------------
+WORKER_HEALTH = "pipeline_health"
+WORKER_RISK = "risk_analyst"
+WORKER_WEATHER = "weather_analyst"
+WORKER_MITIGATION = "mitigation_advisor"
 EXPECTED_CHAIN = ["risk_analyst", "mitigation_advisor"]
 TOKENS_PER_CALL = 4000
 CHAIN_CALLS = 2
+DECISION_WEATHER = "monitor_weather"
+DECISION_ESCALATE = "escalate_ops"
+DECISION_NONE = "no_action"
 WEATHER_EVENT_PCT = 30
 ESCALATION_DELAY_MIN = 60
 DECISION_KEYWORDS = {

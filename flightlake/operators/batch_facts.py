@@ -18,6 +18,7 @@ from flightlake.constants import (
     DEFAULT_DAYS_BACK,
     LATE_DEPARTURE_MIN,
     MAX_DAYS_BACK,
+    SOURCE_DOCUMENTS,
 )
 from flightlake.functions.text import json_rows_text
 from flightlake.operators.facts import document_measures
@@ -229,7 +230,7 @@ def batch_facts(
         _as_text(
             setting_rag_facts(asked.select(*SETTING).distinct(), documents, as_of),
             RAG_NAMES,
-            "ai_rag_documents",
+            SOURCE_DOCUMENTS,
         ),
         "facts",
     )

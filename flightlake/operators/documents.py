@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightlake.constants import SOURCE_TYPE
 from flightlake.operators.quality import valid_records
 
 
@@ -44,7 +45,7 @@ def rag_documents(records: DataFrame, updated_ts: Column | None = None) -> DataF
     return flights.select(
         F.col("flight_id").alias("doc_id"),
         sentence.alias("content"),
-        F.lit("flight_event").alias("source_type"),
+        F.lit(SOURCE_TYPE).alias("source_type"),
         "airline",
         "route",
         F.substring("event_ts", 1, 10).try_cast("date").alias("event_date"),

@@ -16,6 +16,10 @@ from flightlake.constants import (
     ROUTING_RISK_FIRST,
     ROUTING_WEATHER_ONLY,
     TOKENS_PER_CALL,
+    WORKER_HEALTH,
+    WORKER_MITIGATION,
+    WORKER_RISK,
+    WORKER_WEATHER,
 )
 from flightlake.functions.text import contains_any, count_contained
 from flightlake.operators.facts import decision
@@ -95,10 +99,10 @@ def worker_calls(events: DataFrame) -> DataFrame:
     """First call of each worker in a run, and how many workers were called."""
     return events.where(F.col("author").isNotNull()).groupBy("run_id").agg(
         F.count_distinct("author").alias("workers"),
-        _first("pipeline_health").alias("health_at"),
-        _first("risk_analyst").alias("risk_at"),
-        _first("weather_analyst").alias("weather_at"),
-        _first("mitigation_advisor").alias("mitigation_at"),
+        _first(WORKER_HEALTH).alias("health_at"),
+        _first(WORKER_RISK).alias("risk_at"),
+        _first(WORKER_WEATHER).alias("weather_at"),
+        _first(WORKER_MITIGATION).alias("mitigation_at"),
     )
 
 

@@ -13,19 +13,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import (
+    AGENT_RISK_TYPES,
+    AGENT_WEATHER_TYPES,
+    AIRLINE_TYPES,
+    DECISION_ESCALATE,
+    DECISION_NONE,
+    DECISION_WEATHER,
     DEFAULT_DAYS_BACK,
     ESCALATION_DELAY_MIN,
     LATE_DEPARTURE_MIN,
     MAX_DAYS_BACK,
+    RISK_TYPES,
+    SOURCE_DOCUMENTS,
+    SOURCE_GOLD,
     WEATHER_EVENT_PCT,
+    WEATHER_TYPES,
 )
 from flightlake.functions.measures import mean, percent
 from flightlake.functions.times import since
 from flightlake.operators.views import gold_refresh
 
-RISK_TYPES = ["route_risk", "risk", "disruption"]
-AIRLINE_TYPES = ["airline", "performance", "delays"]
-WEATHER_TYPES = ["weather", "impact"]
 # the service shows some measures under other names and in another order than the tools
 SERVICE_PAIR_ORDER = [
     "airline",
@@ -265,7 +272,7 @@ def service_facts(
         if not recent_documents(documents, as_of, days_back, airline, route).isEmpty():
             found = rag_facts(documents, as_of, days_back, airline, route)
             found = found.withColumnsRenamed(SERVICE_PAIR_NAMES).select(*SERVICE_PAIR_ORDER)
-            return with_source(found, "ai_rag_documents")
+            return with_source(found, SOURCE_DOCUMENTS)
     kind = query_type.lower()
     if kind in RISK_TYPES:
         return with_source(route_risk_facts(routes, route), "secondary")
@@ -290,19 +297,19 @@ def query_analytics(
     """The agent's facts: the asked report first, documents when it has no rows."""
     days_back = tool_days_back(days_back)
     airline, route = airline.upper(), route.upper()
-    if query_type in ("route_risk", "risk") and routes is not None:
+    if query_type in AGENT_RISK_TYPES and routes is not None:
         if not optional_filters(routes, route=route).isEmpty():
             return with_source(route_risk_facts(routes, route, severe=False), "primary")
     elif query_type in AIRLINE_TYPES and silver is not None:
         if not optional_filters(recent_flights(silver, as_of, days_back), airline).isEmpty():
             return with_source(airline_facts(silver, as_of, days_back, airline), "primary")
-    elif query_type == "weather" and silver is not None:
+    elif query_type in AGENT_WEATHER_TYPES and silver is not None:
         return with_source(weather_facts(silver, as_of, days_back), "primary")
-    elif query_type not in ("route_risk", "risk", "weather", *AIRLINE_TYPES):
+    elif query_type not in AGENT_RISK_TYPES + AIRLINE_TYPES + AGENT_WEATHER_TYPES:
         return with_source(
             rag_facts(documents, as_of, days_back, airline, route), "primary"
         )
-    return with_source(rag_facts(documents, as_of, days_back, airline, route), "ai_rag_documents")
+    return with_source(rag_facts(documents, as_of, days_back, airline, route), SOURCE_DOCUMENTS)
 
 
 def freshness_status(
@@ -314,11 +321,11 @@ def freshness_status(
     earliest document.
     """
     if gold is None or gold.isEmpty():
-        return with_source(rag_status(documents, earliest=not brief), "ai_rag_documents")
+        return with_source(rag_status(documents, earliest=not brief), SOURCE_DOCUMENTS)
     status = gold_refresh(gold)
     if brief:
         status = status.drop("delayed_day_rows", "on_time_rows")
-    return with_source(status, "gold_layer")
+    return with_source(status, SOURCE_GOLD)
 
 
 def mitigation_decision(risk_rows: DataFrame) -> DataFrame:
@@ -328,7 +335,7 @@ def mitigation_decision(risk_rows: DataFrame) -> DataFrame:
 
 def decision(avg_delay_min: Column, weather_pct: Column) -> Column:
     return (
-        F.when(weather_pct >= WEATHER_EVENT_PCT, "monitor_weather")
-        .when(avg_delay_min > ESCALATION_DELAY_MIN, "escalate_ops")
-        .otherwise("no_action")
+        F.when(weather_pct >= WEATHER_EVENT_PCT, DECISION_WEATHER)
+        .when(avg_delay_min > ESCALATION_DELAY_MIN, DECISION_ESCALATE)
+        .otherwise(DECISION_NONE)
     )

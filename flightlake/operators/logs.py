@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.constants import EXPORTED_EVENTS, GUARDRAIL_EVENTS, MIN_VECTOR_HITS
+from flightlake.constants import (
+    EVENT_FALLBACK,
+    EVENT_GUARDRAIL,
+    EVENT_TOKENS,
+    EXPORTED_EVENTS,
+    GUARDRAIL_EVENTS,
+    MIN_VECTOR_HITS,
+)
 
 
 def payload(name: str):
@@ -22,7 +29,7 @@ def token_usage_rows(records: DataFrame) -> DataFrame:
         payload(name).cast("bigint").alias(name)
         for name in ("prompt_tokens", "response_tokens", "total_tokens")
     ]
-    return records.where(payload("event") == "token_usage").select(
+    return records.where(payload("event") == EVENT_TOKENS).select(
         "timestamp",
         F.date_trunc("hour", "timestamp").alias("hour"),
         payload("session_id").alias("session_id"),
@@ -65,7 +72,7 @@ def top_sessions(usage: DataFrame, top: int = 10) -> DataFrame:
 def rejections_by_type(guardrails: DataFrame, hourly: bool = False) -> DataFrame:
     keys = ["guardrail_type", *(["hour"] if hourly else [])]
     return (
-        guardrails.where(F.col("event_type") == "guardrail_triggered")
+        guardrails.where(F.col("event_type") == EVENT_GUARDRAIL)
         .groupBy(*keys)
         .agg(F.count("*").alias("rejections"))
     )
@@ -73,8 +80,8 @@ def rejections_by_type(guardrails: DataFrame, hourly: bool = False) -> DataFrame
 
 def fallback_rate(records: DataFrame) -> DataFrame:
     """Share of answered retrieval requests that had fewer than three vector hits."""
-    served = (payload("event") == "token_usage") & (payload("endpoint") == "/retrieve")
-    sparse = (payload("event") == "bq_fallback") & (payload("vs_results") < MIN_VECTOR_HITS)
+    served = (payload("event") == EVENT_TOKENS) & (payload("endpoint") == "/retrieve")
+    sparse = (payload("event") == EVENT_FALLBACK) & (payload("vs_results") < MIN_VECTOR_HITS)
     return records.agg(
         F.count_if(served).alias("requests"), F.count_if(sparse).alias("fallbacks")
     ).withColumn(

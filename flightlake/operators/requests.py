@@ -19,6 +19,9 @@ from flightlake.constants import (
     ERROR_ROUTE,
     ERROR_SESSION_ID,
     ERROR_TOP_K,
+    EVENT_FALLBACK,
+    EVENT_GUARDRAIL,
+    EVENT_ROUTER,
     FACT_WORDS,
     MAX_DAYS_BACK,
     MAX_QUESTION_LEN,
@@ -321,18 +324,18 @@ def request_log(checked: DataFrame, gated: DataFrame) -> DataFrame:
     routed = rows(
         checked,
         "INFO",
-        "router_decision",
+        EVENT_ROUTER,
         route=question_route(F.col("question")),
         question_length=F.length("question"),
     )
     rejected = rows(
         checked.where(F.col("error").isNotNull()),
         "WARNING",
-        "guardrail_triggered",
+        EVENT_GUARDRAIL,
         guardrail_type=F.lit("input_validation"),
         reason=F.col("error"),
     )
     sparse = rows(
-        gated.where("needs_facts"), "INFO", "bq_fallback", vs_results=F.col("vs_results")
+        gated.where("needs_facts"), "INFO", EVENT_FALLBACK, vs_results=F.col("vs_results")
     )
     return routed.unionByName(rejected).unionByName(sparse)

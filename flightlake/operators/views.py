@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from flightlake.constants import (
     BY_AIRLINE,
     BY_ROUTE,
+    DELAY_DRIVERS,
     DELAYED_BY_DAY,
     DISRUPTED_STATUSES,
     ON_TIME_PCT,
@@ -92,16 +93,15 @@ def _read_flights(silver: DataFrame) -> DataFrame:
 def delay_driver() -> Column:
     """Main cause of a delay; the first rule that holds names it."""
     rules = [
-        (F.col("weather_flag"), "WEATHER"),
-        (F.col("departure_delay_min") >= SEVERE_DELAY_MIN, "SEVERE_DEP_DELAY"),
-        (F.col("arrival_delay_min") >= SEVERE_DELAY_MIN, "SEVERE_ARR_DELAY"),
-        (F.col("status") == "CANCELLED", "CANCELLATION"),
-        (F.col("status") == "DIVERTED", "DIVERSION"),
+        F.col("weather_flag"),
+        F.col("departure_delay_min") >= SEVERE_DELAY_MIN,
+        F.col("arrival_delay_min") >= SEVERE_DELAY_MIN,
+        F.col("status") == "CANCELLED",
+        F.col("status") == "DIVERTED",
     ]
-    driver = F.lit("OPERATIONAL")
-    for holds, label in reversed(rules):
-        driver = F.when(holds, label).otherwise(driver)
-    return driver
+    *labels, otherwise = DELAY_DRIVERS
+    found = [F.when(holds, F.lit(label)) for holds, label in zip(rules, labels, strict=True)]
+    return F.coalesce(*found, F.lit(otherwise))
 
 
 def delay_explanations(silver: DataFrame) -> DataFrame:
