@@ -230,21 +230,13 @@ def architecture_comparison(spark, sf):
 def _keyword_sql(use_case: str) -> str:
     words, wanted = ANSWER_KEYWORDS[use_case]
     count = " + ".join(f"CAST(contains(lower(answer), '{w}') AS INTEGER)" for w in words)
-    return sql(
+    return (
         f"SELECT request_id, '{use_case}' AS use_case, CAST({count} AS INTEGER) AS keyword_matches, "
         f"({count}) >= {wanted} AS has_keywords FROM responses"
     )
 
 
-@query(
-    "answer_keywords",
-    sql(
-        " UNION ALL ".join(
-            _keyword_sql(name)[_keyword_sql(name).rindex("SELECT request_id, '") :]
-            for name in ANSWER_KEYWORDS
-        )
-    ),
-)
+@query("answer_keywords", sql(" UNION ALL ".join(map(_keyword_sql, ANSWER_KEYWORDS))))
 def answer_keywords(spark, sf):
     answers = fx.responses(spark, sf)
     parts = [

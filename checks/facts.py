@@ -297,26 +297,6 @@ def mitigation_decision(spark, sf):
     return facts.mitigation_decision(facts.rag_facts(fx.document_table(spark, sf), fx.AS_OF))
 
 
-WINDOWED = """
-  asked_docs AS (
-    SELECT a.request_id, d.* FROM asked a JOIN doc_measures d
-      ON d.event_date >= DATE '2024-01-31' - a.days_back
-      AND (a.airline IS NULL OR a.airline = d.airline)
-      AND (a.route IS NULL OR a.route = d.route)),
-  asked_pairs AS (
-    SELECT request_id, airline, route, count(*) AS flight_count,
-      {avg} AS avg_delay_min, {weather} AS weather_impact_pct, {delayed} AS delayed_pct
-    FROM asked_docs GROUP BY request_id, airline, route)
-""".format(avg=avg("delay_min", 1), weather=pct("weather"), delayed=pct("status = 'DELAYED'"))
-
-
-def windowed(body: str, *more: str) -> str:
-    """The body behind the named subqueries and the per-request ones."""
-    names = " ".join(f"JOIN {name} ON true" for name in ("doc_measures", *more))
-    whole = sql(f"SELECT * FROM asked {names}")
-    return whole[: whole.rindex("SELECT * FROM asked")].rstrip() + ",\n" + WINDOWED + body
-
-
 def _asked(spark, sf):
     valid = validate_requests(fx.requests(spark, sf)).where("error IS NULL")
     return facts_query_type(valid)
@@ -324,7 +304,7 @@ def _asked(spark, sf):
 
 @query(
     "batch_rag_facts",
-    windowed(
+    sql(
         """SELECT * FROM (
           SELECT *, CAST(row_number() OVER (PARTITION BY request_id
             ORDER BY avg_delay_min DESC, airline, route) AS INTEGER) AS fact_rank
@@ -361,7 +341,7 @@ def _parsed(rows):
 
 @query(
     "batch_facts",
-    windowed(
+    sql(
         f"""SELECT request_id, CAST(pick AS INTEGER) AS fact_rank, 'ai_rag_documents' AS source,
           airline || ' ' || route AS fact_key, flight_count AS flights,
           {rnd('avg_delay_min', 2)} AS measure, {rnd('delayed_pct', 2)} AS second_measure

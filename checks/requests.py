@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from checks.facts import windowed
 from checks.registry import query
 from checks.sql import redact, signals, sql
 from flightlake.functions import text
@@ -353,7 +352,7 @@ PAIRS_SHOWN = " || ', ' || ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in RAG
 
 @query(
     "answer_contexts",
-    windowed(
+    sql(
         f"""
         SELECT a.request_id, a.question, coalesce(h.history_block, '(none)') AS history_block,
           coalesce(f.facts_block, '(no BigQuery facts)') AS facts_block,
@@ -379,8 +378,7 @@ PAIRS_SHOWN = " || ', ' || ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in RAG
           FROM (SELECT *, row_number() OVER (PARTITION BY request_id
                   ORDER BY avg_delay_min DESC, airline, route) AS pick FROM asked_pairs) ranked
           WHERE pick <= 10 GROUP BY request_id) f
-          ON f.request_id = a.request_id AND a.top_k < 3""",
-        "all_entries",
+          ON f.request_id = a.request_id AND a.top_k < 3"""
     ),
 )
 def answer_contexts(spark, sf):

@@ -245,6 +245,16 @@ CTES: dict[str, str] = {
             THEN 'generic'
           WHEN contains(lower(question), 'route') THEN 'route_risk' ELSE 'airline' END AS query_type
         FROM checked WHERE error IS NULL""",
+    "asked_docs": """
+        SELECT a.request_id, d.* FROM asked a JOIN doc_measures d
+          ON d.event_date >= DATE '2024-01-31' - a.days_back
+          AND (a.airline IS NULL OR a.airline = d.airline)
+          AND (a.route IS NULL OR a.route = d.route)""",
+    "asked_pairs": f"""
+        SELECT request_id, airline, route, count(*) AS flight_count,
+          {avg('delay_min', 1)} AS avg_delay_min, {pct('weather')} AS weather_impact_pct,
+          {pct("status = 'DELAYED'")} AS delayed_pct
+        FROM asked_docs GROUP BY request_id, airline, route""",
     "matches": """
         SELECT r.request_id, d.doc_id, d.text AS content, d.source AS source_type,
           '' AS airline, d.lang AS route, '' AS event_date,

@@ -57,20 +57,12 @@ def flatten_parts(parts: Column) -> Column:
     return F.coalesce(F.array_join(texts, " "), F.lit(""))
 
 
-def json_rows_text(columns: dict[str, str]) -> Column:
-    """One row as indented JSON text, two spaces deep, in the given column order.
-
-    ``columns`` maps a column name to its simple type; text is quoted and
-    escaped, everything else is printed as it is.
-    """
-    lines = []
-    for name, kind in columns.items():
-        value = F.col(name)
-        if kind == "string":
-            escaped = F.replace(value, F.lit("\\"), F.lit("\\\\"))
-            escaped = F.replace(escaped, F.lit('"'), F.lit('\\"'))
-            shown = F.concat(F.lit('"'), escaped, F.lit('"'))
-        else:
-            shown = value.cast("string")
-        lines.append(F.concat(F.lit(f'  "{name}": '), F.coalesce(shown, F.lit("null"))))
+def json_row_text(names: Iterable[str]) -> Column:
+    """One row as indented JSON text, two spaces deep, in the given column order."""
+
+    def value(name: str) -> Column:
+        listed = F.to_json(F.array(F.col(name)), {"ignoreNullFields": "false"})
+        return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+    lines = [F.concat(F.lit(f'  "{name}": '), value(name)) for name in names]
     return F.concat(F.lit("{\n"), F.concat_ws(",\n", *lines), F.lit("\n}"))

@@ -20,7 +20,7 @@ from flightlake.constants import (
     MAX_DAYS_BACK,
     SOURCE_DOCUMENTS,
 )
-from flightlake.functions.text import json_rows_text
+from flightlake.functions.text import json_row_text
 from flightlake.operators.facts import document_measures
 from flightlake.operators.requests import fact_pairs
 from flightlake.session import materialise
@@ -200,12 +200,11 @@ def _route_setting_facts(settings: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def _as_text(facts: DataFrame, names: list[str], source: str) -> DataFrame:
-    kinds = {name: facts.schema[name].dataType.simpleString() for name in names}
     return facts.select(
         *SETTING,
         F.col("fact_rank").cast("int").alias("fact_rank"),
         F.lit(source).alias("source"),
-        json_rows_text(kinds).alias("fact_json"),
+        json_row_text(names).alias("fact_json"),
         fact_pairs(names).alias("fact_pairs"),
     )
 

@@ -38,7 +38,7 @@ from flightlake.constants import (
     TOOL_MODEL,
     TOOL_VECTOR,
 )
-from flightlake.functions.text import blank_to_null, contains_any, json_rows_text, redact, strip
+from flightlake.functions.text import blank_to_null, contains_any, json_row_text, redact, strip
 
 
 def normalise_requests(requests: DataFrame) -> DataFrame:
@@ -167,8 +167,7 @@ def reference_blocks(matches: DataFrame) -> DataFrame:
 
 def fact_texts(facts: DataFrame, names: list[str]) -> DataFrame:
     """Fact rows with their indented JSON text."""
-    kinds = {name: facts.schema[name].dataType.simpleString() for name in names}
-    return facts.withColumn("fact_json", json_rows_text(kinds))
+    return facts.withColumn("fact_json", json_row_text(names))
 
 
 def fact_blocks(facts: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ MAX_SENT_QUESTIONS = 4096
 MAX_CELLS = 4096
 MERGED_BATCHES = 16
 
+
 def embed_documents(
     rows: DataFrame, text: str = "content", dimensions: int = VECTOR_DIMENSIONS
 ) -> DataFrame:

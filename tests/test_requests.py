@@ -121,7 +121,7 @@ def test_context_blocks_and_placeholders(spark):
     )
     facts = req.fact_texts(
         spark.createDataFrame(
-            [(1, 1, 'A"A', 2, 1.5), (1, 2, None, 1, None)],
+            [(1, 1, 'A"\nA', 2, 1.5), (1, 2, None, 1, None)],
             "request_id bigint, fact_rank int, airline string, flight_count bigint, pct double",
         ),
         ["airline", "flight_count", "pct"],
@@ -132,7 +132,7 @@ def test_context_blocks_and_placeholders(spark):
     assert len(refs) == 3
     assert refs[0] == "[Ref 1] flight_event — AA ATL-LAX (2024-01-01)\n" + "x" * 500
     assert found[1]["facts_block"] == (
-        '{\n  "airline": "A\\"A",\n  "flight_count": 2,\n  "pct": 1.5\n}\n'
+        '{\n  "airline": "A\\"\\nA",\n  "flight_count": 2,\n  "pct": 1.5\n}\n'
         '{\n  "airline": null,\n  "flight_count": 1,\n  "pct": null\n}'
     )
     assert tuple(found[2])[2:] == (c.NO_HISTORY, c.NO_DOCUMENTS, c.NO_FACTS)
