@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks.registry import ORACLES, QUERIES
 from flightlake.operators.vectors import recall
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 ROWS_ONLY = {
     "vector_top_k_cells",
     "vector_recall",
