@@ -50,3 +50,25 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(digests, order=["doc_id", "start"])
+
+
+@query("op7_mix_sources")
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.mixing import mix_sources
+
+    mix = mix_sources(table(spark, sf_dir, "documents"))
+    return mix.docs.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The costs are estimated on a hundredth of the documents, as far as their base rules pass."""
+    from flightlake.llm.rules import Rule, cascade, document_rules, estimate, measures
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = document_rules()
+    estimates = estimate(measures(docs.sample(0.01, 1)), rules, 1.0)
+    measured = measures(docs)
+    base = cascade(measured.withColumn("base_kept", ~F.col("base_failed")), rules, estimates)
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return base.select("doc_id", *columns, F.when(F.col("base_failed"), False).otherwise(F.col("kept")).alias("kept"))
