@@ -72,3 +72,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = cascade(measured.withColumn("base_kept", ~F.col("base_failed")), rules, estimates)
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return base.select("doc_id", *columns, F.when(F.col("base_failed"), False).otherwise(F.col("kept")).alias("kept"))
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.secrets import digest, scan
+
+    found = digest(*scan(table(spark, sf_dir, "documents")))
+    return found.withColumn("base_sha256", F.sha2(F.col("spans").cast("binary"), 256))

@@ -47,7 +47,7 @@ def repeat_words(words: Column, width: int = WINDOW_WORDS) -> Column:
                 (i < last) & same(F.least(i + 1, last), i)
             ),
         )
-        return bind(F.array_sort(F.transform(places, lambda i: F.element_at(rows, i)["i"])), covered)
+        return bind(F.sort_array(F.transform(places, lambda i: F.element_at(rows, i)["i"])), covered)
 
     def of(w: Column) -> Column:
         hashes = F.transform(
@@ -56,7 +56,7 @@ def repeat_words(words: Column, width: int = WINDOW_WORDS) -> Column:
                 F.xxhash64(*[F.element_at(w, i + k) for k in range(width)]).alias("h"), i.alias("i")
             ),
         )
-        return F.when(F.size(w) > width, bind(F.array_sort(hashes), repeated)).otherwise(F.lit(0))
+        return F.when(F.size(w) > width, bind(F.sort_array(hashes), repeated)).otherwise(F.lit(0))
 
     return bind(words, of).cast("long")
 
