@@ -80,3 +80,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = digest(*scan(table(spark, sf_dir, "documents")))
     return found.withColumn("base_sha256", F.sha2(F.col("spans").cast("binary"), 256))
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
