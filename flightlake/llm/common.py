@@ -45,9 +45,11 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     Rows are range-partitioned and sorted, numbered inside their partition, and
     shifted by the rows of the partitions before (one row each, so the broadcast
     is bounded by the partition count). Rows equal in ``order`` are numbered in
-    any order; a running id lets even such a group span partitions. The sorted
-    rows are written once, so a lost executor can't renumber them.
+    any order; a running id lets even such a group span partitions. The rows are
+    written before they are sorted, as finding the ranges reads them once more, and
+    after, so a lost executor can't renumber them.
     """
+    rows = materialise(rows, "unsorted")
     tie, part, at, before = (fresh(rows, c) for c in ("_tie", "_part", "_at", "_before"))
     placed = materialise(
         rows.withColumn(tie, F.monotonically_increasing_id())

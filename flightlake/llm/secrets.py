@@ -123,9 +123,9 @@ def postings(keyed: DataFrame, trigrams: list[str]) -> DataFrame:
     any_trigram = "|".join(re.escape(t) for t in trigrams)
     pattern = f"(?=[{firsts}])(?=({any_trigram}))"
     found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(pattern), F.lit(1)))
+    unsorted = materialise(keyed.select("doc_key", F.explode(found).alias("trigram")), "trigrams")
     return materialise(
-        keyed.select("doc_key", F.explode(found).alias("trigram"))
-        .repartitionByRange("trigram", "doc_key")
+        unsorted.repartitionByRange("trigram", "doc_key")
         .sortWithinPartitions("trigram", "doc_key"),
         "trigram-postings",
     )
