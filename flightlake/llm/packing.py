@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,56 +13,45 @@ from pyspark.sql import functions as F
 from flightlake.llm.common import fresh, numbered
 
 WINDOW = 1024
-#: The white space at which the vocabulary's splitting pattern breaks.
-WHITE = "\t-\r \x85\xa0  -     　"
-UNEVEN = re.compile(f"[{WHITE}][{WHITE}]|[{WHITE}]\\Z")
-CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-MEMO_ENTRIES = 400_000
+#: The white space at which the vocabulary's pattern breaks, and the pattern's look-ahead.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LOOK_AHEAD = r"\s+(?!\S)|"
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit integers, remembering words already encoded.
+    """Ids of whole texts as little-endian 32-bit integers.
 
-    The vocabulary never joins characters across the start of a white-space run,
-    so a text's ids are those of its words in turn. Special tokens may span such
-    a place; a text that holds one is encoded in one go.
+    The look-ahead of the splitting pattern only matters where white space meets
+    white space or the end; other texts are split by the pattern without it,
+    which needs no backtracking and takes half the time. A special token's name
+    in a text stands for the token.
     """
 
     def __init__(self, vocabulary: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def words(self, text: str) -> list[str]:
-        """The text cut before each white-space run's last character."""
-        if UNEVEN.search(text):
-            return CHUNK.findall(text)
-        words = text.replace("\n", " \n").split(" ")
-        return words[:1] + [w if w[:1] == "\n" else " " + w for w in words[1:]]
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        memo = self.memo
-        for text in texts:
-            if any(s in text for s in self.special):
-                yield self.encode([text])[0]
-                continue
-            words = self.words(text)
-            unseen = [w for w in set(words) if w not in memo]
-            if unseen:
-                if len(memo) > MEMO_ENTRIES:
-                    memo.clear()
-                    unseen = list(set(words))
-                memo.update(zip(unseen, self.encode(unseen), strict=True))
-            yield b"".join([memo[w] for w in words])
+        import base64
+        import re
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(vocabulary, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        pattern = public_tokenizers.PATTERN
+        self.full = tiktoken.Encoding("full", pat_str=pattern, mergeable_ranks=ranks, special_tokens=SPECIAL)
+        self.plain = tiktoken.Encoding(
+            "plain", pat_str=pattern.replace(LOOK_AHEAD, ""), mergeable_ranks=ranks, special_tokens={}
+        )
+        self.uneven = re.compile(f"[{WHITE}][{WHITE}]|[{WHITE}]\\Z")
+
+    def __call__(self, text: str) -> bytes:
+        if any(name in text for name in SPECIAL):
+            ids = self.full.encode(text, allowed_special="all")
+        elif self.uneven.search(text):
+            ids = self.full.encode_ordinary(text)
+        else:
+            ids = self.plain.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
 
 
 def token_pieces(
@@ -86,9 +74,8 @@ def token_pieces(
             keys = batch.column("id")
             out, held = [], 0
             for at in range(0, batch.num_rows, 256):
-                texts = [x or "" for x in batch.column("text").slice(at, 256).to_pylist()]
-                for row, ids in enumerate(encoder(texts), at):
-                    ids += b"\0\0\0\0"
+                for row, text in enumerate(batch.column("text").slice(at, 256).to_pylist(), at):
+                    ids = encoder(text or "") + b"\0\0\0\0"
                     out += [(row, p // 4, len(ids) // 4, ids[p : p + width]) for p in range(0, len(ids), width)]
                     held += len(ids)
                 if held > 8_000_000:

@@ -46,7 +46,7 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flightlake.llm.packing import pack, token_pieces
 
     pieces = token_pieces(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     )
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(digests, order=["doc_id", "start"])
@@ -90,3 +90,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm import toxicity
+    from flightlake.llm.training import held_out
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
