@@ -105,3 +105,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op9_line_quality")
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm import line_crf
+    from flightlake.llm.training import held_out
+
+    docs = table(spark, sf_dir, "documents")
+    model = line_crf.fit(docs, table(spark, sf_dir, "labels"))
+    return line_crf.score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
