@@ -120,3 +120,27 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP1_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS kept FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('{BASE32}', 1 + CAST(
+    (CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM q
+"""
+
+
+@query("op1_warc_records", OP1_SQL)
+def op1_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.warc import archive_folder, read_records, write_archives
+
+    folder = archive_folder(spark)
+    index = write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_records(index, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
