@@ -144,3 +144,23 @@ def op1_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
+
+
+@query("op5_vector_duplicates", OP5_SQL)
+def op5_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.vector_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
