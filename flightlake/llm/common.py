@@ -11,6 +11,8 @@ from flightlake.session import materialise
 #: A word, and the characters between words.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
+#: Rows of a key or two (about 60 bytes each) up to which a table is broadcast; beyond, the join shuffles.
+BROADCAST_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,3 +73,13 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
         .withColumn(name, F.col(before) + F.col(at))
         .drop(part, at, before)
     )
+
+
+def few_or_shuffled(rows: DataFrame) -> DataFrame:
+    """A written table of short rows, marked for broadcast only if its count shows it small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def without_rows(rows: DataFrame, removed: DataFrame, key: str) -> DataFrame:
+    """``rows`` less those whose unique key is among ``removed``."""
+    return rows.join(few_or_shuffled(materialise(removed, "removed")), key, "left_anti")

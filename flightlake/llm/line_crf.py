@@ -228,35 +228,45 @@ def fit(
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id_col, keep..., score, lines): P(quality = 1) per row, and every line's chance to be bad.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, score, lines): P(quality = 1) per row, and every line's chance to be bad.
 
     Whole texts are split at line ends and labelled, whatever their length; a
     null or empty text is one empty line. Repeated rows and null ids are scored
     like any other, an empty table stays empty.
     """
-    held = {c: f"_k{i}" for i, c in enumerate(keep)}
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(n) for c, n in held.items()]
-    )
-    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", *held.values())}
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [document_features(t or "") for t in part.column("text").to_pylist()]
-                p = marginals(model, [f for f, _ in found])
-                share = np.array([badness(x, w) for x, (_, w) in zip(p, found, strict=True)])
-                scores = sigmoid(model.slope * logit(share) + model.intercept)
+                scores, lines = text_scores(part.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kinds]
-                    + [pa.array(scores, pa.float64()), pa.array(p, pa.list_(pa.float64()))],
-                    names=[*kinds, "score", "lines"],
+                    [part.column("id"), pa.array(scores, pa.float64()), pa.array(lines, pa.list_(pa.float64()))],
+                    names=["id", "score", "lines"],
                 )
 
-    schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", score double, lines array<double>"
-    found = rows.mapInArrow(run, schema)
-    return found.select(
-        F.col("id").alias(id_col), *[F.col(n).alias(c) for c, n in held.items()], "score", "lines"
-    )
+    found = rows.mapInArrow(run, f"id {kind}, score double, lines array<double>")
+    return found.withColumnRenamed("id", id_col)
+
+
+def kept(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                yield part.filter(pa.array(text_scores(part.column(text_col).to_pylist(), model)[0] >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def text_scores(texts: list[str | None], model: Model) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(P(quality = 1), P(bad) of every line) of each text."""
+    found = [document_features(t or "") for t in texts]
+    p = marginals(model, [f for f, _ in found])
+    share = np.array([badness(x, w) for x, (_, w) in zip(p, found, strict=True)])
+    return sigmoid(model.slope * logit(share) + model.intercept), p

@@ -117,23 +117,34 @@ def apportion(sources: DataFrame, shards: int) -> DataFrame:
 def chosen_before(block: Column) -> Column:
     """How many of a source's blocks before this one are chosen once more than all are.
 
-    ``extra`` blocks are spread evenly over ``blocks``, from a seeded start.
-    Exact in whole decimals, however many blocks there are.
+    The ``extra`` chosen ones follow each other from a seeded start, past the last
+    block on to the first; the documents' order being seeded too, that is a random
+    choice that cuts next to no document.
     """
-    step = block.cast("decimal(19,0)") * F.col("extra").cast("decimal(19,0)")
-    total = (step + F.col("start").cast("decimal(19,0)")).cast("decimal(38,0)")
-    return ((total - total % F.col("blocks")) / F.col("blocks")).cast("long")
+    end = F.col("start") + F.col("extra")
+    straight = F.least(block, end, F.col("blocks")) - F.col("start")
+    return F.greatest(F.lit(0), straight) + F.least(block, F.greatest(F.lit(0), end - F.col("blocks")))
 
 
-def taken_before(position: Column) -> Column:
-    """Words that the mix takes of a source's stream before this position, repeats counted."""
-    block = F.floor(position / F.col("block_words"))
-    inside = position - block * F.col("block_words")
-    return (
-        F.col("copies") * position
-        + F.col("block_words") * chosen_before(block)
-        + inside * (chosen_before(block + 1) - chosen_before(block))
-    )
+def document_runs() -> Column:
+    """(first_word, n_words) of every run of words that the mix takes of a document: whole copies, then parts."""
+    begin, end = F.col("from_word"), F.col("from_word") + F.col("size")
+    arc_end = F.col("start") + F.col("extra")
+    arcs = [
+        (F.col("start"), F.least(arc_end, F.col("blocks"))),
+        (F.lit(0), F.greatest(F.lit(0), arc_end - F.col("blocks"))),
+    ]
+
+    def run(first: Column, n: Column) -> Column:
+        return F.struct(first.cast("long").alias("first_word"), n.cast("long").alias("n_words"))
+
+    parts = []
+    for first, last in arcs:
+        low = F.greatest(begin, first * F.col("block_words"))
+        high = F.least(end, last * F.col("block_words"))
+        parts.append(run(low - begin, F.greatest(F.lit(0), high - low)))
+    whole = F.array_repeat(run(F.lit(0), F.col("size")), F.col("copies").cast("int"))
+    return F.filter(F.concat(whole, F.array(*parts)), lambda r: r["n_words"] > 0)
 
 
 def mix_sources(
@@ -156,11 +167,12 @@ def mix_sources(
     length (at most ``most_block_words``, and a thousandth of the smallest source
     that has words). Blocks go to sources, shard by shard, by Sainte-Laguë
     (:func:`apportion`); a source's seats take every block ``copies`` times and
-    an evenly spread seeded choice of them once more. As the choice is a formula
-    of the block number, a document's words are counted without a row per block.
+    a seeded choice of them once more. As the choice is a formula of the block
+    number, a document's words are found without a row per block.
 
     Columns of ``docs`` in the result: id_col, those named in ``keep``, source,
-    size, source_size, target, taken, and the stream place ``from_word``. Null
+    size, source_size, target, taken, the stream place ``from_word`` and ``runs``,
+    the words taken as (first_word, n_words) runs, repeats included. Null
     texts have size 0, a null source is a source of its own, null ids are kept;
     equal rows are interchangeable and share out their places. Sources without
     words get target 0; an empty table gives none. The same rows give the same
@@ -236,7 +248,6 @@ def mix_sources(
         )
         .withColumn("from_word", F.col("bucket_from") + F.col("within"))
     )
-    taken = taken_before(F.col("from_word") + F.col("size")) - taken_before(F.col("from_word"))
     docs_out = found.select(
         F.col("_id").alias(id_col),
         *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
@@ -244,12 +255,32 @@ def mix_sources(
         "size",
         F.col("total").alias("source_size"),
         "target",
-        taken.alias("taken"),
         "from_word",
+        document_runs().alias("runs"),
+    ).withColumn(
+        "taken", F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["n_words"])
     )
     return Mix(docs_out, sources, quotas)
 
 
+def mixed_texts(docs: DataFrame, mix: Mix, key: str, text_col: str) -> DataFrame:
+    """The mix as documents: a row of ``docs`` per run, its text cut to the run's words.
+
+    key: a unique column of ``docs`` that the mix has kept. White space between a
+    run's words stays; a whole copy keeps its text as it is.
+    """
+    words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    first, n = F.col("_run.first_word") + 1, F.col("_run.n_words")
+    part = F.array_join(F.slice(words, first.cast("int"), n.cast("int")), "")
+    runs = mix.docs.select(key, F.col("size").alias("_size"), "runs").where(F.size("runs") > 0)
+    return (
+        docs.join(runs, key)
+        .withColumn("_run", F.explode("runs"))
+        .withColumn(text_col, F.when(n == F.col("_size"), F.col(text_col)).otherwise(F.ltrim(part)))
+        .select(docs.columns)
+    )
+
+
 def mixed_blocks(mix: Mix) -> DataFrame:
     """The mix itself: a row per run of words that a shard takes from a document.
 

@@ -11,11 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from flightlake.llm.common import whole_text
+from flightlake.llm.common import few_or_shuffled, whole_text
 from flightlake.session import materialise
 
-#: Rows of candidates (a key and rule numbers, about 60 bytes each) that may be broadcast.
-BROADCAST_ROWS = 100_000
 MOST_STRINGS = 64
 HIT = "struct<kind_no:int,at:int,gap:bigint,chars:bigint,ok:boolean>"
 
@@ -166,8 +164,7 @@ def with_candidates(docs: DataFrame, rules: tuple[Rule, ...], text_col: str) ->
         return keyed.withColumn("to_verify", always)
     trigrams = sorted({t for need in needs.values() for way in need for t in way})
     found = materialise(candidates(postings(keyed, trigrams), needs), "secret-candidates")
-    few = found.count() <= BROADCAST_ROWS
-    joined = keyed.join(F.broadcast(found) if few else found, "doc_key", "left")
+    joined = keyed.join(few_or_shuffled(found), "doc_key", "left")
     none = F.array().cast("array<int>")
     return joined.withColumn(
         "to_verify", F.concat(always, F.coalesce("candidate_of", none))

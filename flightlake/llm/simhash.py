@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.llm.common import fresh, without_rows
 from flightlake.llm.components import components
 from flightlake.session import materialise
 
@@ -147,3 +148,20 @@ def near_duplicates(
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(placed.join(names, "root").select("fp", "component_id"), "components")
     return found.join(named, "fp").select(id_col, "fp", "component_id")
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4
+) -> DataFrame:
+    """One row of each near-duplicate group, with all its columns: the one with the least id.
+
+    Null ids come last, and of rows with one id the first of the scan stays;
+    ``docs`` has to be a table, or anything else that gives the same rows in the
+    same partitions.
+    """
+    row = fresh(docs, "_row")
+    keyed = docs.withColumn(row, F.monotonically_increasing_id())
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    found = near_duplicates(keyed.select(order.alias("key"), F.col(text_col).alias("text")), "key", "text", width, max_bits)
+    repeated = found.where("key.row <> component_id.row").select(F.col("key.row").alias(row))
+    return without_rows(keyed, repeated, row).drop(row)
