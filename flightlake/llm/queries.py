@@ -60,7 +60,28 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.docs.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-@query("op8_quality_rules")
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, string_split(t, chr(10)) AS ls FROM d),
+v AS (SELECT doc_id, i, w[i:i + 7] AS v FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, v) AS n FROM v) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM r, range(8) AS o(k) GROUP BY doc_id),
+f AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+  list_filter(ls, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS told, len(ls) AS n_lines,
+  len(regexp_extract_all(t, '\p{Lu}{2,}[^\x20\x09-\x0D]*!!')) AS shouted,
+  len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS again FROM w),
+m AS (SELECT *, len(told) - len(list_distinct(told)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat FROM f LEFT JOIN c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat AS n_repeat_words,
+  n_words < 20 OR 100 * n_repeat > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat > 30 * n_words) AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 15
+  AND n_symbols <= 0.1 * greatest(n_words, 1) AND n_dup_lines <= 0.3 * n_lines
+  AND shouted <= 0.2 * greatest(n_words, 1) AND again <= 0.2 * greatest(n_words, 1) AS kept
+FROM m
+"""
+
+
+@query("op8_quality_rules", OP8_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The costs are estimated on a hundredth of the documents, as far as their base rules pass."""
     from flightlake.llm.rules import Rule, cascade, document_rules, estimate, measures
@@ -74,7 +95,42 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", *columns, F.when(F.col("base_failed"), False).otherwise(F.col("kept")).alias("kept"))
 
 
-@query("op6_secret_scan")
+def _kind_sql(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {number} AS k, '{kind}' AS kind, unnest(range(1, len(ms) + 1)) AS i, ms, gs, ps, {least} AS least
+FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS ms, regexp_extract_all(t, '{p}', {group}) AS gs,
+  string_split_regex(t, '{p}') AS ps FROM d)"""
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({kinds}),
+s AS (SELECT doc_id, k, kind, length(ms[i]) AS n,
+  list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM m WHERE length(gs[i]) >= least),
+g AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(a + n AS BIGINT), ',' ORDER BY a, k) AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN g USING (doc_id)
+""".format(
+    kinds=" UNION ALL ".join(
+        [
+            _kind_sql(
+                0,
+                "assign",
+                r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                2,
+                6,
+            ),
+            _kind_sql(1, "access", "AKIA[A-Z0-9]+", 0, 20),
+            _kind_sql(2, "hex", "[0-9a-f]+", 0, 24),
+        ]
+    )
+)
+
+
+@query("op6_secret_scan", OP6_SQL)
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flightlake.llm.secrets import digest, scan
 
