@@ -9,7 +9,8 @@ from checks.registry import query
 from checks.sql import sql
 from flightlake.constants import ANSWER_KEYWORDS
 from flightlake.operators import evals
-from flightlake.operators.facts import pair_facts, recent_documents, slowest_pairs
+from flightlake.operators.facts import pair_facts, recent_documents
+from flightlake.session import materialise
 
 FOUND = """
   SELECT run_id, list(author ORDER BY event_no) AS authors FROM (
@@ -86,14 +87,16 @@ def eval_routing(spark, sf):
     return evals.eval_routing(cases, events)
 
 
-def _truth(spark, sf):
-    """The slowest pair of each airline."""
-    recent = recent_documents(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS)
-    return slowest_pairs(pair_facts(recent)).where("fact_rank = 1")
+def _pairs(spark, sf):
+    """The rows that the risk tool would show for any filter."""
+    return materialise(pair_facts(recent_documents(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS)), "pairs")
 
 
-def _runs(spark, sf):
-    """One run per conversation; two of three answers quote a number of their ground truth."""
+def _runs(spark, sf, pairs):
+    """One run per conversation: cases with airline and route, either, neither, and without any row.
+
+    Two of three answers quote a number of their ground truth.
+    """
     runs = (
         fx.table(spark, sf, "conversations")
         .groupBy(F.col("conv_id").alias("run_id"))
@@ -111,7 +114,17 @@ def _runs(spark, sf):
             "tool_calls",
         )
     )
-    truth = _truth(spark, sf).select("airline", "avg_delay_min", "weather_pct")
+    last = pairs.groupBy("airline").agg(F.max("route").alias("last_route"))
+    kind = F.col("run_id") % 7
+    runs = runs.join(last, "airline", "left").select(
+        *[c for c in runs.columns if c != "airline"],
+        F.when(kind < 5, F.col("airline")).alias("airline"),
+        F.when(kind == 0, F.lower("last_route"))
+        .when(kind == 1, "QQQ-QQQ")
+        .when(kind == 2, "")
+        .when(kind == 5, F.col("last_route"))
+        .alias("route"),
+    )
     delay, weather = (evals.one_decimal(F.col(c)) for c in ("avg_delay_min", "weather_pct"))
     answer = (
         F.when(
@@ -131,9 +144,9 @@ def _runs(spark, sf):
         .otherwise(F.concat(F.lit("Within normal variance, run "), F.col("run_id").cast("string")))
     )
     return (
-        runs.join(truth, "airline", "left")
+        evals.with_ground_truth(runs, pairs)
         .withColumn("answer", answer)
-        .drop("avg_delay_min", "weather_pct")
+        .drop("avg_delay_min", "weather_pct", "has_truth")
     )
 
 
@@ -145,12 +158,13 @@ NUMBERS = """list_has_any(regexp_extract_all(r.answer, '\\d+\\.?\\d*'),
 @query(
     "eval_grounding",
     sql(
-        f"SELECT r.run_id, CASE WHEN {NUMBERS} THEN 'PASS' ELSE 'FAIL' END AS grounding "
-        "FROM runs r JOIN truth t ON t.airline = r.airline"
+        f"SELECT run_id, CASE WHEN {NUMBERS} THEN 'PASS' ELSE 'FAIL' END AS grounding "
+        "FROM runs r JOIN truth t USING (run_id)"
     ),
 )
 def eval_grounding(spark, sf):
-    return evals.eval_grounding(_runs(spark, sf), _truth(spark, sf))
+    pairs = _pairs(spark, sf)
+    return evals.eval_grounding(_runs(spark, sf, pairs), pairs)
 
 
 EXPECTED = """CASE WHEN t.weather_pct >= 30 THEN 'monitor_weather'
@@ -168,12 +182,13 @@ EXPECTED = """CASE WHEN t.weather_pct >= 30 THEN 'monitor_weather'
               ('no_action', 'within')) k(decision, word)
             WHERE k.decision = expected AND contains(lower(answer), k.word))
           THEN 'PASS' ELSE 'FAIL' END AS correctness
-        FROM (SELECT r.run_id, r.answer, {EXPECTED} AS expected
-              FROM runs r JOIN truth t ON t.airline = r.airline) judged"""
+        FROM (SELECT run_id, r.answer, {EXPECTED} AS expected
+              FROM runs r JOIN truth t USING (run_id)) judged"""
     ),
 )
 def eval_correctness(spark, sf):
-    return evals.eval_correctness(_runs(spark, sf), _truth(spark, sf))
+    pairs = _pairs(spark, sf)
+    return evals.eval_correctness(_runs(spark, sf, pairs), pairs)
 
 
 BUDGET = "CASE WHEN total_tokens > 0 AND total_tokens <= 8000 THEN 'PASS' ELSE 'FAIL' END"
@@ -181,7 +196,7 @@ BUDGET = "CASE WHEN total_tokens > 0 AND total_tokens <= 8000 THEN 'PASS' ELSE '
 
 @query("eval_token_budget", sql(f"SELECT run_id, {BUDGET} AS token_budget FROM run_rows"))
 def eval_token_budget(spark, sf):
-    return evals.eval_token_budget(_runs(spark, sf))
+    return evals.eval_token_budget(_runs(spark, sf, _pairs(spark, sf)))
 
 
 @query(
@@ -193,18 +208,19 @@ def eval_token_budget(spark, sf):
 )
 def eval_token_budget_calls(spark, sf):
     """The coordinator's ceiling grows with the workers called, plus its own call."""
-    return evals.eval_token_budget(_runs(spark, sf), F.col("tool_calls") + 1)
+    return evals.eval_token_budget(_runs(spark, sf, _pairs(spark, sf)), F.col("tool_calls") + 1)
 
 
 @query(
     "eval_skipped",
     sql(
-        "SELECT r.run_id, t.airline IS NULL AS skipped "
-        "FROM run_rows r LEFT JOIN truth t ON t.airline = r.airline"
+        "SELECT r.run_id, t.run_id IS NULL AS skipped "
+        "FROM run_rows r LEFT JOIN truth t ON t.run_id = r.run_id"
     ),
 )
 def eval_skipped(spark, sf):
-    return evals.eval_skipped(_runs(spark, sf), _truth(spark, sf))
+    pairs = _pairs(spark, sf)
+    return evals.eval_skipped(_runs(spark, sf, pairs), pairs)
 
 
 def _per_architecture(name: str) -> str:
@@ -224,7 +240,7 @@ def _per_architecture(name: str) -> str:
     ),
 )
 def architecture_comparison(spark, sf):
-    return evals.architecture_comparison(_runs(spark, sf))
+    return evals.architecture_comparison(_runs(spark, sf, _pairs(spark, sf)))
 
 
 def _keyword_sql(use_case: str) -> str:
@@ -273,12 +289,13 @@ def response_contract(spark, sf):
           coalesce(bool_and(coalesce(grounding, 'PASS') <> 'FAIL' AND token_budget <> 'FAIL'), true)
             AS all_passed
         FROM (SELECT r.run_id, {BUDGET} AS token_budget,
-                CASE WHEN t.airline IS NULL THEN NULL WHEN {NUMBERS} THEN 'PASS' ELSE 'FAIL' END
+                CASE WHEN t.run_id IS NULL THEN NULL WHEN {NUMBERS} THEN 'PASS' ELSE 'FAIL' END
                   AS grounding
-              FROM runs r LEFT JOIN truth t ON t.airline = r.airline) reports"""
+              FROM runs r LEFT JOIN truth t ON t.run_id = r.run_id) reports"""
     ),
 )
 def all_checks_passed(spark, sf):
-    runs, truth = _runs(spark, sf), _truth(spark, sf)
-    reports = evals.eval_token_budget(runs).join(evals.eval_grounding(runs, truth), "run_id", "left")
+    pairs = _pairs(spark, sf)
+    runs = _runs(spark, sf, pairs)
+    reports = evals.eval_token_budget(runs).join(evals.eval_grounding(runs, pairs), "run_id", "left")
     return evals.all_checks_passed(reports, ["token_budget", "grounding"])

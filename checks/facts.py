@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -315,41 +317,51 @@ def batch_rag_facts(spark, sf):
     asked = batch.with_setting(_asked(spark, sf)).select("request_id", *batch.SETTING)
     settings = asked.select(*batch.SETTING).distinct()
     found = batch.setting_rag_facts(settings, fx.document_table(spark, sf), fx.AS_OF)
-    return asked.join(found, batch.SETTING).drop(*batch.SETTING)
+    return batch._by_setting(asked, found, "inner").drop(*batch.SETTING)
 
 
 def _parsed(rows):
-    """Batch facts by their parsed fields."""
+    """Batch facts by their parsed fields: every field of every report, under five names."""
 
     def field(*names):
         return F.coalesce(*[F.get_json_object("fact_json", f"$.{name}") for name in names])
 
+    def number(*names):
+        return F.round(field(*names).cast("double"), 2)
+
     return rows.select(
         "request_id",
         "fact_rank",
         "source",
         F.concat_ws(" ", field("airline"), field("route")).alias("fact_key"),
         field("flight_count", "total_flights").cast("bigint").alias("flights"),
-        F.round(
-            field("avg_delay_min", "avg_delay_minutes", "avg_risk_score").cast("double"), 2
-        ).alias("measure"),
-        F.round(
-            field("delayed_pct", "disruption_pct", "route_count").cast("double"), 2
-        ).alias("second_measure"),
+        number("avg_delay_min", "avg_delay_minutes", "avg_risk_score", "avg_delay_if_weather").alias(
+            "measure"
+        ),
+        number("delayed_pct", "disruption_pct", "route_count", "weather_affected").alias(
+            "second_measure"
+        ),
+        number("weather_impact_pct", "weather_pct").alias("weather_measure"),
+        number("severe_delay_pct", "airline_count").alias("other_measure"),
     )
 
 
-@query(
-    "batch_facts",
-    sql(
-        f"""SELECT request_id, CAST(pick AS INTEGER) AS fact_rank, 'ai_rag_documents' AS source,
+def _pairs_sql(asked_docs: str) -> str:
+    """Ten slowest pairs per request of (request_id, document columns) rows."""
+    return f"""SELECT request_id, CAST(pick AS INTEGER) AS fact_rank, 'ai_rag_documents' AS source,
           airline || ' ' || route AS fact_key, flight_count AS flights,
-          {rnd('avg_delay_min', 2)} AS measure, {rnd('delayed_pct', 2)} AS second_measure
+          {rnd('avg_delay_min', 2)} AS measure, {rnd('delayed_pct', 2)} AS second_measure,
+          {rnd('weather_impact_pct', 2)} AS weather_measure, CAST(NULL AS DOUBLE) AS other_measure
         FROM (SELECT *, row_number() OVER (PARTITION BY request_id
-                ORDER BY avg_delay_min DESC, airline, route) AS pick FROM asked_pairs) ranked
+                ORDER BY avg_delay_min DESC, airline, route) AS pick
+          FROM (SELECT request_id, airline, route, count(*) AS flight_count,
+              {avg('delay_min', 1)} AS avg_delay_min, {pct('weather')} AS weather_impact_pct,
+              {pct("status = 'DELAYED'")} AS delayed_pct
+            FROM ({asked_docs}) GROUP BY request_id, airline, route) pairs) ranked
         WHERE pick <= 10"""
-    ),
-)
+
+
+@query("batch_facts", sql(_pairs_sql("SELECT * FROM asked_docs")))
 def batch_facts(spark, sf):
     """At this scale every filter setting has documents, so they answer every question."""
     silver = fx.silver(spark, sf)
@@ -364,35 +376,77 @@ def batch_facts(spark, sf):
     )
 
 
+LATER = dt.date(2024, 2, 25)
+LONG_WINDOW = "CASE request_id % 3 WHEN 0 THEN 45 WHEN 1 THEN 60 ELSE 30 END"
+
+
 @query(
-    "batch_facts_fallback",
+    "batch_facts_long_window",
     sql(
-        f"""
+        _pairs_sql(
+            f"""SELECT a.request_id, d.* FROM asked a JOIN doc_measures d
+              ON d.event_date >= DATE '2024-02-25' - {LONG_WINDOW}
+              AND (a.airline IS NULL OR a.airline = d.airline)
+              AND (a.route IS NULL OR a.route = d.route)"""
+        )
+    ),
+)
+def batch_facts_long_window(spark, sf):
+    """Windows of 30, 45 and 60 days; what the documents don't reach is left to the reports."""
+    silver = fx.silver(spark, sf)
+    asked = _asked(spark, sf).withColumn("days_back", F.expr(LONG_WINDOW))
+    found = batch.batch_facts(
+        asked, fx.document_table(spark, sf), silver, views.route_risk(silver), LATER
+    )
+    return _parsed(found).where("source = 'ai_rag_documents'")
+
+
+def _reports_sql(asked: str) -> str:
+    """Every request's own report, from rows (request_id, airline, route, days_back, report)."""
+    recent = "JOIN silver s ON s.ingest_date >= DATE '2024-01-31' - a.days_back"
+    return f"""
         SELECT request_id, CAST(pick AS INTEGER) AS fact_rank, 'secondary' AS source, fact_key,
           CAST(flights AS BIGINT) AS flights, {rnd('measure', 2)} AS measure,
-          {rnd('second_measure', 2)} AS second_measure
+          {rnd('second_measure', 2)} AS second_measure,
+          {rnd('weather_measure', 2)} AS weather_measure, {rnd('other_measure', 2)} AS other_measure
         FROM (
           SELECT *, row_number() OVER (PARTITION BY request_id
             ORDER BY measure DESC, fact_key) AS pick
           FROM (
             SELECT a.request_id, s.airline AS fact_key, count(*) AS flights,
               {avg('s.departure_delay_min', 1)} AS measure,
-              {pct('s.departure_delay_min > 15')} AS second_measure
-            FROM asked a JOIN silver s ON s.ingest_date >= DATE '2024-01-31' - a.days_back
-              AND (a.airline IS NULL OR a.airline = s.airline)
-            WHERE a.query_type = 'airline' GROUP BY a.request_id, s.airline
+              {pct('s.departure_delay_min > 15')} AS second_measure,
+              {pct('s.weather_flag')} AS weather_measure, CAST(NULL AS DOUBLE) AS other_measure
+            FROM ({asked}) a {recent} AND (a.airline IS NULL OR a.airline = s.airline)
+            WHERE a.report = 'airline' GROUP BY a.request_id, s.airline
             UNION ALL
             SELECT a.request_id, '' AS fact_key, count(*) AS flights,
               {avg('s.departure_delay_min', 1)} AS measure,
-              CAST(count(DISTINCT s.origin || s.destination) AS DOUBLE) AS second_measure
-            FROM asked a JOIN silver s ON s.ingest_date >= DATE '2024-01-31' - a.days_back
-            WHERE a.query_type = 'generic' GROUP BY a.request_id
+              CAST(count(DISTINCT s.origin || '-' || s.destination) AS DOUBLE) AS second_measure,
+              CAST(NULL AS DOUBLE) AS weather_measure,
+              CAST(count(DISTINCT s.airline) AS DOUBLE) AS other_measure
+            FROM ({asked}) a {recent} WHERE a.report = 'generic' GROUP BY a.request_id
+            UNION ALL
+            SELECT a.request_id, '' AS fact_key, count(*) AS flights,
+              {avg('CASE WHEN s.weather_flag THEN s.departure_delay_min END', 1)} AS measure,
+              CAST(count(*) FILTER (WHERE s.weather_flag) AS DOUBLE) AS second_measure,
+              {pct('s.weather_flag')} AS weather_measure, CAST(NULL AS DOUBLE) AS other_measure
+            FROM ({asked}) a {recent} WHERE a.report = 'weather' GROUP BY a.request_id
             UNION ALL
             SELECT a.request_id, f.route AS fact_key, f.flight_count AS flights,
-              f.avg_risk_score AS measure, f.disruption_pct AS second_measure
-            FROM asked a JOIN ({ROUTE_FACTS}) f ON a.route IS NULL OR a.route = f.route
-            WHERE a.query_type = 'route_risk') found) ranked
+              f.avg_risk_score AS measure, f.disruption_pct AS second_measure,
+              f.weather_impact_pct AS weather_measure, f.severe_delay_pct AS other_measure
+            FROM ({asked}) a JOIN ({ROUTE_FACTS}) f ON a.route IS NULL OR a.route = f.route
+            WHERE a.report = 'risk') found) ranked
         WHERE pick <= 10"""
+
+
+@query(
+    "batch_facts_fallback",
+    sql(
+        _reports_sql(
+            "SELECT *, CASE query_type WHEN 'route_risk' THEN 'risk' ELSE query_type END AS report FROM asked"
+        )
     ),
 )
 def batch_facts_fallback(spark, sf):
@@ -402,3 +456,25 @@ def batch_facts_fallback(spark, sf):
     return _parsed(
         batch.batch_facts(_asked(spark, sf), none, silver, views.route_risk(silver), fx.AS_OF)
     )
+
+
+QUERY_TYPE = """CASE request_id % 10 WHEN 0 THEN 'risk' WHEN 1 THEN 'disruption' WHEN 2 THEN 'route_risk'
+  WHEN 3 THEN 'performance' WHEN 4 THEN 'delays' WHEN 5 THEN 'Airline' WHEN 6 THEN 'weather'
+  WHEN 7 THEN 'IMPACT' WHEN 8 THEN 'generic' END"""
+
+
+@query(
+    "batch_facts_types",
+    sql(
+        _reports_sql(
+            """SELECT *, CASE WHEN request_id % 10 < 3 THEN 'risk' WHEN request_id % 10 < 6 THEN 'airline'
+              WHEN request_id % 10 < 8 THEN 'weather' ELSE 'generic' END AS report FROM asked"""
+        )
+    ),
+)
+def batch_facts_types(spark, sf):
+    """All nine types, and none, without a document."""
+    silver = fx.silver(spark, sf)
+    none = fx.document_table(spark, sf).where("source_type = 'none'")
+    asked = _asked(spark, sf).withColumn("query_type", F.expr(QUERY_TYPE))
+    return _parsed(batch.batch_facts(asked, none, silver, views.route_risk(silver), fx.AS_OF))

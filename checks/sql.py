@@ -273,15 +273,18 @@ CTES: dict[str, str] = {
     "all_entries": "SELECT * FROM timed",
     "redaction": select_sql(REDACTION, "documents"),
     "run_events": select_sql(RUN_EVENTS, "conversations"),
-    "truth": f"""
-        SELECT airline, avg_delay_min, weather_pct FROM (
-          SELECT *, row_number() OVER (PARTITION BY airline
-            ORDER BY avg_delay_min DESC, route) AS pick
-          FROM (SELECT airline, route, {avg('delay_min', 1)} AS avg_delay_min,
-                  {pct('weather')} AS weather_pct
-                FROM recent_docs GROUP BY airline, route) pairs) ranked
+    "risk_pairs": f"""
+        SELECT airline, route, {avg('delay_min', 1)} AS avg_delay_min, {pct('weather')} AS weather_pct
+        FROM recent_docs GROUP BY airline, route""",
+    "truth": """
+        SELECT run_id, avg_delay_min, weather_pct FROM (
+          SELECT r.run_id, p.avg_delay_min, p.weather_pct, row_number() OVER (PARTITION BY r.run_id
+            ORDER BY p.avg_delay_min DESC, p.airline, p.route) AS pick
+          FROM run_rows r JOIN risk_pairs p
+            ON (r.airline IS NULL OR r.airline = '' OR upper(r.airline) = p.airline)
+            AND (r.route IS NULL OR r.route = '' OR upper(r.route) = p.route)) ranked
         WHERE pick = 1""",
-    "run_rows": """
+    "case_rows": """
         SELECT conv_id AS run_id,
           substring('AADLUAWNB6ASNKF9G4HAZZ', CAST(1 + 2 * (conv_id % 11) AS INT), 2) AS airline,
           CASE conv_id % 3 WHEN 0 THEN 'agent' WHEN 1 THEN 'multi_agent' ELSE 'coordinate' END
@@ -289,6 +292,13 @@ CTES: dict[str, str] = {
           concat('case ', CAST(conv_id % 20 AS VARCHAR(20))) AS question,
           CAST(sum(length(text)) AS BIGINT) * 10 AS total_tokens, count(*) AS tool_calls
         FROM conversations GROUP BY conv_id""",
+    "run_rows": """
+        SELECT c.* EXCLUDE (airline), CASE WHEN run_id % 7 >= 5 THEN NULL ELSE airline END AS airline,
+          CASE run_id % 7 WHEN 0 THEN lower(last_route) WHEN 1 THEN 'QQQ-QQQ' WHEN 2 THEN ''
+            WHEN 5 THEN last_route END AS route
+        FROM case_rows c LEFT JOIN (
+          SELECT airline, max(route) AS last_route FROM risk_pairs GROUP BY airline) l
+        USING (airline)""",
     "runs": """
         SELECT r.*, CASE
           WHEN r.run_id % 3 = 0 THEN concat('Escalate to operations: average delay is ',
@@ -296,7 +306,7 @@ CTES: dict[str, str] = {
           WHEN r.run_id % 3 = 1 THEN concat('Monitor the weather, share ',
             CAST(CAST(t.weather_pct AS DECIMAL(18,1)) AS VARCHAR(20)), '%.')
           ELSE concat('Within normal variance, run ', CAST(r.run_id AS VARCHAR(20))) END AS answer
-        FROM run_rows r LEFT JOIN truth t ON t.airline = r.airline""",
+        FROM run_rows r LEFT JOIN truth t USING (run_id)""",
     "responses": select_sql(RESPONSES, "conversations"),
 }
 

@@ -2,9 +2,9 @@
 
 Instead of one report per question, flights are first summed by day, airline
 and route: a cube whose size depends on the calendar and the network, not on
-the number of flights or questions. Distinct filter settings are then joined to
-the cube by equality, with ``*`` standing for "no filter", and every question
-picks up the rows of its setting.
+the number of flights or questions. The cube is summed once per window that is
+asked for, the best rows are ranked per kind of filter, and every question picks
+up the rows of its setting.
 """
 
 from __future__ import annotations
@@ -15,17 +15,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import (
+    AIRLINE_TYPES,
     DEFAULT_DAYS_BACK,
     LATE_DEPARTURE_MIN,
-    MAX_DAYS_BACK,
+    RISK_TYPES,
     SOURCE_DOCUMENTS,
+    WEATHER_TYPES,
 )
 from flightlake.functions.text import json_row_text
-from flightlake.operators.facts import document_measures
+from flightlake.operators.facts import best_for_filters, document_measures
 from flightlake.operators.requests import fact_pairs
 from flightlake.session import materialise
 
-ANY = "*"
 SETTING = ["f_airline", "f_route", "days_back"]
 FACTS_PER_QUESTION = 10
 RAG_NAMES = [
@@ -51,47 +52,49 @@ AIRLINE_NAMES = [
     "delayed_pct",
     "weather_impact_pct",
 ]
+WEATHER_NAMES = ["total_flights", "weather_affected", "weather_pct", "avg_delay_if_weather"]
 GENERIC_NAMES = ["total_flights", "airline_count", "route_count", "avg_delay_minutes"]
 
 
 def with_setting(requests: DataFrame) -> DataFrame:
-    """The filter setting of each request, absent filters as ``*``."""
+    """The filter setting of each request; an absent filter is null."""
     days = F.coalesce("days_back", F.lit(DEFAULT_DAYS_BACK))
     return requests.withColumns(
         {
-            "f_airline": F.coalesce("airline", F.lit(ANY)),
-            "f_route": F.coalesce("route", F.lit(ANY)),
+            "f_airline": F.col("airline"),
+            "f_route": F.col("route"),
             "days_back": F.when(days < 1, DEFAULT_DAYS_BACK).otherwise(days).cast("int"),
         }
     )
 
 
+def report(query_type: Column) -> Column:
+    """The report a query type names, as for a single question; anything else asks for the totals."""
+    kind = F.lower(query_type)
+    return (
+        F.when(kind.isin(RISK_TYPES), "risk")
+        .when(kind.isin(AIRLINE_TYPES), "airline")
+        .when(kind.isin(WEATHER_TYPES), "weather")
+        .otherwise("generic")
+    )
+
+
 def _window_days(settings: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row per setting and day of its window; 31 days at most."""
+    """One row per window that is asked for and day of it."""
     today = F.lit(as_of)
-    days = F.sequence(F.date_sub(today, F.col("days_back")), today)
-    return settings.withColumn("day", F.explode(days))
+    windows = settings.select("days_back").distinct()
+    return windows.withColumn("day", F.explode(F.sequence(F.date_sub(today, F.col("days_back")), today)))
 
 
-def _in_reach(rows: DataFrame, day: str, as_of: dt.date) -> DataFrame:
-    """Rows of the longest window; a day after ``as_of`` counts as ``as_of``."""
-    earliest = as_of - dt.timedelta(days=MAX_DAYS_BACK)
+def _in_reach(rows: DataFrame, day: str, settings: DataFrame, as_of: dt.date) -> DataFrame:
+    """Rows of the longest window that is asked for; a day after ``as_of`` counts as ``as_of``."""
+    reach = settings.agg(F.max("days_back")).first()[0] or 0
+    earliest = as_of - dt.timedelta(days=reach)
     return rows.where(F.col(day) >= F.lit(earliest)).withColumn(
         "day", F.least(F.col(day), F.lit(as_of))
     )
 
 
-def _or_any(name: str) -> Column:
-    return F.explode(F.array(F.col(name), F.lit(ANY)))
-
-
-def _ranked(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    best = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("fact_rank", F.row_number().over(best)).where(
-        F.col("fact_rank") <= FACTS_PER_QUESTION
-    )
-
-
 def _pct(part: str, whole: str) -> Column:
     return F.round(F.sum(part).cast("double") / F.sum(whole) * F.lit(100.0), 1)
 
@@ -100,8 +103,8 @@ def _avg(total: str, known: str, digits: int = 1) -> Column:
     return F.round(F.try_divide(F.sum(total), F.sum(known)), digits)
 
 
-def document_cube(documents: DataFrame, as_of: dt.date) -> DataFrame:
-    recent = _in_reach(document_measures(documents), "event_date", as_of)
+def document_cube(documents: DataFrame, settings: DataFrame, as_of: dt.date) -> DataFrame:
+    recent = _in_reach(document_measures(documents), "event_date", settings, as_of)
     return recent.groupBy("day", "airline", "route").agg(
         F.count("*").alias("flights"),
         F.sum("delay_min").alias("delay_total"),
@@ -111,9 +114,10 @@ def document_cube(documents: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def flight_cube(silver: DataFrame, as_of: dt.date) -> DataFrame:
-    recent = _in_reach(silver, "ingest_date", as_of)
+def flight_cube(silver: DataFrame, settings: DataFrame, as_of: dt.date) -> DataFrame:
+    recent = _in_reach(silver, "ingest_date", settings, as_of)
     delay = F.col("departure_delay_min").cast("double")
+    weather_delay = F.when(F.col("weather_flag"), delay)
     return recent.groupBy(
         "day", "airline", F.concat("origin", F.lit("-"), "destination").alias("route")
     ).agg(
@@ -121,20 +125,18 @@ def flight_cube(silver: DataFrame, as_of: dt.date) -> DataFrame:
         F.sum(delay).alias("delay_total"),
         F.count(delay).alias("delay_known"),
         F.count_if("weather_flag").alias("weather"),
+        F.sum(weather_delay).alias("weather_delay_total"),
+        F.count(weather_delay).alias("weather_delay_known"),
         F.count_if(delay > LATE_DEPARTURE_MIN).alias("late"),
     )
 
 
 def setting_rag_facts(settings: DataFrame, documents: DataFrame, as_of: dt.date) -> DataFrame:
     """The ten slowest airline-route pairs of every filter setting."""
-    cube = document_cube(documents, as_of)
-    reachable = cube.withColumn("f_airline", _or_any("airline")).withColumn(
-        "f_route", _or_any("route")
-    )
     facts = (
-        _window_days(settings, as_of)
-        .join(reachable, ["f_airline", "f_route", "day"])
-        .groupBy(*SETTING, "airline", "route")
+        document_cube(documents, settings, as_of)
+        .join(_window_days(settings, as_of), "day")
+        .groupBy("days_back", "airline", "route")
         .agg(
             F.sum("flights").alias("flight_count"),
             _avg("delay_total", "delay_known").alias("avg_delay_min"),
@@ -142,51 +144,73 @@ def setting_rag_facts(settings: DataFrame, documents: DataFrame, as_of: dt.date)
             _pct("delayed", "flights").alias("delayed_pct"),
         )
     )
-    return _ranked(facts, SETTING, [F.desc("avg_delay_min"), F.col("airline"), F.col("route")])
+    order = [F.desc("avg_delay_min"), F.col("airline"), F.col("route")]
+    return best_for_filters(settings, facts, order, FACTS_PER_QUESTION, ["days_back"])
 
 
 def _airline_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
-    airlines = (
-        cube.groupBy("day", "airline")
-        .agg(*[F.sum(name).alias(name) for name in cube.columns[3:]])
-        .withColumn("f_airline", _or_any("airline"))
-    )
+    """The airline report knows no route: a route filter is left out of it."""
     facts = (
-        _window_days(settings, as_of)
-        .join(airlines, ["f_airline", "day"])
-        .groupBy(*SETTING, "airline")
+        cube.join(_window_days(settings, as_of), "day")
+        .groupBy("days_back", "airline")
         .agg(
             F.sum("flights").alias("flight_count"),
             _avg("delay_total", "delay_known").alias("avg_delay_minutes"),
             _pct("late", "flights").alias("delayed_pct"),
             _pct("weather", "flights").alias("weather_impact_pct"),
         )
+        .withColumn("route", F.lit(None).cast("string"))
     )
-    return _ranked(facts, SETTING, [F.desc("avg_delay_minutes"), F.col("airline")])
+    order = [F.desc("avg_delay_minutes"), F.col("airline")]
+    wanted = settings.withColumnRenamed("f_route", "own_route").withColumn(
+        "f_route", F.lit(None).cast("string")
+    )
+    found = best_for_filters(wanted, facts, order, FACTS_PER_QUESTION, ["days_back"])
+    return found.drop("f_route", "route").withColumnRenamed("own_route", "f_route")
 
 
-def _generic_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
-    """Totals per window; a window without flights still yields its row of zeros."""
-    windows = _window_days(settings.select("days_back").distinct(), as_of)
+def _totals(settings: DataFrame, cube: DataFrame, as_of: dt.date, *measures: Column) -> DataFrame:
+    """One row per setting, of its window alone; a window without flights still has its row."""
     totals = (
-        windows.join(cube, "day", "left")
+        _window_days(settings, as_of)
+        .join(cube, "day", "left")
         .groupBy("days_back")
-        .agg(
-            F.coalesce(F.sum("flights"), F.lit(0)).cast("bigint").alias("total_flights"),
-            F.count_distinct("airline").alias("airline_count"),
-            F.count_distinct("route").alias("route_count"),
-            _avg("delay_total", "delay_known").alias("avg_delay_minutes"),
-        )
+        .agg(F.coalesce(F.sum("flights"), F.lit(0)).cast("bigint").alias("total_flights"), *measures)
         .withColumn("fact_rank", F.lit(1))
     )
     return settings.join(totals, "days_back")
 
 
+def _weather_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
+    return _totals(
+        settings,
+        cube,
+        as_of,
+        F.coalesce(F.sum("weather"), F.lit(0)).cast("bigint").alias("weather_affected"),
+        _pct("weather", "flights").alias("weather_pct"),
+        _avg("weather_delay_total", "weather_delay_known").alias("avg_delay_if_weather"),
+    )
+
+
+def _generic_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
+    return _totals(
+        settings,
+        cube,
+        as_of,
+        F.count_distinct("airline").alias("airline_count"),
+        F.count_distinct("route").alias("route_count"),
+        _avg("delay_total", "delay_known").alias("avg_delay_minutes"),
+    )
+
+
 def _route_setting_facts(settings: DataFrame, routes: DataFrame) -> DataFrame:
+    """The risk report knows routes alone: airline and window are left out of it."""
+
     def rate(name: str) -> Column:
         return F.round(F.col(name) * F.lit(100.0), 1)
 
     scored = routes.select(
+        F.lit(None).cast("string").alias("airline"),
         "route",
         F.col("total_flights").alias("flight_count"),
         F.round("risk_score", 2).alias("avg_risk_score"),
@@ -194,9 +218,12 @@ def _route_setting_facts(settings: DataFrame, routes: DataFrame) -> DataFrame:
         rate("severe_delay_rate").alias("severe_delay_pct"),
         rate("weather_impact_rate").alias("weather_impact_pct"),
     )
-    reachable = scored.withColumn("f_route", _or_any("route"))
-    ranked = _ranked(reachable, ["f_route"], [F.desc("avg_risk_score"), F.col("route")])
-    return settings.join(ranked, "f_route")
+    wanted = settings.withColumnRenamed("f_airline", "own_airline").withColumn(
+        "f_airline", F.lit(None).cast("string")
+    )
+    order = [F.desc("avg_risk_score"), F.col("route")]
+    found = best_for_filters(wanted, scored, order, FACTS_PER_QUESTION)
+    return found.drop("f_airline", "airline").withColumnRenamed("own_airline", "f_airline")
 
 
 def _as_text(facts: DataFrame, names: list[str], source: str) -> DataFrame:
@@ -222,36 +249,42 @@ def batch_facts(
     no row for is answered by the report its query type names. The first
     answers (ten rows per setting at most) are stored, because they are both
     returned and used to see what is still open; Silver is read only for the
-    reports that are.
+    reports that are, as far back as their longest window.
     """
-    asked = with_setting(requests)
+    asked = with_setting(requests).withColumn("report", report(F.col("query_type")))
+    keyed = asked.select("request_id", "report", *SETTING)
+    settings = keyed.select(*SETTING).distinct()
     primary = materialise(
-        _as_text(
-            setting_rag_facts(asked.select(*SETTING).distinct(), documents, as_of),
-            RAG_NAMES,
-            SOURCE_DOCUMENTS,
-        ),
-        "facts",
+        _as_text(setting_rag_facts(settings, documents, as_of), RAG_NAMES, SOURCE_DOCUMENTS), "facts"
     )
     answered = primary.where(F.col("fact_rank") == 1).select(*SETTING)
-    still_open = (
-        asked.select(*SETTING, "query_type").distinct().join(answered, SETTING, "left_anti")
+    still_open = materialise(
+        _by_setting(keyed.select(*SETTING, "report").distinct(), answered, "left_anti"), "open"
     )
-    kinds = {row["query_type"] for row in still_open.select("query_type").distinct().collect()}
-    keyed = asked.select("request_id", "query_type", *SETTING)
-    answers = keyed.join(primary, SETTING)
-    if kinds & {"airline", "generic"}:
-        cube = materialise(flight_cube(silver, as_of), "cube")
+    kinds = {row["report"] for row in still_open.select("report").distinct().collect()}
+    answers = _by_setting(keyed, primary, "inner")
+    if kinds - {"risk"}:
+        cube = materialise(flight_cube(silver, still_open, as_of), "cube")
     for kind in sorted(kinds):
-        settings = still_open.where(F.col("query_type") == kind).select(*SETTING)
-        if kind == "route_risk":
-            facts = _as_text(_route_setting_facts(settings, routes), ROUTE_NAMES, "secondary")
+        open_settings = still_open.where(F.col("report") == kind).select(*SETTING)
+        if kind == "risk":
+            rows, names = _route_setting_facts(open_settings, routes), ROUTE_NAMES
         elif kind == "airline":
-            rows = _airline_setting_facts(settings, cube, as_of)
-            facts = _as_text(rows, AIRLINE_NAMES, "secondary")
+            rows, names = _airline_setting_facts(open_settings, cube, as_of), AIRLINE_NAMES
+        elif kind == "weather":
+            rows, names = _weather_setting_facts(open_settings, cube, as_of), WEATHER_NAMES
         else:
-            rows = _generic_setting_facts(settings, cube, as_of)
-            facts = _as_text(rows, GENERIC_NAMES, "secondary")
-        asking = keyed.where(F.col("query_type") == kind)
-        answers = answers.unionByName(asking.join(facts, SETTING))
+            rows, names = _generic_setting_facts(open_settings, cube, as_of), GENERIC_NAMES
+        asking = keyed.where(F.col("report") == kind)
+        found = _by_setting(asking, _as_text(rows, names, "secondary"), "inner")
+        answers = answers.unionByName(found)
     return answers.select("request_id", "fact_rank", "source", "fact_json", "fact_pairs")
+
+
+def _by_setting(rows: DataFrame, facts: DataFrame, how: str) -> DataFrame:
+    """A join on the setting, absent filters being equal."""
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SETTING]
+    joined = rows.alias("a").join(facts.alias("b"), same, how)
+    if how == "left_anti":
+        return joined
+    return joined.select("a.*", *[f"b.{c}" for c in facts.columns if c not in SETTING])

@@ -22,7 +22,7 @@ from flightlake.constants import (
     WORKER_WEATHER,
 )
 from flightlake.functions.text import contains_any, count_contained
-from flightlake.operators.facts import decision
+from flightlake.operators.facts import best_for_filters, decision
 
 
 def verdict(passed: Column) -> Column:
@@ -148,25 +148,47 @@ def one_decimal(value: Column) -> Column:
     return value.cast("decimal(18,1)").cast("string")
 
 
-def with_ground_truth(runs: DataFrame, truth: DataFrame) -> DataFrame:
-    """Runs beside the top risk row of their airline (one row per airline, so it is small)."""
-    return runs.join(truth.select("airline", "avg_delay_min", "weather_pct"), "airline", "left")
+def with_ground_truth(runs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Runs beside the row their case is judged by: the slowest pair after its optional filters.
+
+    runs: a case's ``airline`` and ``route``, null or empty for none, in any case;
+    pairs: the risk rows per airline and route. ``has_truth`` is null for a case
+    whose filters leave no row.
+    """
+
+    def given(name: str) -> Column:
+        return F.upper(F.nullif(F.col(name), F.lit("")))
+
+    cases = runs.withColumns({"f_airline": given("airline"), "f_route": given("route")})
+    truth = best_for_filters(
+        cases.select("f_airline", "f_route").distinct(),
+        pairs.select("airline", "route", "avg_delay_min", "weather_pct"),
+        [F.desc("avg_delay_min"), F.col("airline"), F.col("route")],
+        top=1,
+    ).withColumn("has_truth", F.lit(True))
+    same = F.col("c.f_airline").eqNullSafe(F.col("t.f_airline")) & F.col("c.f_route").eqNullSafe(
+        F.col("t.f_route")
+    )
+    return cases.alias("c").join(truth.alias("t"), same, "left").select(
+        *[f"c.{name}" for name in runs.columns], "t.avg_delay_min", "t.weather_pct", "t.has_truth"
+    )
 
 
 def is_skipped() -> Column:
-    return F.col("avg_delay_min").isNull()
+    return F.col("has_truth").isNull()
 
 
-def eval_skipped(runs: DataFrame, truth: DataFrame) -> DataFrame:
-    return with_ground_truth(runs, truth).select("run_id", is_skipped().alias("skipped"))
+def eval_skipped(runs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Cases that can't be judged: no row is left by their filters."""
+    return with_ground_truth(runs, pairs).select("run_id", is_skipped().alias("skipped"))
 
 
-def eval_grounding(runs: DataFrame, truth: DataFrame) -> DataFrame:
+def eval_grounding(runs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Does the answer cite a number of its ground-truth row?"""
     cited = F.regexp_extract_all(F.col("answer"), F.lit(r"(\d+\.?\d*)"))
     expected = F.array(one_decimal(F.col("avg_delay_min")), one_decimal(F.col("weather_pct")))
     return (
-        with_ground_truth(runs, truth)
+        with_ground_truth(runs, pairs)
         .where(~is_skipped())
         .select(
             "run_id",
@@ -175,10 +197,10 @@ def eval_grounding(runs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def eval_correctness(runs: DataFrame, truth: DataFrame) -> DataFrame:
+def eval_correctness(runs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Does the answer hold a keyword of the decision its ground truth calls for?"""
     judged = (
-        with_ground_truth(runs, truth)
+        with_ground_truth(runs, pairs)
         .where(~is_skipped())
         .withColumn("expected", decision(F.col("avg_delay_min"), F.col("weather_pct")))
     )

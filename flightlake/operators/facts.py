@@ -8,6 +8,7 @@ sort key, so ties do not change from run to run.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,6 +133,36 @@ def rag_facts(
     )
 
 
+def best_for_filters(
+    wanted: DataFrame, rows: DataFrame, order: list[Column], top: int, within: list[str] = ()
+) -> DataFrame:
+    """For every filter setting in ``wanted`` its best rows, ranked as ``fact_rank`` from 1.
+
+    wanted: (within..., f_airline, f_route), a null filter standing for none. Each
+    kind of setting (with and without either filter) has its own ranking, which
+    keeps ``top`` rows per key already in the map tasks, so rows are never copied
+    to the settings that could reach them and no key stands for "any".
+    """
+    found = []
+    for filters in ([], ["airline"], ["route"], ["airline", "route"]):
+        keys = [*within, *filters]
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        best = rows.withColumn("fact_rank", rank).where(F.col("fact_rank") <= top)
+        asking = wanted.where(F.col("f_airline").isNotNull() == F.lit("airline" in filters)).where(
+            F.col("f_route").isNotNull() == F.lit("route" in filters)
+        )
+        same = [F.col(f"w.{k}") == F.col(f"b.{k}") for k in within]
+        same += [F.col(f"w.f_{k}") == F.col(f"b.{k}") for k in filters]
+        pairs = asking.alias("w").join(best.alias("b"), same) if same else None
+        if pairs is None:
+            pairs = asking.withColumn("all", F.lit(1)).alias("w").join(
+                F.broadcast(best.withColumn("all", F.lit(1))).alias("b"), "all"
+            )
+        others = [c for c in rows.columns if c not in within]
+        found.append(pairs.select("w.*", *[F.col(f"b.{c}").alias(c) for c in [*others, "fact_rank"]]))
+    return reduce(DataFrame.unionByName, (f.drop("all") for f in found))
+
+
 def slowest_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs ranked within their airline, the slowest first."""
     order = Window.partitionBy("airline").orderBy(F.desc("avg_delay_min"), "route")
