@@ -100,7 +100,7 @@ def stream_upsert_docs(spark, sf):
     """The first batch of documents, then the second, each as files that arrive."""
     source, table = work_folder(spark, "arriving"), f"documents_{uuid.uuid4().hex}"
     checkpoint = work_folder(spark, "offsets")
-    create_document_table(spark, table, work_folder(spark, "stream-docs"), buckets=8)
+    create_document_table(spark, table, work_folder(spark, "stream-docs"))
     for batch in (fx.document_table(spark, sf), fx.document_batch(spark, sf)):
         fx.write_json(batch, source)
         document_stream.stream_upsert_docs(

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.operators.documents import latest_per_doc, upsert_rag_documents
+from flightlake.operators.documents import latest_per_doc
 from flightlake.schemas import RAG_DOCUMENTS, VECTORS
-from flightlake.session import materialise
-
-TABLE_BUCKETS = 1024
 
 DOCUMENT_FILE_COLUMNS = [
     "doc_id",
@@ -81,60 +78,82 @@ def read_rag_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAG_DOCUMENTS).parquet(path)
 
 
-def create_document_table(
-    spark: SparkSession, table: str, path: str, buckets: int = TABLE_BUCKETS
-) -> None:
-    """An empty document table below ``path``, partitioned by hash of the id."""
+def create_document_table(spark: SparkSession, table: str, path: str) -> None:
+    """An empty document table below ``path``: one partition per merged batch or compaction."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAG_DOCUMENTS)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, bucket int) USING parquet "
-        f"PARTITIONED BY (bucket) LOCATION '{path}/empty' "
-        f"TBLPROPERTIES ('folder' = '{path}', 'buckets' = '{buckets}')"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, version bigint) USING parquet "
+        f"PARTITIONED BY (version) LOCATION '{path}/empty' TBLPROPERTIES ('folder' = '{path}')"
     )
 
 
-def upsert_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Merge rows into a document table.
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """The table's versions, oldest first: the last compaction and the batches since."""
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return sorted(int(row["partition"].split("=")[1]) for row in rows)
 
-    Only partitions that hold an id of the batch are read. Their new content
-    goes to a folder of its own, and then the catalog is told to look there. The
-    cost follows the batch and not the table, nothing is overwritten in place,
-    and after a failure at any point the same call completes the merge.
-    """
+
+def _publish(spark: SparkSession, table: str, rows: DataFrame, version: int) -> bool:
+    """Write rows to a folder of their own, then make them a version: one catalog statement."""
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(int(properties["buckets"]))).cast("int")
-    batch = materialise(
-        latest_per_doc(rows, ["content"])
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAG_DOCUMENTS])
-        .withColumn("bucket", bucket),
-        "batch",
-    )
-    # at most one value per partition of the table
-    touched = [row["bucket"] for row in batch.select("bucket").distinct().collect()]
-    if not touched:
-        return
-    kept = spark.table(table).where(F.col("bucket").isin(touched))
     folder = f"{properties['folder']}/{uuid.uuid4().hex}"
-    (
-        upsert_rag_documents(kept, batch)
-        .hint("rebalance", "bucket")
-        .write.partitionBy("bucket")
-        .parquet(folder)
-    )
-    existing = {
-        int(row["partition"].split("=")[1])
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
-    }
-    for number in sorted(touched):
-        place = f"LOCATION '{folder}/bucket={number}'"
-        if number in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION (bucket = {number}) SET {place}")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION (bucket = {number}) {place}")
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAG_DOCUMENTS]
+    rows.select(*columns).write.parquet(folder)
+    if spark.read.schema(RAG_DOCUMENTS).parquet(folder).isEmpty():
+        return False
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (version = {version}) LOCATION '{folder}'")
+    return True
+
+
+def upsert_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Merge rows into a document table by adding them as its newest version.
+
+    Neither the table's data is read nor any file of it rewritten, so the cost is
+    that of the batch. A reader sees the table before the one catalog statement
+    or after it; a merge that broke off before it has no effect, and one that is
+    repeated gives the same documents. One writer at a time: a second one's
+    statement fails and can be repeated.
+    """
+    newest = latest_per_doc(rows, ["content"])
+    _publish(spark, table, newest, max(_versions(spark, table), default=0) + 1)
 
 
 def read_document_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).select(*RAG_DOCUMENTS.fieldNames())
+    """Each document from the newest version that has it; the rank is cut in the map tasks, too."""
+    newest = Window.partitionBy("doc_id").orderBy(F.desc("version"))
+    return (
+        spark.table(table)
+        .withColumn("rn", F.row_number().over(newest))
+        .where(F.col("rn") == 1)
+        .select(*RAG_DOCUMENTS.fieldNames())
+    )
+
+
+def compact_table(spark: SparkSession, table: str, least: int = 32) -> None:
+    """Rewrite a table of ``least`` versions or more as one, and drop the versions it replaces.
+
+    The whole is published first and replaces all before it, so readers agree at
+    any point, and an interrupted compaction can be repeated. Dropped folders are
+    deleted; a reader that began before the compaction has to be repeated.
+    """
+    versions = _versions(spark, table)
+    if len(versions) < least:
+        return
+    folders = {
+        version: spark.sql(f"DESCRIBE FORMATTED {table} PARTITION (version = {version})")
+        .where("col_name = 'Location'")
+        .first()["data_type"]
+        for version in versions
+    }
+    if not _publish(spark, table, read_document_table(spark, table), versions[-1] + 1):
+        return
+    for version in versions:
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION (version = {version})")
+    jvm = spark.sparkContext._jvm
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders.values():
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(settings).delete(path, True)
 
 
 def merge_into(rows: DataFrame, table: str) -> None:

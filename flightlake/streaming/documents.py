@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.schemas import RAG_DOCUMENTS
-from flightlake.sources.documents import upsert_table
+from flightlake.sources.documents import compact_table, upsert_table
 
 
 def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -17,8 +17,10 @@ def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     )
 
 
-def stream_upsert_docs(batches: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Merge each micro-batch into the table.
+def stream_upsert_docs(
+    batches: DataFrame, table: str, checkpoint: str, most_versions: int = 32
+) -> StreamingQuery:
+    """Merge each micro-batch into the table, which is compacted when it has ``most_versions``.
 
     Merging the same batch twice gives the same table, so a batch that runs
     again after a failure does no harm and leaves no id twice.
@@ -26,6 +28,7 @@ def stream_upsert_docs(batches: DataFrame, table: str, checkpoint: str) -> Strea
 
     def merge(rows: DataFrame, batch_id: int) -> None:
         upsert_table(rows.sparkSession, table, rows)
+        compact_table(rows.sparkSession, table, most_versions)
 
     return (
         batches.writeStream.foreachBatch(merge)

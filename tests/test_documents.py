@@ -56,49 +56,80 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 
 
-def test_table_upsert_moves_touched_partitions_only(spark, tmp_path):
-    def places():
-        return {
-            tuple(r)
-            for r in spark.table("doc_table")
-            .select("bucket", F.regexp_extract(F.input_file_name(), r"([0-9a-f]{32})/bucket", 1))
-            .distinct()
-            .collect()
-        }
+def data_files(folder):
+    return {f: f.stat().st_mtime_ns for f in folder.rglob("part-*.parquet")}
+
 
-    files.create_document_table(spark, "doc_table", str(tmp_path / "docs"), buckets=16)
+def test_table_upsert_rewrites_no_file(spark, tmp_path):
+    files.create_document_table(spark, "doc_table", str(tmp_path / "docs"))
     assert files.read_document_table(spark, "doc_table").count() == 0
-    first = table(spark, *[version(f"d{n}", "old", 1) for n in range(64)])
-    files.upsert_table(spark, "doc_table", first)
-    before = places()
-    batch = table(spark, version("d7", "new", 2), version("d7", "newest", 3), version("x", "y", 2))
+    rows = spark.range(20_000).selectExpr(
+        "concat('d', id) AS doc_id", "'old' AS content", "TIMESTAMP '2024-01-01' AS updated_ts"
+    )
+    whole = table(spark).unionByName(rows, allowMissingColumns=True)
+    files.upsert_table(spark, "doc_table", whole)
+    before = data_files(tmp_path / "docs")
+    batch = whole.where("pmod(xxhash64(doc_id), 4) = 0").withColumn("content", F.lit("new"))
+    assert batch.count() > 4_000
     for _ in range(2):
         files.upsert_table(spark, "doc_table", batch)
-        rows = dict(contents(files.read_document_table(spark, "doc_table")))
-        assert len(rows) == 65 and rows["d7"] == "newest" and rows["x"] == "y"
-    assert len(places() - before) in (1, 2)
+        found = files.read_document_table(spark, "doc_table").groupBy("content").count().collect()
+        assert {r["content"]: r["count"] for r in found} == {
+            "new": batch.count(),
+            "old": 20_000 - batch.count(),
+        }
+    after = data_files(tmp_path / "docs")
+    assert before.items() <= after.items()
     files.upsert_table(spark, "doc_table", batch.limit(0))
-    assert files.read_document_table(spark, "doc_table").count() == 65
-
-
-def test_interrupted_upsert_is_completed_by_the_same_call(spark, tmp_path, monkeypatch):
-    files.create_document_table(spark, "doc_broken", str(tmp_path / "docs"), buckets=4)
-    files.upsert_table(spark, "doc_broken", table(spark, version("a", "old", 1), version("b", "old", 1)))
+    assert files.read_document_table(spark, "doc_table").count() == 20_000
+
+
+def test_newest_of_a_batch_replaces_what_the_table_has(spark, tmp_path):
+    files.create_document_table(spark, "doc_order", str(tmp_path / "docs"))
+    files.upsert_table(spark, "doc_order", table(spark, version("a", "late", 9), version("b", "old", 1)))
+    batch = table(spark, version("a", "early", 2), version("a", "earlier", 1), version("c", "x", 2))
+    files.upsert_table(spark, "doc_order", batch)
+    expected = [("a", "early"), ("b", "old"), ("c", "x")]
+    assert contents(files.read_document_table(spark, "doc_order")) == expected
+    old = data_files(tmp_path / "docs")
+    files.compact_table(spark, "doc_order", least=3)
+    assert data_files(tmp_path / "docs") == old
+    files.compact_table(spark, "doc_order", least=2)
+    assert contents(files.read_document_table(spark, "doc_order")) == expected
+    assert not data_files(tmp_path / "docs").keys() & old.keys()
+    files.upsert_table(spark, "doc_order", table(spark, version("b", "new", 1)))
+    assert dict(contents(files.read_document_table(spark, "doc_order")))["b"] == "new"
+
+
+@pytest.mark.parametrize("call", ["upsert", "compact"])
+def test_interrupted_change_has_no_effect_and_can_be_repeated(spark, tmp_path, monkeypatch, call):
+    name = f"doc_broken_{call}"
+    files.create_document_table(spark, name, str(tmp_path / "docs"))
+    files.upsert_table(spark, name, table(spark, version("a", "old", 1), version("b", "old", 1)))
+    files.upsert_table(spark, name, table(spark, version("b", "newer", 1)))
+    before = contents(files.read_document_table(spark, name))
     batch = table(spark, *[version(i, "new", 2) for i in "abcdefgh"])
-    statement, calls = type(spark).sql, []
+    statement = type(spark).sql
+
+    def change():
+        if call == "upsert":
+            files.upsert_table(spark, name, batch)
+        else:
+            files.compact_table(spark, name, least=1)
 
     def failing(self, text, *args, **kwargs):
-        calls.append(text)
-        if text.startswith("ALTER") and sum(t.startswith("ALTER") for t in calls) == 2:
+        if text.startswith("ALTER") and ("DROP" in text) == (call == "compact"):
             raise RuntimeError("driver lost")
         return statement(self, text, *args, **kwargs)
 
     with monkeypatch.context() as patch:
         patch.setattr(type(spark), "sql", failing)
         with pytest.raises(RuntimeError):
-            files.upsert_table(spark, "doc_broken", batch)
-    files.upsert_table(spark, "doc_broken", batch)
-    assert contents(files.read_document_table(spark, "doc_broken")) == [(i, "new") for i in "abcdefgh"]
+            change()
+    assert contents(files.read_document_table(spark, name)) == before
+    change()
+    expected = [(i, "new") for i in "abcdefgh"] if call == "upsert" else before
+    assert contents(files.read_document_table(spark, name)) == expected
 
 
 def test_merge_statement_needs_a_row_level_format(spark):
