@@ -14,10 +14,12 @@ from flightlake.operators import views
 from flightlake.operators.batch_facts import RAG_NAMES
 from flightlake.operators.documents import metadata_defaults
 from flightlake.operators.facts import pair_facts, recent_documents, slowest_pairs
+from flightlake.operators.logs import token_usage_rows
 from flightlake.operators.sessions import last_turns
 from flightlake.operators.vectors import embed_documents
 from flightlake.plans import questions
 from flightlake.session import materialise
+from flightlake.sources.runlog import log_records
 
 
 @query(
@@ -292,6 +294,33 @@ def request_log(spark, sf):
     )
 
 
+@query(
+    "batch_token_usage",
+    sql(
+        f"""
+        SELECT coalesce(session_id, 'anonymous') AS session_id,
+          CASE WHEN length(question) - length(replace(question, '?', '')) > 1
+            OR {signals('question')} THEN '/agent' ELSE '/retrieve' END AS endpoint,
+          CAST(length(question) AS BIGINT) AS prompt_tokens, CAST(top_k AS BIGINT) AS response_tokens,
+          CAST(length(question) + top_k AS BIGINT) AS total_tokens
+        FROM checked WHERE error IS NULL"""
+    ),
+)
+def batch_token_usage(spark, sf):
+    """Token rows of the log that a batch writes; lengths stand in for a model's counts."""
+    checked = req.validate_requests(fx.requests(spark, sf)).withColumn("asked_at", F.lit(fx.NOW))
+    answers = req.route_question(checked.where("error IS NULL")).withColumns(
+        {
+            "endpoint": F.concat(F.lit("/"), "routed_to"),
+            "prompt_tokens": F.length("question"),
+            "response_tokens": F.col("top_k"),
+            "total_tokens": F.length("question") + F.col("top_k"),
+        }
+    )
+    log = req.request_log(checked, req.retrieval_gate(checked, _matches(spark, sf)), answers)
+    return token_usage_rows(log_records(log)).drop("timestamp", "hour")
+
+
 @query(
     "flatten_content",
     "SELECT doc_id, coalesce(lang, '') || ' ' || coalesce(source, '') || ' ' || coalesce(text, '') "
@@ -359,7 +388,9 @@ PAIRS_SHOWN = " || ', ' || ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in RAG
           coalesce('Deterministic response for ''' || a.question || ''': ' || f.pairs || '.',
             'No matching data was found for the requested filters in the selected time window.')
             AS answer,
-          a.session_id, CAST(a.top_k AS BIGINT) AS context_count,
+          a.session_id, CASE WHEN length(a.question) - length(replace(a.question, '?', '')) > 1
+            OR {signals('a.question')} THEN 'agent' ELSE 'retrieve' END AS routed_to,
+          CAST(a.top_k AS BIGINT) AS context_count,
           coalesce(f.facts_count, 0) AS facts_count,
           coalesce(h.entries // 2, 0) AS history_turns,
           'vector_search,' || CASE WHEN f.facts_count > 0 THEN 'bigquery_fallback,' ELSE '' END

@@ -24,7 +24,7 @@ def stream_bronze_to_silver(spark, sf):
     """Which of two duplicates survives depends on arrival, so ids are compared."""
     path = work_folder(spark, "stream-silver")
     flight_stream.stream_bronze_to_silver(
-        spark, _landed(spark, sf), path, work_folder(spark, "offsets"), lateness="60 days"
+        spark, _landed(spark, sf), path, work_folder(spark, "offsets"), files_per_batch=5
     ).awaitTermination()
     return spark.read.parquet(path).select("flight_id")
 
@@ -62,20 +62,17 @@ def stream_run_log(spark, sf):
           CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
           CAST(sum(response_tokens) AS BIGINT) AS response_tokens,
           CAST(sum(total_tokens) AS BIGINT) AS total_tokens
-        FROM log WHERE event = 'token_usage'
-          AND date_trunc('hour', log_ts) + INTERVAL 1 HOUR <= (
-            SELECT max(log_ts) - INTERVAL 1 HOUR FROM log WHERE event = 'token_usage')
-        GROUP BY 1, 2"""
+        FROM log WHERE event = 'token_usage' GROUP BY 1, 2"""
     ),
 )
 def stream_hourly_tokens(spark, sf):
-    """Hours the watermark has passed; later ones are still open."""
+    """All hours, over several micro-batches."""
     path = work_folder(spark, "stream-tokens")
-    records = log_stream.log_stream(spark, _log_folder(spark, sf, "json"))
+    records = log_stream.log_stream(spark, _log_folder(spark, sf, "json"), files_per_batch=2)
     log_stream.stream_hourly_tokens(
         records, path, work_folder(spark, "offsets")
     ).awaitTermination()
-    return spark.read.parquet(path)
+    return log_stream.read_hourly_tokens(spark, path)
 
 
 @query("stream_sessions", sql(SESSION_DOCUMENTS))

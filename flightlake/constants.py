@@ -47,14 +47,6 @@ SUMMARY_COLUMNS = [
     "total_flights",
 ]
 # Delay drivers, in the order their rules are tried; the last one has no rule.
-DELAY_DRIVERS = [
-    "WEATHER",
-    "SEVERE_DEP_DELAY",
-    "SEVERE_ARR_DELAY",
-    "CANCELLATION",
-    "DIVERSION",
-    "OPERATIONAL",
-]
 RISK_WEIGHTS = {"disruption": 0.45, "severe": 0.35, "weather": 0.20}
 
 # --- Fixed values: questions ----------------------------------------------

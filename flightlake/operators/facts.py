@@ -33,6 +33,7 @@ from flightlake.constants import (
 from flightlake.functions.measures import mean, percent
 from flightlake.functions.times import since
 from flightlake.operators.views import gold_refresh
+from flightlake.session import materialise
 
 # the service shows some measures under other names and in another order than the tools
 SERVICE_PAIR_ORDER = [
@@ -325,12 +326,16 @@ def query_analytics(
     route: str = "",
     days_back: int = DEFAULT_DAYS_BACK,
 ) -> DataFrame:
-    """The agent's facts: the asked report first, documents when it has no rows."""
+    """The agent's facts: the asked report first, documents when it has no rows.
+
+    The risk report, ten rows at most, is stored to see whether it has any.
+    """
     days_back = tool_days_back(days_back)
     airline, route = airline.upper(), route.upper()
     if query_type in AGENT_RISK_TYPES and routes is not None:
-        if not optional_filters(routes, route=route).isEmpty():
-            return with_source(route_risk_facts(routes, route, severe=False), "primary")
+        found = materialise(route_risk_facts(routes, route, severe=False), "risk")
+        if not found.isEmpty():
+            return with_source(found, "primary")
     elif query_type in AIRLINE_TYPES and silver is not None:
         if not optional_filters(recent_flights(silver, as_of, days_back), airline).isEmpty():
             return with_source(airline_facts(silver, as_of, days_back, airline), "primary")

@@ -22,6 +22,7 @@ from flightlake.constants import (
     EVENT_FALLBACK,
     EVENT_GUARDRAIL,
     EVENT_ROUTER,
+    EVENT_TOKENS,
     FACT_WORDS,
     MAX_DAYS_BACK,
     MAX_QUESTION_LEN,
@@ -293,11 +294,14 @@ def answered_entries(answers: DataFrame) -> DataFrame:
     )
 
 
-def request_log(checked: DataFrame, gated: DataFrame) -> DataFrame:
-    """Log rows of a request batch: routing, rejections and sparse searches.
+def request_log(
+    checked: DataFrame, gated: DataFrame, answers: DataFrame | None = None
+) -> DataFrame:
+    """Log rows of a request batch: routing, rejections, sparse searches and tokens used.
 
     ``checked`` comes from ``validate_requests`` and ``gated`` from
-    ``retrieval_gate``; both carry ``asked_at``.
+    ``retrieval_gate``; both carry ``asked_at``. ``answers`` has the token counts
+    of the answered requests and the endpoint that answered.
     """
     session = F.coalesce("session_id", F.lit("anonymous")).alias("session_id")
 
@@ -308,6 +312,10 @@ def request_log(checked: DataFrame, gated: DataFrame) -> DataFrame:
             "vs_results": "bigint",
             "route": "string",
             "question_length": "bigint",
+            "endpoint": "string",
+            "prompt_tokens": "bigint",
+            "response_tokens": "bigint",
+            "total_tokens": "bigint",
         }
         extra = [
             fields.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()
@@ -337,4 +345,9 @@ def request_log(checked: DataFrame, gated: DataFrame) -> DataFrame:
     sparse = rows(
         gated.where("needs_facts"), "INFO", EVENT_FALLBACK, vs_results=F.col("vs_results")
     )
-    return routed.unionByName(rejected).unionByName(sparse)
+    log = routed.unionByName(rejected).unionByName(sparse)
+    if answers is None:
+        return log
+    fields = ("endpoint", "prompt_tokens", "response_tokens", "total_tokens")
+    used = rows(answers, "INFO", EVENT_TOKENS, **{name: F.col(name) for name in fields})
+    return log.unionByName(used)

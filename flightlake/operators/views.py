@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from flightlake.constants import (
     BY_AIRLINE,
     BY_ROUTE,
-    DELAY_DRIVERS,
     DELAYED_BY_DAY,
     DISRUPTED_STATUSES,
     ON_TIME_PCT,
@@ -92,16 +91,14 @@ def _read_flights(silver: DataFrame) -> DataFrame:
 
 def delay_driver() -> Column:
     """Main cause of a delay; the first rule that holds names it."""
-    rules = [
-        F.col("weather_flag"),
-        F.col("departure_delay_min") >= SEVERE_DELAY_MIN,
-        F.col("arrival_delay_min") >= SEVERE_DELAY_MIN,
-        F.col("status") == "CANCELLED",
-        F.col("status") == "DIVERTED",
-    ]
-    *labels, otherwise = DELAY_DRIVERS
-    found = [F.when(holds, F.lit(label)) for holds, label in zip(rules, labels, strict=True)]
-    return F.coalesce(*found, F.lit(otherwise))
+    return (
+        F.when(F.col("weather_flag"), "WEATHER")
+        .when(F.col("departure_delay_min") >= SEVERE_DELAY_MIN, "SEVERE_DEP_DELAY")
+        .when(F.col("arrival_delay_min") >= SEVERE_DELAY_MIN, "SEVERE_ARR_DELAY")
+        .when(F.col("status") == "CANCELLED", "CANCELLATION")
+        .when(F.col("status") == "DIVERTED", "DIVERSION")
+        .otherwise("OPERATIONAL")
+    )
 
 
 def delay_explanations(silver: DataFrame) -> DataFrame:

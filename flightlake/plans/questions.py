@@ -17,6 +17,7 @@ from flightlake.operators.requests import (
     facts_query_type,
     fallback_answer,
     retrieval_gate,
+    route_question,
     tools_used,
     validate_requests,
 )
@@ -26,9 +27,9 @@ from flightlake.session import materialise
 
 
 def accepted(requests: DataFrame) -> DataFrame:
-    """Valid requests with the facts report they would need."""
+    """Valid requests with the path they are routed to and the facts report they would need."""
     valid = validate_requests(requests).where(F.col("error").isNull())
-    return facts_query_type(valid)
+    return facts_query_type(route_question(valid))
 
 
 def matched_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
@@ -69,8 +70,8 @@ def answer_contexts(
 ) -> DataFrame:
     """Everything an answer is written from, one row per valid request.
 
-    That is the three context blocks, the citations, the counts, and the
-    fixed-form answer that stands in when no model writes one.
+    That is the three context blocks, the citations, the counts, the path the
+    question is routed to, and the fixed-form answer that stands in when no model writes one.
 
     ``documents`` carries an ``embedding`` of the same kind as the questions;
     ``matches`` may be given where another search has already found them. The
@@ -87,7 +88,9 @@ def answer_contexts(
     history = session_history(entries)
     facts_found = facts.groupBy("request_id").agg(F.count("*").alias("facts_count"))
     extras = (
-        gated.select("request_id", "session_id", F.col("vs_results").alias("context_count"))
+        gated.select(
+            "request_id", "session_id", "routed_to", F.col("vs_results").alias("context_count")
+        )
         .join(facts_found, "request_id", "left")
         .join(citations(matches), "request_id", "left")
         .join(history.select("session_id", "history_turns"), "session_id", "left")

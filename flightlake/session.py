@@ -26,6 +26,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
+def stateful_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for a stream with state: state may exceed memory, idle streams stop.
+
+    Its settings reach no other query. Time zone and shuffle partitions are the
+    caller's.
+    """
+    own = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(name, spark.conf.get(name))
+    own.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    return own
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for staged files, below the cluster's shared checkpoint folder.
 

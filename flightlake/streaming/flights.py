@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.operators.quality import clean_flights, dedup_flights
 from flightlake.schemas import BRONZE, SILVER
-from flightlake.session import materialise
+from flightlake.session import materialise, stateful_session
 from flightlake.sources.tables import available
 
 
@@ -21,19 +21,14 @@ def bronze_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -
     )
 
 
-def silver_stream(raw: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """The Silver rules in a stream; state is bounded by the watermark.
+def silver_stream(raw: DataFrame) -> DataFrame:
+    """The Silver rules in a stream; no row is ever too late.
 
-    Rows older than the watermark are late and do not come through, so
-    ``lateness`` must exceed the spread of the files; where that is unknown, use
-    ``stream_silver_exact``. Which duplicate survives depends on arrival, as in
-    the arbitrary-survivor batch form.
+    The ids seen are keyed state without a time bound, so a micro-batch costs its
+    own ids, however far apart two duplicates lie. Which of them survives depends
+    on arrival, as in the arbitrary-survivor batch form.
     """
-    return (
-        clean_flights(raw)
-        .withWatermark("event_ts", lateness)
-        .dropDuplicatesWithinWatermark(["flight_id"])
-    )
+    return clean_flights(raw).dropDuplicates(["flight_id"])
 
 
 def stream_bronze_to_silver(
@@ -41,12 +36,14 @@ def stream_bronze_to_silver(
     root: str,
     silver_path: str,
     checkpoint: str,
-    lateness: str = "2 days",
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Process every file that has landed, append to Silver's day folders, then stop."""
+    """Process every file that has landed, append to Silver's day folders, then stop.
+
+    The state of ids is in RocksDB and its checkpoints, so it may exceed memory.
+    """
     return (
-        silver_stream(bronze_stream(spark, root, files_per_batch), lateness)
+        silver_stream(bronze_stream(stateful_session(spark), root, files_per_batch))
         .writeStream.format("parquet")
         .partitionBy("ingest_date")
         .option("path", silver_path)
@@ -64,7 +61,7 @@ def stream_silver_exact(
     checkpoint: str,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """The same job without a lateness bound: ids are checked against all of Silver.
+    """The same job without state: ids are checked against all of Silver.
 
     Each micro-batch is de-duplicated on its own, then loses the ids that an
     earlier one has already brought. Silver is only scanned for its ids: those

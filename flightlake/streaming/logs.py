@@ -8,10 +8,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.operators.logs import log_export_filter, token_usage_rows
 from flightlake.schemas import RUN_LOG
+from flightlake.session import stateful_session
 
 
-def log_stream(spark: SparkSession, path: str, file_format: str = "json") -> DataFrame:
-    return spark.readStream.schema(RUN_LOG).format(file_format).load(path)
+def log_stream(
+    spark: SparkSession, path: str, file_format: str = "json", files_per_batch: int = 1000
+) -> DataFrame:
+    return (
+        stateful_session(spark)
+        .readStream.schema(RUN_LOG)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .format(file_format)
+        .load(path)
+    )
 
 
 def stream_run_log(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -28,35 +37,39 @@ def stream_run_log(records: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
-def hourly_tokens(records: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Token sums per hour and endpoint; an hour is final once the watermark passes it."""
-    usage = token_usage_rows(records.withWatermark("timestamp", lateness))
-    return (
-        usage.groupBy(F.window("timestamp", "1 hour"), "endpoint")
-        .agg(
-            F.sum("prompt_tokens").alias("prompt_tokens"),
-            F.sum("response_tokens").alias("response_tokens"),
-            F.sum("total_tokens").alias("total_tokens"),
-        )
-        .select(
-            F.col("window.start").alias("hour"),
-            "endpoint",
-            "prompt_tokens",
-            "response_tokens",
-            "total_tokens",
-        )
+def hourly_tokens(records: DataFrame) -> DataFrame:
+    """Token sums per hour and endpoint, so far: state is a row per hour and endpoint, and no event is late."""
+    usage = token_usage_rows(records)
+    return usage.groupBy("hour", "endpoint").agg(
+        F.sum("prompt_tokens").alias("prompt_tokens"),
+        F.sum("response_tokens").alias("response_tokens"),
+        F.sum("total_tokens").alias("total_tokens"),
     )
 
 
-def stream_hourly_tokens(
-    records: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour"
-) -> StreamingQuery:
+def stream_hourly_tokens(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the sums that change in each micro-batch to ``path/batch=N``, the open hours' too.
+
+    A batch that runs again overwrites its own folder.
+    """
+
+    def save(sums: DataFrame, batch_id: int) -> None:
+        sums.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
     return (
-        hourly_tokens(records, lateness)
-        .writeStream.format("parquet")
-        .option("path", path)
+        hourly_tokens(records)
+        .writeStream.outputMode("update")
+        .foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_hourly_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """The newest sums of every hour and endpoint."""
+    sums = ["prompt_tokens", "response_tokens", "total_tokens"]
+    newest = F.max_by(F.struct(*sums), "batch").alias("sums")
+    return (
+        spark.read.parquet(path).groupBy("hour", "endpoint").agg(newest).select("hour", "endpoint", "sums.*")
+    )

@@ -7,13 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.constants import SESSION_ENTRIES, SESSION_TTL_SECONDS
 from flightlake.schemas import SESSION_ENTRIES as ENTRY_SCHEMA
-
-STREAM_SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-}
+from flightlake.session import stateful_session
 
 SESSION_DOCUMENT = (
     "session_id string, turns array<struct<role:string,content:string>>, "
@@ -78,7 +72,7 @@ def session_processor(max_entries: int, ttl_seconds: int):
 
 def entry_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     return (
-        spark.readStream.schema(ENTRY_SCHEMA)
+        stateful_session(spark).readStream.schema(ENTRY_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(path)
     )
@@ -108,27 +102,20 @@ def stream_sessions(
     """Write the documents that change in each micro-batch to ``path/batch=N``.
 
     The newest batch of a session is its document. A batch that runs again
-    overwrites its own folder. State lives in RocksDB, so it may exceed memory.
-    With a processing-time clock Spark would go on with empty batches for ever,
-    so they are off for this query; the settings are back once it has started.
+    overwrites its own folder. ``entries`` comes from :func:`entry_stream`, whose
+    session keeps state in RocksDB, so it may exceed memory, and goes on with no
+    empty batches. State expires by the wall clock of the run: a backlog that is
+    replayed at once merges what live running would have started afresh.
     """
 
     def save(documents: DataFrame, batch_id: int) -> None:
         documents.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    conf = entries.sparkSession.conf
-    before = {name: conf.get(name) for name in STREAM_SETTINGS}
-    for name, value in STREAM_SETTINGS.items():
-        conf.set(name, value)
-    try:
-        return (
-            session_updates(entries, max_entries, ttl_seconds)
-            .writeStream.outputMode("update")
-            .foreachBatch(save)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        for name, value in before.items():
-            conf.set(name, value)
+    return (
+        session_updates(entries, max_entries, ttl_seconds)
+        .writeStream.outputMode("update")
+        .foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

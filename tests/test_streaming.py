@@ -21,9 +21,10 @@ def flight_rows(spark, numbers, day):
     ).withColumn("date", F.lit(day))
 
 
-def test_files_that_arrive_later_are_deduplicated(spark):
+def test_late_files_are_kept_and_old_ids_known(spark):
     root, path, offsets = (work_folder(spark, n) for n in ("raw", "silver", "offsets"))
-    for numbers, day in ((range(5), "2024-01-01"), (range(3, 9), "2024-01-02")):
+    waves = ((range(5), "2024-03-01"), (range(3, 9), "2024-01-02"), (range(1, 2), "2024-03-20"))
+    for numbers, day in waves:
         bronze.write_bronze(flight_rows(spark, numbers, day), root)
         flight_stream.stream_bronze_to_silver(spark, root, path, offsets).awaitTermination()
     rows = spark.read.parquet(path).collect()
@@ -81,6 +82,19 @@ def test_session_stream_equals_batch_over_several_batches(spark):
 
     assert rows(newest.select("session_id", "d.*")) == rows(batch)
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_hourly_tokens_take_late_events_and_open_hours(spark):
+    source, path, offsets = (work_folder(spark, n) for n in ("log", "hours", "offsets"))
+    hours = [dt.datetime(2024, 1, 1, h, 30) for h in (10, 12, 9, 12)]
+    for n, at in enumerate(hours):
+        runlog.write_run_log(log_rows(spark, [(at, "INFO", "token_usage", "/agent", n + 1)]), source, "json")
+        log_stream.stream_hourly_tokens(
+            log_stream.log_stream(spark, source), path, offsets
+        ).awaitTermination()
+    sums = {r["hour"].hour: r["total_tokens"] for r in log_stream.read_hourly_tokens(spark, path).collect()}
+    assert sums == {10: 1, 12: 6, 9: 3}
 
 
 def log_rows(spark, events):
