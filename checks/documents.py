@@ -125,14 +125,9 @@ def vector_top_k(spark, sf):
 
 @query("vector_pairs", TOP5)
 def vector_pairs(spark, sf):
-    """The same by block pairs, the way taken for question batches too large to send."""
+    """The same with so few questions at a time that several portions are sent."""
     return vectors.vector_top_k(
-        _questions(spark, sf),
-        fx.embeddings(spark, sf),
-        5,
-        max_sent=16,
-        doc_block=128,
-        question_block=128,
+        _questions(spark, sf), fx.embeddings(spark, sf), 5, sent=200
     )
 
 

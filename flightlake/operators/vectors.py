@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
@@ -24,7 +25,7 @@ from flightlake.session import materialise
 
 DOC_BLOCK = 8192
 QUESTION_BLOCK = 1024
-MAX_SENT_QUESTIONS = 4096
+SENT_QUESTIONS = 4096
 MAX_CELLS = 4096
 MERGED_BATCHES = 16
 
@@ -188,43 +189,28 @@ def score_blocks(
     return left.cogroup(right).applyInArrow(score, schema)
 
 
-def _blocks(count: int, size: int) -> int:
-    return max(1, math.ceil(count / size))
-
-
-def _every(count: int):
-    return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-
 def vector_top_k(
-    questions: DataFrame,
-    documents: DataFrame,
-    k: int = 5,
-    max_sent: int = MAX_SENT_QUESTIONS,
-    doc_block: int = DOC_BLOCK,
-    question_block: int = QUESTION_BLOCK,
+    questions: DataFrame, documents: DataFrame, k: int = 5, sent: int = SENT_QUESTIONS
 ) -> DataFrame:
     """Exact top-k documents per question by dot product.
 
-    A question batch of at most ``max_sent`` rows is sent to the tasks and the
-    documents are scanned where they lie. A larger batch is cut into blocks on
-    both sides and every block pair is scored once; the result is the same.
+    Questions are taken in portions of about ``sent`` (dealt by a hash of the id),
+    each portion is sent to the tasks, and the documents are scanned where they
+    lie; neither side is shuffled or copied. The k best per question and task are
+    ranked and written before the next portion is read, so the driver holds one
+    portion at a time, however many questions there are.
     """
     _check_k(k)
     schema = _match_schema(questions, documents)
     asked, filed = with_vector(questions, "request_id"), with_vector(documents, "doc_id")
-    sent = asked.limit(max_sent + 1).toArrow()
-    if sent.num_rows <= max_sent:
-        return top_matches(score_sent(sent, filed, k, schema), k)
-    doc_blocks = _blocks(filed.count(), doc_block)
-    question_blocks = _blocks(asked.count(), question_block)
-    left = asked.withColumn(
-        "q_block", F.pmod(F.xxhash64("request_id"), F.lit(question_blocks)).cast("int")
-    ).withColumn("d_block", _every(doc_blocks))
-    right = filed.withColumn(
-        "d_block", F.pmod(F.xxhash64("doc_id"), F.lit(doc_blocks)).cast("int")
-    ).withColumn("q_block", _every(question_blocks))
-    return top_matches(score_blocks(left, right, k, ["q_block", "d_block"], schema), k)
+    portions = max(1, math.ceil(asked.count() / sent))
+    dealt = asked.withColumn("portion", F.pmod(F.xxhash64("request_id"), F.lit(portions)))
+    found = []
+    for number in range(portions):
+        portion = dealt.where(F.col("portion") == number).drop("portion").toArrow()
+        best = top_matches(score_sent(portion, filed, k, schema), k)
+        found.append(materialise(best, "matches"))
+    return reduce(DataFrame.unionByName, found)
 
 
 class VectorCells:

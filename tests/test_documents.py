@@ -199,15 +199,13 @@ def crowded():
 
 
 @pytest.mark.parametrize("k", [1, 5, 20])
-def test_exact_search_both_ways(spark, crowded, k):
+def test_exact_search_in_one_portion_and_in_several(spark, crowded, k):
     matrix, asked = crowded
     docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
     expected = brute_force(asked, matrix, k)
     assert found(vectors.vector_top_k(questions, docs_.repartition(5), k)) == expected
-    blocks = vectors.vector_top_k(
-        questions, docs_, k, max_sent=3, doc_block=100, question_block=16
-    )
-    assert found(blocks) == expected
+    assert found(vectors.vector_top_k(questions, docs_, k, sent=12)) == expected
+    assert vectors.vector_top_k(questions.limit(0), docs_, k).count() == 0
 
 
 def test_cells_are_exact_when_all_are_probed(spark, crowded, tmp_path):

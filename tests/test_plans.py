@@ -3,13 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from checks import fixtures as fx
+from checks import load_all
+from checks.registry import QUERIES
 from flightlake.operators import facts, gold, views
 from flightlake.operators.documents import latest_per_doc
 from flightlake.sources import tables
 
-QUERIES = contract.queries()
+load_all()
 
 
 def plan(df):
