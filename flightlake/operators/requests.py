@@ -180,13 +180,33 @@ def fact_blocks(facts: DataFrame) -> DataFrame:
     )
 
 
+def with_session(requests: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Requests beside the row of their session, if they have one.
+
+    Requests without a session match nothing; a join key of their own keeps them
+    from meeting in one task.
+    """
+    key = F.coalesce("session_id", F.concat(F.lit("without "), F.col("request_id").cast("string")))
+    found = sessions.withColumnRenamed("session_id", "_session")
+    return (
+        requests.withColumn("_key", F.struct(F.col("session_id").isNotNull().alias("known"), key.alias("id")))
+        .join(
+            found.withColumn(
+                "_key", F.struct(F.col("_session").isNotNull().alias("known"), F.col("_session").alias("id"))
+            ),
+            "_key",
+            "left",
+        )
+        .drop("_key", "_session")
+    )
+
+
 def assemble_context(
     requests: DataFrame, entries: DataFrame, matches: DataFrame, facts: DataFrame
 ) -> DataFrame:
     """Per question: history, references and facts, or a fixed text where there are none."""
     joined = (
-        requests.select("request_id", "session_id", "question")
-        .join(history_blocks(entries), "session_id", "left")
+        with_session(requests.select("request_id", "session_id", "question"), history_blocks(entries))
         .join(reference_blocks(matches), "request_id", "left")
         .join(fact_blocks(facts), "request_id", "left")
     )

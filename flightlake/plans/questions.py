@@ -20,6 +20,7 @@ from flightlake.operators.requests import (
     route_question,
     tools_used,
     validate_requests,
+    with_session,
 )
 from flightlake.operators.sessions import last_turns, session_history
 from flightlake.operators.vectors import embed_documents, vector_top_k
@@ -87,13 +88,13 @@ def answer_contexts(
     )
     history = session_history(entries)
     facts_found = facts.groupBy("request_id").agg(F.count("*").alias("facts_count"))
+    asking = gated.select(
+        "request_id", "session_id", "routed_to", F.col("vs_results").alias("context_count")
+    )
     extras = (
-        gated.select(
-            "request_id", "session_id", "routed_to", F.col("vs_results").alias("context_count")
-        )
+        with_session(asking, history.select("session_id", "history_turns"))
         .join(facts_found, "request_id", "left")
         .join(citations(matches), "request_id", "left")
-        .join(history.select("session_id", "history_turns"), "session_id", "left")
         .withColumns(
             {
                 "facts_count": F.coalesce("facts_count", F.lit(0).cast("bigint")),
