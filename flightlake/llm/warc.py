@@ -22,6 +22,8 @@ ARCHIVE_BYTES = 1_000_000_000
 #: Bytes between two wanted records that are read over rather than skipped, and the longest range.
 MOST_GAP = 64_000
 MOST_RANGE = 8_000_000
+#: Bytes of records that one task reads; the index alone would look small enough for a single task.
+TASK_BYTES = 16_000_000
 WARC_DATE = "2024-01-01T00:00:00Z"
 UNSAFE = re.compile(r"[\x00-\x20\x7f-\xff<>]")
 
@@ -189,14 +191,16 @@ def ranges(offsets: list[int], lengths: list[int], gap: int = MOST_GAP, most: in
 def read_records(index: DataFrame, folder: str, gap: int = MOST_GAP, most: int = MOST_RANGE) -> DataFrame:
     """The records that the rows of an index name, parsed, in any order.
 
-    Rows are range-partitioned by archive and offset, so one archive of any size
-    is read by several tasks, each in few reads that run from one wanted record
+    Rows are range-partitioned by archive and offset, about TASK_BYTES of records
+    to a task, so one archive of any size is read by several tasks, each in few reads that run from one wanted record
     to the next. Returns (page_id, row, url, record_type, payload_bytes,
     payload_digest, refers_to, payload). A response whose payload doesn't have the
     digest it was stored with fails the task.
     """
     wanted = index.select("archive", "offset", "length")
-    ordered = wanted.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    total = wanted.agg(F.sum("length")).first()[0] or 0
+    tasks = 1 + total // TASK_BYTES
+    ordered = wanted.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     schema = (
         "page_id long, row long, url string, record_type string, payload_bytes long, "
         "payload_digest string, refers_to long, payload binary"
