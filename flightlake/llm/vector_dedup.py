@@ -105,10 +105,12 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def classes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): (id, key) per row, key null for what links with nothing; and each distinct vector once."""
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    number, stored = ("float", "<f4") if single else ("double", "<f8")
     rows = vectors.select(
         F.col(id_col).alias("id"),
         F.col(label_col).cast("string").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).cast(f"array<{number}>").alias("vector"),
     )
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -121,7 +123,7 @@ def classes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
                     found = value.values.to_numpy(zero_copy_only=False)
                     if not np.isfinite(found).all() or not found.any():
                         found = None
-                blob = None if found is None else found.astype("<f8").tobytes()
+                blob = None if found is None else found.astype(stored).tobytes()
                 keys.append(None if blob is None else hashlib.blake2b(label.encode() + b"\0" + blob, digest_size=16).digest())
                 blobs.append(blob)
                 dims.append(None if found is None else len(found))
@@ -165,7 +167,7 @@ def tabled(classes: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
                     coder = coders.setdefault(int(dims), Coder(int(dims), bits, tables, seed))
                     chosen = np.flatnonzero(sizes == dims)
                     rows = part.take(pa.array(chosen))
-                    matrix = np.frombuffer(b"".join(rows.column("vector").to_pylist())).reshape(-1, dims)
+                    matrix = matrix_of(rows.column("vector").to_pylist(), int(dims))
                     signs, factor, keys = coder(scaled(matrix)[0])
                     codes = [x.tobytes() for x in np.packbits(signs > 0, axis=1)]
                     again = pa.array(np.repeat(np.arange(len(matrix)), tables))
@@ -187,6 +189,13 @@ def tabled(classes: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     )
 
 
+def matrix_of(blobs: list[bytes], dims: int) -> np.ndarray:
+    """Stored vectors, of single or double precision, as doubles."""
+    joined = b"".join(blobs)
+    stored = "<f4" if len(joined) == 4 * dims * len(blobs) else "<f8"
+    return np.frombuffer(joined, stored).reshape(-1, dims).astype(float)
+
+
 def scaled(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(unit vectors, lengths), safe for very large and very small numbers."""
     largest = np.abs(matrix).max(1, keepdims=True)
@@ -225,7 +234,7 @@ def linked(pairs: DataFrame, bits: int, tables: int, threshold: float, seed: int
     place = ["label", "dims", "table_no", "bucket", "i", "j"]
 
     def compare(rows: dict[str, np.ndarray], vectors: list[bytes], codes: list[bytes], dims: int, table_no: int):
-        matrix = np.frombuffer(b"".join(vectors)).reshape(-1, dims)
+        matrix = matrix_of(vectors, dims)
         unit, norm = scaled(matrix)
         coder = coders.setdefault(dims, Coder(dims, bits, tables, seed))
         stored = np.frombuffer(b"".join(codes), np.uint8).reshape(len(unit), -1)
