@@ -84,7 +84,7 @@ FROM m
 @query("op8_quality_rules", OP8_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The costs are estimated on a hundredth of the documents, as far as their base rules pass."""
-    from flightlake.llm.rules import Rule, cascade, document_rules, estimate, measures
+    from flightlake.llm.rules import cascade, document_rules, estimate, measures
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = document_rules()
