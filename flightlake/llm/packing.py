@@ -17,6 +17,8 @@ WINDOW = 1024
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LOOK_AHEAD = r"\s+(?!\S)|"
 SPECIAL = {"<|endoftext|>": 50256}
+#: White space in one run from which on it is encoded apart: the look-ahead's engine gives up at a million.
+LONG_RUN = 100_000
 
 
 class Encoder:
@@ -25,7 +27,8 @@ class Encoder:
     The look-ahead of the splitting pattern only matters where white space meets
     white space or the end; other texts are split by the pattern without it,
     which needs no backtracking and takes half the time. A special token's name
-    in a text stands for the token.
+    in a text stands for the token. A very long run of white space is one word,
+    less its last character where a word follows, and needs no look-ahead either.
     """
 
     def __init__(self, vocabulary: str):
@@ -43,9 +46,25 @@ class Encoder:
             "plain", pat_str=pattern.replace(LOOK_AHEAD, ""), mergeable_ranks=ranks, special_tokens={}
         )
         self.uneven = re.compile(f"[{WHITE}][{WHITE}]|[{WHITE}]\\Z")
+        self.white = re.compile(f"[{WHITE}]+")
 
     def __call__(self, text: str) -> bytes:
-        if any(name in text for name in SPECIAL):
+        if len(text) < LONG_RUN:
+            return self.encoded(text)
+        out, at = [], 0
+        for run in self.white.finditer(text):
+            first, end = run.span()
+            if end - first >= LONG_RUN:
+                if end < len(text) and not text.startswith(tuple(SPECIAL), end):
+                    end -= 1
+                out += [self.encoded(text[at:first]), self.encoded(text[first:end], self.plain)]
+                at = end
+        return b"".join([*out, self.encoded(text[at:])])
+
+    def encoded(self, text: str, encoding=None) -> bytes:
+        if encoding is not None:
+            ids = encoding.encode_ordinary(text)
+        elif any(name in text for name in SPECIAL):
             ids = self.full.encode(text, allowed_special="all")
         elif self.uneven.search(text):
             ids = self.full.encode_ordinary(text)

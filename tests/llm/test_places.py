@@ -1,6 +1,7 @@
 """Sharding and packing: permutation, exact counts, exact tiling, ids against the tokenizer itself."""
 
 import os
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from flightlake.llm import queries
+from flightlake.llm import packing, queries
 from flightlake.llm.packing import Encoder, pack, plan, sequences, token_pieces
 from flightlake.llm.sharding import permute, row_at, shard_rows, write_shards
 from tests.llm.fixtures import documents, empty
@@ -82,6 +83,25 @@ def test_ids_are_the_tokenizers(tokenizer, texts):
         assert np.frombuffer(encode(text), "<u4").tolist() == expected
 
 
+def test_very_long_white_space_is_encoded(tokenizer):
+    encode = Encoder(RANKS)
+    texts = [x * 2_000_000 for x in (" ", "\n")]
+    texts += [f"a{' ' * 1_200_000}b  c{chr(10) * 1_200_000}<|endoftext|>\n d ", f"é\n{' ' * 1_200_000}\n"]
+    for text in texts:
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), "<u4").tolist() == expected
+
+
+def test_white_space_runs_apart_give_the_same_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "LONG_RUN", 3)
+    encode, rng = Encoder(RANKS), random.Random(1)
+    parts = ["a", "b1", "!!", "'s", "日", " ", "\n" * 4, " " * 3, "\t \n", "\x85" * 3, "\u3000" * 4, "<|endoftext|>"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 9)))
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), "<u4").tolist() == expected
+
+
 def test_whole_table_is_packed_exactly(spark, sf_dir, tokenizer):
     rows = queries.QUERIES["op10_pack_sequences"](spark, sf_dir).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
