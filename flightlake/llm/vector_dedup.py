@@ -8,19 +8,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.llm.components import components
 from flightlake.session import materialise
 
-#: Rows of one block of a bucket; a larger bucket is compared block by block.
-BLOCK_ROWS = 1024
-#: Standard errors by which an estimate must miss the threshold before a pair is ruled out.
-SIGMAS = 4.0
-#: Share of pairs right at the threshold that meet in a bucket, and rows that a bucket should have.
-MEET = 0.998
-BUCKET_ROWS = 16
+#: Most rows and bytes (as doubles) of one block of a cell; a larger cell is compared block by block.
+BLOCK_ROWS = 8192
+BLOCK_BYTES = 8 << 20
+#: Rows of either side that are compared at a time.
+TILE_ROWS = 1024
+#: Labels that get cells of their own, the largest first, and the most cells of one; both bound the pivots.
+CELL_LABELS = 64
+MOST_CELLS = 64
 
 
 def rotation(dims: int, number: int, seed: int) -> np.ndarray:
@@ -29,20 +30,6 @@ def rotation(dims: int, number: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def settings(rows: int, threshold: float) -> tuple[int, int]:
-    """(bits, tables) for so many rows of one label.
-
-    Two vectors at an angle differ in a sign bit with the chance angle / pi. A
-    key's bits follow the logarithm of the rows; the tables are as many as pairs
-    right at the threshold need to share one with the chance MEET, and closer
-    ones more surely.
-    """
-    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
-    bits = max(4, min(60, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS + 1))))
-    share = agree**bits
-    return bits, max(1, math.ceil(math.log(1 - MEET) / math.log(1 - share))) if share < 1 else 1
-
-
 class Coder:
     """Sign bits of rotated unit vectors: the first rotation gives the code, all of them bucket keys."""
 
@@ -61,32 +48,36 @@ class Coder:
 
 
 def certain_links(
-    left: dict, right: dict, threshold: float, table_no: int = 0, sigmas: float = SIGMAS
-) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs with a cosine of at least ``threshold`` in double precision.
-
-    The code of a left vector, scaled by its stored factor, estimates its inner
-    product with a rotated right vector without bias; the factor also bounds the
-    error. Only pairs whose bound reaches the threshold are computed exactly, and
-    of those only the ones that no table before ``table_no`` brings together.
+    left: dict, right: dict, threshold: float, once: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs with a cosine of at least ``threshold`` in double precision, a portion at a time.
+
+    A rotated left vector lies at a known angle, by its stored factor, to its
+    code, and the right vector at the angle of its inner product with that code:
+    the angle between both is at least the difference. Only pairs whose bound,
+    widened by what single precision may round off, reaches the threshold are
+    computed exactly; none is ruled out by chance. ``once``: pairs i < j only.
     """
     dims = left["signs"].shape[1]
-    factor = np.maximum(left["factor"], 1e-9)[:, None]
-    estimate = left["signs"] @ right["rotated"].T / (math.sqrt(dims) * factor)
-    error = sigmas * np.sqrt(np.maximum(0, 1 - factor**2)) / factor / math.sqrt(max(1, dims - 1))
-    a, b = np.nonzero(estimate + error >= threshold - 1e-9)
-    first_a, first_b = [], []
-    for at in range(0, len(a), 1 << 16):
-        i, j = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
-        for t in range(table_no):
-            new = left["keys"][i, t] != right["keys"][j, t]
-            i, j = i[new], j[new]
-        dots = np.einsum("ij,ij->i", left["vector"][i], right["vector"][j])
-        sure = dots / (left["norm"][i] * right["norm"][j]) >= threshold
-        first_a.append(i[sure])
-        first_b.append(j[sure])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *first_a]), np.concatenate([none, *first_b])
+    error = (dims + 2) * 2.0**-23
+    for top in range(0, len(left["signs"]), TILE_ROWS):
+        signs = left["signs"][top : top + TILE_ROWS]
+        factor = np.minimum(1, left["factor"][top : top + TILE_ROWS])[:, None]
+        rest = np.sqrt(1 - factor**2).astype(np.float32)
+        factor = factor.astype(np.float32)
+        for side in range(top if once else 0, len(right["rotated"]), TILE_ROWS):
+            inner = signs @ right["rotated"][side : side + TILE_ROWS].T / np.float32(math.sqrt(dims))
+            bound = factor * inner + rest * np.sqrt(np.maximum(0, 1 - inner**2) + np.float32(3 * error))
+            a, b = np.nonzero(bound >= threshold - error - 1e-6)
+            a, b = a + top, b + side
+            if once:
+                a, b = a[a < b], b[a < b]
+            for at in range(0, len(a), 1 << 16):
+                i, j = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
+                dots = np.einsum("ij,ij->i", left["vector"][i], right["vector"][j])
+                sure = dots / (left["norm"][i] * right["norm"][j]) >= threshold
+                if sure.any():
+                    yield i[sure], j[sure]
 
 
 def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -150,42 +141,83 @@ def classes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
     return keyed.select("id", "key"), materialise(classes, "vector-classes")
 
 
-def tabled(classes: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
-    """(label, dims, class, members, vector, code, factor, table_no, bucket): a row per class and table.
+def pivots_of(classes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
+    """Unit vectors of classes drawn by a hash, for labels of more rows than a block has.
+
+    A label has a cell for every BLOCK_ROWS classes. At most CELL_LABELS labels
+    with MOST_CELLS pivots each reach the driver; other labels are one cell.
+    """
+    place = ["label", "dims"]
+    sizes = classes.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK_ROWS)
+    largest = sizes.orderBy(F.desc("n"), *place).limit(CELL_LABELS)
+    order = Window.partitionBy(*place).orderBy(F.xxhash64("class"), "class")
+    drawn = (
+        classes.join(F.broadcast(largest), place)
+        .select(*place, "n", "vector", F.row_number().over(order).alias("place"))
+        .where((F.col("place") <= MOST_CELLS) & (F.col("place") <= F.ceil(F.col("n") / BLOCK_ROWS)))
+    )
+    held: dict[tuple[str, int], list[bytes]] = {}
+    for r in drawn.collect():
+        held.setdefault((r["label"], r["dims"]), []).append(bytes(r["vector"]))
+    return {k: scaled(matrix_of(sorted(v), k[1]))[0] for k, v in held.items()}
+
+
+def cells_of(unit: np.ndarray, pivots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(home cell of each vector, whether it visits each cell).
+
+    A vector's home is the pivot with the largest inner product. A vector that
+    links with one whose home is another cell lies within the angle of the
+    threshold to the border between both pivots. Of the two, the one whose home
+    has the larger number visits the other's cell, so they meet exactly once.
+    """
+    inner = unit @ pivots.T
+    home = inner.argmax(1)
+    lead = np.take_along_axis(inner, home[:, None], 1) - inner
+    apart = np.linalg.norm(pivots[:, None] - pivots[None], axis=2)[home]
+    reach = math.sqrt(max(0.0, 1 - threshold**2)) if threshold > 0 else math.inf
+    near = lead <= reach * apart + 1e-6 if threshold > 0 else np.ones(lead.shape, bool)
+    return home, near & (np.arange(len(pivots)) < home[:, None])
+
+
+def celled(classes: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """(label, dims, class, members, vector, code, factor, cells): a row per class.
 
     code: a bit per rotated coordinate, set if it isn't negative; factor: the
-    inner product of the rotated unit vector with its code.
+    inner product of the rotated unit vector with its code; cells: its home, then
+    the cells that it visits.
     """
+    pivots = pivots_of(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coders: dict[int, Coder] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sizes = np.array(part.column("dims").to_pylist())
-                for dims in np.unique(sizes):
-                    coder = coders.setdefault(int(dims), Coder(int(dims), bits, tables, seed))
-                    chosen = np.flatnonzero(sizes == dims)
+                labels, sizes = part.column("label").to_pylist(), part.column("dims").to_pylist()
+                groups: dict[tuple, list[int]] = {}
+                for i, place in enumerate(zip(labels, sizes, strict=True)):
+                    groups.setdefault(place if place in pivots else (None, place[1]), []).append(i)
+                for place, chosen in groups.items():
+                    dims = place[1]
+                    coder = coders.setdefault(dims, Coder(dims, 1, 1, seed))
                     rows = part.take(pa.array(chosen))
-                    matrix = matrix_of(rows.column("vector").to_pylist(), int(dims))
-                    signs, factor, keys = coder(scaled(matrix)[0])
+                    unit = scaled(matrix_of(rows.column("vector").to_pylist(), dims))[0]
+                    signs, factor, _ = coder(unit)
                     codes = [x.tobytes() for x in np.packbits(signs > 0, axis=1)]
-                    again = pa.array(np.repeat(np.arange(len(matrix)), tables))
+                    home, visits = np.zeros(len(unit), np.int64), np.zeros((len(unit), 1), bool)
+                    if place in pivots:
+                        home, visits = cells_of(unit, pivots[place], threshold)
+                    cells = [[h, *np.flatnonzero(v).tolist()] for h, v in zip(home.tolist(), visits, strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(c).take(again) for c in ("label", "dims", "class", "members", "vector")]
-                        + [
-                            pa.array(codes, pa.binary()).take(again),
-                            pa.array(factor).take(again),
-                            pa.array(np.tile(np.arange(tables, dtype=np.int32), len(matrix))),
-                            pa.array(keys.ravel()),
-                        ],
-                        names=["label", "dims", "class", "members", "vector", "code", "factor", "table_no", "bucket"],
+                        [rows.column(c) for c in ("label", "dims", "class", "members", "vector")]
+                        + [pa.array(codes, pa.binary()), pa.array(factor), pa.array(cells, pa.list_(pa.int32()))],
+                        names=["label", "dims", "class", "members", "vector", "code", "factor", "cells"],
                     )
 
     return classes.select("label", "dims", "class", "members", "vector").mapInArrow(
         run,
         "label string, dims int, class long, members long, vector binary, "
-        "code binary, factor double, table_no int, bucket long",
+        "code binary, factor double, cells array<int>",
     )
 
 
@@ -205,66 +237,79 @@ def scaled(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocked(rows: DataFrame) -> DataFrame:
-    """Adds the block pairs (i, j), i <= j, in which a row takes part, and its own block.
-
-    Buckets with one row are gone; those of up to BLOCK_ROWS are one block; a
-    larger one is dealt into as many as it needs by a hash of the class, and a
-    row goes to each pair with its block. Block pairs stay small, however large
-    the bucket, and every two rows of a bucket meet in one of them.
+    """A row per cell and block pair (i, j), i <= j, in which a class takes part, with its own block.
+
+    Cells with one row or with visitors alone are gone. The rows at home in a
+    cell, and its visitors behind them, are dealt into as many blocks as they
+    need by a hash of the class. A row goes to each pair of its block with one
+    of rows at home, a row at home to each pair with a block of visitors too:
+    block pairs stay small, however large the cell, and no two blocks of
+    visitors meet.
     """
-    place = ["label", "dims", "table_no", "bucket"]
-    sizes = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    place = ["label", "dims", "cell"]
+    told = [c for c in rows.columns if c != "cells"]
+    rows = rows.select(*told, F.posexplode("cells").alias("visits", "cell"))
+    rows = rows.withColumn("visits", F.col("visits") > 0)
+    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dims")))))
+    sizes = rows.groupBy(*place).agg(
+        F.count_if(~F.col("visits")).alias("homes"), F.count_if("visits").alias("visitors")
+    )
+    sizes = sizes.where("homes > 0 AND homes + visitors > 1").select(
+        *place, F.ceil(F.col("homes") / most).alias("own"), F.ceil(F.col("visitors") / most).alias("guests")
+    )
+    hashed = F.xxhash64("class")
     dealt = (
         rows.join(sizes, place)
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn(
+            "block",
+            F.when(F.col("visits"), F.col("own") + F.pmod(hashed, F.greatest("guests", F.lit(1))))
+            .otherwise(F.pmod(hashed, F.col("own")))
+            .cast("int"),
+        )
+        .withColumn("last", F.col("own") - 1 + F.when(F.col("visits"), 0).otherwise(F.col("guests")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last").cast("int"))))
     )
     return dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop(
-        "n", "blocks", "other"
+        "own", "guests", "last", "other", "visits"
     )
 
 
-def linked(pairs: DataFrame, bits: int, tables: int, threshold: float, seed: int) -> DataFrame:
+def linked(pairs: DataFrame, threshold: float, seed: int) -> DataFrame:
     """(class, links, root): per block pair, the linked vectors of each class and the least class it is connected with.
 
     Rows arrive sorted by block pair; one pair at a time is compared as
-    matrices. A pair of vectors counts in the first table whose bucket they share.
+    matrices.
     """
-    place = ["label", "dims", "table_no", "bucket", "i", "j"]
+    place = ["label", "dims", "cell", "i", "j"]
 
-    def compare(rows: dict[str, np.ndarray], vectors: list[bytes], codes: list[bytes], dims: int, table_no: int):
+    def compare(rows: dict[str, np.ndarray], vectors: list[bytes], codes: list[bytes], dims: int):
         matrix = matrix_of(vectors, dims)
         unit, norm = scaled(matrix)
-        coder = coders.setdefault(dims, Coder(dims, bits, tables, seed))
+        coder = coders.setdefault(dims, Coder(dims, 1, 1, seed))
         stored = np.frombuffer(b"".join(codes), np.uint8).reshape(len(unit), -1)
         side = {
-            "signs": 2.0 * np.unpackbits(stored, axis=1)[:, :dims] - 1,
+            "signs": np.float32(2) * np.unpackbits(stored, axis=1)[:, :dims] - np.float32(1),
             "factor": rows["factor"],
-            "rotated": unit @ coder.rotations[0],
-            "keys": coder(unit)[2],
+            "rotated": (unit @ coder.rotations[0]).astype(np.float32),
             "vector": matrix / np.abs(matrix).max(1, keepdims=True),
             "norm": norm,
         }
-        if rows["i"][0] == rows["j"][0]:
-            a, b = certain_links(side, side, threshold, table_no)
-            a, b = a[a < b], b[a < b]
-        else:
-            low, high = (np.flatnonzero(rows["block"] == rows[x]) for x in ("i", "j"))
-            left, right = ({k: v[x] for k, v in side.items()} for x in (low, high))
-            a, b = certain_links(left, right, threshold, table_no)
+        low, high = (np.flatnonzero(rows["block"] == rows[x][0]) for x in ("i", "j"))
+        once = rows["i"][0] == rows["j"][0]
+        left, right = ({k: v[x] for k, v in side.items()} for x in (low, high))
+        links, root = np.zeros(len(unit), np.int64), np.arange(len(unit))
+        for a, b in certain_links(left, right, threshold, once):
             a, b = low[a], high[b]
-        if not len(a):
+            np.add.at(links, a, rows["members"][b])
+            np.add.at(links, b, rows["members"][a])
+            root = spanning(len(unit), root[a], root[b])[root]
+        if not links.any():
             return None
-        links = np.zeros(len(unit), np.int64)
-        np.add.at(links, a, rows["members"][b])
-        np.add.at(links, b, rows["members"][a])
-        root = spanning(len(unit), a, b)
         told = np.flatnonzero(links)
         return rows["class"][told], links[told], rows["class"][root[told]]
 
     coders: dict[int, Coder] = {}
-    told_columns = ("class", "members", "block", "dims", "table_no", "i", "j", "factor")
+    told_columns = ("class", "members", "block", "dims", "i", "j", "factor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -294,8 +339,7 @@ def linked(pairs: DataFrame, bits: int, tables: int, threshold: float, seed: int
         out = []
         for first, end in zip(starts, [*starts[1:], table.num_rows], strict=True):
             rows = {c: v[first:end] for c, v in columns.items()}
-            dims, table_no = int(rows["dims"][0]), int(rows["table_no"][0])
-            found = compare(rows, vectors[first:end], codes[first:end], dims, table_no)
+            found = compare(rows, vectors[first:end], codes[first:end], int(rows["dims"][0]))
             if found:
                 out.append(found)
         if out:
@@ -321,18 +365,16 @@ def near_duplicates(
     """(id_col, n_links, component_id, kept): a row per vector.
 
     Vectors of one label link at a cosine of ``threshold`` or more. Equal vectors
-    of a label are one class, counted but never paired; classes that share a
-    bucket of sign bits in one of several tables are compared. A null label, and
+    of a label are one class, counted but never paired; every other pair of a label
+    is compared, but for those that a certain bound rules out. A null label, and
     a vector that is null, empty, zero or holds null or non-finite numbers, links
     with nothing; vectors of different length don't link. Repeated rows are
     vectors of their own. component_id is the least id reachable, null ids aside;
     a null id is never kept. An empty table gives no rows.
     """
     rows, classes = classes_of(vectors, id_col, vector_col, label_col)
-    most = classes.groupBy("label", "dims").count().agg(F.max("count")).first()[0]
-    bits, tables = settings(most or 1, threshold)
-    buckets = materialise(tabled(classes, bits, tables, seed), "vector-buckets")
-    found = materialise(linked(blocked(buckets), bits, tables, threshold, seed), "vector-links")
+    cells = materialise(celled(classes, threshold, seed), "vector-cells")
+    found = materialise(linked(blocked(cells), threshold, seed), "vector-links")
     roots = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     named = (

@@ -188,6 +188,54 @@ def test_recall_right_at_the_threshold(spark):
     check_vectors(spark, rows, least_recall=0.98)
 
 
+def close_pairs(rng, n, dims, least=0.93001, most=0.96):
+    """Unrelated pairs, each with a cosine from ``least`` to ``most``."""
+    a, b = rng.standard_normal((2, n, dims))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    cosine = rng.uniform(least, most, n)[:, None]
+    return np.stack([a, cosine * a + np.sqrt(1 - cosine**2) * b], 1).reshape(2 * n, dims)
+
+
+def test_no_link_is_lost(spark):
+    vectors = close_pairs(np.random.default_rng(11), 4000, 24, most=0.9303)
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    degree = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert degree.min() >= 1
+    found = vector_dedup.near_duplicates(rows).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == dict(enumerate(degree.tolist()))
+
+
+@pytest.mark.parametrize("dims", [2, 3, 64])
+def test_no_link_is_lost_between_cells(spark, monkeypatch, dims):
+    monkeypatch.setattr(vector_dedup, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(vector_dedup, "TILE_ROWS", 8)
+    vectors = close_pairs(np.random.default_rng(dims), 150, dims)
+    check_vectors(spark, [(i, v.tolist(), i // 2 % 2) for i, v in enumerate(vectors)])
+
+
+def test_bound_rules_out_no_link():
+    rng = np.random.default_rng(12)
+    for dims in (1, 2, 8, 256):
+        vectors = close_pairs(rng, 300, dims) if dims > 1 else rng.choice([-1.0, 1.0], (50, 1))
+        unit, norm = vector_dedup.scaled(vectors)
+        coder = vector_dedup.Coder(dims, 1, 1, 1)
+        signs, factor, _ = coder(unit)
+        side = {
+            "signs": signs.astype(np.float32),
+            "factor": factor,
+            "rotated": (unit @ coder.rotations[0]).astype(np.float32),
+            "vector": unit,
+            "norm": np.ones(len(unit)),
+        }
+        found = {(i, j) for a, b in vector_dedup.certain_links(side, side, 0.93, True) for i, j in zip(a, b)}
+        cosine = np.einsum("id,jd->ij", unit, unit)
+        certain = {tuple(x) for x in np.argwhere(np.triu(cosine >= 0.93 + 1e-12, 1)).tolist()}
+        assert certain and certain <= found
+
+
 def test_estimates_are_unbiased():
     rng = np.random.default_rng(8)
     a = rng.standard_normal(64)
