@@ -131,16 +131,25 @@ def adjacent_repeats(words: Column) -> Column:
     )
 
 
+def shouted_words(text: Column) -> Column:
+    """Words with two capitals next to each other and ``!!`` behind them; a word counts once.
+
+    What a word holds from its first two capitals on is taken in one pass, so a
+    long run of capitals costs its length.
+    """
+    tails = F.regexp_extract_all(text, F.lit(r"\p{Lu}{2}[^\x20\x09-\x0D]*"), F.lit(0))
+    return F.size(F.filter(tails, lambda tail: F.contains(tail, F.lit("!!"))))
+
+
 def document_rules(text_col: str = "text") -> list[Rule]:
     """Rules over the columns that :func:`measures` adds, and over the text where they need more."""
     n_words = F.greatest(F.col("n_words"), F.lit(1))
     text = whole_text(text_col)
-    shouted = F.regexp_count(text, F.lit(r"\p{Lu}{2,}[^\x20\x09-\x0D]*!!"))
     return [
         Rule("word_length", ~(F.col("word_chars") / n_words).between(2, 15)),
         Rule("symbols", F.col("n_symbols") > 0.1 * n_words),
         Rule("duplicate_lines", F.col("n_dup_lines") > 0.3 * F.size(F.split(text, "\n", -1))),
-        Rule("shouting", shouted > 0.2 * n_words),
+        Rule("shouting", shouted_words(text) > 0.2 * n_words),
         Rule("same_word_again", adjacent_repeats(words_of(text)) > 0.2 * n_words),
     ]
 

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flightlake.llm import queries, secrets
-from flightlake.llm.rules import Estimate, Rule, cascade, document_rules, estimate, in_order, measures
+from flightlake.llm.rules import Estimate, Rule, cascade, document_rules, estimate, in_order, measures, shouted_words
 from flightlake.llm.secrets import RULES, digest, redact, rule_need, scan
 from tests.llm.fixtures import ROWS, documents, empty
 
@@ -131,6 +131,18 @@ def test_measures_are_exact(spark):
     assert measures(empty(spark)).count() == 0
 
 
+def test_shouting_counts_words_and_long_runs_end(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("AÉAÉa!!! \n\x85", k=rng.randint(0, 30))) for _ in range(2000)]
+    expected = [len(re.findall(r"[AÉ]{2,}[^\x20\x09-\x0D]*!!", t)) for t in texts]
+    texts += ["ACGT" * 50_000 + end for end in ("", "!", "!!", "!!! AB!!")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").cache()
+    found = {r["doc_id"]: r["n"] for r in rows.select("doc_id", shouted_words(F.col("text")).alias("n")).collect()}
+    assert found == dict(enumerate([*expected, 0, 0, 1, 2])) and sum(expected) > 100
+    rule = next(r for r in document_rules() if r.name == "shouting")
+    assert [r["doc_id"] for r in measures(rows.where("doc_id >= 2000")).where(rule.rejects).orderBy("doc_id").collect()] == [2002, 2003]
+
+
 def test_cascade_order_never_changes_the_verdict(spark):
     rules = document_rules()
     rows = measures(documents(spark))
