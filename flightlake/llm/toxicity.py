@@ -81,26 +81,26 @@ def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int
 
     Tokens between hits cost ``drift`` each. Each hit opens a segment; as long as
     an earlier one has a lower sum before it and a lower sum after it, the two
-    merge. Every hit is pushed once and merged once.
+    merge. Every hit is pushed once and merged once, and each segment knows the
+    nearest one before it with a lower sum, so none is passed over twice.
     """
-    stack: list[tuple[float, float, int, int]] = []
+    stack: list[tuple[float, float, int, int, int]] = []
     total, at = 0.0, 0
     for i, score in hits:
         total -= drift * (i - at)
         left, right, first = total, total + score, i
         total, at = right, i + 1
-        skipped = len(stack)
+        lower = len(stack) - 1
         while True:
-            j = skipped - 1
-            while j >= 0 and stack[j][0] >= left:
-                j -= 1
-            if j < 0 or stack[j][1] >= right:
+            while lower >= 0 and stack[lower][0] >= left:
+                lower = stack[lower][4]
+            if lower < 0 or stack[lower][1] >= right:
                 break
-            left, first = stack[j][0], stack[j][2]
-            del stack[j:]
-            skipped = len(stack)
-        stack.append((left, right, first, i))
-    return [(first, last, right - left) for left, right, first, last in stack]
+            merged = lower
+            left, _, first, _, lower = stack[merged]
+            del stack[merged:]
+        stack.append((left, right, first, i, lower))
+    return [(first, last, right - left) for left, right, first, last, _ in stack]
 
 
 def log_odds(y1: np.ndarray, y0: np.ndarray, n1: float, n0: float) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 """Toxic passages and line quality: exact parts, held-out accuracy, awkward rows."""
 
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -40,6 +41,13 @@ def test_segments_are_the_maximal_ones(scores):
     assert np.allclose([s for *_, s in found], [s for *_, s in maximal(scores)])
 
 
+def test_many_lone_hits_cost_their_number():
+    hits = [(3 * i, 3.0) for i in range(100_000)]
+    began = time.perf_counter()
+    assert toxicity.segments(hits, 2.0) == [(a, a, pytest.approx(3.0)) for a, _ in hits]
+    assert time.perf_counter() - began < 10
+
+
 def test_log_odds_favour_what_is_used_more():
     ratio, z = toxicity.log_odds(np.array([50.0, 5.0, 0.0]), np.array([0.0, 50.0, 50.0]), 1000.0, 10000.0)
     assert ratio[0] > 2 > ratio[1] > ratio[2] and z[0] > 2.5
