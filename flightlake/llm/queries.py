@@ -220,3 +220,64 @@ def op5_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flightlake.llm.vector_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+  CAST(1 + (1000000000 * (CAST(coalesce(n, 0) AS HUGEINT) + 5)) // CAST(total + 5 * v AS HUGEINT) AS BIGINT) AS p
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, CAST(1 + (1000000000 * (CAST(sum(n) AS HUGEINT) + 5)) // CAST(sum(sum(n)) OVER (PARTITION BY lang) + 5 * v AS HUGEINT) AS BIGINT) AS q
+  FROM p JOIN v USING (lang) GROUP BY lang, term, v),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source AS one, y.source AS two, sum(abs(x.p - y.p)) AS s FROM p x JOIN p y USING (lang, term) GROUP BY ALL) s
+    ON s.lang = a.lang AND one = a.source AND two = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op11_source_audit", OP11_SQL)
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.source_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where two divides the id's CRC-32, the text has lost its line feeds since."""
+    from flightlake.llm.manifest import manifest
+
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 != 0
+    without = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    now = {"text": F.when(F.coalesce(odd, F.lit(True)), F.col("text")).otherwise(without)}
+    return manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], now)
+
+
+OP13_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS other, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, other) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM n WHERE rank <= 5
+"""
+
+
+@query("op13_nearest_vectors", OP13_SQL)
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flightlake.llm.nearest import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
