@@ -2,16 +2,17 @@
 
 Instead of one report per question, flights are first summed by day, airline
 and route: a cube whose size depends on the calendar and the network, not on
-the number of flights or questions. The cube is summed once per window that is
-asked for, the best rows are ranked per kind of filter, and every question picks
-up the rows of its setting.
+the number of flights or questions. Every window ends today, so its sums are a
+running sum from today backwards, taken at its last day; each cube row is read
+once, however many windows there are. The best rows are ranked per kind of
+filter, and every question picks up the rows of its setting.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import (
@@ -79,33 +80,50 @@ def report(query_type: Column) -> Column:
     )
 
 
-def _window_days(settings: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row per window that is asked for and day of it."""
-    today = F.lit(as_of)
-    windows = settings.select("days_back").distinct()
-    return windows.withColumn("day", F.explode(F.sequence(F.date_sub(today, F.col("days_back")), today)))
+def windows_of(settings: DataFrame) -> list[int]:
+    """The different windows that are asked for, in days: at most one number per day of the calendar."""
+    return sorted(row["days_back"] for row in settings.select("days_back").distinct().collect())
 
 
-def _in_reach(rows: DataFrame, day: str, settings: DataFrame, as_of: dt.date) -> DataFrame:
-    """Rows of the longest window that is asked for; a day after ``as_of`` counts as ``as_of``."""
-    reach = settings.agg(F.max("days_back")).first()[0] or 0
-    earliest = as_of - dt.timedelta(days=reach)
-    return rows.where(F.col(day) >= F.lit(earliest)).withColumn(
-        "day", F.least(F.col(day), F.lit(as_of))
+def _in_reach(rows: DataFrame, day: str, windows: list[int], as_of: dt.date) -> DataFrame:
+    """Rows of the longest window, with their ``age`` in days; a day after ``as_of`` counts as ``as_of``."""
+    earliest = as_of - dt.timedelta(days=max(windows, default=0))
+    age = F.greatest(F.datediff(F.lit(as_of), F.col(day)), F.lit(0))
+    return rows.where(F.col(day) >= F.lit(earliest)).withColumn("age", age)
+
+
+def window_sums(cube: DataFrame, keys: list[str], windows: list[int]) -> DataFrame:
+    """(days_back, keys..., measures...): the sums of each window, one row per key and window that has any.
+
+    Measures are summed per age, then run up from today. A running sum holds for
+    every window from its own age to just below the next older one of its key.
+    """
+    measures = [c for c in cube.columns if c not in ("age", "airline", "route")]
+    daily = cube.groupBy(*keys, "age").agg(*[F.sum(m).alias(m) for m in measures])
+    newest_first = Window.partitionBy(*keys).orderBy("age")
+    running = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = daily.select(
+        *keys,
+        "age",
+        F.lead("age").over(newest_first).alias("older"),
+        *[F.sum(m).over(running).alias(m) for m in measures],
     )
+    asked = F.array(*[F.lit(w) for w in windows]).cast("array<int>")
+    held = F.filter(asked, lambda w: (w >= F.col("age")) & F.coalesce(w < F.col("older"), F.lit(True)))
+    return sums.select(F.explode(held).alias("days_back"), *keys, *measures)
 
 
 def _pct(part: str, whole: str) -> Column:
-    return F.round(F.sum(part).cast("double") / F.sum(whole) * F.lit(100.0), 1)
+    return F.round(F.try_divide(F.col(part).cast("double"), F.col(whole)) * F.lit(100.0), 1)
 
 
 def _avg(total: str, known: str, digits: int = 1) -> Column:
-    return F.round(F.try_divide(F.sum(total), F.sum(known)), digits)
+    return F.round(F.try_divide(F.col(total), F.col(known)), digits)
 
 
-def document_cube(documents: DataFrame, settings: DataFrame, as_of: dt.date) -> DataFrame:
-    recent = _in_reach(document_measures(documents), "event_date", settings, as_of)
-    return recent.groupBy("day", "airline", "route").agg(
+def document_cube(documents: DataFrame, windows: list[int], as_of: dt.date) -> DataFrame:
+    recent = _in_reach(document_measures(documents), "event_date", windows, as_of)
+    return recent.groupBy("age", "airline", "route").agg(
         F.count("*").alias("flights"),
         F.sum("delay_min").alias("delay_total"),
         F.count("delay_min").alias("delay_known"),
@@ -114,12 +132,12 @@ def document_cube(documents: DataFrame, settings: DataFrame, as_of: dt.date) ->
     )
 
 
-def flight_cube(silver: DataFrame, settings: DataFrame, as_of: dt.date) -> DataFrame:
-    recent = _in_reach(silver, "ingest_date", settings, as_of)
+def flight_cube(silver: DataFrame, windows: list[int], as_of: dt.date) -> DataFrame:
+    recent = _in_reach(silver, "ingest_date", windows, as_of)
     delay = F.col("departure_delay_min").cast("double")
     weather_delay = F.when(F.col("weather_flag"), delay)
     return recent.groupBy(
-        "day", "airline", F.concat("origin", F.lit("-"), "destination").alias("route")
+        "age", "airline", F.concat("origin", F.lit("-"), "destination").alias("route")
     ).agg(
         F.count("*").alias("flights"),
         F.sum(delay).alias("delay_total"),
@@ -133,33 +151,31 @@ def flight_cube(silver: DataFrame, settings: DataFrame, as_of: dt.date) -> DataF
 
 def setting_rag_facts(settings: DataFrame, documents: DataFrame, as_of: dt.date) -> DataFrame:
     """The ten slowest airline-route pairs of every filter setting."""
-    facts = (
-        document_cube(documents, settings, as_of)
-        .join(_window_days(settings, as_of), "day")
-        .groupBy("days_back", "airline", "route")
-        .agg(
-            F.sum("flights").alias("flight_count"),
-            _avg("delay_total", "delay_known").alias("avg_delay_min"),
-            _pct("weather", "flights").alias("weather_impact_pct"),
-            _pct("delayed", "flights").alias("delayed_pct"),
-        )
+    windows = windows_of(settings)
+    sums = window_sums(document_cube(documents, windows, as_of), ["airline", "route"], windows)
+    facts = sums.select(
+        "days_back",
+        "airline",
+        "route",
+        F.col("flights").alias("flight_count"),
+        _avg("delay_total", "delay_known").alias("avg_delay_min"),
+        _pct("weather", "flights").alias("weather_impact_pct"),
+        _pct("delayed", "flights").alias("delayed_pct"),
     )
     order = [F.desc("avg_delay_min"), F.col("airline"), F.col("route")]
     return best_for_filters(settings, facts, order, FACTS_PER_QUESTION, ["days_back"])
 
 
-def _airline_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
+def _airline_setting_facts(settings: DataFrame, cube: DataFrame) -> DataFrame:
     """The airline report knows no route: a route filter is left out of it."""
-    facts = (
-        cube.join(_window_days(settings, as_of), "day")
-        .groupBy("days_back", "airline")
-        .agg(
-            F.sum("flights").alias("flight_count"),
-            _avg("delay_total", "delay_known").alias("avg_delay_minutes"),
-            _pct("late", "flights").alias("delayed_pct"),
-            _pct("weather", "flights").alias("weather_impact_pct"),
-        )
-        .withColumn("route", F.lit(None).cast("string"))
+    facts = window_sums(cube, ["airline"], windows_of(settings)).select(
+        "days_back",
+        "airline",
+        F.lit(None).cast("string").alias("route"),
+        F.col("flights").alias("flight_count"),
+        _avg("delay_total", "delay_known").alias("avg_delay_minutes"),
+        _pct("late", "flights").alias("delayed_pct"),
+        _pct("weather", "flights").alias("weather_impact_pct"),
     )
     order = [F.desc("avg_delay_minutes"), F.col("airline")]
     wanted = settings.withColumnRenamed("f_route", "own_route").withColumn(
@@ -169,36 +185,45 @@ def _airline_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date)
     return found.drop("f_route", "route").withColumnRenamed("own_route", "f_route")
 
 
-def _totals(settings: DataFrame, cube: DataFrame, as_of: dt.date, *measures: Column) -> DataFrame:
+def _totals(settings: DataFrame, cube: DataFrame, *measures: Column) -> DataFrame:
     """One row per setting, of its window alone; a window without flights still has its row."""
-    totals = (
-        _window_days(settings, as_of)
-        .join(cube, "day", "left")
-        .groupBy("days_back")
-        .agg(F.coalesce(F.sum("flights"), F.lit(0)).cast("bigint").alias("total_flights"), *measures)
-        .withColumn("fact_rank", F.lit(1))
-    )
-    return settings.join(totals, "days_back")
+    sums = window_sums(cube, [], windows_of(settings))
+    totals = settings.select("days_back").distinct().join(sums, "days_back", "left")
+    counted = F.coalesce("flights", F.lit(0)).cast("bigint").alias("total_flights")
+    return settings.join(totals.select("days_back", counted, *measures, F.lit(1).alias("fact_rank")), "days_back")
 
 
-def _weather_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
+def _weather_setting_facts(settings: DataFrame, cube: DataFrame) -> DataFrame:
     return _totals(
         settings,
         cube,
-        as_of,
-        F.coalesce(F.sum("weather"), F.lit(0)).cast("bigint").alias("weather_affected"),
+        F.coalesce("weather", F.lit(0)).cast("bigint").alias("weather_affected"),
         _pct("weather", "flights").alias("weather_pct"),
         _avg("weather_delay_total", "weather_delay_known").alias("avg_delay_if_weather"),
     )
 
 
-def _generic_setting_facts(settings: DataFrame, cube: DataFrame, as_of: dt.date) -> DataFrame:
+def first_seen(cube: DataFrame, key: str, name: str) -> DataFrame:
+    """(age, name): how many keys occur at an age for the first time, counted back from today.
+
+    Their running sum is the number of different keys in a window.
+    """
+    ages = cube.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("age").alias("age"))
+    return ages.groupBy("age").agg(F.count("*").alias(name))
+
+
+def _generic_setting_facts(settings: DataFrame, cube: DataFrame) -> DataFrame:
+    distinct = {"airline": "airlines", "route": "routes"}
+    counted = cube
+    for key, name in distinct.items():
+        counted = counted.unionByName(first_seen(cube, key, name), allowMissingColumns=True)
     return _totals(
         settings,
-        cube,
-        as_of,
-        F.count_distinct("airline").alias("airline_count"),
-        F.count_distinct("route").alias("route_count"),
+        counted,
+        *[
+            F.coalesce(name, F.lit(0)).cast("bigint").alias(f"{key}_count")
+            for key, name in distinct.items()
+        ],
         _avg("delay_total", "delay_known").alias("avg_delay_minutes"),
     )
 
@@ -264,17 +289,17 @@ def batch_facts(
     kinds = {row["report"] for row in still_open.select("report").distinct().collect()}
     answers = _by_setting(keyed, primary, "inner")
     if kinds - {"risk"}:
-        cube = materialise(flight_cube(silver, still_open, as_of), "cube")
+        cube = materialise(flight_cube(silver, windows_of(still_open), as_of), "cube")
     for kind in sorted(kinds):
         open_settings = still_open.where(F.col("report") == kind).select(*SETTING)
         if kind == "risk":
             rows, names = _route_setting_facts(open_settings, routes), ROUTE_NAMES
         elif kind == "airline":
-            rows, names = _airline_setting_facts(open_settings, cube, as_of), AIRLINE_NAMES
+            rows, names = _airline_setting_facts(open_settings, cube), AIRLINE_NAMES
         elif kind == "weather":
-            rows, names = _weather_setting_facts(open_settings, cube, as_of), WEATHER_NAMES
+            rows, names = _weather_setting_facts(open_settings, cube), WEATHER_NAMES
         else:
-            rows, names = _generic_setting_facts(open_settings, cube, as_of), GENERIC_NAMES
+            rows, names = _generic_setting_facts(open_settings, cube), GENERIC_NAMES
         asking = keyed.where(F.col("report") == kind)
         found = _by_setting(asking, _as_text(rows, names, "secondary"), "inner")
         answers = answers.unionByName(found)

@@ -140,28 +140,39 @@ def best_for_filters(
     """For every filter setting in ``wanted`` its best rows, ranked as ``fact_rank`` from 1.
 
     wanted: (within..., f_airline, f_route), a null filter standing for none. Each
-    kind of setting (with and without either filter) has its own ranking, which
-    keeps ``top`` rows per key already in the map tasks, so rows are never copied
-    to the settings that could reach them and no key stands for "any".
+    kind of setting that occurs (with and without either filter) has its own
+    ranking, which keeps ``top`` rows per key already in the map tasks, so rows are
+    never copied to the settings that could reach them. Both sides are stored, as
+    every kind reads them. Where nothing tells settings apart, the ``top`` rows are
+    one array that each setting unfolds.
     """
+    wanted, rows = materialise(wanted, "wanted"), materialise(rows, "ranked")
+    others = [c for c in rows.columns if c not in within]
+    given = [F.col("f_airline").isNotNull(), F.col("f_route").isNotNull()]
+    kinds = wanted.select(*given).distinct().collect()
     found = []
-    for filters in ([], ["airline"], ["route"], ["airline", "route"]):
-        keys = [*within, *filters]
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        best = rows.withColumn("fact_rank", rank).where(F.col("fact_rank") <= top)
-        asking = wanted.where(F.col("f_airline").isNotNull() == F.lit("airline" in filters)).where(
-            F.col("f_route").isNotNull() == F.lit("route" in filters)
-        )
-        same = [F.col(f"w.{k}") == F.col(f"b.{k}") for k in within]
-        same += [F.col(f"w.f_{k}") == F.col(f"b.{k}") for k in filters]
-        pairs = asking.alias("w").join(best.alias("b"), same) if same else None
-        if pairs is None:
-            pairs = asking.withColumn("all", F.lit(1)).alias("w").join(
-                F.broadcast(best.withColumn("all", F.lit(1))).alias("b"), "all"
-            )
-        others = [c for c in rows.columns if c not in within]
-        found.append(pairs.select("w.*", *[F.col(f"b.{c}").alias(c) for c in [*others, "fact_rank"]]))
-    return reduce(DataFrame.unionByName, (f.drop("all") for f in found))
+    for by_airline, by_route in kinds or [(False, False)]:
+        filters = ["airline"] * by_airline + ["route"] * by_route
+        asking = wanted.where((given[0] == F.lit(by_airline)) & (given[1] == F.lit(by_route)))
+        if within or filters:
+            found.append(_best_per_key(asking, rows, order, top, within, filters))
+            continue
+        rank = F.row_number().over(Window.orderBy(*order)).alias("fact_rank")
+        best = rows.orderBy(*order).limit(top).select(F.struct(*others, rank).alias("best"))
+        listed = asking.withColumn("best", best.agg(F.collect_list("best")).scalar())
+        found.append(listed.select(*wanted.columns, F.inline("best")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _best_per_key(
+    asking: DataFrame, rows: DataFrame, order: list[Column], top: int, within: list[str], filters: list[str]
+) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*within, *filters).orderBy(*order))
+    best = rows.withColumn("fact_rank", rank).where(F.col("fact_rank") <= top)
+    same = [F.col(f"w.{k}") == F.col(f"b.{k}") for k in within]
+    same += [F.col(f"w.f_{k}") == F.col(f"b.{k}") for k in filters]
+    told = [F.col(f"b.{c}") for c in best.columns if c not in within]
+    return asking.alias("w").join(best.alias("b"), same).select("w.*", *told)
 
 
 def slowest_pairs(pairs: DataFrame) -> DataFrame:
