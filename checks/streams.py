@@ -12,7 +12,7 @@ from checks.sessions import SESSION_DOCUMENTS, _joined
 from checks.sql import sql
 from checks.storage import _landed, _log_folder
 from flightlake.session import work_folder
-from flightlake.sources.documents import create_document_table, read_document_table
+from flightlake.sources.document_table import create_document_table, read_document_table
 from flightlake.streaming import documents as document_stream
 from flightlake.streaming import flights as flight_stream
 from flightlake.streaming import logs as log_stream

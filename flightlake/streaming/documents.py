@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.schemas import RAG_DOCUMENTS
-from flightlake.sources.documents import compact_table, upsert_table
+from flightlake.sources.document_table import FANOUT, compact_table, upsert_table
 
 
 def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -18,9 +18,9 @@ def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 
 def stream_upsert_docs(
-    batches: DataFrame, table: str, checkpoint: str, most_versions: int = 32
+    batches: DataFrame, table: str, checkpoint: str, most_versions: int = FANOUT
 ) -> StreamingQuery:
-    """Merge each micro-batch into the table, which is compacted when it has ``most_versions``.
+    """Merge each micro-batch into the table, a level of which is compacted when it has ``most_versions``.
 
     Merging the same batch twice gives the same table, so a batch that runs
     again after a failure does no harm and leaves no id twice.

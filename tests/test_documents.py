@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from flightlake.operators import documents as docs
 from flightlake.operators import vectors
 from flightlake.schemas import BRONZE, RAG_DOCUMENTS
+from flightlake.sources import document_table as levels
 from flightlake.sources import documents as files
 
 
@@ -61,61 +62,61 @@ def data_files(folder):
 
 
 def test_table_upsert_rewrites_no_file(spark, tmp_path):
-    files.create_document_table(spark, "doc_table", str(tmp_path / "docs"))
-    assert files.read_document_table(spark, "doc_table").count() == 0
+    levels.create_document_table(spark, "doc_table", str(tmp_path / "docs"))
+    assert levels.read_document_table(spark, "doc_table").count() == 0
     rows = spark.range(20_000).selectExpr(
         "concat('d', id) AS doc_id", "'old' AS content", "TIMESTAMP '2024-01-01' AS updated_ts"
     )
     whole = table(spark).unionByName(rows, allowMissingColumns=True)
-    files.upsert_table(spark, "doc_table", whole)
+    levels.upsert_table(spark, "doc_table", whole)
     before = data_files(tmp_path / "docs")
     batch = whole.where("pmod(xxhash64(doc_id), 4) = 0").withColumn("content", F.lit("new"))
     assert batch.count() > 4_000
     for _ in range(2):
-        files.upsert_table(spark, "doc_table", batch)
-        found = files.read_document_table(spark, "doc_table").groupBy("content").count().collect()
+        levels.upsert_table(spark, "doc_table", batch)
+        found = levels.read_document_table(spark, "doc_table").groupBy("content").count().collect()
         assert {r["content"]: r["count"] for r in found} == {
             "new": batch.count(),
             "old": 20_000 - batch.count(),
         }
     after = data_files(tmp_path / "docs")
     assert before.items() <= after.items()
-    files.upsert_table(spark, "doc_table", batch.limit(0))
-    assert files.read_document_table(spark, "doc_table").count() == 20_000
+    levels.upsert_table(spark, "doc_table", batch.limit(0))
+    assert levels.read_document_table(spark, "doc_table").count() == 20_000
 
 
 def test_newest_of_a_batch_replaces_what_the_table_has(spark, tmp_path):
-    files.create_document_table(spark, "doc_order", str(tmp_path / "docs"))
-    files.upsert_table(spark, "doc_order", table(spark, version("a", "late", 9), version("b", "old", 1)))
+    levels.create_document_table(spark, "doc_order", str(tmp_path / "docs"))
+    levels.upsert_table(spark, "doc_order", table(spark, version("a", "late", 9), version("b", "old", 1)))
     batch = table(spark, version("a", "early", 2), version("a", "earlier", 1), version("c", "x", 2))
-    files.upsert_table(spark, "doc_order", batch)
+    levels.upsert_table(spark, "doc_order", batch)
     expected = [("a", "early"), ("b", "old"), ("c", "x")]
-    assert contents(files.read_document_table(spark, "doc_order")) == expected
+    assert contents(levels.read_document_table(spark, "doc_order")) == expected
     old = data_files(tmp_path / "docs")
-    files.compact_table(spark, "doc_order", least=3)
+    levels.compact_table(spark, "doc_order", least=3)
     assert data_files(tmp_path / "docs") == old
-    files.compact_table(spark, "doc_order", least=2)
-    assert contents(files.read_document_table(spark, "doc_order")) == expected
+    levels.compact_table(spark, "doc_order", least=2, kept_seconds=0)
+    assert contents(levels.read_document_table(spark, "doc_order")) == expected
     assert not data_files(tmp_path / "docs").keys() & old.keys()
-    files.upsert_table(spark, "doc_order", table(spark, version("b", "new", 1)))
-    assert dict(contents(files.read_document_table(spark, "doc_order")))["b"] == "new"
+    levels.upsert_table(spark, "doc_order", table(spark, version("b", "new", 1)))
+    assert dict(contents(levels.read_document_table(spark, "doc_order")))["b"] == "new"
 
 
 @pytest.mark.parametrize("call", ["upsert", "compact"])
 def test_interrupted_change_has_no_effect_and_can_be_repeated(spark, tmp_path, monkeypatch, call):
     name = f"doc_broken_{call}"
-    files.create_document_table(spark, name, str(tmp_path / "docs"))
-    files.upsert_table(spark, name, table(spark, version("a", "old", 1), version("b", "old", 1)))
-    files.upsert_table(spark, name, table(spark, version("b", "newer", 1)))
-    before = contents(files.read_document_table(spark, name))
+    levels.create_document_table(spark, name, str(tmp_path / "docs"))
+    levels.upsert_table(spark, name, table(spark, version("a", "old", 1), version("b", "old", 1)))
+    levels.upsert_table(spark, name, table(spark, version("b", "newer", 1)))
+    before = contents(levels.read_document_table(spark, name))
     batch = table(spark, *[version(i, "new", 2) for i in "abcdefgh"])
     statement = type(spark).sql
 
     def change():
         if call == "upsert":
-            files.upsert_table(spark, name, batch)
+            levels.upsert_table(spark, name, batch)
         else:
-            files.compact_table(spark, name, least=1)
+            levels.compact_table(spark, name, least=1)
 
     def failing(self, text, *args, **kwargs):
         if text.startswith("ALTER") and ("DROP" in text) == (call == "compact"):
@@ -126,10 +127,109 @@ def test_interrupted_change_has_no_effect_and_can_be_repeated(spark, tmp_path, m
         patch.setattr(type(spark), "sql", failing)
         with pytest.raises(RuntimeError):
             change()
-    assert contents(files.read_document_table(spark, name)) == before
+    assert contents(levels.read_document_table(spark, name)) == before
     change()
     expected = [(i, "new") for i in "abcdefgh"] if call == "upsert" else before
-    assert contents(files.read_document_table(spark, name)) == expected
+    assert contents(levels.read_document_table(spark, name)) == expected
+
+
+def ancestors(plan):
+    """Each line of a physical plan with the lines above it that it feeds."""
+    open_lines = []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        open_lines = [(d, t) for d, t in open_lines if d < depth]
+        yield line, [t for _, t in open_lines]
+        open_lines.append((depth, line))
+
+
+@pytest.fixture
+def layered(spark, tmp_path):
+    """A base of 3,000 documents and two merges over parts of it; (table, expected contents)."""
+    name = f"doc_levels_{tmp_path.name}".replace("-", "_")
+    levels.create_document_table(spark, name, str(tmp_path / "docs"))
+    base = spark.range(3000).selectExpr(
+        "concat('d', id) AS doc_id", "'old' AS content", "TIMESTAMP '2024-01-01' AS updated_ts"
+    )
+    base = table(spark).unionByName(base, allowMissingColumns=True)
+    expected = {f"d{i}": "old" for i in range(3000)}
+    levels.upsert_table(spark, name, base)
+    for step, ids in (("one", range(0, 900)), ("two", range(600, 1200))):
+        named = [f"d{i}" for i in ids]
+        levels.upsert_table(spark, name, base.where(F.col("doc_id").isin(named)).withColumn("content", F.lit(step)))
+        expected |= dict.fromkeys(named, step)
+    return name, sorted(expected.items())
+
+
+def test_reader_moves_ids_only(spark, layered):
+    name, expected = layered
+    read = levels.read_document_table(spark, name)
+    assert contents(read) == expected
+    plan = read._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [above for line, above in ancestors(plan) if "Exchange hashpartitioning" in line]
+    assert moved and all(any("BroadcastExchange" in a for a in above) for above in moved)
+
+
+def test_many_newer_ids_shuffle_only_rows_that_may_have_one(spark, layered, monkeypatch):
+    name, expected = layered
+    monkeypatch.setattr(levels, "BROADCAST_IDS", 10)
+    read = levels.read_document_table(spark, name)
+    assert contents(read) == expected
+    assert "LeftAnti" in read._jdf.queryExecution().executedPlan().toString()
+    newest = levels.published(spark, name)[0]
+    words = spark.read.parquet(f"{levels.root_folder(spark, name)}/{newest.folder}/bloom").scalar()
+    held = read.select("content", levels.may_hold(words, "doc_id").alias("may"))
+    counts = {(r["content"] == "two", r["may"]): r["n"] for r in held.groupBy("content", "may").agg(F.count("*").alias("n")).collect()}
+    assert (True, False) not in counts
+    assert held.where("content <> 'two' AND may").count() < 0.05 * 2400
+
+
+def test_compaction_rewrites_a_level_only(spark, layered, tmp_path):
+    name, expected = layered
+    levels.compact_table(spark, name, least=3, kept_seconds=0)
+    (base,) = levels.published(spark, name)
+    assert (base.level, base.low, base.version, base.ids) == (1, 1, 3, 3000)
+    kept = data_files(tmp_path / "docs" / base.folder)
+    for i in range(3):
+        levels.upsert_table(spark, name, table(spark, version(f"n{i}", "new", 2), version("d0", f"v{i}", 2)))
+        levels.compact_table(spark, name, least=3, kept_seconds=0)
+    young, old = levels.published(spark, name)
+    assert old == base and kept.items() <= data_files(tmp_path / "docs").items()
+    assert (young.level, young.low, young.version, young.ids) == (1, 4, 6, 4)
+    changed = dict(expected) | {"d0": "v2", "n0": "new", "n1": "new", "n2": "new"}
+    assert contents(levels.read_document_table(spark, name)) == sorted(changed.items())
+    assert {f.name for f in (tmp_path / "docs").iterdir()} - {"empty"} == {young.folder, old.folder}
+
+
+def test_folders_of_broken_merges_are_dropped_when_old(spark, layered, tmp_path, monkeypatch):
+    name, expected = layered
+    folders = {f.name for f in (tmp_path / "docs").iterdir()}
+    with monkeypatch.context() as patch:
+        patch.setattr(levels, "bloom_filter", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            levels.upsert_table(spark, name, table(spark, version("a", "lost", 2)))
+    assert len({f.name for f in (tmp_path / "docs").iterdir()} - folders) == 1
+    levels.drop_orphans(spark, name)
+    assert len({f.name for f in (tmp_path / "docs").iterdir()} - folders) == 1
+    levels.drop_orphans(spark, name, kept_seconds=0)
+    assert {f.name for f in (tmp_path / "docs").iterdir()} == folders
+    assert contents(levels.read_document_table(spark, name)) == expected
+
+
+def test_writers_that_meet_take_their_version_back(spark, layered, monkeypatch):
+    name, expected = layered
+    seen = levels.published(spark, name)
+    levels.upsert_table(spark, name, table(spark, version("d1", "first", 2)))
+    real, calls = levels.published, []
+
+    def late(spark_, table_):
+        calls.append(1)
+        return seen if len(calls) == 1 else real(spark_, table_)
+
+    monkeypatch.setattr(levels, "published", late)
+    with pytest.raises(RuntimeError, match="merge again"):
+        levels.upsert_table(spark, name, table(spark, version("d1", "second", 2)))
+    assert dict(contents(levels.read_document_table(spark, name)))["d1"] == "first"
 
 
 def test_merge_statement_needs_a_row_level_format(spark):
