@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.registry import query
 from checks.sql import redact, sql
+from flightlake.constants import LEAVES_SEARCHED
 from flightlake.operators import documents as docs
 from flightlake.operators import vectors
 from flightlake.operators.requests import redact_instructions
-from flightlake.session import work_folder
+from flightlake.session import materialise, work_folder
 
 DOC_COLUMNS = "doc_id, content, source_type, airline, route, event_date, metadata"
 
@@ -125,9 +126,9 @@ def vector_top_k(spark, sf):
 
 @query("vector_pairs", TOP5)
 def vector_pairs(spark, sf):
-    """The same with so few questions at a time that several portions are sent."""
+    """The same with so few questions in a block that each task goes through several."""
     return vectors.vector_top_k(
-        _questions(spark, sf), fx.embeddings(spark, sf), 5, sent=200
+        _questions(spark, sf), fx.embeddings(spark, sf), 5, block=200
     )
 
 
@@ -144,8 +145,8 @@ def top_k_matches(spark, sf):
 def _cells(spark, sf):
     """The index of all vectors, saved and read back."""
     path = work_folder(spark, "cells")
-    vectors.VectorCells.build(fx.embeddings(spark, sf)).save(path)
-    return vectors.VectorCells.load(spark, path)
+    vectors.VectorLeaves.build(fx.embeddings(spark, sf)).save(path)
+    return vectors.VectorLeaves.load(spark, path)
 
 
 @query("vector_top_k_cells")
@@ -155,7 +156,7 @@ def vector_top_k_cells(spark, sf):
 
 @query("vector_cells_all", TOP5)
 def vector_cells_all(spark, sf):
-    """With every cell probed the pruned search is exact."""
+    """With every leaf visited the pruned search is exact."""
     return _cells(spark, sf).search(
         _questions(spark, sf), 5, searched=1.0, doc_block=64, question_block=256
     )
@@ -163,5 +164,15 @@ def vector_cells_all(spark, sf):
 
 @query("vector_recall")
 def vector_recall(spark, sf):
-    exact = vectors.vector_top_k(_questions(spark, sf), fx.embeddings(spark, sf), 5)
-    return vectors.recall(_cells(spark, sf).search(_questions(spark, sf), 5), exact)
+    """Recall of the pruned search, the share of leaves it visits, and recall at the least share."""
+    exact = materialise(
+        vectors.vector_top_k(_questions(spark, sf), fx.embeddings(spark, sf), 5), "exact"
+    )
+    leaves = _cells(spark, sf)
+    least = vectors.recall(leaves.search(_questions(spark, sf), 5, LEAVES_SEARCHED), exact)
+    found = vectors.recall(leaves.search(_questions(spark, sf), 5), exact)
+    return found.select(
+        "*",
+        F.lit(leaves.searched).alias("searched"),
+        least.select("recall").scalar().alias("recall_at_least_share"),
+    )

@@ -1,8 +1,8 @@
-"""Vectors: embedding jobs, exact top-k and cell-pruned top-k by dot product.
+"""Vectors: embedding jobs, exact top-k and leaf-pruned top-k by dot product.
 
 Scoring multiplies matrices inside tasks and emits only the k best documents
 per question and block; pairs are never materialised. Blocks are bounded in
-rows on both sides, so neither a crowded cell nor a large question batch ends
+rows on both sides, so neither a crowded leaf nor a large question batch ends
 up in one task.
 """
 
@@ -12,22 +12,29 @@ import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from flightlake.constants import LEAF_SIZE, LEAVES_SEARCHED, MAX_TOP_K, VECTOR_DIMENSIONS
-from flightlake.session import materialise
+from flightlake.session import materialise, work_folder
 
 DOC_BLOCK = 8192
 QUESTION_BLOCK = 1024
-SENT_QUESTIONS = 4096
-MAX_CELLS = 4096
-MERGED_BATCHES = 16
+#: Matches that a task holds before it hands them on.
+HELD_MATCHES = 500_000
+#: Most children of a node of the leaf tree, sampled rows per child that it is fitted on, and most levels.
+MOST_CHILDREN = 1024
+SAMPLED_ROWS = 32
+MOST_LEVELS = 4
+#: A vector is also stored in its second leaf if that centre is at most so much farther.
+BORDER = 1.15
+#: Questions on which the share of leaves to search is measured, and the recall it has to reach.
+MEASURED_QUESTIONS = 256
+WANTED_RECALL = 0.93
 
 
 def embed_documents(
@@ -145,13 +152,26 @@ def _check_k(k: int) -> None:
         raise ValueError(f"k must be between 1 and {MAX_TOP_K}")
 
 
-def score_sent(questions, documents: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    """Block-wise best matches with a (bounded) Arrow table of questions sent to every task."""
-    best, merged = _block_scorer(k, schema), MERGED_BATCHES
-    sent = documents.sparkSession.sparkContext.broadcast(questions)
+def stored_blocks(questions: DataFrame) -> str:
+    """The questions' ids and vectors as files that every task can read in blocks."""
+    folder = work_folder(questions.sparkSession, "questions")
+    questions.select("request_id", "embedding").write.parquet(folder)
+    return folder
+
+
+def score_where_they_lie(
+    folder: str, documents: DataFrame, k: int, schema: T.StructType, block: int
+) -> DataFrame:
+    """Best matches per task: a task reads the question blocks anew for each batch of its documents.
+
+    It keeps the k best of every question over all its batches, as long as these
+    are ``HELD_MATCHES`` at most; beyond, it hands them on and begins again.
+    """
+    best, most = _block_scorer(k, schema), HELD_MATCHES
 
     def score(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.dataset as ds
 
         def best_of(tables: list):
             order = ["request_id", "distance", "doc_id"]
@@ -160,17 +180,19 @@ def score_sent(questions, documents: DataFrame, k: int, schema: T.StructType) ->
             kept = rows.groupby("request_id", sort=False).head(k)
             return pa.Table.from_pandas(kept, schema=tables[0].schema, preserve_index=False)
 
-        asked = sent.value
-        # one result per partition: batches are merged as they come, a few at a time
-        tables = []
+        asked = ds.dataset(folder, schema=None, format="parquet")
+        held: dict[int, pa.Table] = {}
         for batch in batches:
-            tables.append(
-                best(asked["request_id"], asked["embedding"], batch["doc_id"], batch["embedding"])
-            )
-            if len(tables) == merged:
-                tables = [best_of(tables)]
-        if tables:
-            yield from best_of(tables).to_batches()
+            blocks = asked.to_batches(batch_size=block, batch_readahead=1, fragment_readahead=1)
+            for number, part in enumerate(b for b in blocks if b.num_rows):
+                found = best(part["request_id"], part["embedding"], batch["doc_id"], batch["embedding"])
+                held[number] = best_of([held[number], found]) if number in held else found
+                if sum(t.num_rows for t in held.values()) > most:
+                    for table in held.values():
+                        yield from table.to_batches()
+                    held.clear()
+        for table in held.values():
+            yield from table.to_batches()
 
     return documents.mapInArrow(score, schema)
 
@@ -190,41 +212,58 @@ def score_blocks(
 
 
 def vector_top_k(
-    questions: DataFrame, documents: DataFrame, k: int = 5, sent: int = SENT_QUESTIONS
+    questions: DataFrame, documents: DataFrame, k: int = 5, block: int = QUESTION_BLOCK
 ) -> DataFrame:
     """Exact top-k documents per question by dot product.
 
-    Questions are taken in portions of about ``sent`` (dealt by a hash of the id),
-    each portion is sent to the tasks, and the documents are scanned where they
-    lie; neither side is shuffled or copied. The k best per question and task are
-    ranked and written before the next portion is read, so the driver holds one
-    portion at a time, however many questions there are.
+    The questions are written once to the shared folder. Documents are scanned
+    once, where they lie; each task goes through the question blocks and keeps k
+    rows per question, and ranks merge the tasks' rows before and after the one
+    shuffle of matches. Nothing passes through the driver.
     """
     _check_k(k)
-    schema = _match_schema(questions, documents)
     asked, filed = with_vector(questions, "request_id"), with_vector(documents, "doc_id")
-    portions = max(1, math.ceil(asked.count() / sent))
-    dealt = asked.withColumn("portion", F.pmod(F.xxhash64("request_id"), F.lit(portions)))
-    found = []
-    for number in range(portions):
-        portion = dealt.where(F.col("portion") == number).drop("portion").toArrow()
-        best = top_matches(score_sent(portion, filed, k, schema), k)
-        found.append(materialise(best, "matches"))
-    return reduce(DataFrame.unionByName, found)
-
-
-class VectorCells:
-    """Documents sorted into cells around k-means centres, for pruned search.
-
-    ``cells`` holds (doc_id, embedding, cell). Saved, each cell is a folder and
-    a search reads only the folders it probes. There are at most ``MAX_CELLS``
-    cells whatever the number of documents, so centres and per-cell counts are
-    small; the documents of a cell are not bounded and are split into blocks.
+    return best_by_product(stored_blocks(asked), asked, filed, k, block)
+
+
+def best_by_product(
+    folder: str, asked: DataFrame, filed: DataFrame, k: int, block: int = QUESTION_BLOCK
+) -> DataFrame:
+    schema = _match_schema(asked, filed)
+    return top_matches(score_where_they_lie(folder, filed, k, schema, block), k)
+
+
+def _square_distances(points, centres):
+    return (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)
+
+
+def _centres_of(points, children: int, iterations: int, seed: int):
+    """Lloyd's k-means from random different points; centres that lose all points are gone."""
+    import numpy as np
+
+    different = np.unique(points, axis=0)
+    chosen = np.random.default_rng(seed).permutation(len(different))[:children]
+    centres = different[chosen]
+    for _ in range(iterations):
+        nearest = _square_distances(points, centres).argmin(1)
+        counts = np.bincount(nearest, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, points)
+        centres = sums[counts > 0] / counts[counts > 0][:, None]
+    return centres
+
+
+class VectorLeaves:
+    """Documents sorted into leaves of about ``leaf_size``, for pruned search.
+
+    ``leaves`` holds (doc_id, embedding, cell, leaf): a leaf is a cell of the tree's
+    last level, a cell one of its first. Vectors near a border between leaves are
+    stored in both. ``centres`` holds (cell, leaf, centre). Saved, each cell is a
+    folder sorted by leaf. ``searched`` is the share of leaves that a search visits.
     """
 
-    def __init__(self, cells: DataFrame, centres: list[list[float]]):
-        self.cells = cells
-        self.centres = centres
+    def __init__(self, leaves: DataFrame, centres: DataFrame, searched: float = LEAVES_SEARCHED):
+        self.leaves, self.centres, self.searched = leaves, centres, searched
 
     @classmethod
     def build(
@@ -232,121 +271,246 @@ class VectorCells:
         documents: DataFrame,
         leaf_size: int = LEAF_SIZE,
         iterations: int = 10,
-        training_rows: int = 1_000_000,
         seed: int = 42,
-    ) -> VectorCells:
-        """Fit the centres and give every document its cell.
-
-        Beyond ``training_rows`` documents the centres are fitted on a sample;
-        the cells still hold every document.
+        measure_k: int = 5,
+    ) -> VectorLeaves:
+        """Split the documents level by level until leaves have about ``leaf_size``, and measure the index.
+
+        A node is split by centres fitted on a sample of ``SAMPLED_ROWS`` rows per
+        child, drawn by a hash of the id; every document is filed. A node with more
+        rows than ``MOST_CHILDREN`` leaves hold is split by about the square root of
+        its leaves first, so leaves keep their size however many documents there
+        are; only equal vectors, or ``MOST_LEVELS`` uneven splits, leave larger ones.
         """
-        documents = with_vector(documents, "doc_id")
-        count = documents.count()
-        wanted = max(2, min(MAX_CELLS, math.ceil(count / leaf_size)))
-        points = documents.withColumn("_point", array_to_vector("embedding"))
-        training = points
-        if count > training_rows:
-            training = points.sample(fraction=training_rows / count, seed=seed)
-        model = KMeans(
-            k=wanted,
-            # the default start refines candidates on the driver, which grows with the cells
-            initMode="random",
-            maxIter=iterations,
-            seed=seed,
-            featuresCol="_point",
-            predictionCol="cell",
-        ).fit(training)
-        centres = [centre.tolist() for centre in model.clusterCenters()]
-        return cls(model.transform(points).drop("_point"), centres)
+        documents = materialise(with_vector(documents, "doc_id"), "vectors")
+        rows = documents.withColumns({"node": F.lit(0).cast("bigint"), "cell": F.lit(0)})
+        done, centres = [], []
+        for level in range(MOST_LEVELS):
+            nodes = materialise(_plan_split(rows, leaf_size, last=level == MOST_LEVELS - 1), "nodes")
+            fitted = materialise(_fit(rows, nodes, iterations, seed), "centres")
+            filed = materialise(_file(rows, nodes, fitted, first=level == 0), "filed")
+            done.append(filed.where("leaf").select("doc_id", "embedding", "cell", F.col("node").alias("leaf")))
+            first = F.col("child") if level == 0 else F.col("cell")
+            centres.append(
+                fitted.where("leaf").select(
+                    first.cast("int").alias("cell"), _child_node().alias("leaf"), "centre"
+                )
+            )
+            rows = filed.where(~F.col("leaf")).select("doc_id", "embedding", "node", "cell")
+            if rows.isEmpty():
+                break
+        leaves = reduce(DataFrame.unionByName, done)
+        built = cls(leaves, materialise(reduce(DataFrame.unionByName, centres), "leaf-centres"))
+        built.searched = built.measured_share(documents, measure_k)
+        return built
 
     def save(self, path: str) -> None:
-        """One folder per cell; a crowded cell is written by several tasks."""
+        """One folder per cell, its rows in order of their leaves; a crowded cell is written by several tasks."""
         (
-            self.cells.hint("rebalance", "cell")
+            self.leaves.repartitionByRange("cell", "leaf", "doc_id")
+            .sortWithinPartitions("cell", "leaf")
             .write.mode("overwrite")
             .partitionBy("cell")
-            .parquet(f"{path}/cells")
+            .parquet(f"{path}/leaves")
         )
-        spark = self.cells.sparkSession
-        rows = list(enumerate(self.centres))
-        spark.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/centres")
+        told = self.centres.withColumn("searched", F.lit(self.searched))
+        told.coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> VectorCells:
-        centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
-        return cls(spark.read.parquet(f"{path}/cells"), [row["centre"] for row in centres])
-
-    def probes(self, questions: DataFrame, searched: float = LEAVES_SEARCHED) -> DataFrame:
-        """The cells each question visits: those with the largest product, 7 % by default."""
-        visited = max(1, math.ceil(len(self.centres) * searched))
-        sent = questions.sparkSession.sparkContext.broadcast(self.centres)
-        key = questions.schema["request_id"].dataType.simpleString()
-
-        def nearest(frames: Iterator) -> Iterator:
-            import numpy as np
-            import pandas as pd
-
-            centres = np.asarray(sent.value, dtype="float64")
-            for frame in frames:
-                if not len(frame):
-                    continue
-                matrix = np.stack(frame["embedding"].to_numpy()).astype("float64")
-                order = np.argsort(-(matrix @ centres.T), axis=1, kind="stable")[:, :visited]
-                yield pd.DataFrame(
-                    {
-                        "request_id": np.repeat(frame["request_id"].to_numpy(), visited),
-                        "cell": order.ravel().astype("int32"),
-                    }
-                )
-
-        return questions.select("request_id", "embedding").mapInPandas(
-            nearest, f"request_id {key}, cell int"
+    def load(cls, spark: SparkSession, path: str) -> VectorLeaves:
+        centres = spark.read.parquet(f"{path}/centres")
+        first = centres.select("searched").first()
+        searched = LEAVES_SEARCHED if first is None else first["searched"]
+        return cls(spark.read.parquet(f"{path}/leaves"), centres.drop("searched"), searched)
+
+    def visited(self, searched: float) -> int:
+        return max(1, math.ceil(self.centres.count() * searched))
+
+    def probes(self, asked: DataFrame, visited: int) -> DataFrame:
+        """(request_id, leaf, probe_rank): the leaves whose centres have the largest product with a question."""
+        filed = self.centres.select(F.col("leaf").alias("doc_id"), F.col("centre").alias("embedding"))
+        found = best_by_product(stored_blocks(asked), asked, filed, visited)
+        return found.select("request_id", F.col("doc_id").alias("leaf"), F.col("match_rank").alias("probe_rank"))
+
+    def measured_share(
+        self, documents: DataFrame, k: int, wanted: float = WANTED_RECALL, sample: int = MEASURED_QUESTIONS
+    ) -> float:
+        """The least share of leaves, ``LEAVES_SEARCHED`` or more, that finds ``wanted`` of the exact matches.
+
+        Measured on ``sample`` stored vectors, drawn by a hash of the id, each asking
+        for its k nearest others: a match is found by as many leaves as the best
+        ranked of the leaves that hold it.
+        """
+        count = documents.count()
+        drawn = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(max(1, count // sample))) == 0
+        asked = materialise(
+            documents.where(drawn).select(F.col("doc_id").alias("request_id"), "embedding"), "measured"
         )
+        exact = best_by_product(stored_blocks(asked), asked, documents, k + 1)
+        exact = exact.where(F.col("request_id") != F.col("doc_id")).select("request_id", "doc_id")
+        leaves = self.centres.count()
+        ranks = (
+            exact.join(self.leaves.select("doc_id", "leaf"), "doc_id")
+            .join(self.probes(asked, leaves), ["request_id", "leaf"])
+            .groupBy("request_id", "doc_id")
+            .agg(F.min("probe_rank").alias("needed"))
+        )
+        needed = ranks.agg(F.percentile("needed", wanted)).first()[0]
+        return LEAVES_SEARCHED if needed is None else max(LEAVES_SEARCHED, min(1.0, needed / leaves))
 
     def search(
         self,
         questions: DataFrame,
         k: int = 5,
-        searched: float = LEAVES_SEARCHED,
+        searched: float | None = None,
         doc_block: int = DOC_BLOCK,
         question_block: int = QUESTION_BLOCK,
     ) -> DataFrame:
-        """Top-k among the documents of the probed cells.
+        """Top-k among the documents of the visited leaves: the measured share of them, or ``searched``.
 
-        Cells are cut into blocks by their own document and question counts, so
-        a cell with a third of all documents is scored by many tasks.
+        Leaves are cut into blocks by their own document and question counts, so
+        a leaf with a third of all documents is scored by many tasks.
         """
         _check_k(k)
-        schema = _match_schema(questions, self.cells)
         asked = with_vector(questions, "request_id")
-        probes = materialise(self.probes(asked, searched), "probes")
+        schema = _match_schema(questions, self.leaves)
+        visited = self.visited(self.searched if searched is None else searched)
+        probes = materialise(self.probes(asked, visited).drop("probe_rank"), "probes")
 
         def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-            return rows.groupBy("cell").agg(
+            return rows.groupBy("leaf").agg(
                 F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name)
             )
 
-        question_blocks = blocks(probes, question_block, "q_blocks")
-        visited = [row["cell"] for row in question_blocks.select("cell").collect()]
-        documents = self.cells.where(F.col("cell").isin(visited))
-        # one row per cell, at most MAX_CELLS of them: a proven bound for the broadcast
-        sizes = F.broadcast(
-            blocks(documents, doc_block, "d_blocks").join(question_blocks, "cell")
+        question_blocks = materialise(blocks(probes, question_block, "q_blocks"), "visited")
+        # cells are children of the tree's root: MOST_CHILDREN at most
+        reached = question_blocks.join(self.centres.select("leaf", "cell"), "leaf").select("cell").distinct()
+        documents = self.leaves.where(F.col("cell").isin([row["cell"] for row in reached.collect()]))
+        sizes = materialise(
+            blocks(documents, doc_block, "d_blocks").join(question_blocks, "leaf"), "blocks"
         )
         left = (
             asked.join(probes, "request_id")
-            .join(sizes, "cell")
+            .join(sizes, "leaf")
             .withColumn("q_block", F.pmod(F.xxhash64("request_id"), F.col("q_blocks")).cast("int"))
             .withColumn("d_block", F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)))
         )
         right = (
-            documents.join(sizes, "cell")
+            documents.join(sizes, "leaf")
             .withColumn("d_block", F.pmod(F.xxhash64("doc_id"), F.col("d_blocks")).cast("int"))
             .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
         )
-        return top_matches(score_blocks(left, right, k, ["cell", "q_block", "d_block"], schema), k)
+        scored = score_blocks(left, right, k, ["leaf", "q_block", "d_block"], schema)
+        once = scored.groupBy("request_id", "doc_id").agg(F.max("distance").alias("distance"))
+        return top_matches(once, k)
+
+
+def _child_node():
+    return F.col("node") * (MOST_CHILDREN + 1) + F.col("child") + 1
+
+
+def _plan_split(rows: DataFrame, leaf_size: int, last: bool) -> DataFrame:
+    """(node, rows, children, leaf, blocks): how each node is split; ``leaf``: its children are leaves."""
+    wanted = F.ceil(F.col("rows") / F.lit(leaf_size))
+    leaf = (wanted <= MOST_CHILDREN) | F.lit(last)
+    children = F.when(leaf, wanted).otherwise(F.ceil(F.sqrt(wanted)))
+    return rows.groupBy("node", "cell").agg(F.count("*").alias("rows")).select(
+        "node",
+        "cell",
+        "rows",
+        F.least(children, F.lit(MOST_CHILDREN)).cast("int").alias("children"),
+        leaf.alias("leaf"),
+        F.ceil(F.col("rows") / F.lit(DOC_BLOCK)).cast("int").alias("blocks"),
+    )
+
+
+def _fit(rows: DataFrame, nodes: DataFrame, iterations: int, seed: int) -> DataFrame:
+    """(node, cell, leaf, child, centre): the centres of every node, each fitted in a task on a sample."""
+    share = F.least(F.lit(1.0), F.col("children") * F.lit(float(SAMPLED_ROWS)) / F.col("rows"))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
+    sample = rows.drop("cell").join(nodes, "node").where(drawn)
+
+    def fit(table):
+        import numpy as np
+        import pyarrow as pa
+
+        points = np.array(table["embedding"].to_pylist(), dtype="float32")
+        centres = _centres_of(points, table["children"][0].as_py(), iterations, seed).astype("float64")
+        told = {name: [table[name][0].as_py()] * len(centres) for name in ("node", "cell", "leaf")}
+        schema = pa.schema(
+            [
+                ("node", pa.int64()),
+                ("cell", pa.int32()),
+                ("leaf", pa.bool_()),
+                ("child", pa.int32()),
+                ("centre", pa.list_(pa.float64())),
+            ]
+        )
+        return pa.table({**told, "child": range(len(centres)), "centre": centres.tolist()}, schema=schema)
+
+    return sample.select("node", "cell", "leaf", "children", "embedding").groupBy("node").applyInArrow(
+        fit, "node bigint, cell int, leaf boolean, child int, centre array<double>"
+    )
+
+
+def _file(rows: DataFrame, nodes: DataFrame, fitted: DataFrame, first: bool) -> DataFrame:
+    """(doc_id, embedding, node, cell, leaf): rows below the nearest child of their node.
+
+    Where the children are leaves, a row near the border is below its second
+    nearest, too. Nodes are cut into blocks, to each of which their centres go. A node
+    whose sample came out empty has one child.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    left = rows.join(nodes.select("node", "leaf", "blocks"), "node").withColumn("block", block)
+    right = fitted.drop("leaf").join(nodes.select("node", "blocks"), "node").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    border, most = BORDER, MOST_CHILDREN
+
+    def file(docs, centres):
+        import numpy as np
+        import pyarrow as pa
+
+        if not docs.num_rows:
+            return pa.table([[]] * 5, schema=layout)
+        points = np.array(docs["embedding"].to_pylist(), dtype="float64")
+        order = [[i] for i in np.zeros(len(points), int).tolist()]
+        if centres.num_rows:
+            centres = centres.sort_by("child")
+            matrix = np.array(centres["centre"].to_pylist())
+            away = np.sqrt(np.maximum(_square_distances(points, matrix), 0))
+            order = np.argsort(away, axis=1, kind="stable")[:, :2]
+            if order.shape[1] == 2 and docs["leaf"][0].as_py():
+                lead = np.take_along_axis(away, order, 1)
+                order = [o if far <= border * near else o[:1] for o, (near, far) in zip(order.tolist(), lead.tolist(), strict=True)]
+            else:
+                order = order[:, :1].tolist()
+        row = np.repeat(np.arange(len(points)), [len(o) for o in order])
+        child = np.concatenate([np.array(o) for o in order])
+        taken = docs.take(pa.array(row))
+        node = docs["node"][0].as_py() * (most + 1) + child + 1
+        cell = child if first else np.full(len(child), docs["cell"][0].as_py())
+        return pa.table(
+            [taken["doc_id"], taken["embedding"], node, pa.array(cell, pa.int32()), taken["leaf"]], schema=layout
+        )
+
+    layout = to_arrow_schema(
+        T.StructType(
+            [
+                T.StructField("doc_id", rows.schema["doc_id"].dataType),
+                T.StructField("embedding", T.ArrayType(T.DoubleType())),
+                T.StructField("node", T.LongType()),
+                T.StructField("cell", T.IntegerType()),
+                T.StructField("leaf", T.BooleanType()),
+            ]
+        )
+    )
+    by = ["node", "block"]
+    told = left.select(*by, "doc_id", "embedding", "cell", "leaf").groupBy(*by)
+    return told.cogroup(right.select(*by, "child", "centre").groupBy(*by)).applyInArrow(
+        file, f"doc_id {kind}, embedding array<double>, node bigint, cell int, leaf boolean"
+    )
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -299,42 +299,79 @@ def crowded():
 
 
 @pytest.mark.parametrize("k", [1, 5, 20])
-def test_exact_search_in_one_portion_and_in_several(spark, crowded, k):
+def test_exact_search_in_one_block_and_in_several(spark, crowded, k):
     matrix, asked = crowded
     docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
     expected = brute_force(asked, matrix, k)
     assert found(vectors.vector_top_k(questions, docs_.repartition(5), k)) == expected
-    assert found(vectors.vector_top_k(questions, docs_, k, sent=12)) == expected
+    assert found(vectors.vector_top_k(questions, docs_, k, block=12)) == expected
     assert vectors.vector_top_k(questions.limit(0), docs_, k).count() == 0
 
 
-def test_cells_are_exact_when_all_are_probed(spark, crowded, tmp_path):
+def test_exact_search_scans_documents_once_and_collects_nothing(spark, crowded, tmp_path, monkeypatch):
+    matrix, asked = crowded
+    points(spark, matrix, "doc_id").write.parquet(str(tmp_path / "docs"))
+    docs_, questions = spark.read.parquet(str(tmp_path / "docs")), points(spark, asked, "request_id")
+    monkeypatch.setattr(vectors, "HELD_MATCHES", 30)
+    monkeypatch.setattr(type(docs_), "collect", None)
+    monkeypatch.setattr(type(docs_), "toArrow", None)
+    best = vectors.vector_top_k(questions, docs_, 5, block=7)
+    monkeypatch.undo()
+    assert best._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert found(best) == brute_force(asked, matrix, 5)
+
+
+def saved_and_loaded(spark, docs_, path, **options):
+    vectors.VectorLeaves.build(docs_, **options).save(path)
+    return vectors.VectorLeaves.load(spark, path)
+
+
+def test_leaves_are_exact_when_all_are_visited(spark, crowded, tmp_path):
     matrix, asked = crowded
     docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
-    vectors.VectorCells.build(docs_, leaf_size=60).save(str(tmp_path / "cells"))
-    cells = vectors.VectorCells.load(spark, str(tmp_path / "cells"))
-    assert cells.cells.count() == len(matrix)
-    full = cells.search(questions, 5, searched=1.0, doc_block=50, question_block=16)
+    leaves = saved_and_loaded(spark, docs_, str(tmp_path / "leaves"), leaf_size=60)
+    assert leaves.leaves.select("doc_id").distinct().count() == len(matrix)
+    full = leaves.search(questions, 5, searched=1.0, doc_block=50, question_block=16)
     assert found(full) == brute_force(asked, matrix, 5)
 
 
-def test_training_on_a_sample_still_files_every_document(spark, crowded):
-    matrix, _ = crowded
-    cells = vectors.VectorCells.build(points(spark, matrix, "doc_id"), training_rows=200)
-    assert cells.cells.count() == len(matrix)
+def test_leaves_keep_their_size_over_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST_CHILDREN", 6)
+    monkeypatch.setattr(vectors, "DOC_BLOCK", 200)
+    matrix = np.random.default_rng(4).normal(size=(1500, 6))
+    leaves = vectors.VectorLeaves.build(points(spark, matrix, "doc_id"), leaf_size=20)
+    sizes = [r["count"] for r in leaves.leaves.groupBy("leaf").count().collect()]
+    assert leaves.leaves.select("doc_id").distinct().count() == 1500
+    assert leaves.leaves.select("cell").distinct().count() <= 6 < len(sizes)
+    assert len(sizes) <= leaves.centres.count() <= 2 * 1500 / 20
+    assert np.mean(sizes) <= 2 * 20 and max(sizes) <= 6 * 20
+    twice = leaves.leaves.groupBy("doc_id").count().where("count = 2").count()
+    assert 0 < twice < 1500
+
+
+def test_measured_share_reaches_the_wanted_recall(spark):
+    rng = np.random.default_rng(9)
+    matrix = rng.normal(size=(800, 16))
+    docs_, questions = points(spark, matrix, "doc_id"), points(spark, rng.normal(size=(60, 16)), "request_id")
+    leaves = vectors.VectorLeaves.build(docs_, leaf_size=20)
+    exact = vectors.vector_top_k(questions, docs_, 5)
+    assert 0.07 < leaves.searched < 1
+    assert vectors.recall(leaves.search(questions, 5), exact).collect()[0]["recall"] >= 0.85
+    hits = {(r["request_id"], r["doc_id"]): r for r in leaves.search(questions, 5).collect()}
+    asked = np.array([r["embedding"] for r in questions.orderBy("request_id").collect()])
+    for (q, d), r in hits.items():
+        assert abs(r["distance"] - asked[q] @ matrix[d]) < 1e-5
 
 
-def test_pruned_search_reads_probed_cells_only(spark, tmp_path):
+def test_pruned_search_reads_visited_cells_only(spark, tmp_path):
     rng = np.random.default_rng(3)
     centres = np.eye(10) * 10
     matrix = np.repeat(centres, 60, axis=0) + rng.normal(size=(600, 10)) * 0.1
     docs_, questions = points(spark, matrix, "doc_id"), points(spark, centres, "request_id")
-    vectors.VectorCells.build(docs_, leaf_size=60, iterations=20).save(str(tmp_path / "c"))
-    cells = vectors.VectorCells.load(spark, str(tmp_path / "c"))
-    hits = cells.search(questions, 5, searched=0.2)
+    leaves = saved_and_loaded(spark, docs_, str(tmp_path / "c"), leaf_size=30, iterations=20)
     exact = vectors.vector_top_k(questions, docs_, 5)
-    assert vectors.recall(hits, exact).collect()[0]["recall"] >= 0.8
-    one = cells.search(questions.where("request_id = 0"), 5, searched=0.1)
+    assert vectors.recall(leaves.search(questions, 5), exact).collect()[0]["recall"] >= 0.9
+    one = leaves.search(questions.where("request_id = 0"), 5, searched=0.1)
     assert "PartitionFilters" in one._jdf.queryExecution().toString()
 
 
