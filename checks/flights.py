@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -10,7 +12,10 @@ from checks.sql import rnd, short_number, sql
 from flightlake.functions.times import event_timestamp
 from flightlake.operators import gold as gold_ops
 from flightlake.operators import quality, views
+from flightlake.plans import daily_gold
 from flightlake.plans.medallion import riskiest_routes
+from flightlake.session import work_folder
+from flightlake.sources import tables
 
 FLIGHT_COLUMNS = (
     "flight_id, airline, origin, destination, departure_delay_min, arrival_delay_min, "
@@ -161,6 +166,20 @@ def gold_summary(spark, sf):
     return fx.gold(spark, sf)
 
 
+@query("gold_daily", sql("SELECT * FROM gold"))
+def gold_daily(spark, sf):
+    """Gold after Silver has grown by its last ten days, which alone are summed by the second refresh."""
+    name = f"daily_{uuid.uuid4().hex}"
+    silver = fx.silver(spark, sf)
+    cut = F.date_sub(F.lit(fx.AS_OF), 10)
+    tables.write_silver(silver.where(F.col("ingest_date") < cut), f"{name}_silver", work_folder(spark, "silver"))
+    daily_gold.refresh_gold(spark, f"{name}_silver", f"{name}_sums", f"{name}_gold", fx.NOW)
+    rest = silver.where(F.col("ingest_date") >= cut)
+    rest.write.mode("append").format("parquet").partitionBy("ingest_date").saveAsTable(f"{name}_silver")
+    daily_gold.refresh_gold(spark, f"{name}_silver", f"{name}_sums", f"{name}_gold", fx.NOW)
+    return spark.table(f"{name}_gold")
+
+
 @query(
     "counts",
     sql(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks import fixtures as fx
+from checks import flights  # noqa: F401  its SQL is used again here
 from checks.facts import PAIR_ORDER, PAIRS, RAG_STATUS
-from checks.registry import query
+from checks.registry import ORACLES, query
 from checks.sessions import _kept
 from checks.sql import sql
 from flightlake.operators.vectors import embed_documents
+from flightlake.plans.sql_tools import register_tools
 from flightlake.plans.warehouse import Warehouse
 
 
@@ -104,3 +108,70 @@ def tool_status_fallback(spark, sf):
 @query("tool_search")
 def tool_search(spark, sf):
     return _warehouse(spark, sf).search_flight_records("weather delays on route ATL-LAX", 5)
+
+
+# --- the tools as SQL table functions ---
+
+
+def _asked(spark, sf, call: str, fields: str | None = None):
+    """The rows of a call in SQL; a fact's JSON as columns beside its source where ``fields`` names them."""
+    register_tools(_warehouse(spark, sf))
+    rows = spark.sql(f"SELECT * FROM {call}")
+    if fields is None:
+        return rows
+    return rows.select("source", F.from_json("fact", fields).alias("fact")).select("source", "fact.*")
+
+
+AIRLINE_FIELDS = (
+    "airline string, flight_count bigint, avg_delay_min double, delayed_pct double, weather_pct double"
+)
+WEATHER_FIELDS = (
+    "total_flights bigint, weather_affected bigint, weather_pct double, avg_delay_if_weather double"
+)
+
+
+@query("sql_delay_risk", ORACLES["tool_delay_risk"])
+def sql_delay_risk(spark, sf):
+    return _asked(spark, sf, "detect_delay_risk('aa')")
+
+
+@query("sql_weather_impact", ORACLES["weather_impact"])
+def sql_weather_impact(spark, sf):
+    return _asked(spark, sf, "detect_weather_impact(airline => 'dl')")
+
+
+@query("tool_weather_impact", ORACLES["weather_impact"])
+def tool_weather_impact(spark, sf):
+    return _warehouse(spark, sf).detect_weather_impact("dl")
+
+
+@query("sql_pipeline_status", f"SELECT *, 'gold_layer' AS source FROM ({ORACLES['gold_refresh']}) g")
+def sql_pipeline_status(spark, sf):
+    return _asked(spark, sf, "get_pipeline_status()")
+
+
+@query("sql_facts_fallback", f"SELECT *, 'secondary' AS source FROM ({ORACLES['weather_facts']}) w")
+def sql_facts_fallback(spark, sf):
+    """No document is of that airline; the weather report knows no airline."""
+    return _asked(spark, sf, "query_facts('weather', airline => 'ZZ')", WEATHER_FIELDS)
+
+
+@query("tool_facts_fallback", ORACLES["sql_facts_fallback"])
+def tool_facts_fallback(spark, sf):
+    return _warehouse(spark, sf).query_facts("weather", airline="ZZ")
+
+
+@query("sql_analytics", ORACLES["query_analytics"])
+def sql_analytics(spark, sf):
+    return _asked(spark, sf, "query_analytics('airline', 'aa')", AIRLINE_FIELDS)
+
+
+@query("sql_analytics_fallback", ORACLES["query_analytics_fallback"])
+def sql_analytics_fallback(spark, sf):
+    """No flight has that airline's route report yet, so the documents answer."""
+    lake = _warehouse(spark, sf)
+    lake.silver = lake.silver.where("airline = 'none'")
+    register_tools(lake)
+    rows = spark.sql("SELECT * FROM query_analytics('airline')")
+    pairs = "airline string, route string, flight_count bigint, avg_delay_min double, weather_pct double, delayed_pct double"
+    return rows.select("source", F.from_json("fact", pairs).alias("fact")).select("source", "fact.*")

@@ -106,9 +106,47 @@ def gold_summary(silver: DataFrame, now: dt.datetime | None = None) -> DataFrame
     grouped = base.groupingSets([[key] for key in keys], *keys).agg(
         *_delay_means(),
         F.count_if("delayed").alias("delayed_flights"),
-        F.grouping("airline").alias("not_airline"),
-        F.grouping("route").alias("not_route"),
+        *_grouped_by(),
     )
+    return _summary_rows(grouped).withColumn("generated_ts", as_timestamp(now))
+
+
+def day_sums(silver: DataFrame) -> DataFrame:
+    """What Gold needs of a day, as sums that add up over days: one row per day, airline and route."""
+    delays = [F.col(f"{kind}_delay_min").cast("bigint") for kind in ("departure", "arrival")]
+    return with_route(silver).groupBy("airline", "route", "ingest_date").agg(
+        F.count("*").alias("flights"),
+        F.sum(delays[0]).alias("dep_total"),
+        F.count(delays[0]).alias("dep_known"),
+        F.sum(delays[1]).alias("arr_total"),
+        F.count(delays[1]).alias("arr_known"),
+        F.count_if(F.col("status") == "DELAYED").alias("delayed"),
+    )
+
+
+def gold_from_sums(sums: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    """``gold_summary`` of the flights whose ``day_sums`` these are."""
+
+    def mean_of(total: str, known: str) -> Column:
+        return F.round(F.try_divide(F.sum(total).cast("double"), F.sum(known)), 2)
+
+    keys = ["airline", "route", "ingest_date"]
+    grouped = sums.groupingSets([[key] for key in keys], *keys).agg(
+        mean_of("dep_total", "dep_known").alias("avg_dep_delay_min"),
+        mean_of("arr_total", "arr_known").alias("avg_arr_delay_min"),
+        F.sum("flights").alias("total_flights"),
+        F.sum("delayed").alias("delayed_flights"),
+        *_grouped_by(),
+    )
+    return _summary_rows(grouped).withColumn("generated_ts", as_timestamp(now))
+
+
+def _grouped_by() -> list[Column]:
+    return [F.grouping("airline").alias("not_airline"), F.grouping("route").alias("not_route")]
+
+
+def _summary_rows(grouped: DataFrame) -> DataFrame:
+    """The summary rows that the groups by airline, by route and by day stand for."""
 
     def row(summary_type: str, key: str, with_means: bool, total: str) -> Column:
         means = [
@@ -136,7 +174,7 @@ def gold_summary(silver: DataFrame, now: dt.datetime | None = None) -> DataFrame
             F.array(row(DELAYED_BY_DAY, "ingest_date", False, "delayed_flights")),
         )
     )
-    return grouped.select(F.inline(rows)).withColumn("generated_ts", as_timestamp(now))
+    return grouped.select(F.inline(rows))
 
 
 def counts(silver: DataFrame, gold: DataFrame) -> DataFrame:
