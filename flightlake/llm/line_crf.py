@@ -192,7 +192,7 @@ def fit(
     that look good become good, but for the worst one. Three folds train, the
     fourth calibrates. Without labels of both kinds the score is a constant.
     """
-    rows = materialise(labelled(docs, labels, label, id_col, text_col, most_docs), "quality-labelled")
+    rows = materialise(labelled(docs, labels, label, id_col, text_col, most_docs), "quality-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

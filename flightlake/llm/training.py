@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightlake.session import materialise
+
 FOLDS = 5
+MOST_TRAINING_LINES = 2_000_000
 
 
 def fold(id_col: str) -> Column:
@@ -20,13 +23,22 @@ def held_out(id_col: str) -> Column:
 
 
 def labelled(
-    docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, most_docs: int
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    id_col: str,
+    text_col: str,
+    most_docs: int,
+    most_lines: int = MOST_TRAINING_LINES,
 ) -> DataFrame:
-    """(text, label, fold) of at most ``most_docs`` labelled ids outside fold 0, drawn by a hash of the id.
+    """(text, label, fold), written: at most ``most_docs`` labelled ids outside fold 0, drawn by a hash of the id.
 
-    Null labels and ids are left out; an id labelled twice has its larger label.
-    The drawn ids are sent to the tasks, bounded by ``most_docs``, so of all
-    texts only theirs move.
+    Null labels and ids are left out; an id labelled twice has its larger label,
+    and of rows that repeat an id one text counts, the one with the least hash.
+    Together the texts have at most ``most_lines`` lines, a hundred characters
+    counting as a line more, and one text a twentieth of that; of what exceeds it
+    nothing is learned. The drawn ids are sent to the tasks, bounded by
+    ``most_docs``, so of all texts only theirs move.
     """
     usable = (
         labels.select(F.col(id_col).alias("_label_id"), F.col(label).cast("int").alias("label"))
@@ -35,10 +47,19 @@ def labelled(
         .agg(F.max("label").alias("label"))
     )
     drawn = usable.orderBy(F.xxhash64("_label_id")).limit(most_docs)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    return rows.join(F.broadcast(drawn), F.col("_id") == F.col("_label_id")).select(
-        "text", "label", fold("_id").alias("fold")
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    lines = F.regexp_count("text", F.lit("\n")) + 1 + F.expr("length(text) div 100")
+    sized = rows.join(F.broadcast(drawn), F.col("_id") == F.col("_label_id")).withColumn("lines", lines)
+    single = (
+        sized.where(F.col("lines") <= most_lines // 20)
+        .groupBy("_id", "label")
+        .agg(F.min_by(F.struct("text", "lines"), F.xxhash64("text")).alias("one"))
+        .select("_id", "label", "one.*")
     )
+    single = materialise(single, f"{label}-labelled")
+    by_hash = Window.orderBy(F.xxhash64("_id")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = single.select("_id", F.sum("lines").over(by_hash).alias("upto")).where(F.col("upto") <= most_lines)
+    return single.join(F.broadcast(fitting), "_id").select("text", "label", fold("_id").alias("fold"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, float]:
