@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from flightlake.llm.common import WORD, whole_text
+from flightlake.llm.common import WORD, fresh, whole_text
 from flightlake.session import materialise
 
 BUCKET_BITS = 12
@@ -270,17 +270,37 @@ def mixed_texts(docs: DataFrame, mix: Mix, key: str, text_col: str) -> DataFrame
     run's words stays; a whole copy keeps its text as it is.
     """
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    first, n = F.col("_run.first_word") + 1, F.col("_run.n_words")
+    size, runs, run = (fresh(docs, name) for name in ("_size", "_runs", "_run"))
+    first, n = F.col(run)["first_word"] + 1, F.col(run)["n_words"]
     part = F.array_join(F.slice(words, first.cast("int"), n.cast("int")), "")
-    runs = mix.docs.select(key, F.col("size").alias("_size"), "runs").where(F.size("runs") > 0)
+    taken = mix.docs.where(F.size("runs") > 0).select(
+        F.col(key), F.col("size").alias(size), F.col("runs").alias(runs)
+    )
     return (
-        docs.join(runs, key)
-        .withColumn("_run", F.explode("runs"))
-        .withColumn(text_col, F.when(n == F.col("_size"), F.col(text_col)).otherwise(F.ltrim(part)))
+        docs.join(taken, key)
+        .withColumn(run, F.explode(runs))
+        .withColumn(text_col, F.when(n == F.col(size), F.col(text_col)).otherwise(F.ltrim(part)))
         .select(docs.columns)
     )
 
 
+def shard_words(mix: Mix, key: str) -> DataFrame:
+    """The rows of ``mix.docs`` with ``shard_words``: the words that each shard's quota takes of the document.
+
+    key: a unique column that the mix has kept. An entry per shard, 0 where it takes
+    none; their sum is ``taken``.
+    """
+    shards = mix.quotas.select(F.max("shard") + 1).scalar()
+    per_shard = mixed_blocks(mix).groupBy(key, "shard").agg(F.sum("n_words").alias("n"))
+    told = per_shard.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("held"))
+    rows = mix.docs.join(told, key, "left").withColumn("upto", F.coalesce(shards, F.lit(0)) - 1)
+    filled = F.transform(
+        F.when(F.col("upto") >= 0, F.sequence(F.lit(0), "upto")).otherwise(F.array().cast("array<int>")),
+        lambda s: F.coalesce(F.try_element_at("held", s), F.lit(0).cast("long")),
+    )
+    return rows.withColumn("shard_words", filled).drop("held", "upto")
+
+
 def mixed_blocks(mix: Mix) -> DataFrame:
     """The mix itself: a row per run of words that a shard takes from a document.
 

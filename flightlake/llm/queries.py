@@ -54,10 +54,12 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_mix_sources")
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from flightlake.llm.mixing import mix_sources
+    """Beside the words taken, how they fall to the sixteen shards by the shards' quotas."""
+    from flightlake.llm.mixing import mix_sources, shard_words
 
-    mix = mix_sources(table(spark, sf_dir, "documents"))
-    return mix.docs.select("doc_id", "source", "size", "source_size", "target", "taken")
+    docs = table(spark, sf_dir, "documents").withColumn("row", F.monotonically_increasing_id())
+    found = shard_words(mix_sources(docs, keep=("row",)), "row")
+    return found.select("doc_id", "source", "size", "source_size", "target", "taken", "shard_words")
 
 
 OP8_SQL = r"""

@@ -121,6 +121,30 @@ def test_blocks_and_texts_hold_the_words_taken(spark, sf_dir):
     assert words == blocks
 
 
+def test_quotas_decide_the_words_of_each_shard(spark, sf_dir):
+    rows = queries.QUERIES["op7_mix_sources"](spark, sf_dir).collect()
+    assert all(len(r["shard_words"]) == 16 and sum(r["shard_words"]) == r["taken"] for r in rows)
+    mix = mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    words = {r["number"]: (r["source"], r["block_words"]) for r in mix.sources.collect()}
+    held = defaultdict(Counter)
+    for r in rows:
+        held[r["source"]].update(dict(enumerate(r["shard_words"])))
+    for r in mix.quotas.collect():
+        source, length = words[r["number"]]
+        # the last block of a source may be short, and is taken twice at most
+        assert 0 <= r["quota"] * length - held[source][r["shard"]] <= 2 * length
+
+
+def test_texts_keep_columns_that_clash(spark):
+    docs = documents(spark).withColumn("key", F.monotonically_increasing_id())
+    plain = sorted(r["text"] for r in mixed_texts(docs, mix_sources(docs, keep=("key",)), "key", "text").collect())
+    names = ["_size", "size", "runs", "_runs", "_run", "number", "taken", "shard"]
+    clashing = docs.withColumns({c: F.lit(c) for c in names})
+    rows = mixed_texts(clashing, mix_sources(clashing, keep=("key",)), "key", "text").collect()
+    assert sorted(r["text"] for r in rows) == plain
+    assert all(r[c] == c for r in rows for c in names)
+
+
 def test_awkward_rows(spark):
     clashing = documents(spark).withColumns({c: F.lit(1) for c in ("size", "place", "bucket", "target", "start")})
     rows = mix_sources(clashing).docs.collect()
