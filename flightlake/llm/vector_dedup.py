@@ -8,76 +8,90 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.dataset as ds
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.llm.common import numbered
 from flightlake.llm.components import components
-from flightlake.session import materialise
+from flightlake.llm.nearest import moderate, products, squares
+from flightlake.session import materialise, work_folder
 
-#: Most rows and bytes (as doubles) of one block of a cell; a larger cell is compared block by block.
+#: Most rows of a portion, and most bytes of its vectors as doubles.
 BLOCK_ROWS = 8192
-BLOCK_BYTES = 8 << 20
-#: Rows of either side that are compared at a time.
+BLOCK_BYTES = 64 << 20
+#: Rows of one side that are compared at a time, and open pairs that are recomputed at a time.
 TILE_ROWS = 1024
-#: Labels that get cells of their own, the largest first, and the most cells of one; both bound the pivots.
-CELL_LABELS = 64
-MOST_CELLS = 64
-
-
-def rotation(dims: int, number: int, seed: int) -> np.ndarray:
+PAIRS = 1 << 16
+#: Bits per coordinate of a code, and dimensions whose products add up exactly in single precision.
+BITS = 8
+EXACT_DIMS = 1024
+#: What rounding may add to an angle, in radians.
+ROUNDING = 1e-7
+#: Portion pairs with the same first portion that one task compares in a row, and most tasks.
+PAIRS_PER_TASK = 16
+MOST_TASKS = 20_000
+
+
+def rotation(dims: int, seed: int) -> np.ndarray:
     """A random orthogonal matrix, the same in every task."""
-    q, r = np.linalg.qr(np.random.default_rng([seed, number, dims]).standard_normal((dims, dims)))
+    q, r = np.linalg.qr(np.random.default_rng([seed, dims]).standard_normal((dims, dims)))
     return q * np.sign(np.diag(r))
 
 
-class Coder:
-    """Sign bits of rotated unit vectors: the first rotation gives the code, all of them bucket keys."""
+def encode(unit: np.ndarray, turn: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, length, factor) of unit vectors: ``bits`` binary digits per rotated coordinate, signed.
+
+    length: of the code as a vector; factor: the inner product of the rotated
+    vector with the code's direction, that is the cosine of the angle between both.
+    """
+    rotated = unit @ turn
+    top = 2 ** (bits - 1) - 1
+    code = np.rint(rotated * (top / np.abs(rotated).max(1, keepdims=True))).astype(np.int8)
+    length = np.linalg.norm(code.astype(float), axis=1)
+    return code, length, (rotated * code).sum(1) / length
+
+
+class Portion:
+    """Codes of one label and length in a portion, as matrices."""
 
-    def __init__(self, dims: int, bits: int, tables: int, seed: int):
-        self.dims, self.bits, self.tables = dims, bits, tables
-        self.rotations = [rotation(dims, i, seed) for i in range(-(-bits * tables // dims))]
+    def __init__(self, rows: pa.Table, dims: int):
+        code = np.frombuffer(b"".join(rows["code"].to_pylist()), np.int8).reshape(-1, dims)
+        self.code = code.astype(np.float32)
+        self.number = rows["class"].to_numpy()
+        self.members = rows["members"].to_numpy()
+        self.length, self.factor = rows["length"].to_numpy(), rows["factor"].to_numpy()
+        self.angle = np.arccos(np.clip(self.factor, -1, 1)) + ROUNDING
 
-    def __call__(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(code signs, correction factors, keys per table) of unit vectors."""
-        rotated = [unit @ r for r in self.rotations]
-        signs = np.where(rotated[0] >= 0, 1.0, -1.0)
-        factor = np.abs(rotated[0]).sum(1) / math.sqrt(self.dims)
-        all_bits = np.hstack([x >= 0 for x in rotated])[:, : self.bits * self.tables]
-        grouped = all_bits.reshape(len(unit), self.tables, self.bits)
-        return signs, factor, grouped @ (1 << np.arange(self.bits, dtype=np.int64))
 
+def code_cosines(left: Portion, at: slice, right: Portion) -> np.ndarray:
+    """Cosines between the codes of ``left`` in ``at`` and all of ``right``, from integer products."""
+    total = np.zeros((len(left.code[at]), len(right.code)))
+    for d in range(0, left.code.shape[1], EXACT_DIMS):
+        total += left.code[at, d : d + EXACT_DIMS] @ right.code[:, d : d + EXACT_DIMS].T
+    return total / (left.length[at][:, None] * right.length)
 
-def certain_links(
-    left: dict, right: dict, threshold: float, once: bool = False
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs with a cosine of at least ``threshold`` in double precision, a portion at a time.
 
-    A rotated left vector lies at a known angle, by its stored factor, to its
-    code, and the right vector at the angle of its inner product with that code:
-    the angle between both is at least the difference. Only pairs whose bound,
-    widened by what single precision may round off, reaches the threshold are
-    computed exactly; none is ruled out by chance. ``once``: pairs i < j only.
+def estimates(left: Portion, at: slice, right: Portion) -> np.ndarray:
+    """Inner products of the vectors themselves, unbiased over the rotations: the codes' cosines by both factors."""
+    return code_cosines(left, at, right) / (left.factor[at][:, None] * right.factor)
+
+
+def decided(left: Portion, at: slice, right: Portion, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(surely linked, open) for each pair of a tile.
+
+    A vector lies at the angle of its stored factor to its code. The angle between
+    two vectors is therefore that between their codes, up to the sum of both: an
+    interval around the estimate that holds in any case. Pairs whose interval lies
+    on one side of the threshold are decided, the others are open.
     """
-    dims = left["signs"].shape[1]
-    error = (dims + 2) * 2.0**-23
-    for top in range(0, len(left["signs"]), TILE_ROWS):
-        signs = left["signs"][top : top + TILE_ROWS]
-        factor = np.minimum(1, left["factor"][top : top + TILE_ROWS])[:, None]
-        rest = np.sqrt(1 - factor**2).astype(np.float32)
-        factor = factor.astype(np.float32)
-        for side in range(top if once else 0, len(right["rotated"]), TILE_ROWS):
-            inner = signs @ right["rotated"][side : side + TILE_ROWS].T / np.float32(math.sqrt(dims))
-            bound = factor * inner + rest * np.sqrt(np.maximum(0, 1 - inner**2) + np.float32(3 * error))
-            a, b = np.nonzero(bound >= threshold - error - 1e-6)
-            a, b = a + top, b + side
-            if once:
-                a, b = a[a < b], b[a < b]
-            for at in range(0, len(a), 1 << 16):
-                i, j = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
-                dots = np.einsum("ij,ij->i", left["vector"][i], right["vector"][j])
-                sure = dots / (left["norm"][i] * right["norm"][j]) >= threshold
-                if sure.any():
-                    yield i[sure], j[sure]
+    between = code_cosines(left, at, right)
+    a, b, limit = left.angle[at][:, None], right.angle, math.acos(threshold)
+    both = a + b
+    widest, nearest = limit + both, limit - both
+    possible = (between >= np.cos(limit + a) * np.cos(b) - np.sin(limit + a) * np.sin(b)) | (widest >= math.pi)
+    sure = (between >= np.cos(limit - a) * np.cos(b) + np.sin(limit - a) * np.sin(b)) & (nearest > 0)
+    return sure, possible & ~sure
 
 
 def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -95,7 +109,11 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def classes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): (id, key) per row, key null for what links with nothing; and each distinct vector once."""
+    """(rows, classes): (id, key) per row, key null for what links with nothing; and each distinct vector once.
+
+    Classes are numbered through in order of label and length, and dealt into
+    portions of so many rows by that number.
+    """
     single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     number, stored = ("float", "<f4") if single else ("double", "<f8")
     rows = vectors.select(
@@ -136,222 +154,142 @@ def classes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
             F.first("dims").alias("dims"),
             F.first("vector").alias("vector"),
         )
-        .withColumn("class", F.monotonically_increasing_id())
     )
-    return keyed.select("id", "key"), materialise(classes, "vector-classes")
+    return keyed.select("id", "key"), numbered(classes, ["label", "dims", "key"], "class")
 
 
-def pivots_of(classes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """Unit vectors of classes drawn by a hash, for labels of more rows than a block has.
-
-    A label has a cell for every BLOCK_ROWS classes. At most CELL_LABELS labels
-    with MOST_CELLS pivots each reach the driver; other labels are one cell.
-    """
-    place = ["label", "dims"]
-    sizes = classes.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK_ROWS)
-    largest = sizes.orderBy(F.desc("n"), *place).limit(CELL_LABELS)
-    order = Window.partitionBy(*place).orderBy(F.xxhash64("class"), "class")
-    drawn = (
-        classes.join(F.broadcast(largest), place)
-        .select(*place, "n", "vector", F.row_number().over(order).alias("place"))
-        .where((F.col("place") <= MOST_CELLS) & (F.col("place") <= F.ceil(F.col("n") / BLOCK_ROWS)))
-    )
-    held: dict[tuple[str, int], list[bytes]] = {}
-    for r in drawn.collect():
-        held.setdefault((r["label"], r["dims"]), []).append(bytes(r["vector"]))
-    return {k: scaled(matrix_of(sorted(v), k[1]))[0] for k, v in held.items()}
-
+def matrix_of(blobs: list[bytes], dims: int) -> np.ndarray:
+    """Stored vectors, of single or double precision, as doubles."""
+    joined = b"".join(blobs)
+    stored = "<f4" if len(joined) == 4 * dims * len(blobs) else "<f8"
+    return np.frombuffer(joined, stored).reshape(-1, dims).astype(float)
 
-def cells_of(unit: np.ndarray, pivots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(home cell of each vector, whether it visits each cell).
 
-    A vector's home is the pivot with the largest inner product. A vector that
-    links with one whose home is another cell lies within the angle of the
-    threshold to the border between both pivots. Of the two, the one whose home
-    has the larger number visits the other's cell, so they meet exactly once.
-    """
-    inner = unit @ pivots.T
-    home = inner.argmax(1)
-    lead = np.take_along_axis(inner, home[:, None], 1) - inner
-    apart = np.linalg.norm(pivots[:, None] - pivots[None], axis=2)[home]
-    reach = math.sqrt(max(0.0, 1 - threshold**2)) if threshold > 0 else math.inf
-    near = lead <= reach * apart + 1e-6 if threshold > 0 else np.ones(lead.shape, bool)
-    return home, near & (np.arange(len(pivots)) < home[:, None])
+def scaled(matrix: np.ndarray) -> np.ndarray:
+    """Unit vectors, also of very large and very small numbers."""
+    near_one = moderate(matrix)
+    return near_one / np.linalg.norm(near_one, axis=1)[:, None]
 
 
-def celled(classes: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """(label, dims, class, members, vector, code, factor, cells): a row per class.
+def coded(classes: DataFrame, seed: int) -> str:
+    """The folder of codes: a row per class, in a subfolder per portion.
 
-    code: a bit per rotated coordinate, set if it isn't negative; factor: the
-    inner product of the rotated unit vector with its code; cells: its home, then
-    the cells that it visits.
+    The vector is stored beside its code, for the tasks that have to recompute a
+    pair of it.
     """
-    pivots = pivots_of(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders: dict[int, Coder] = {}
+        turns: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                labels, sizes = part.column("label").to_pylist(), part.column("dims").to_pylist()
-                groups: dict[tuple, list[int]] = {}
-                for i, place in enumerate(zip(labels, sizes, strict=True)):
-                    groups.setdefault(place if place in pivots else (None, place[1]), []).append(i)
-                for place, chosen in groups.items():
-                    dims = place[1]
-                    coder = coders.setdefault(dims, Coder(dims, 1, 1, seed))
-                    rows = part.take(pa.array(chosen))
-                    unit = scaled(matrix_of(rows.column("vector").to_pylist(), dims))[0]
-                    signs, factor, _ = coder(unit)
-                    codes = [x.tobytes() for x in np.packbits(signs > 0, axis=1)]
-                    home, visits = np.zeros(len(unit), np.int64), np.zeros((len(unit), 1), bool)
-                    if place in pivots:
-                        home, visits = cells_of(unit, pivots[place], threshold)
-                    cells = [[h, *np.flatnonzero(v).tolist()] for h, v in zip(home.tolist(), visits, strict=True)]
+            sizes = np.array(batch.column("dims").to_pylist())
+            for dims in np.unique(sizes).tolist():
+                turn = turns.setdefault(dims, rotation(dims, seed))
+                rows = batch.take(pa.array(np.flatnonzero(sizes == dims)))
+                for at in range(0, rows.num_rows, TILE_ROWS):
+                    part = rows.slice(at, TILE_ROWS)
+                    code, length, factor = encode(scaled(matrix_of(part.column("vector").to_pylist(), dims)), turn)
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(c) for c in ("label", "dims", "class", "members", "vector")]
-                        + [pa.array(codes, pa.binary()), pa.array(factor), pa.array(cells, pa.list_(pa.int32()))],
-                        names=["label", "dims", "class", "members", "vector", "code", "factor", "cells"],
+                        [part.column(c) for c in told]
+                        + [pa.array([c.tobytes() for c in code], pa.binary()), pa.array(length), pa.array(factor)],
+                        names=[*told, "code", "length", "factor"],
                     )
 
-    return classes.select("label", "dims", "class", "members", "vector").mapInArrow(
+    told = ["portion", "label", "dims", "class", "members", "vector"]
+    codes = classes.select(*told).mapInArrow(
         run,
-        "label string, dims int, class long, members long, vector binary, "
-        "code binary, factor double, cells array<int>",
+        "portion long, label string, dims int, class long, members long, vector binary, "
+        "code binary, length double, factor double",
     )
+    folder = work_folder(classes.sparkSession, "vector-codes")
+    codes.write.partitionBy("portion").parquet(folder)
+    return folder
 
 
-def matrix_of(blobs: list[bytes], dims: int) -> np.ndarray:
-    """Stored vectors, of single or double precision, as doubles."""
-    joined = b"".join(blobs)
-    stored = "<f4" if len(joined) == 4 * dims * len(blobs) else "<f8"
-    return np.frombuffer(joined, stored).reshape(-1, dims).astype(float)
+def portion_pairs(classes: DataFrame) -> DataFrame:
+    """(i, j), i <= j: the portions that have a label and length in common, a row per pair of portions.
 
-
-def scaled(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit vectors, lengths), safe for very large and very small numbers."""
-    largest = np.abs(matrix).max(1, keepdims=True)
-    moderate = matrix / largest
-    norm = np.linalg.norm(moderate, axis=1)
-    return moderate / norm[:, None], norm
-
-
-def blocked(rows: DataFrame) -> DataFrame:
-    """A row per cell and block pair (i, j), i <= j, in which a class takes part, with its own block.
-
-    Cells with one row or with visitors alone are gone. The rows at home in a
-    cell, and its visitors behind them, are dealt into as many blocks as they
-    need by a hash of the class. A row goes to each pair of its block with one
-    of rows at home, a row at home to each pair with a block of visitors too:
-    block pairs stay small, however large the cell, and no two blocks of
-    visitors meet.
+    Classes being in order, only one label reaches from a portion into the next,
+    so a pair of different portions has one in common.
     """
-    place = ["label", "dims", "cell"]
-    told = [c for c in rows.columns if c != "cells"]
-    rows = rows.select(*told, F.posexplode("cells").alias("visits", "cell"))
-    rows = rows.withColumn("visits", F.col("visits") > 0)
-    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dims")))))
-    sizes = rows.groupBy(*place).agg(
-        F.count_if(~F.col("visits")).alias("homes"), F.count_if("visits").alias("visitors")
-    )
-    sizes = sizes.where("homes > 0 AND homes + visitors > 1").select(
-        *place, F.ceil(F.col("homes") / most).alias("own"), F.ceil(F.col("visitors") / most).alias("guests")
-    )
-    hashed = F.xxhash64("class")
-    dealt = (
-        rows.join(sizes, place)
-        .withColumn(
-            "block",
-            F.when(F.col("visits"), F.col("own") + F.pmod(hashed, F.greatest("guests", F.lit(1))))
-            .otherwise(F.pmod(hashed, F.col("own")))
-            .cast("int"),
-        )
-        .withColumn("last", F.col("own") - 1 + F.when(F.col("visits"), 0).otherwise(F.col("guests")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last").cast("int"))))
-    )
-    return dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop(
-        "own", "guests", "last", "other", "visits"
-    )
+    ranges = classes.groupBy("label", "dims").agg(F.min("portion").alias("low"), F.max("portion").alias("high"))
+    firsts = ranges.select("high", F.explode(F.sequence("low", "high")).alias("i"))
+    return firsts.select("i", F.explode(F.sequence("i", "high")).alias("j")).distinct()
 
 
-def linked(pairs: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """(class, links, root): per block pair, the linked vectors of each class and the least class it is connected with.
+def linked(folder: str, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(class, links, root): per pair of portions, the linked vectors of each class and the least class it is connected with.
 
-    Rows arrive sorted by block pair; one pair at a time is compared as
-    matrices.
+    A task reads the two portions' codes, and whole vectors only where the
+    interval of a pair leaves it open.
     """
-    place = ["label", "dims", "cell", "i", "j"]
-
-    def compare(rows: dict[str, np.ndarray], vectors: list[bytes], codes: list[bytes], dims: int):
-        matrix = matrix_of(vectors, dims)
-        unit, norm = scaled(matrix)
-        coder = coders.setdefault(dims, Coder(dims, 1, 1, seed))
-        stored = np.frombuffer(b"".join(codes), np.uint8).reshape(len(unit), -1)
-        side = {
-            "signs": np.float32(2) * np.unpackbits(stored, axis=1)[:, :dims] - np.float32(1),
-            "factor": rows["factor"],
-            "rotated": (unit @ coder.rotations[0]).astype(np.float32),
-            "vector": matrix / np.abs(matrix).max(1, keepdims=True),
-            "norm": norm,
-        }
-        low, high = (np.flatnonzero(rows["block"] == rows[x][0]) for x in ("i", "j"))
-        once = rows["i"][0] == rows["j"][0]
-        left, right = ({k: v[x] for k, v in side.items()} for x in (low, high))
-        links, root = np.zeros(len(unit), np.int64), np.arange(len(unit))
-        for a, b in certain_links(left, right, threshold, once):
-            a, b = low[a], high[b]
-            np.add.at(links, a, rows["members"][b])
-            np.add.at(links, b, rows["members"][a])
-            root = spanning(len(unit), root[a], root[b])[root]
-        if not links.any():
-            return None
-        told = np.flatnonzero(links)
-        return rows["class"][told], links[told], rows["class"][root[told]]
 
-    coders: dict[int, Coder] = {}
-    told_columns = ("class", "members", "block", "dims", "i", "j", "factor")
+    def read(portion: int, columns: list[str]) -> pa.Table:
+        return ds.dataset(f"{folder}/portion={portion}", format="parquet").to_table(columns=columns).sort_by("class")
+
+    def groups(portion: int) -> dict[tuple[str, int], Portion]:
+        rows = read(portion, ["label", "dims", "class", "members", "code", "length", "factor"])
+        found = {}
+        for told in rows.group_by(["label", "dims"]).aggregate([]).to_pylist():
+            same = (ds.field("label") == told["label"]) & (ds.field("dims") == told["dims"])
+            found[told["label"], told["dims"]] = Portion(rows.filter(same), told["dims"])
+        return found
+
+    def exact(portion: int, classes: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = read(portion, ["class", "vector"])
+        place = np.searchsorted(rows["class"].to_numpy(), classes)
+        vectors = moderate(matrix_of(rows["vector"].take(pa.array(place)).to_pylist(), dims))
+        return vectors, squares(vectors)
+
+    def links_of(left: Portion, right: Portion, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        open_pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        for top in range(0, len(left.code), TILE_ROWS):
+            at = slice(top, min(top + TILE_ROWS, len(left.code)))
+            sure, undecided = decided(left, at, right, threshold)
+            if i == j:
+                later = left.number[at][:, None] < right.number
+                sure, undecided = sure & later, undecided & later
+            a, b = np.nonzero(sure)
+            yield a + top, b
+            a, b = np.nonzero(undecided)
+            open_pairs.append((a + top, b))
+        a, b = (np.concatenate(x) for x in zip(*open_pairs, strict=True))
+        if not len(a):
+            return
+        dims = left.code.shape[1]
+        (rows_a, place_a), (rows_b, place_b) = (np.unique(x, return_inverse=True) for x in (a, b))
+        (u, uu), (v, vv) = exact(i, left.number[rows_a], dims), exact(j, right.number[rows_b], dims)
+        for at in range(0, len(a), PAIRS):
+            p, q = place_a[at : at + PAIRS], place_b[at : at + PAIRS]
+            near = products(u[p], v[q]) / np.sqrt(uu[p] * vv[q]) >= threshold
+            yield a[at : at + PAIRS][near], b[at : at + PAIRS][near]
+
+    def compare(left: Portion, right: Portion, i: int, j: int) -> pa.RecordBatch:
+        number = np.unique(np.concatenate([left.number, right.number]))
+        at_a, at_b = np.searchsorted(number, left.number), np.searchsorted(number, right.number)
+        links, root = np.zeros(len(number), np.int64), np.arange(len(number))
+        for a, b in links_of(left, right, i, j):
+            np.add.at(links, at_a[a], right.members[b])
+            np.add.at(links, at_b[b], left.members[a])
+            root = spanning(len(number), root[at_a[a]], root[at_b[b]])[root]
+        told = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number[told]), pa.array(links[told]), pa.array(number[root[told]])], names=["class", "links", "root"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: tuple[int, dict] = (-1, {})
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not table.num_rows:
-                continue
-            held = table if held is None else pa.concat_tables([held, table])
-            starts = boundaries(held)
-            if len(starts) > 1:
-                yield from told(held.slice(0, starts[-1]), starts[:-1])
-                held = held.slice(starts[-1])
-        if held is not None:
-            yield from told(held, boundaries(held))
-
-    def boundaries(table: pa.Table) -> np.ndarray:
-        change = np.zeros(table.num_rows, bool)
-        change[0] = True
-        for c in place:
-            values = np.array(table.column(c).to_pylist())
-            change[1:] |= values[1:] != values[:-1]
-        return np.flatnonzero(change)
-
-    def told(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        columns = {c: np.array(table.column(c).to_pylist()) for c in told_columns}
-        vectors, codes = (table.column(c).to_pylist() for c in ("vector", "code"))
-        out = []
-        for first, end in zip(starts, [*starts[1:], table.num_rows], strict=True):
-            rows = {c: v[first:end] for c, v in columns.items()}
-            found = compare(rows, vectors[first:end], codes[first:end], int(rows["dims"][0]))
-            if found:
-                out.append(found)
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["class", "links", "root"]
-            )
+            for i, j in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), strict=True):
+                if held[0] != i:
+                    held = i, groups(i)
+                others = held[1] if i == j else groups(j)
+                for key in held[1].keys() & others.keys():
+                    yield compare(held[1][key], others[key], i, j)
 
-    return (
-        pairs.repartition(*place)
-        .sortWithinPartitions(*place)
-        .mapInArrow(run, "class long, links long, root long")
-    )
+    runs = F.expr(f"j div {PAIRS_PER_TASK}")
+    tasks = max(1, min(MOST_TASKS, pairs.select("i", runs).distinct().count()))
+    dealt = pairs.repartition(tasks, "i", runs).sortWithinPartitions("i", "j")
+    return dealt.mapInArrow(run, "class long, links long, root long")
 
 
 def near_duplicates(
@@ -365,16 +303,21 @@ def near_duplicates(
     """(id_col, n_links, component_id, kept): a row per vector.
 
     Vectors of one label link at a cosine of ``threshold`` or more. Equal vectors
-    of a label are one class, counted but never paired; every other pair of a label
-    is compared, but for those that a certain bound rules out. A null label, and
+    of a label are one class, counted but never paired. The classes of a label are
+    compared by their codes, portion by portion: no vector is copied, and no pair is
+    left out. Only pairs whose interval holds the threshold are recomputed, in
+    double precision. A null label, and
     a vector that is null, empty, zero or holds null or non-finite numbers, links
     with nothing; vectors of different length don't link. Repeated rows are
     vectors of their own. component_id is the least id reachable, null ids aside;
     a null id is never kept. An empty table gives no rows.
     """
     rows, classes = classes_of(vectors, id_col, vector_col, label_col)
-    cells = materialise(celled(classes, threshold, seed), "vector-cells")
-    found = materialise(linked(blocked(cells), threshold, seed), "vector-links")
+    widest = classes.agg(F.max("dims")).first()[0] or 1
+    rows_each = max(64, min(BLOCK_ROWS, BLOCK_BYTES // (8 * widest)))
+    classes = materialise(classes.withColumn("portion", F.expr(f"class div {rows_each}")), "vector-classes")
+    pairs = materialise(portion_pairs(classes), "vector-pairs")
+    found = materialise(linked(coded(classes, seed), pairs, threshold), "vector-links")
     roots = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     named = (
