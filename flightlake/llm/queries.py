@@ -85,16 +85,15 @@ FROM m
 
 @query("op8_quality_rules", OP8_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The costs are estimated on a hundredth of the documents, as far as their base rules pass."""
+    """The costs are estimated on those of a hundredth of the documents that the base passes; so are the rules run."""
     from flightlake.llm.rules import cascade, document_rules, estimate, measures
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = document_rules()
-    estimates = estimate(measures(docs.sample(0.01, 1)), rules, 1.0)
-    measured = measures(docs)
-    base = cascade(measured.withColumn("base_kept", ~F.col("base_failed")), rules, estimates)
+    passing = measures(docs.sample(0.01, 1)).where("NOT base_failed")
+    verdict = cascade(measures(docs), rules, estimate(passing, rules, 1.0), F.col("base_failed"))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return base.select("doc_id", *columns, F.when(F.col("base_failed"), False).otherwise(F.col("kept")).alias("kept"))
+    return verdict.select("doc_id", *columns, "kept")
 
 
 def _kind_sql(number: int, kind: str, pattern: str, group: int, least: int) -> str:

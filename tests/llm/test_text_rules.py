@@ -143,6 +143,23 @@ def test_shouting_counts_words_and_long_runs_end(spark):
     assert [r["doc_id"] for r in measures(rows.where("doc_id >= 2000")).where(rule.rejects).orderBy("doc_id").collect()] == [2002, 2003]
 
 
+def test_rules_run_only_on_rows_that_earlier_tests_pass(spark):
+    rows = spark.createDataFrame([(1, True), (2, False), (3, None)], "n int, bad boolean")
+    failing = Rule("raises", F.when(F.col("n") == 1, F.raise_error(F.lit("was run")).cast("boolean")).otherwise(F.col("n") == 3))
+    verdict = cascade(rows, [failing], [Estimate("raises", 1, 0)], F.col("bad"))
+    assert [r["kept"] for r in verdict.orderBy("n").collect()] == [False, True, False]
+
+
+def test_estimates_on_one_sample_agree_on_what_is_dear(spark):
+    rows = spark.range(20_000).select(F.repeat(F.lit("word "), F.lit(200)).alias("text"), "id")
+    dear = Rule("dear", F.regexp_count(F.repeat("text", F.lit(20)), F.lit("(w|o|r)+d")) < 0)
+    cheap = Rule("cheap", F.col("id") % 2 == 0)
+    for _ in range(2):
+        by_name = {e.name: e for e in estimate(rows, [dear, cheap], 1.0)}
+        assert by_name["dear"].seconds > by_name["cheap"].seconds
+        assert (by_name["dear"].rejected, by_name["cheap"].rejected) == (0, 0.5)
+
+
 def test_cascade_order_never_changes_the_verdict(spark):
     rules = document_rules()
     rows = measures(documents(spark))
