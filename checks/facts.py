@@ -478,3 +478,47 @@ def batch_facts_types(spark, sf):
     none = fx.document_table(spark, sf).where("source_type = 'none'")
     asked = _asked(spark, sf).withColumn("query_type", F.expr(QUERY_TYPE))
     return _parsed(batch.batch_facts(asked, none, silver, views.route_risk(silver), fx.AS_OF))
+
+
+AGENT_ASKED = f"""SELECT *, CASE WHEN query_type IN ('route_risk', 'risk') THEN 'risk'
+    WHEN query_type IN ('airline', 'performance', 'delays') THEN 'airline'
+    WHEN query_type = 'weather' THEN 'weather' ELSE 'documents' END AS report
+  FROM (SELECT * REPLACE ({QUERY_TYPE} AS query_type) FROM asked) typed"""
+NO_FLIGHTS = f"""SELECT request_id, CAST(1 AS INTEGER) AS fact_rank, 'secondary' AS source, '' AS fact_key,
+    CAST(0 AS BIGINT) AS flights, CAST(NULL AS DOUBLE) AS measure, CAST(0 AS DOUBLE) AS second_measure,
+    CAST(NULL AS DOUBLE) AS weather_measure, CAST(NULL AS DOUBLE) AS other_measure
+  FROM ({AGENT_ASKED}) a WHERE report = 'weather'"""
+
+
+def _agent_sql(reports: str) -> str:
+    """The report's rows, else the documents'; the agent's risk report has no severe share."""
+    return f"""
+        SELECT * REPLACE ('primary' AS source, CAST(NULL AS DOUBLE) AS other_measure) FROM ({reports}) r
+        UNION ALL
+        SELECT p.* REPLACE (CASE WHEN a.report = 'documents' THEN 'primary' ELSE p.source END AS source)
+        FROM ({_pairs_sql('SELECT * FROM asked_docs')}) p JOIN ({AGENT_ASKED}) a USING (request_id)
+        WHERE request_id NOT IN (SELECT request_id FROM ({reports}) r)"""
+
+
+@query("agent_batch_facts", sql(_agent_sql(_reports_sql(AGENT_ASKED))))
+def agent_batch_facts(spark, sf):
+    """All nine types, and none, by the agent's order; other spellings ask the documents."""
+    silver = fx.silver(spark, sf)
+    asked = _asked(spark, sf).withColumn("query_type", F.expr(QUERY_TYPE))
+    return _parsed(
+        batch.agent_batch_facts(
+            asked, fx.document_table(spark, sf), silver, views.route_risk(silver), fx.AS_OF
+        )
+    )
+
+
+@query("agent_batch_facts_fallback", sql(_agent_sql(NO_FLIGHTS)))
+def agent_batch_facts_fallback(spark, sf):
+    """Silver holds no flight yet: the documents answer all but the weather report."""
+    silver = fx.silver(spark, sf).where("airline = 'none'")
+    asked = _asked(spark, sf).withColumn("query_type", F.expr(QUERY_TYPE))
+    return _parsed(
+        batch.agent_batch_facts(
+            asked, fx.document_table(spark, sf), silver, views.route_risk(silver), fx.AS_OF
+        )
+    )

@@ -6,12 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from checks.flights import ROUTE_FACTS
 from checks.registry import query
-from checks.sql import redact, signals, sql
+from checks.sql import avg, pct, redact, signals, sql
 from flightlake.functions import text
 from flightlake.operators import requests as req
 from flightlake.operators import views
-from flightlake.operators.batch_facts import RAG_NAMES
+from flightlake.operators.batch_facts import AGENT_AIRLINE, AGENT_RAG, AGENT_ROUTE, RAG_NAMES
 from flightlake.operators.documents import metadata_defaults
 from flightlake.operators.facts import pair_facts, recent_documents, slowest_pairs
 from flightlake.operators.logs import token_usage_rows
@@ -435,6 +436,99 @@ def answer_contexts(spark, sf):
     )
 
 
+def _fact_texts(names: list[str], rows: str, order: str) -> str:
+    """The ten first facts of each request, as text."""
+    pairs = " || ', ' || ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in names)
+    return f"""SELECT request_id, pick, {_json_sql(names, {'airline', 'route'})} AS fact_json,
+            {pairs} AS fact_pairs
+          FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY {order}) AS pick
+            FROM ({rows}) facts) ranked WHERE pick <= 10"""
+
+
+#: The two reports that agent questions name here; a question without such rows asks the documents.
+AGENT_REPORTS = " UNION ALL ".join(
+    [
+        _fact_texts(
+            AGENT_AIRLINE,
+            f"""SELECT r.request_id, s.airline, count(*) AS flight_count,
+              {avg('s.departure_delay_min', 1)} AS avg_delay_min,
+              {pct('s.departure_delay_min > 15')} AS delayed_pct, {pct('s.weather_flag')} AS weather_pct
+            FROM directed r JOIN silver s ON s.ingest_date >= DATE '2024-01-31' - r.days_back
+              AND (r.airline IS NULL OR r.airline = s.airline)
+            WHERE r.routed_to = 'agent' AND r.query_type = 'airline' GROUP BY 1, 2""",
+            "avg_delay_min DESC, airline",
+        ),
+        _fact_texts(
+            AGENT_ROUTE,
+            f"""SELECT r.request_id, f.* FROM directed r
+            JOIN ({ROUTE_FACTS}) f ON r.route IS NULL OR r.route = f.route
+            WHERE r.routed_to = 'agent' AND r.query_type = 'route_risk'""",
+            "avg_risk_score DESC, route",
+        ),
+    ]
+)
+AGENT_DOCUMENTS = _fact_texts(
+    AGENT_RAG,
+    f"""SELECT * RENAME (weather_impact_pct AS weather_pct) FROM asked_pairs
+    WHERE request_id IN (SELECT request_id FROM directed WHERE routed_to = 'agent')
+      AND request_id NOT IN (SELECT request_id FROM ({AGENT_REPORTS}) named)""",
+    "avg_delay_min DESC, airline, route",
+)
+RETRIEVED_FACTS = _fact_texts(
+    RAG_NAMES,
+    """SELECT * FROM asked_pairs WHERE request_id IN (
+      SELECT request_id FROM directed WHERE routed_to = 'retrieve' AND top_k < 3)""",
+    "avg_delay_min DESC, airline, route",
+)
+
+
+@query(
+    "ask_batch",
+    sql(
+        f"""
+        SELECT a.request_id, a.question, coalesce(h.history_block, '(none)') AS history_block,
+          coalesce(f.facts_block, '(no BigQuery facts)') AS facts_block,
+          coalesce('Deterministic response for ''' || a.question || ''': ' || f.pairs || '.',
+            'No matching data was found for the requested filters in the selected time window.')
+            AS answer,
+          a.session_id, a.routed_to, CAST(a.top_k AS BIGINT) AS context_count,
+          coalesce(f.facts_count, 0) AS facts_count,
+          coalesce(h.entries // 2, 0) AS history_turns,
+          'vector_search,' || CASE WHEN f.facts_count > 0 THEN 'bigquery_fallback,' ELSE '' END
+            || 'gemini_2.5_flash' AS tools_used
+        FROM directed a
+        LEFT JOIN (
+          SELECT session_id, count(*) AS entries, string_agg(
+            CASE WHEN role = 'user' THEN 'User' ELSE 'Assistant' END || ': ' || {redact('content')},
+            E'\\n' ORDER BY entry_no) AS history_block
+          FROM all_entries GROUP BY session_id) h ON h.session_id = a.session_id
+        LEFT JOIN (
+          SELECT request_id, count(*) AS facts_count,
+            string_agg(fact_json, E'\\n' ORDER BY pick) FILTER (WHERE pick <= 3) AS facts_block,
+            max(fact_pairs) FILTER (WHERE pick = 1) AS pairs
+          FROM ({AGENT_REPORTS} UNION ALL {AGENT_DOCUMENTS} UNION ALL {RETRIEVED_FACTS}) told
+          GROUP BY request_id) f ON f.request_id = a.request_id"""
+    ),
+)
+def ask_batch(spark, sf):
+    """The router: both paths and both orders of facts; references as in ``answer_contexts``."""
+    silver = fx.silver(spark, sf)
+    answers = questions.ask_batch(
+        fx.requests(spark, sf),
+        fx.entries(spark, sf),
+        _embedded(spark, sf),
+        silver,
+        views.route_risk(silver),
+        fx.AS_OF,
+    )
+    return answers.drop("docs_block", "sources").withColumns(
+        {
+            "tools_used": F.array_join("tools_used", ","),
+            "history_turns": F.col("history_turns").cast("bigint"),
+        }
+    )
+
+
 @query("question_references")
 def question_references(spark, sf):
     """References and citations of the batch; hashed vectors have no SQL twin."""

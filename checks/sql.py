@@ -245,6 +245,10 @@ CTES: dict[str, str] = {
             THEN 'generic'
           WHEN contains(lower(question), 'route') THEN 'route_risk' ELSE 'airline' END AS query_type
         FROM checked WHERE error IS NULL""",
+    "directed": f"""
+        SELECT *, CASE WHEN length(question) - length(replace(question, '?', '')) > 1
+            OR {signals('question')} THEN 'agent' ELSE 'retrieve' END AS routed_to
+        FROM asked""",
     "asked_docs": """
         SELECT a.request_id, d.* FROM asked a JOIN doc_measures d
           ON d.event_date >= DATE '2024-01-31' - a.days_back

@@ -11,19 +11,23 @@ filter, and every question picks up the rows of its setting.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.constants import (
+    AGENT_RISK_TYPES,
+    AGENT_WEATHER_TYPES,
     AIRLINE_TYPES,
     DEFAULT_DAYS_BACK,
     LATE_DEPARTURE_MIN,
+    MAX_DAYS_BACK,
     RISK_TYPES,
     SOURCE_DOCUMENTS,
     WEATHER_TYPES,
 )
-from flightlake.functions.text import json_row_text
+from flightlake.functions.text import blank_to_null, json_row_text
 from flightlake.operators.facts import best_for_filters, document_measures
 from flightlake.operators.requests import fact_pairs
 from flightlake.session import materialise
@@ -55,6 +59,12 @@ AIRLINE_NAMES = [
 ]
 WEATHER_NAMES = ["total_flights", "weather_affected", "weather_pct", "avg_delay_if_weather"]
 GENERIC_NAMES = ["total_flights", "airline_count", "route_count", "avg_delay_minutes"]
+#: What the agent's reports call a measure where the service's say otherwise.
+AGENT_PAIR_NAMES = {"weather_impact_pct": "weather_pct"}
+AGENT_AIRLINE_NAMES = {"avg_delay_minutes": "avg_delay_min", "weather_impact_pct": "weather_pct"}
+AGENT_RAG = ["airline", "route", "flight_count", "avg_delay_min", "weather_pct", "delayed_pct"]
+AGENT_ROUTE = [name for name in ROUTE_NAMES if name != "severe_delay_pct"]
+AGENT_AIRLINE = ["airline", "flight_count", "avg_delay_min", "delayed_pct", "weather_pct"]
 
 
 def with_setting(requests: DataFrame) -> DataFrame:
@@ -80,6 +90,28 @@ def report(query_type: Column) -> Column:
     )
 
 
+def with_agent_setting(requests: DataFrame) -> DataFrame:
+    """The filter setting by the agent's rules: 1 to 30 days, capitals, an empty filter is none."""
+    days = F.coalesce("days_back", F.lit(DEFAULT_DAYS_BACK))
+    return requests.withColumns(
+        {
+            "f_airline": blank_to_null(F.upper("airline")),
+            "f_route": blank_to_null(F.upper("route")),
+            "days_back": F.least(F.greatest(days, F.lit(1)), F.lit(MAX_DAYS_BACK)).cast("int"),
+        }
+    )
+
+
+def agent_report(query_type: Column) -> Column:
+    """The report the agent asks first; anything that names none asks the documents."""
+    return (
+        F.when(query_type.isin(AGENT_RISK_TYPES), "risk")
+        .when(query_type.isin(AIRLINE_TYPES), "airline")
+        .when(query_type.isin(AGENT_WEATHER_TYPES), "weather")
+        .otherwise("documents")
+    )
+
+
 def windows_of(settings: DataFrame) -> list[int]:
     """The different windows that are asked for, in days: at most one number per day of the calendar."""
     return sorted(row["days_back"] for row in settings.select("days_back").distinct().collect())
@@ -286,30 +318,95 @@ def batch_facts(
     still_open = materialise(
         _by_setting(keyed.select(*SETTING, "report").distinct(), answered, "left_anti"), "open"
     )
-    kinds = {row["report"] for row in still_open.select("report").distinct().collect()}
+    kinds = kinds_of(still_open)
     answers = _by_setting(keyed, primary, "inner")
-    if kinds - {"risk"}:
-        cube = materialise(flight_cube(silver, windows_of(still_open), as_of), "cube")
-    for kind in sorted(kinds):
+    cube = _cube_for(kinds, silver, still_open, as_of)
+    for kind in kinds:
         open_settings = still_open.where(F.col("report") == kind).select(*SETTING)
-        if kind == "risk":
-            rows, names = _route_setting_facts(open_settings, routes), ROUTE_NAMES
-        elif kind == "airline":
-            rows, names = _airline_setting_facts(open_settings, cube), AIRLINE_NAMES
-        elif kind == "weather":
-            rows, names = _weather_setting_facts(open_settings, cube), WEATHER_NAMES
-        else:
-            rows, names = _generic_setting_facts(open_settings, cube), GENERIC_NAMES
+        rows, names = _report_rows(kind, open_settings, cube, routes)
         asking = keyed.where(F.col("report") == kind)
         found = _by_setting(asking, _as_text(rows, names, "secondary"), "inner")
         answers = answers.unionByName(found)
     return answers.select("request_id", "fact_rank", "source", "fact_json", "fact_pairs")
 
 
-def _by_setting(rows: DataFrame, facts: DataFrame, how: str) -> DataFrame:
-    """A join on the setting, absent filters being equal."""
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SETTING]
+def agent_batch_facts(
+    requests: DataFrame,
+    documents: DataFrame,
+    silver: DataFrame,
+    routes: DataFrame,
+    as_of: dt.date,
+) -> DataFrame:
+    """Facts of every request in the agent's order, with the columns of ``batch_facts``.
+
+    The report that the query type names answers first (source ``primary``); a
+    setting it has no row for is answered by the documents, and so is a query
+    type that names no report (for these the documents are ``primary``). The
+    weather report always has a row. Silver and the documents are each read only
+    where a setting needs them, as far back as the longest window that does.
+    """
+    asked = with_agent_setting(requests).withColumn("report", agent_report(F.col("query_type")))
+    keyed = asked.select("request_id", "report", *SETTING)
+    settings = materialise(keyed.select("report", *SETTING).distinct(), "settings")
+    kinds = [kind for kind in kinds_of(settings) if kind != "documents"]
+    cube = _cube_for(kinds, silver, settings.where(F.col("report") != "documents"), as_of)
+    found = []
+    for kind in kinds:
+        wanted = settings.where(F.col("report") == kind).select(*SETTING)
+        rows, _ = _report_rows(kind, wanted, cube, routes)
+        if kind == "airline":
+            rows = rows.withColumnsRenamed(AGENT_AIRLINE_NAMES)
+        names = {"risk": AGENT_ROUTE, "airline": AGENT_AIRLINE, "weather": WEATHER_NAMES}[kind]
+        found.append(_as_text(rows, names, "primary").withColumn("report", F.lit(kind)))
+    still_open = settings
+    if found:
+        first = materialise(reduce(DataFrame.unionByName, found), "facts")
+        answered = first.where(F.col("fact_rank") == 1).select("report", *SETTING)
+        still_open = materialise(_by_setting(settings, answered, "left_anti", ["report"]), "open")
+        found = [first]
+    wanted = still_open.select(*SETTING).distinct()
+    pairs = setting_rag_facts(wanted, documents, as_of).withColumnsRenamed(AGENT_PAIR_NAMES)
+    told = _as_text(pairs, AGENT_RAG, SOURCE_DOCUMENTS)
+    rest = _by_setting(still_open, told, "inner").withColumn(
+        "source", F.when(F.col("report") == "documents", "primary").otherwise(F.col("source"))
+    )
+    answers = reduce(DataFrame.unionByName, [*found, rest])
+    return _by_setting(keyed, answers, "inner", ["report"]).select(
+        "request_id", "fact_rank", "source", "fact_json", "fact_pairs"
+    )
+
+
+def kinds_of(settings: DataFrame) -> list[str]:
+    """The different reports that are asked for, of the handful there are."""
+    return sorted(row["report"] for row in settings.select("report").distinct().collect())
+
+
+def _cube_for(
+    kinds: list[str], silver: DataFrame, settings: DataFrame, as_of: dt.date
+) -> DataFrame | None:
+    """The stored flight cube, unless the risk report is the only one."""
+    if not set(kinds) - {"risk"}:
+        return None
+    return materialise(flight_cube(silver, windows_of(settings), as_of), "cube")
+
+
+def _report_rows(
+    kind: str, settings: DataFrame, cube: DataFrame | None, routes: DataFrame
+) -> tuple[DataFrame, list[str]]:
+    if kind == "risk":
+        return _route_setting_facts(settings, routes), ROUTE_NAMES
+    if kind == "airline":
+        return _airline_setting_facts(settings, cube), AIRLINE_NAMES
+    if kind == "weather":
+        return _weather_setting_facts(settings, cube), WEATHER_NAMES
+    return _generic_setting_facts(settings, cube), GENERIC_NAMES
+
+
+def _by_setting(rows: DataFrame, facts: DataFrame, how: str, also: list[str] = ()) -> DataFrame:
+    """A join on the setting, absent filters being equal, and on the keys ``also`` given."""
+    keys = [*SETTING, *also]
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]
     joined = rows.alias("a").join(facts.alias("b"), same, how)
     if how == "left_anti":
         return joined
-    return joined.select("a.*", *[f"b.{c}" for c in facts.columns if c not in SETTING])
+    return joined.select("a.*", *[f"b.{c}" for c in facts.columns if c not in keys])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flightlake.constants import MAX_TOP_K, METADATA_FIELDS
 from flightlake.functions.text import redact
-from flightlake.operators.batch_facts import batch_facts
+from flightlake.operators.batch_facts import agent_batch_facts, batch_facts
 from flightlake.operators.documents import metadata_defaults
 from flightlake.operators.requests import (
     assemble_context,
@@ -69,23 +69,61 @@ def answer_contexts(
     as_of: dt.date,
     matches: DataFrame | None = None,
 ) -> DataFrame:
-    """Everything an answer is written from, one row per valid request.
+    """Everything a retrieval answer is written from, one row per valid request.
 
     That is the three context blocks, the citations, the counts, the path the
-    question is routed to, and the fixed-form answer that stands in when no model writes one.
+    question would be routed to, and the fixed-form answer that stands in when no model
+    writes one. Facts are fetched for questions with few matches, documents first.
 
     ``documents`` carries an ``embedding`` of the same kind as the questions;
     ``matches`` may be given where another search has already found them. The
     search and the facts are stored once each, as several branches need them.
     """
+    gated, matches = _searched(requests, documents, matches)
+    facts = batch_facts(gated.where("needs_facts"), documents, silver, routes, as_of)
+    return _contexts(gated, entries, matches, facts)
+
+
+def ask_batch(
+    requests: DataFrame,
+    entries: DataFrame,
+    documents: DataFrame,
+    silver: DataFrame,
+    routes: DataFrame,
+    as_of: dt.date,
+    matches: DataFrame | None = None,
+) -> DataFrame:
+    """The router over a batch: each question takes the path that ``routed_to`` names.
+
+    ``retrieve`` questions are answered as in ``answer_contexts``: facts only after
+    few matches, documents first. ``agent`` questions compare, rank or span several
+    parts, so their facts are always fetched, the named report first and the
+    documents where it has no row. Both share one search and one set of sessions.
+    """
+    gated, matches = _searched(requests, documents, matches)
+    gated = materialise(gated, "gated")
+    by_agent = F.col("routed_to") == "agent"
+    facts = batch_facts(
+        gated.where(~by_agent & F.col("needs_facts")), documents, silver, routes, as_of
+    ).unionByName(agent_batch_facts(gated.where(by_agent), documents, silver, routes, as_of))
+    return _contexts(gated, entries, matches, facts)
+
+
+def _searched(
+    requests: DataFrame, documents: DataFrame, matches: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """The valid requests with their hit counts, and their stored matches."""
     asked = accepted(requests)
     if matches is None:
         matches = matched_documents(asked, documents)
     matches = materialise(matches, "matches")
-    gated = retrieval_gate(asked, matches)
-    facts = materialise(
-        batch_facts(gated.where("needs_facts"), documents, silver, routes, as_of), "answers"
-    )
+    return retrieval_gate(asked, matches), matches
+
+
+def _contexts(
+    gated: DataFrame, entries: DataFrame, matches: DataFrame, facts: DataFrame
+) -> DataFrame:
+    facts = materialise(facts, "answers")
     history = session_history(entries)
     facts_found = facts.groupBy("request_id").agg(F.count("*").alias("facts_count"))
     asking = gated.select(

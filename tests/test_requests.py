@@ -1,9 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixtures as fx
 from flightlake import constants as c
 from flightlake.functions import text
 from flightlake.operators import requests as req
+from flightlake.operators import views
+from flightlake.operators.batch_facts import agent_batch_facts, with_agent_setting
+from flightlake.operators.vectors import embed_documents
+from flightlake.plans import questions
 
 SCHEMA = (
     "request_id bigint, question string, session_id string, airline string, route string, "
@@ -158,3 +163,36 @@ def test_text_helpers(spark):
         text.truthy(F.col("flag")).alias("flag"),
     ).collect()[0]
     assert tuple(found) == ("a  b", "i", "", True)
+
+
+@pytest.mark.parametrize("path", [None, "agent", "retrieve"])
+def test_router_with_one_path_or_none(spark, sf_dir, path):
+    """A batch without questions for a path answers the others; an empty batch has no rows."""
+    asked = fx.requests(spark, sf_dir)
+    asked = asked.where(F.lit(False) if path is None else req.question_route(F.col("question")) == path)
+    silver = fx.silver(spark, sf_dir)
+    documents = embed_documents(fx.document_table(spark, sf_dir))
+    answers = questions.ask_batch(
+        asked, fx.entries(spark, sf_dir), documents, silver, views.route_risk(silver), fx.AS_OF
+    )
+    rows = answers.select("request_id", "routed_to", "facts_count").collect()
+    assert {row.routed_to for row in rows} == ({path} if path else set())
+    assert len({row.request_id for row in rows}) == len(rows)
+    assert all(row.facts_count > 0 for row in rows if row.routed_to == "agent")
+
+
+def test_agent_facts_of_odd_settings(spark, sf_dir):
+    """Days outside 1 to 30 are clamped, small letters and blanks count, unknown types ask documents."""
+    asked = spark.createDataFrame(
+        [(1, "aa", "", 0, "airline"), (2, None, None, 400, "Airline"), (3, "ZZ", " ", None, "delays")],
+        "request_id long, airline string, route string, days_back int, query_type string",
+    )
+    setting = with_agent_setting(asked).select("f_airline", "f_route", "days_back").collect()
+    assert [tuple(row) for row in setting] == [("AA", None, 1), (None, None, 30), ("ZZ", None, 7)]
+    silver, documents = fx.silver(spark, sf_dir), fx.document_table(spark, sf_dir)
+    found = agent_batch_facts(asked, documents, silver, views.route_risk(silver), fx.AS_OF).collect()
+    assert {row.source for row in found} == {"primary"}
+    by_request = {n: [row for row in found if row.request_id == n] for n in (1, 2, 3)}
+    assert len(by_request[1]) == 1 and '"airline": "AA"' in by_request[1][0].fact_json
+    assert len(by_request[2]) == 10 and '"route"' in by_request[2][0].fact_json
+    assert by_request[3] == []
