@@ -12,6 +12,7 @@ from checks.sessions import SESSION_DOCUMENTS, _joined
 from checks.sql import sql
 from checks.storage import _landed, _log_folder
 from flightlake.session import work_folder
+from flightlake.sources import bronze
 from flightlake.sources.document_table import create_document_table, read_document_table
 from flightlake.streaming import documents as document_stream
 from flightlake.streaming import flights as flight_stream
@@ -39,6 +40,31 @@ def stream_silver_exact(spark, sf):
     return spark.read.parquet(path).drop("batch")
 
 
+WAVE = "CASE WHEN ingest_date >= DATE '2024-01-21' THEN 0 WHEN ingest_date >= DATE '2024-01-11' THEN 1 ELSE 2 END"
+
+
+@query(
+    "stream_silver_waves",
+    sql(
+        f"""
+        SELECT * EXCLUDE (pick) FROM (
+          SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY {WAVE}, event_ts, airline, origin,
+            destination, departure_delay_min, arrival_delay_min, status NULLS FIRST,
+            weather_flag NULLS FIRST) AS pick
+          FROM passing) ranked WHERE pick = 1"""
+    ),
+)
+def stream_silver_waves(spark, sf):
+    """Days land in three waves, the latest first; an id keeps the row of its first wave."""
+    root, path = work_folder(spark, "bronze"), work_folder(spark, "stream-silver")
+    checkpoint = work_folder(spark, "offsets")
+    rows = fx.flights_text(spark, sf).withColumn("date", F.substring("event_ts", 1, 10))
+    for first, end in (("2024-01-21", "9"), ("2024-01-11", "2024-01-21"), ("", "2024-01-11")):
+        bronze.write_bronze(rows.where((F.col("date") >= first) & (F.col("date") < end)), root)
+        flight_stream.stream_silver_exact(spark, root, path, checkpoint, buckets=8).awaitTermination()
+    return spark.read.parquet(path).drop("batch")
+
+
 @query(
     "stream_run_log",
     sql(

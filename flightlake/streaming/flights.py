@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,30 +56,63 @@ def stream_bronze_to_silver(
     )
 
 
+def open_seen_ids(spark: SparkSession, table: str, path: str, silver_path: str, buckets: int) -> None:
+    """The index of ids a Silver folder holds: (flight_id, batch), hash-bucketed by id, below ``path``.
+
+    A catalog that has lost the table finds the files again, with the same number
+    of buckets; where no file is there yet, the ids Silver holds are indexed once.
+    """
+    columns = "flight_id string, batch bigint"
+    indexed = available(spark, path) is not None
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"CLUSTERED BY (flight_id) SORTED BY (flight_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    silver = available(spark, silver_path)
+    if silver is not None and not indexed:
+        add_seen_ids(silver.select("flight_id", F.col("batch").cast("bigint")), table, buckets)
+
+
+def add_seen_ids(ids: DataFrame, table: str, buckets: int) -> None:
+    """Append ids, one sorted file per bucket; the shuffle hashes as the buckets do."""
+    ids.repartition(buckets, "flight_id").sortWithinPartitions("flight_id").write.insertInto(table)
+
+
+def unseen_flights(flights: DataFrame, seen: DataFrame, batch_id: int) -> DataFrame:
+    """The flights whose ids no earlier micro-batch has brought.
+
+    The ids are joined bucket by bucket where they lie, unless Spark finds them
+    few enough to broadcast; only the flights of the micro-batch are shuffled.
+    """
+    earlier = seen.where(F.col("batch") < batch_id).select("flight_id")
+    return flights.join(earlier, "flight_id", "left_anti")
+
+
 def stream_silver_exact(
     spark: SparkSession,
     root: str,
     silver_path: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    seen_table: str | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
-    """The same job without state: ids are checked against all of Silver.
+    """The same job without state: ids are checked against an index of those in Silver.
 
     Each micro-batch is de-duplicated on its own, then loses the ids that an
-    earlier one has already brought. Silver is only scanned for its ids: those
-    of the (stored) batch are sent to it under Spark's broadcast limit, and it is
-    not shuffled. Batch n owns the folder ``batch=n`` and ignores its own earlier
-    attempt, so a rerun changes nothing.
+    earlier one has already brought. Silver itself is never read: its ids are kept
+    in ``seen_table``, hash-bucketed, below ``silver_path`` with ``_seen`` added.
+    Batch n owns the folder ``batch=n``, its ids carry its number, and it ignores
+    those of its own earlier attempt, so a rerun changes nothing. Every micro-batch
+    adds a file per bucket; choose few buckets for many small ones.
     """
+    table = seen_table or f"seen_{hashlib.sha256(silver_path.encode()).hexdigest()[:16]}"
+    open_seen_ids(spark, table, f"{silver_path}_seen", silver_path, buckets)
 
     def add(rows: DataFrame, batch_id: int) -> None:
         session = rows.sparkSession
-        fresh = materialise(dedup_flights(rows), "flights")
-        silver = available(session, silver_path)
-        if silver is not None:
-            earlier = silver.where(F.col("batch") < batch_id).select("flight_id")
-            known = earlier.join(fresh.select("flight_id"), "flight_id", "left_semi")
-            fresh = fresh.join(known, "flight_id", "left_anti")
+        own = materialise(dedup_flights(rows), "flights")
+        fresh = materialise(unseen_flights(own, session.table(table), batch_id), "fresh")
         (
             fresh.select(*SILVER.fieldNames())
             .hint("rebalance", "ingest_date")
@@ -85,6 +120,8 @@ def stream_silver_exact(
             .partitionBy("ingest_date")
             .parquet(f"{silver_path}/batch={batch_id}")
         )
+        numbered = fresh.select("flight_id", F.lit(batch_id).cast("bigint").alias("batch"))
+        add_seen_ids(numbered, table, buckets)
 
     return (
         clean_flights(bronze_stream(spark, root, files_per_batch))

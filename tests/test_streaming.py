@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,46 @@ def test_exact_stream_keeps_late_files_and_knows_old_ids(spark):
     assert not [r for r in rows if r["batch"] == 2]
 
 
+def test_seen_ids_are_joined_where_they_lie(spark):
+    """No Silver scan and no shuffle of the index; ids of the own batch don't count."""
+    silver, table = work_folder(spark, "silver"), f"seen_{uuid.uuid4().hex}"
+    flight_stream.open_seen_ids(spark, table, f"{silver}_seen", silver, 4)
+    for batch in (0, 1):
+        ids = spark.range(batch * 500, batch * 500 + 500).select(
+            F.concat(F.lit("F"), "id").alias("flight_id"), F.lit(batch).cast("bigint").alias("batch")
+        )
+        flight_stream.add_seen_ids(ids, table, 4)
+    own = work_folder(spark, "own")
+    spark.range(400, 1200).select(F.concat(F.lit("F"), "id").alias("flight_id")).write.parquet(own)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = flight_stream.unseen_flights(spark.read.parquet(own), spark.table(table), 1)
+        text = fresh._jdf.queryExecution().executedPlan().toString()
+        rows = {r["flight_id"] for r in fresh.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert rows == {f"F{n}" for n in range(500, 1200)}
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text and silver + "," not in text
+    index = text[text.rindex("Exchange") :]
+    assert index.count("FileScan") == 2
+
+
+def test_a_lost_or_missing_index_is_found_again(spark):
+    root, path, offsets = (work_folder(spark, n) for n in ("raw", "silver", "offsets"))
+    for number, days in enumerate(("2024-03-01", "2024-01-02", "2024-03-05")):
+        bronze.write_bronze(flight_rows(spark, range(4), days), root)
+        table = f"seen_{uuid.uuid4().hex}"
+        flight_stream.stream_silver_exact(
+            spark, root, path, offsets, seen_table=table, buckets=4
+        ).awaitTermination()
+        spark.sql(f"DROP TABLE {table}")
+        assert spark.read.parquet(path).count() == 4, number
+    other = f"seen_{uuid.uuid4().hex}"
+    flight_stream.open_seen_ids(spark, other, work_folder(spark, "anew"), path, 4)
+    assert sorted(r["flight_id"] for r in spark.table(other).collect()) == ["F0", "F1", "F2", "F3"]
+
+
 def test_job_metrics_come_from_one_pass(spark):
     root = work_folder(spark, "raw")
     rows = flight_rows(spark, range(6), "2024-01-01")
