@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -12,9 +14,10 @@ from checks.registry import query
 from checks.sql import avg, pct, rnd, sql
 from flightlake.functions.measures import clamp
 from flightlake.operators import batch_facts as batch
-from flightlake.operators import facts, views
+from flightlake.operators import day_bitmaps, facts, views
 from flightlake.operators.gold import with_route
 from flightlake.operators.requests import facts_query_type, validate_requests
+from flightlake.session import materialise
 
 PAIRS = f"""
   SELECT airline, route, count(*) AS flight_count, {avg('delay_min', 1)} AS avg_delay_min,
@@ -184,6 +187,41 @@ def generic_facts(spark, sf):
     return facts.generic_facts(fx.silver(spark, sf), fx.AS_OF, fx.DAYS)
 
 
+WINDOWS = [1, 7, 30]
+
+
+@query(
+    "window_totals",
+    sql(
+        " UNION ALL ".join(
+            f"SELECT {days} AS days_back, count(*) AS total_flights, "
+            "count(DISTINCT airline) AS airline_count, count(DISTINCT route) AS route_count, "
+            f"{avg('departure_delay_min', 1)} AS avg_delay_minutes "
+            f"FROM routed WHERE ingest_date >= DATE '2024-01-31' - {days}"
+            for days in WINDOWS
+        )
+    ),
+)
+def window_totals(spark, sf):
+    """Three windows from stored days; the second half of the days brings names of its own."""
+    silver = fx.silver(spark, sf)
+    later = F.col("ingest_date") >= "2024-01-16"
+    early, late = silver.where(~later), silver.where(later)
+    first = day_bitmaps.number_names(early)
+    names = day_bitmaps.number_names(late, first)
+    bitmaps = materialise(
+        day_bitmaps.day_bitmaps(early, first).unionByName(day_bitmaps.day_bitmaps(late, names)), "bitmaps"
+    )
+    sums = materialise(day_bitmaps.day_sums(silver), "sums")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            day_bitmaps.window_totals(sums, bitmaps, fx.AS_OF, days).withColumn("days_back", F.lit(days))
+            for days in WINDOWS
+        ],
+    )
+
+
 RAG_STATUS = """SELECT max(event_date) AS last_ingest_date, min(event_date) AS earliest_ingest_date,
   count(*) AS rag_document_count, count(DISTINCT airline) AS airline_count FROM docs"""
 

@@ -1,8 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from flightlake.operators import facts, gold, views
+from flightlake.operators import day_bitmaps, facts, gold, views
 from flightlake.schemas import SILVER
 
 DAY = dt.date(2024, 1, 20)
@@ -187,3 +188,27 @@ def test_metadata_values_are_read_as_text(spark):
     measures = facts.document_measures(documents(spark, doc(1), doc(2, metadata="{"))).collect()
     found = {(m["delay_min"], m["weather_text"], m["status"]) for m in measures}
     assert found == {(30.0, "true", "DELAYED"), (None, None, None)}
+
+
+def test_windows_from_stored_days_equal_the_report(spark):
+    """Names that are new on a later day get numbers of their own; null airlines count as none."""
+    days = [dt.date(2024, 1, day) for day in (1, 1, 2, 3, 3)]
+    airlines = ["AA", None, "DL", "AA", "UA"]
+    rows = [
+        (f"F{n}", airline, "ATL", f"X{n % 3}", 10 * n, 5, False, "ON_TIME", str(day), day)
+        for n, (airline, day) in enumerate(zip(airlines, days, strict=True))
+    ]
+    silver = spark.createDataFrame(rows, [f.name for f in SILVER]).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER]
+    )
+    names, bitmaps = None, []
+    for day in sorted(set(days)):
+        part = silver.where(F.col("ingest_date") == day)
+        names = day_bitmaps.number_names(part, names)
+        bitmaps.append(day_bitmaps.day_bitmaps(part, names))
+    assert names.count() == names.select("number").distinct().count() == 6
+    stored = bitmaps[0].unionByName(bitmaps[1]).unionByName(bitmaps[2])
+    sums = day_bitmaps.day_sums(silver)
+    for as_of, back in ((days[-1], 0), (days[-1], 1), (days[-1], 30), (dt.date(2025, 1, 1), 1)):
+        found = day_bitmaps.window_totals(sums, stored, as_of, back).collect()
+        assert found == facts.generic_facts(silver, as_of, back).collect()
