@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.documents import latest_per_doc, rag_documents
 from flightlake.operators.gold import gold_summary
 from flightlake.operators.quality import silver_flights
-from flightlake.sources.runlog import log_records
+from flightlake.sources.runlog import log_records, variant_records
 
 AS_OF = dt.date(2024, 1, 31)
 NOW = dt.datetime(2024, 1, 31, 6)
@@ -169,6 +169,20 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_records(derive(table(spark, sf_dir, "events"), RUN_LOG))
 
 
+# fields that no report knows, of several types, some in a part of the events only
+FREE_FIELDS = {
+    "model": "CASE WHEN event_type IN ('click', 'view') THEN concat('m', CAST(event_id % 3 AS VARCHAR(20))) "
+    "ELSE NULL END",
+    "latency_ms": "CASE WHEN event_id % 4 = 0 THEN event_id % 1000 ELSE NULL END",
+    "cached": "CASE WHEN event_id % 7 = 0 THEN event_id % 2 = 0 ELSE NULL END",
+}
+
+
+def variant_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with payloads as written: null fields are missing, and there are further ones."""
+    return variant_records(derive(table(spark, sf_dir, "events"), RUN_LOG | FREE_FIELDS))
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").where("role IN ('user', 'assistant')")
     last = F.lit("2024-01-31 06:00:00").cast("timestamp_ntz").cast("timestamp")

@@ -9,6 +9,9 @@ from checks.registry import query
 from checks.sql import rnd, sql
 from flightlake.functions.times import retained_from
 from flightlake.operators import logs, sessions
+from flightlake.schemas import VARIANT_LOG
+from flightlake.session import work_folder
+from flightlake.sources import runlog
 
 
 @query("last_turns", sql("SELECT session_id, entry_no, role, content FROM last_entries"))
@@ -164,22 +167,68 @@ def rejections_by_hour(spark, sf):
     return logs.rejections_by_type(logs.guardrail_rows(_kept(spark, sf)), hourly=True)
 
 
-@query(
-    "fallback_rate",
-    sql(
-        f"""
-        SELECT requests, fallbacks,
-          {rnd('CAST(fallbacks AS DOUBLE) / nullif(requests, 0)', 6)} AS fallback_rate
-        FROM (SELECT count(*) FILTER (WHERE event = 'token_usage' AND endpoint = '/retrieve')
-                AS requests,
-              count(*) FILTER (WHERE event = 'bq_fallback' AND vs_results < 3) AS fallbacks
-              FROM kept_log) n"""
-    ),
+FALLBACK_RATE = sql(
+    f"""
+    SELECT requests, fallbacks,
+      {rnd('CAST(fallbacks AS DOUBLE) / nullif(requests, 0)', 6)} AS fallback_rate
+    FROM (SELECT count(*) FILTER (WHERE event = 'token_usage' AND endpoint = '/retrieve')
+            AS requests,
+          count(*) FILTER (WHERE event = 'bq_fallback' AND vs_results < 3) AS fallbacks
+          FROM kept_log) n"""
 )
+
+
+@query("fallback_rate", FALLBACK_RATE)
 def fallback_rate(spark, sf):
     return logs.fallback_rate(_kept(spark, sf))
 
 
+# --- the same reports from a log whose payload is a variant ---
+
+
+def _variant_kept(spark, sf):
+    """Written as JSON lines and read back, days outside the retention left unread."""
+    path = work_folder(spark, "variant-log")
+    runlog.write_run_log(fx.variant_log(spark, sf), path, "json")
+    return runlog.read_run_log(spark, path, fx.LOG_NOW, 30, "json", VARIANT_LOG)
+
+
+@query("variant_token_usage", sql("SELECT * FROM usage"))
+def variant_token_usage(spark, sf):
+    return logs.token_usage_rows(_variant_kept(spark, sf))
+
+
+@query("variant_guardrails", sql("SELECT * FROM guardrails"))
+def variant_guardrails(spark, sf):
+    return logs.guardrail_rows(_variant_kept(spark, sf))
+
+
+@query("variant_fallback_rate", FALLBACK_RATE)
+def variant_fallback_rate(spark, sf):
+    return logs.fallback_rate(_variant_kept(spark, sf))
+
+
+def _field_counts() -> str:
+    text, whole = ("event", "session_id", "endpoint", "guardrail_type", "reason"), (
+        "prompt_tokens", "response_tokens", "total_tokens", "vs_results")
+    kinds = {name: ("string", "true") for name in text} | {name: ("bigint", "true") for name in whole}
+    kinds |= {"model": ("string", "false"), "latency_ms": ("bigint", "false"), "cached": ("boolean", "false")}
+    counts = [
+        f"SELECT event, '{name}' AS field, '{kind}' AS type, {known} AS known, count({name}) AS entries "
+        "FROM free_log GROUP BY event"
+        for name, (kind, known) in kinds.items()
+    ]
+    return (
+        f"WITH free_log AS ({fx.select_sql(fx.RUN_LOG | fx.FREE_FIELDS, 'events')}) "
+        f"SELECT * FROM ({' UNION ALL '.join(counts)}) c WHERE entries > 0"
+    )
+
+
+@query("log_fields", _field_counts())
+def log_fields(spark, sf):
+    return logs.log_fields(fx.variant_log(spark, sf))
+
+
 @query(
     "run_tokens",
     sql(

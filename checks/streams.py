@@ -11,8 +11,9 @@ from checks.registry import query
 from checks.sessions import SESSION_DOCUMENTS, _joined
 from checks.sql import sql
 from checks.storage import _landed, _log_folder
+from flightlake.schemas import VARIANT_LOG
 from flightlake.session import work_folder
-from flightlake.sources import bronze
+from flightlake.sources import bronze, runlog
 from flightlake.sources.document_table import create_document_table, read_document_table
 from flightlake.streaming import documents as document_stream
 from flightlake.streaming import flights as flight_stream
@@ -80,17 +81,17 @@ def stream_run_log(spark, sf):
     return exported.groupBy("log_date", "jsonPayload.event").agg(F.count("*").alias("entries"))
 
 
-@query(
-    "stream_hourly_tokens",
-    sql(
-        """
-        SELECT date_trunc('hour', log_ts) AS hour, endpoint,
-          CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
-          CAST(sum(response_tokens) AS BIGINT) AS response_tokens,
-          CAST(sum(total_tokens) AS BIGINT) AS total_tokens
-        FROM log WHERE event = 'token_usage' GROUP BY 1, 2"""
-    ),
+HOURLY_TOKENS = sql(
+    """
+    SELECT date_trunc('hour', log_ts) AS hour, endpoint,
+      CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
+      CAST(sum(response_tokens) AS BIGINT) AS response_tokens,
+      CAST(sum(total_tokens) AS BIGINT) AS total_tokens
+    FROM log WHERE event = 'token_usage' GROUP BY 1, 2"""
 )
+
+
+@query("stream_hourly_tokens", HOURLY_TOKENS)
 def stream_hourly_tokens(spark, sf):
     """All hours, over several micro-batches."""
     path = work_folder(spark, "stream-tokens")
@@ -101,6 +102,43 @@ def stream_hourly_tokens(spark, sf):
     return log_stream.read_hourly_tokens(spark, path)
 
 
+@query("state_hourly_tokens", HOURLY_TOKENS)
+def state_hourly_tokens(spark, sf):
+    """The same sums from the stream's state, over several micro-batches; the stream writes no table."""
+    checkpoint = work_folder(spark, "offsets")
+    records = log_stream.log_stream(spark, _log_folder(spark, sf, "json"), files_per_batch=2)
+    log_stream.keep_hourly_tokens(records, checkpoint).awaitTermination()
+    return log_stream.hourly_tokens_state(spark, checkpoint)
+
+
+@query(
+    "stream_variant_log",
+    f"WITH free_log AS ({fx.select_sql(fx.RUN_LOG | fx.FREE_FIELDS, 'events')}) "
+    "SELECT log_ts AS timestamp, severity, event, session_id, total_tokens, reason, model, latency_ms, cached "
+    "FROM free_log WHERE event IN ('token_usage', 'guardrail_triggered', 'bq_fallback')",
+)
+def stream_variant_log(spark, sf):
+    """The export keeps fields that no report knows; every value is compared."""
+    source, path = work_folder(spark, "variant-log"), work_folder(spark, "stream-log")
+    runlog.write_run_log(fx.variant_log(spark, sf), source, "json")
+    records = log_stream.log_stream(spark, source, schema=VARIANT_LOG)
+    log_stream.stream_run_log(records, path, work_folder(spark, "offsets")).awaitTermination()
+    kinds = {"event": "string", "session_id": "string", "total_tokens": "bigint", "reason": "string",
+             "model": "string", "latency_ms": "bigint", "cached": "boolean"}
+    fields = [F.variant_get("jsonPayload", f"$.{name}", kind).alias(name) for name, kind in kinds.items()]
+    return spark.read.schema(VARIANT_LOG).parquet(path).select("timestamp", "severity", *fields)
+
+
+@query("state_sessions", sql(SESSION_DOCUMENTS))
+def state_sessions(spark, sf):
+    """The documents from the stream's state equal the batch job's."""
+    source, checkpoint = work_folder(spark, "entries"), work_folder(spark, "offsets")
+    fx.entries(spark, sf).write.parquet(source)
+    entries = session_stream.entry_stream(spark, source)
+    session_stream.keep_sessions(entries, checkpoint, fx.MAX_ENTRIES).awaitTermination()
+    return session_stream.session_state(spark, checkpoint).withColumn("turns", _joined())
+
+
 @query("stream_sessions", sql(SESSION_DOCUMENTS))
 def stream_sessions(spark, sf):
     """The newest document of every session equals the batch job's."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.constants import (
     EVENT_FALLBACK,
@@ -13,40 +14,64 @@ from flightlake.constants import (
     GUARDRAIL_EVENTS,
     MIN_VECTOR_HITS,
 )
+from flightlake.schemas import LOG_PAYLOAD
 
 
-def payload(name: str):
+def payload(records: DataFrame, name: str) -> Column:
+    """A payload field, of a struct or of a variant; what a variant can't give as the field's type is null."""
+    if isinstance(records.schema["jsonPayload"].dataType, T.VariantType):
+        wanted = LOG_PAYLOAD[name].dataType.simpleString()
+        return F.try_variant_get("jsonPayload", f"$.{name}", wanted)
     return F.col(f"jsonPayload.{name}")
 
 
 def log_export_filter(records: DataFrame) -> DataFrame:
     """The three event types that leave the service's log."""
-    return records.where(payload("event").isin(EXPORTED_EVENTS))
+    return records.where(payload(records, "event").isin(EXPORTED_EVENTS))
+
+
+def log_fields(records: DataFrame) -> DataFrame:
+    """What the payloads of a variant log hold: entries per event, field and type, and whether reports know it.
+
+    A payload that is no object counts under a null field. One pass over the log,
+    summed in the map tasks; the result has a row per kind of field.
+    """
+    event = payload(records, "event").alias("event")
+    fields = records.select(event, "jsonPayload").lateralJoin(
+        records.sparkSession.tvf.variant_explode_outer(F.col("jsonPayload").outer())
+    )
+    return (
+        fields.groupBy(
+            "event", F.col("key").alias("field"), F.lower(F.schema_of_variant("value")).alias("type")
+        )
+        .agg(F.count("*").alias("entries"))
+        .withColumn("known", F.coalesce(F.col("field").isin(LOG_PAYLOAD.names), F.lit(False)))
+    )
 
 
 def token_usage_rows(records: DataFrame) -> DataFrame:
     tokens = [
-        payload(name).cast("bigint").alias(name)
+        payload(records, name).cast("bigint").alias(name)
         for name in ("prompt_tokens", "response_tokens", "total_tokens")
     ]
-    return records.where(payload("event") == EVENT_TOKENS).select(
+    return records.where(payload(records, "event") == EVENT_TOKENS).select(
         "timestamp",
         F.date_trunc("hour", "timestamp").alias("hour"),
-        payload("session_id").alias("session_id"),
-        payload("endpoint").alias("endpoint"),
+        payload(records, "session_id").alias("session_id"),
+        payload(records, "endpoint").alias("endpoint"),
         *tokens,
     )
 
 
 def guardrail_rows(records: DataFrame) -> DataFrame:
-    return records.where(payload("event").isin(GUARDRAIL_EVENTS)).select(
+    return records.where(payload(records, "event").isin(GUARDRAIL_EVENTS)).select(
         "timestamp",
         F.date_trunc("hour", "timestamp").alias("hour"),
-        payload("event").alias("event_type"),
-        payload("guardrail_type").alias("guardrail_type"),
-        payload("reason").alias("reason"),
-        payload("session_id").alias("session_id"),
-        payload("vs_results").cast("bigint").alias("vs_results"),
+        payload(records, "event").alias("event_type"),
+        payload(records, "guardrail_type").alias("guardrail_type"),
+        payload(records, "reason").alias("reason"),
+        payload(records, "session_id").alias("session_id"),
+        payload(records, "vs_results").cast("bigint").alias("vs_results"),
         "severity",
     )
 
@@ -80,8 +105,8 @@ def rejections_by_type(guardrails: DataFrame, hourly: bool = False) -> DataFrame
 
 def fallback_rate(records: DataFrame) -> DataFrame:
     """Share of answered retrieval requests that had fewer than three vector hits."""
-    served = (payload("event") == EVENT_TOKENS) & (payload("endpoint") == "/retrieve")
-    sparse = (payload("event") == EVENT_FALLBACK) & (payload("vs_results") < MIN_VECTOR_HITS)
+    served = (payload(records, "event") == EVENT_TOKENS) & (payload(records, "endpoint") == "/retrieve")
+    sparse = (payload(records, "event") == EVENT_FALLBACK) & (payload(records, "vs_results") < MIN_VECTOR_HITS)
     return records.agg(
         F.count_if(served).alias("requests"), F.count_if(sparse).alias("fallbacks")
     ).withColumn(

@@ -65,6 +65,16 @@ RUN_LOG = T.StructType(
     ]
 )
 
+# the same log, its payload as it was written: fields may be missing, further ones are kept
+VARIANT_LOG = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("jsonPayload", T.VariantType()),
+        T.StructField("log_date", T.DateType()),
+    ]
+)
+
 SAMPLE = T.StructType(
     [
         T.StructField("flight_id", T.StringType()),

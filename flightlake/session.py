@@ -40,6 +40,9 @@ def stateful_session(spark: SparkSession) -> SparkSession:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    # versions of the state that a restart may go back to; older files are dropped as the stream runs
+    own.conf.set("spark.sql.streaming.minBatchesToRetain", "10")
+    own.conf.set("spark.sql.streaming.stateStore.maintenanceInterval", "5s")
     return own
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.operators.logs import log_export_filter, token_usage_rows
@@ -12,11 +13,16 @@ from flightlake.session import stateful_session
 
 
 def log_stream(
-    spark: SparkSession, path: str, file_format: str = "json", files_per_batch: int = 1000
+    spark: SparkSession,
+    path: str,
+    file_format: str = "json",
+    files_per_batch: int = 1000,
+    schema: T.StructType = RUN_LOG,
 ) -> DataFrame:
+    """Log files as they arrive; with ``VARIANT_LOG`` the export keeps payloads as they were written."""
     return (
         stateful_session(spark)
-        .readStream.schema(RUN_LOG)
+        .readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .format(file_format)
         .load(path)
@@ -73,3 +79,32 @@ def read_hourly_tokens(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.parquet(path).groupBy("hour", "endpoint").agg(newest).select("hour", "endpoint", "sums.*")
     )
+
+
+def keep_hourly_tokens(records: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Keep the sums in the stream's own state and write nothing else.
+
+    The checkpoint holds a row per hour and endpoint, and old versions of it are
+    dropped while the stream runs, so the number of files doesn't grow with the
+    number of micro-batches. :func:`hourly_tokens_state` reads it.
+    """
+    return (
+        hourly_tokens(records)
+        .writeStream.outputMode("update")
+        .format("noop")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def hourly_tokens_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The sums as of the last finished micro-batch of :func:`keep_hourly_tokens`."""
+    # the state names all its sums alike, so they are named by place
+    sums = "struct<prompt_tokens:bigint, response_tokens:bigint, total_tokens:bigint>"
+    return (
+        spark.read.format("statestore")
+        .load(checkpoint)
+        .select("key.hour", "key.endpoint", F.col("value").cast(sums).alias("sums"))
+        .select("hour", "endpoint", "sums.*")
+    )

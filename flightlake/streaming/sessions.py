@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.constants import SESSION_ENTRIES, SESSION_TTL_SECONDS
@@ -119,3 +122,62 @@ def stream_sessions(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def keep_sessions(
+    entries: DataFrame,
+    checkpoint: str,
+    max_entries: int = SESSION_ENTRIES,
+    ttl_seconds: int = SESSION_TTL_SECONDS,
+) -> StreamingQuery:
+    """Keep the documents in the stream's own state and write nothing else; :func:`session_state` reads them."""
+    return (
+        session_updates(entries, max_entries, ttl_seconds)
+        .writeStream.outputMode("update")
+        .format("noop")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def session_state(
+    spark: SparkSession,
+    checkpoint: str,
+    ttl_seconds: int = SESSION_TTL_SECONDS,
+    at: dt.datetime | None = None,
+) -> DataFrame:
+    """The documents of all sessions as of the last finished micro-batch of :func:`keep_sessions`.
+
+    Sessions whose state has run out at the moment ``at`` (by the wall clock of the
+    stream's runs; now, if not given) are left out, also if the store still holds
+    them. A session has at most as many turns as the stream keeps, so they fit one
+    row; both parts are grouped by session and joined without a further shuffle.
+    """
+    moment = int((at or dt.datetime.now(dt.timezone.utc)).timestamp() * 1000)
+
+    def variable(name: str, column: str) -> DataFrame:
+        held = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+        return held.where(F.col(f"{column}.ttlExpirationMs") > moment).select(
+            "key.session_id", F.col(f"{column}.value").alias("held")
+        )
+
+    turn = F.struct("held.entry_no", "held.role", "held.content")
+    in_order = F.transform(
+        F.sort_array(F.collect_list(turn)),
+        lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")),
+    )
+    turns = variable("turns", "list_element").groupBy("session_id").agg(in_order.alias("turns"))
+    totals = variable("totals", "value").select(
+        "session_id",
+        F.col("held.prompt").alias("prompt_tokens"),
+        F.col("held.response").alias("response_tokens"),
+        F.col("held.total").alias("total_tokens"),
+        F.col("held.requests").alias("request_count"),
+        F.timestamp_micros(F.col("held.last_us") + F.lit(ttl_seconds * 1_000_000)).alias("expire_at"),
+    )
+    documents = totals.join(turns, "session_id", "left")
+    none = F.array().cast("array<struct<role:string,content:string>>")
+    return documents.withColumn("turns", F.coalesce("turns", none)).select(
+        "session_id", "turns", "prompt_tokens", "response_tokens", "total_tokens", "request_count", "expire_at"
+    )

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import uuid
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flightlake.operators import evals, logs, sessions
 from flightlake.plans import medallion
-from flightlake.schemas import BRONZE, SESSION_ENTRIES
+from flightlake.schemas import BRONZE, SESSION_ENTRIES, VARIANT_LOG
 from flightlake.session import work_folder
 from flightlake.sources import bronze, runlog
 from flightlake.streaming import flights as flight_stream
@@ -138,6 +139,105 @@ def test_hourly_tokens_take_late_events_and_open_hours(spark):
     assert sums == {10: 1, 12: 6, 9: 3}
 
 
+def files_below(path):
+    return sum(len(names) for _, _, names in os.walk(path))
+
+
+def test_state_of_fifty_batches_equals_the_batch_and_stays_small(spark):
+    source, offsets = work_folder(spark, "log"), work_folder(spark, "offsets")
+    at = dt.datetime(2024, 1, 1)
+    events = [
+        (at + dt.timedelta(hours=7 * n % 30), "INFO", "token_usage", f"/{n % 3}", n) for n in range(150)
+    ]
+    rows = log_rows(spark, events).repartitionByRange(50, "jsonPayload.total_tokens")
+    rows.write.format("json").option("timestampFormat", runlog.MICROSECONDS).save(source)
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        records = log_stream.log_stream(spark, source, files_per_batch=1)
+        running = log_stream.keep_hourly_tokens(records, offsets)
+        running.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    batches = running.lastProgress["batchId"] + 1
+    assert batches >= 50
+    state = log_stream.hourly_tokens_state(spark, offsets)
+    kept = sorted(map(tuple, state.collect()), key=repr)
+    expected = log_stream.hourly_tokens(log_rows(spark, events)).select(*state.columns)
+    assert kept == sorted(map(tuple, expected.collect()), key=repr)
+    # offsets and commits of more batches than a restart may need are gone
+    assert files_below(f"{offsets}/commits") < batches and files_below(f"{offsets}/offsets") < batches
+
+
+def test_session_state_equals_batch_and_leaves_out_idle_sessions(spark):
+    source, offsets = work_folder(spark, "in"), work_folder(spark, "offsets")
+    waves = [
+        [entry("a", n, n, 10 if n % 2 else None) for n in range(6)],
+        [entry("a", n, n, 1) for n in range(6, 9)] + [entry("b", 0, 3), entry(None, 0, 4)],
+    ]
+    for wave in waves:
+        spark.createDataFrame(wave, SESSION_ENTRIES).write.mode("append").parquet(source)
+        session_stream.keep_sessions(
+            session_stream.entry_stream(spark, source), offsets, max_entries=4
+        ).awaitTermination()
+    everything = spark.createDataFrame([e for w in waves for e in w if e[0]], SESSION_ENTRIES)
+    batch = sessions.session_documents(everything, 4).drop("history_turns")
+    state = session_stream.session_state(spark, offsets).where("session_id IS NOT NULL")
+
+    def rows(df):
+        return sorted(map(str, df.select(*sorted(batch.columns)).collect()))
+
+    assert rows(state) == rows(batch)
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=2)
+    assert session_stream.session_state(spark, offsets, at=later).count() == 0
+
+
+VARIANT_LINES = [
+    '{"timestamp":"2024-01-05T10:00:00Z","severity":"INFO","jsonPayload":{"event":"token_usage",'
+    '"endpoint":"/retrieve","total_tokens":"many","prompt_tokens":"12","trace":{"span":[1,2]}}}',
+    '{"timestamp":"2024-01-05T10:30:00Z","severity":"INFO","jsonPayload":{"event":"token_usage","total_tokens":7}}',
+    '{"timestamp":"2024-01-05T11:00:00Z","severity":"INFO","jsonPayload":"plain text"}',
+    '{"timestamp":"2024-01-05T11:00:00Z","severity":"INFO"}',
+    "{broken",
+]
+
+
+def variant_folder(spark):
+    path = work_folder(spark, "variant-log")
+    os.makedirs(f"{path}/log_date=2024-01-05")
+    with open(f"{path}/log_date=2024-01-05/log.json", "w") as lines:
+        lines.write("\n".join(VARIANT_LINES))
+    return path
+
+
+def test_variant_payloads_of_any_shape_are_read(spark):
+    path = variant_folder(spark)
+    log = runlog.read_run_log(spark, path, dt.datetime(2024, 1, 6), 30, "json", VARIANT_LOG)
+    assert log.count() == len(VARIANT_LINES)
+    usage = logs.token_usage_rows(log).orderBy("timestamp").collect()
+    assert [(r["prompt_tokens"], r["total_tokens"]) for r in usage] == [(12, None), (None, 7)]
+    rate = logs.fallback_rate(log).collect()[0]
+    assert (rate["requests"], rate["fallbacks"]) == (1, 0)
+    fields = {(r["event"], r["field"], r["type"]): (r["entries"], r["known"]) for r in logs.log_fields(log).collect()}
+    assert fields["token_usage", "total_tokens", "string"] == (1, True)
+    assert fields["token_usage", "total_tokens", "bigint"] == (1, True)
+    assert fields["token_usage", "trace", "object<span: array<bigint>>"] == (1, False)
+    assert sum(n for (event, field, _), (n, _) in fields.items() if field is None) == 3
+    assert logs.log_fields(log.limit(0)).count() == 0
+
+
+def test_variant_export_keeps_unknown_fields_and_reads_few(spark):
+    path, offsets = work_folder(spark, "export"), work_folder(spark, "offsets")
+    records = log_stream.log_stream(spark, variant_folder(spark), schema=VARIANT_LOG)
+    log_stream.stream_run_log(records, path, offsets).awaitTermination()
+    log = runlog.read_run_log(spark, path, dt.datetime(2024, 1, 6), schema=VARIANT_LOG)
+    spans = log.select(F.try_variant_get("jsonPayload", "$.trace.span[1]", "int")).collect()
+    assert sorted(s[0] or 0 for s in spans) == [0, 2]
+    plan = logs.tokens_by_endpoint(logs.token_usage_rows(log))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in plan
+    # the scan hands on the fields asked for, not whole payloads
+    assert "variant" not in plan[plan.index("ReadSchema") :].split("\n")[0]
+
+
 def log_rows(spark, events):
     schema = "log_ts timestamp, severity string, event string, endpoint string, total_tokens bigint"
     return runlog.log_records(spark.createDataFrame(events, schema))
