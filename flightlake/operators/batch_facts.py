@@ -303,13 +303,14 @@ def batch_facts(
     """Facts of every request (``request_id, fact_rank, source, fact_json, fact_pairs``).
 
     As for a single question: the documents answer first; a setting they have
-    no row for is answered by the report its query type names. The first
+    no row for is answered by the report its query type names. The settings of
+    the requests are stored, so that questions are checked once. The first
     answers (ten rows per setting at most) are stored, because they are both
     returned and used to see what is still open; Silver is read only for the
     reports that are, as far back as their longest window.
     """
     asked = with_setting(requests).withColumn("report", report(F.col("query_type")))
-    keyed = asked.select("request_id", "report", *SETTING)
+    keyed = materialise(asked.select("request_id", "report", *SETTING), "asked")
     settings = keyed.select(*SETTING).distinct()
     primary = materialise(
         _as_text(setting_rag_facts(settings, documents, as_of), RAG_NAMES, SOURCE_DOCUMENTS), "facts"
@@ -346,7 +347,7 @@ def agent_batch_facts(
     where a setting needs them, as far back as the longest window that does.
     """
     asked = with_agent_setting(requests).withColumn("report", agent_report(F.col("query_type")))
-    keyed = asked.select("request_id", "report", *SETTING)
+    keyed = materialise(asked.select("request_id", "report", *SETTING), "asked")
     settings = materialise(keyed.select("report", *SETTING).distinct(), "settings")
     kinds = [kind for kind in kinds_of(settings) if kind != "documents"]
     cube = _cube_for(kinds, silver, settings.where(F.col("report") != "documents"), as_of)
