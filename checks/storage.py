@@ -27,15 +27,12 @@ def _landed(spark, sf) -> str:
 
 @query(
     "write_bronze",
-    sql(
-        "SELECT CAST(substring(event_ts, 1, 10) AS DATE) AS date, count(*) AS landed "
-        "FROM raw_text GROUP BY 1"
-    ),
+    sql("SELECT *, CAST(substring(event_ts, 1, 10) AS DATE) AS date FROM raw_text"),
 )
 def write_bronze(spark, sf):
-    """Rows per landed day, read through the day folders."""
+    """Every landed field and its day, read through the day folders."""
     landed = spark.read.option("header", True).csv(f"{_landed(spark, sf)}/raw")
-    return landed.groupBy(F.col("date").cast("date").alias("date")).agg(F.count("*").alias("landed"))
+    return landed.withColumn("date", F.col("date").cast("date"))
 
 
 @query("read_bronze", sql("SELECT * FROM raw_text"))
@@ -75,11 +72,11 @@ def read_table(spark, sf):
     return silver.groupBy("ingest_date").agg(F.count("*").alias("flights"))
 
 
-@query("export_flat", sql("SELECT flight_id, ingest_date FROM silver"))
+@query("export_flat", sql("SELECT * FROM silver"))
 def export_flat(spark, sf):
     path = work_folder(spark, "export")
     medallion.export_tables(spark, {_silver_table(spark, sf): path})
-    return spark.read.parquet(path).select("flight_id", "ingest_date")
+    return spark.read.parquet(path)
 
 
 @query("silver_ext", sql("SELECT * FROM silver"))
@@ -109,17 +106,17 @@ def write_rag_docs(spark, sf):
 
 @query(
     "write_vectors",
-    "SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dimensions, "
-    "round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings",
+    "SELECT id, CAST(place AS BIGINT) AS place, round(CAST(embedding[place] AS DOUBLE), 6) AS value "
+    "FROM (SELECT CAST(vec_id AS VARCHAR) AS id, embedding, unnest(range(1, len(embedding) + 1)) AS place "
+    "FROM embeddings) places",
 )
 def write_vectors(spark, sf):
+    """Every number of every vector."""
     root = work_folder(spark, "vectors")
     document_files.write_vectors(fx.embeddings(spark, sf), root)
     return document_files.read_vectors(spark, root).select(
-        "id",
-        F.size("embedding").cast("bigint").alias("dimensions"),
-        F.round(F.element_at("embedding", 1), 6).alias("first_value"),
-    )
+        "id", F.posexplode("embedding").alias("place", "value")
+    ).select("id", (F.col("place") + 1).cast("bigint").alias("place"), F.round("value", 6).alias("value"))
 
 
 @query("stage_rows", sql("SELECT * FROM docs"))

@@ -1,9 +1,15 @@
 """Every registered query against its SQL, on whole tables."""
 
+from collections import Counter
+
+import numpy as np
 import pytest
+import regex
 
 import __spark_entry__ as contract
+from checks import fixtures as fx
 from checks.registry import ORACLES, QUERIES
+from flightlake.operators.requests import validate_requests
 from flightlake.operators.vectors import recall
 
 ROWS_ONLY = {
@@ -62,6 +68,67 @@ def test_search_stays_within_each_questions_k(spark, sf_dir):
     assert not found.isEmpty()
 
 
+def murmur3(data, seed=42):
+    """The 32-bit hash with which words find their place, signed."""
+    low = 0xFFFFFFFF
+
+    def turn(x, r):
+        return (x << r | x >> (32 - r)) & low
+
+    def mixed(k):
+        return turn(k * 0xCC9E2D51 & low, 15) * 0x1B873593 & low
+
+    h, whole = seed, len(data) // 4 * 4
+    for at in range(0, whole, 4):
+        h = (turn(h ^ mixed(int.from_bytes(data[at : at + 4], "little")), 13) * 5 + 0xE6546B64) & low
+    if len(data) > whole:
+        h ^= mixed(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & low
+    h = (h ^ h >> 13) * 0xC2B2AE35 & low
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def plain_embedding(text, place=None):
+    vector, place = np.zeros(768), {} if place is None else place
+    for word, times in Counter(w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w).items():
+        if word not in place:
+            place[word] = murmur3(word.encode()) % 768
+        vector[place[word]] += times
+    length = np.sqrt((vector**2).sum())
+    return vector / length if length else vector
+
+
+def test_every_question_finds_what_plain_python_finds(spark, sf_dir):
+    """All questions against all documents: places of words, products, ranks and ties."""
+    place, columns = {}, ["request_id", "question", "top_k"]
+    asked = QUERIES["facts_query_type"](spark, sf_dir).select("request_id")
+    asked = fx.requests(spark, sf_dir).join(asked, "request_id")
+    questions = validate_requests(asked).select(*columns).collect()
+    documents = sorted(map(tuple, fx.document_table(spark, sf_dir).select("doc_id", "content").collect()))
+    ids = np.array([doc_id for doc_id, _ in documents])
+    filed = np.stack([plain_embedding(text, place) for _, text in documents])
+    expected = {}
+    for number, question, top_k in questions:
+        products = np.round(filed @ plain_embedding(question, place), 6)
+        best = np.argsort(-products, kind="stable")[:top_k]
+        expected[number] = [(n + 1, ids[i], round(products[i], 4)) for n, i in enumerate(best)]
+    found = {}
+    rows = QUERIES["search_flight_records"](spark, sf_dir).select("request_id", "match_rank", "doc_id", "similarity")
+    for row in sorted(map(tuple, rows.collect())):
+        found.setdefault(row[0], []).append(row[1:])
+    assert found.keys() == {number for number, hits in expected.items() if hits}
+    for number, hits in found.items():
+        assert [hit[:2] for hit in hits] == [hit[:2] for hit in expected[number]]
+        assert np.allclose([hit[2] for hit in hits], [hit[2] for hit in expected[number]], atol=1.01e-4)
+    cited = QUERIES["question_references"](spark, sf_dir).select("request_id", "sources").collect()
+    assert {n: s.split(",") for n, s in cited if s} == {n: [hit[1] for hit in hits] for n, hits in found.items()}
+    answer = QUERIES["tool_search"](spark, sf_dir).orderBy("match_rank").collect()
+    products = np.round(filed @ plain_embedding("weather delays on route ATL-LAX", place), 6)
+    assert [row["doc_id"] for row in answer] == list(ids[np.argsort(-products, kind="stable")[:5]])
+
+
 def test_references_belong_to_valid_requests(spark, sf_dir):
     references = QUERIES["question_references"](spark, sf_dir)
     asked = QUERIES["facts_query_type"](spark, sf_dir)
