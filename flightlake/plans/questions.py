@@ -25,6 +25,7 @@ from flightlake.operators.requests import (
 from flightlake.operators.sessions import last_turns, session_history
 from flightlake.operators.vectors import embed_documents, vector_top_k
 from flightlake.session import materialise
+from flightlake.sources.document_table import BROADCAST_IDS, bloom_filter, may_hold
 
 
 def accepted(requests: DataFrame) -> DataFrame:
@@ -37,15 +38,37 @@ def matched_documents(requests: DataFrame, documents: DataFrame) -> DataFrame:
     """Each question's nearest documents, as many as it asks for, with their metadata."""
     questions = embed_documents(requests.select("request_id", "question"), "question")
     matches = vector_top_k(questions, documents, MAX_TOP_K)
-    wanted = matches.join(requests.select("request_id", "top_k"), "request_id").where(
-        F.col("match_rank") <= F.col("top_k")
+    wanted = (
+        matches.join(requests.select("request_id", "top_k"), "request_id")
+        .where(F.col("match_rank") <= F.col("top_k"))
+        .drop("top_k")
     )
     return metadata_defaults(
-        wanted.join(documents.select("doc_id", *METADATA_FIELDS), "doc_id").drop("top_k"),
-        METADATA_FIELDS,
+        with_documents(materialise(wanted, "hits"), documents, METADATA_FIELDS), METADATA_FIELDS
     )
 
 
+def with_documents(
+    hits: DataFrame, documents: DataFrame, fields: list[str], few: int = BROADCAST_IDS
+) -> DataFrame:
+    """Hits with the named fields of their documents; a hit whose document is gone is left out.
+
+    ``hits`` is a stored table. Its different ids, an id each however many questions
+    found it, are broadcast up to ``few``, so documents stay where they lie and only
+    found ones move. Beyond, a Bloom filter of the ids lets go of documents that no
+    question found before the others are shuffled.
+    """
+    found = materialise(hits.select("doc_id").distinct(), "found")
+    count = found.count()
+    rows = documents.select("doc_id", *fields)
+    if count <= few:
+        kept = rows.join(F.broadcast(found), "doc_id", "left_semi")
+    else:
+        words = materialise(bloom_filter(found, count), "bloom")
+        kept = rows.where(may_hold(words.scalar(), "doc_id")).join(found, "doc_id", "left_semi")
+    return hits.join(kept, "doc_id")
+
+
 def search_requests(requests: DataFrame, documents: DataFrame) -> DataFrame:
     """Search results with cleaned content and similarity to four places."""
     return matched_documents(requests, documents).select(
@@ -77,7 +100,8 @@ def answer_contexts(
 
     ``documents`` carries an ``embedding`` of the same kind as the questions;
     ``matches`` may be given where another search has already found them. The
-    search and the facts are stored once each, as several branches need them.
+    search, the checked questions and the facts are stored once each, as several
+    branches need them.
     """
     gated, matches = _searched(requests, documents, matches)
     facts = batch_facts(gated.where("needs_facts"), documents, silver, routes, as_of)
@@ -101,7 +125,6 @@ def ask_batch(
     documents where it has no row. Both share one search and one set of sessions.
     """
     gated, matches = _searched(requests, documents, matches)
-    gated = materialise(gated, "gated")
     by_agent = F.col("routed_to") == "agent"
     facts = batch_facts(
         gated.where(~by_agent & F.col("needs_facts")), documents, silver, routes, as_of
@@ -112,12 +135,12 @@ def ask_batch(
 def _searched(
     requests: DataFrame, documents: DataFrame, matches: DataFrame | None
 ) -> tuple[DataFrame, DataFrame]:
-    """The valid requests with their hit counts, and their stored matches."""
-    asked = accepted(requests)
+    """The valid requests with their hit counts, and their matches, both stored."""
+    asked = materialise(accepted(requests), "asked")
     if matches is None:
         matches = matched_documents(asked, documents)
     matches = materialise(matches, "matches")
-    return retrieval_gate(asked, matches), matches
+    return materialise(retrieval_gate(asked, matches), "gated"), matches
 
 
 def _contexts(

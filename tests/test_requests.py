@@ -9,6 +9,7 @@ from flightlake.operators import views
 from flightlake.operators.batch_facts import agent_batch_facts, with_agent_setting
 from flightlake.operators.vectors import embed_documents
 from flightlake.plans import questions
+from flightlake.session import materialise
 
 SCHEMA = (
     "request_id bigint, question string, session_id string, airline string, route string, "
@@ -196,3 +197,22 @@ def test_agent_facts_of_odd_settings(spark, sf_dir):
     assert len(by_request[1]) == 1 and '"airline": "AA"' in by_request[1][0].fact_json
     assert len(by_request[2]) == 10 and '"route"' in by_request[2][0].fact_json
     assert by_request[3] == []
+
+
+def test_documents_of_hits_stay_where_they_lie(spark, sf_dir):
+    """Broadcast ids and the Bloom filter give the same rows; a hot document and a lost one do no harm."""
+    documents = materialise(fx.document_table(spark, sf_dir), "documents")
+    hot = documents.orderBy("doc_id").select("doc_id").limit(1)
+    every_tenth = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0).select("doc_id")
+    lost = spark.createDataFrame([("not there",), (None,)], "doc_id string")
+    hits = hot.crossJoin(spark.range(2000)).select("doc_id").unionByName(every_tenth).unionByName(lost)
+    hits = materialise(hits.withColumn("request_id", F.monotonically_increasing_id()), "hits")
+    fields = ["content", "airline"]
+    expected = sorted(map(tuple, hits.join(documents.select("doc_id", *fields), "doc_id").collect()))
+    assert len(expected) > 2000
+    few, many = (questions.with_documents(hits, documents, fields, few=n) for n in (10**6, 10))
+    for found in (few, many):
+        assert sorted(map(tuple, found.select("doc_id", "request_id", *fields).collect())) == expected
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "broadcast" in plan
+    assert questions.with_documents(hits.limit(0), documents, fields).isEmpty()
