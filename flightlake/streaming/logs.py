@@ -84,9 +84,10 @@ def read_hourly_tokens(spark: SparkSession, path: str) -> DataFrame:
 def keep_hourly_tokens(records: DataFrame, checkpoint: str) -> StreamingQuery:
     """Keep the sums in the stream's own state and write nothing else.
 
-    The checkpoint holds a row per hour and endpoint, and old versions of it are
-    dropped while the stream runs, so the number of files doesn't grow with the
-    number of micro-batches. :func:`hourly_tokens_state` reads it.
+    The state holds a row per hour and endpoint, and its old versions are dropped
+    while the stream runs, so their number doesn't grow with the micro-batches;
+    only the source's own list of files read does. :func:`hourly_tokens_state`
+    reads it.
     """
     return (
         hourly_tokens(records)
