@@ -320,7 +320,9 @@ def riskiest(spark, sf):
           || {short_number(rnd('weather_impact_rate * CAST(100.0 AS DOUBLE)', 2))}
           || '%.' AS narrative_text,
           CAST(total_flights AS BIGINT) AS payload_flights,
-          {rnd('risk_score', 6)} AS payload_number, dominant_airline AS payload_airline
+          {rnd('risk_score', 6)} AS payload_number, dominant_airline AS payload_airline,
+          {rnd('disruption_rate', 6)} AS payload_disruption, {rnd('severe_delay_rate', 6)} AS payload_severe,
+          {rnd('weather_impact_rate', 6)} AS payload_weather, CAST(NULL AS DOUBLE) AS payload_arrival
         FROM routes
         UNION ALL
         SELECT 'airline_performance' AS fact_type, airline AS fact_key,
@@ -328,7 +330,8 @@ def riskiest(spark, sf):
           || {short_number('avg_dep_delay_min')} || ' minutes across '
           || CAST(total_flights AS VARCHAR) || ' flights.' AS narrative_text,
           total_flights AS payload_flights, {rnd('avg_dep_delay_min', 6)} AS payload_number,
-          NULL AS payload_airline
+          NULL AS payload_airline, NULL AS payload_disruption, NULL AS payload_severe,
+          NULL AS payload_weather, {rnd('avg_arr_delay_min', 6)} AS payload_arrival
         FROM airlines"""
     ),
 )
@@ -349,6 +352,15 @@ def nl_facts(spark, sf):
         field("total_flights").cast("bigint").alias("payload_flights"),
         F.round(number, 6).alias("payload_number"),
         field("dominant_airline").alias("payload_airline"),
+        *[
+            F.round(field(name).cast("double"), 6).alias(f"payload_{short}")
+            for short, name in {
+                "disruption": "disruption_rate",
+                "severe": "severe_delay_rate",
+                "weather": "weather_impact_rate",
+                "arrival": "avg_arr_delay_min",
+            }.items()
+        ],
     )
 
 
