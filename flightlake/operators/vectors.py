@@ -1,8 +1,8 @@
 """Vectors: embedding jobs, exact top-k and leaf-pruned top-k by dot product.
 
 Scoring multiplies matrices inside tasks and emits only the k best documents
-per question and block; pairs are never materialised. Blocks are bounded in
-rows on both sides, so neither a crowded leaf nor a large question batch ends
+per question and portion; pairs are never materialised. Portions and blocks are
+bounded on both sides, so neither a crowded leaf nor a large question batch ends
 up in one task.
 """
 
@@ -24,8 +24,10 @@ from flightlake.session import materialise, work_folder
 
 DOC_BLOCK = 8192
 QUESTION_BLOCK = 1024
-#: Matches that a task holds before it hands them on.
+#: Matches of a block of questions, components of documents and products that a task holds at a time.
 HELD_MATCHES = 500_000
+HELD_VALUES = 8_000_000
+HELD_PRODUCTS = 2_000_000
 #: Most children of a node of the leaf tree, sampled rows per child that it is fitted on, and most levels.
 MOST_CHILDREN = 1024
 SAMPLED_ROWS = 32
@@ -100,43 +102,243 @@ def with_vector(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(F.size("embedding") > 0).select(key, vector)
 
 
-def _block_scorer(k: int, schema: T.StructType) -> Callable:
-    """Best k documents of one block for each question: Arrow columns in, Arrow table out."""
-    layout = to_arrow_schema(schema)
+def _searcher(k: int, schema: T.StructType, most: int, once: bool) -> Callable:
+    """Best k documents of a portion for each question of a block, as ``search(part, portion)``.
 
-    def best(request_ids, question_vectors, doc_ids, doc_vectors):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
+    ``portion`` is what ``_gatherer`` makes: ids in order and groups of documents. A group's
+    products with the questions are one matrix, or, where most components are zero, a matrix
+    for the different patterns of components that many documents have, and lists of the
+    documents that have the others. The k best so far of a question keep all lower products from being
+    looked at; ``most`` bounds the products that are formed at once. With
+    ``once``, an id counts once, by its best product.
+    """
+    import numpy as np
+    import pyarrow as pa
 
-        def matrix(column):
-            values = np.asarray(pc.list_flatten(column), dtype="float64")
-            return values.reshape(len(column), -1)
-
-        if not len(request_ids) or not len(doc_ids):
-            return layout.empty_table()
-        by_id = pc.sort_indices(doc_ids)
-        questions, documents = matrix(question_vectors), matrix(pc.take(doc_vectors, by_id)).T
-        rows, columns, scores = [], [], []
-        for start in range(0, len(questions), 256):
-            block = np.round(questions[start : start + 256] @ documents, 6)
-            take = min(k, block.shape[1])
-            limit = np.partition(block, -take, axis=1)[:, -take][:, None]
-            # above the k-th score all count; at it, the smallest ids fill the rest
-            above, level = block > limit, block == limit
-            missing = take - above.sum(axis=1, keepdims=True)
-            row, column = np.nonzero(above | (level & (level.cumsum(axis=1) <= missing)))
-            rows.append(row + start)
-            columns.append(column)
-            scores.append(block[row, column] + 0.0)
-        found = [
-            pc.take(request_ids, pa.array(np.concatenate(rows))),
-            pc.take(doc_ids, pc.take(by_id, pa.array(np.concatenate(columns)))),
-            pa.array(np.concatenate(scores)),
-        ]
-        return pa.Table.from_arrays(found, names=layout.names).cast(layout)
+    layout = to_arrow_schema(schema)
 
-    return best
+    def products(group, questions):
+        if "lists" not in group:
+            return questions @ group["rows"]().T
+        lists, number = group["lists"], group["count"]
+        found = (questions[:, group["common"]] @ group["patterns"].T).take(group["pattern"], axis=1)
+        for row, question in zip(found, questions, strict=True):
+            places = [p for p in np.flatnonzero(question).tolist() if p in lists]
+            if places:
+                at = np.concatenate([lists[p][0] for p in places])
+                values = np.concatenate([question[p] * lists[p][1] for p in places])
+                row += np.bincount(at, values, number)
+        return found
+
+    def candidates(found, ranks, level, last):
+        """Places and rounded products of those that may be among the k best, first ones of equals first."""
+        count = found.shape[1]
+        floor, fresh = level.copy(), np.isneginf(level)
+        if fresh.any() and not once and count >= k:
+            # the k-th best of some is not above the k-th best of all
+            some = found[fresh, : max(k, 4096)]
+            some = np.where(np.isnan(some), -np.inf, some)
+            place = some.shape[1] - k
+            floor[fresh] = np.round(np.partition(some, place, axis=1)[:, place], 6)
+        flat = np.flatnonzero((found > (floor - 1e-6)[:, None]).ravel())
+        row, column = flat // count, flat % count
+        score = np.round(found.ravel()[flat], 6) + 0.0
+        equal = score == floor[row]
+        first = np.searchsorted(row, row)
+        before = np.concatenate([[0], np.cumsum(equal)])
+        among = before[1:] - before[first]
+        equal &= np.where(fresh[row], among <= k, ranks[column] < last[row])
+        kept = (score > floor[row]) | equal
+        return row[kept], ranks[column[kept]], score[kept]
+
+    def merged(state, level, last):
+        row, rank, score = (np.concatenate(x) for x in zip(*state, strict=True))
+        if once:
+            order = np.lexsort((-score, rank, row))
+            row, rank, score = row[order], rank[order], score[order]
+            again = (row[1:] == row[:-1]) & (rank[1:] == rank[:-1])
+            new = np.concatenate([[True], ~again]) if len(row) else np.zeros(0, bool)
+            row, rank, score = row[new], rank[new], score[new]
+        order = np.lexsort((rank, -score, row))
+        order = order[np.arange(len(row)) - np.searchsorted(row[order], row[order]) < k]
+        row, rank, score = row[order], rank[order], score[order]
+        full = np.arange(len(row)) - np.searchsorted(row, row) == k - 1
+        level[row[full]], last[row[full]] = score[full], rank[full]
+        return [(row, rank, score)]
+
+    def visits(part, portion):
+        """Which questions visit which group; None: all visit all."""
+        if "centres" not in portion:
+            return None
+        near = np.round(portion["matrix"](part["embedding"]) @ portion["centres"].T, 6)
+        score = np.asarray(part["cut_score"])[:, None]
+        return (near > score) | ((near == score) & (portion["leaves"] <= np.asarray(part["cut_leaf"])[:, None]))
+
+    def search(part, portion):
+        asked, seen = portion["matrix"](part["embedding"]), visits(part, portion)
+        widest = max(group["count"] for group in portion["groups"])
+        step = max(1, min(len(asked), most // widest))
+        for start in range(0, len(asked), step):
+            block = asked[start : start + step]
+            level, last = np.full(len(block), -np.inf), np.zeros(len(block), "int64")
+            state, waiting = [], 0
+            for group in portion["groups"]:
+                rows = None if seen is None else np.flatnonzero(seen[start : start + step, group["leaf"]])
+                if rows is not None and not len(rows):
+                    continue
+                chosen = slice(None) if rows is None else rows
+                row, rank, score = candidates(
+                    products(group, block[chosen]), group["ranks"], level[chosen], last[chosen]
+                )
+                state.append((row if rows is None else rows[row], rank, score))
+                waiting += len(row)
+                if waiting > 4 * k * len(block):
+                    state, waiting = merged(state, level, last), 0
+            if state:
+                row, rank, score = merged(state, level, last)[0]
+                found = [
+                    part["request_id"].take(pa.array(row + start)),
+                    portion["ids"].take(pa.array(rank)),
+                    pa.array(score),
+                ]
+                yield from pa.Table.from_arrays(found, names=layout.names).cast(layout).to_batches()
+
+    return search
+
+
+def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Callable:
+    """Document batches as portions of ``held`` components at most, their documents in order.
+
+    Zeros of vectors that have mostly zeros are neither held nor counted. With a
+    folder of ``centres``, a group is documents of one leaf, else of following ids.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    long = 4 * doc_block
+
+    def matrix(column):
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        values = np.asarray(pc.list_flatten(column), dtype="float64")
+        return values.reshape(len(column), -1)
+
+    def thin(rows):
+        row, place = np.nonzero(rows)
+        return row, place, rows[row, place]
+
+    def lists_of(group, row, place, values, width):
+        count = group["count"]
+        many = np.bincount(place, minlength=width)
+        common = np.flatnonzero(many * 8 > count)
+        number = np.full(width, -1)
+        number[common] = np.arange(len(common))
+        full = number[place] >= 0
+        columns = np.zeros((count, len(common)))
+        columns[row[full], number[place[full]]] = values[full]
+        patterns, pattern = np.unique(columns, axis=0, return_inverse=True)
+        row, place, values = row[~full], place[~full], values[~full]
+        order = np.argsort(place.astype("uint16") if width <= 1 << 16 else place, kind="stable")
+        row, place, values = row[order], place[order], values[order]
+        ends = np.flatnonzero(np.diff(place, append=-1)) + 1
+        starts = np.concatenate([[0], ends[:-1]]).astype(int)
+        lists = {int(place[a]): (row[a:b], values[a:b]) for a, b in zip(starts, ends, strict=True)}
+        told = {"common": common, "patterns": patterns, "pattern": pattern.ravel()}
+        return group | told | {"lists": lists}
+
+    def portion(ids, vectors, leaves):
+        ids = pa.chunked_array(ids).combine_chunks()
+        by_id = np.asarray(pc.sort_indices(ids))
+        ids = ids.take(pa.array(by_id))
+        ranks = np.arange(len(ids))
+        if once:
+            told = ids.dictionary_encode(null_encoding="encode")
+            ranks, ids = np.asarray(told.indices).astype("int64"), told.dictionary
+        made, order = {"ids": ids, "matrix": matrix}, by_id
+        if leaves:
+            leaf = np.concatenate(leaves)[by_id]
+            by_leaf = np.argsort(leaf, kind="stable")
+            leaf, ranks, order = leaf[by_leaf], ranks[by_leaf], by_id[by_leaf]
+            import pyarrow.dataset as ds
+
+            near = ds.dataset(centres, format="parquet").to_table(
+                columns=["leaf", "centre"], filter=ds.field("leaf").isin(np.unique(leaf).tolist())
+            ).sort_by("leaf")
+            if not near.num_rows:
+                return None
+            made |= {"centres": matrix(near["centre"]), "leaves": np.asarray(near["leaf"])}
+            edges = np.flatnonzero(np.diff(leaf, prepend=leaf[:1] - 1))
+        sparse = any(isinstance(v, tuple) for v in vectors)
+        width = next(v[3] if isinstance(v, tuple) else v.shape[1] for v in vectors)
+        if sparse:
+            vectors = [v if isinstance(v, tuple) else (*thin(v), v.shape[1], len(v)) for v in vectors]
+            begin = np.cumsum([0] + [v[4] for v in vectors])
+            back = np.empty(len(order), "int64")
+            back[order] = np.arange(len(order))
+            row = back[np.concatenate([v[0] + b for v, b in zip(vectors, begin, strict=False)])]
+            by_row = np.argsort(row, kind="stable")
+            row = row[by_row]
+            place = np.concatenate([v[1] for v in vectors])[by_row]
+            values = np.concatenate([v[2] for v in vectors])[by_row]
+        else:
+            whole = np.concatenate(vectors)[order]
+        size = long if sparse and not leaves else doc_block
+        # the first group is small where nothing else tells what the k best reach
+        begun = [0, 512] if once and not leaves else [0]
+        pieces = [(a, a + size) for a in range(begun[-1], len(order), size)]
+        pieces = [(0, 512), *pieces] if len(begun) > 1 else pieces
+        if leaves:
+            ends = np.append(edges[1:], len(order))
+            pieces = [
+                (a, min(a + size, end)) for first, end in zip(edges, ends, strict=True) for a in range(first, end, size)
+            ]
+        groups = []
+        for start, end in pieces:
+            end = min(end, len(order))
+            group = {"count": end - start, "ranks": ranks[start:end]}
+            if leaves:
+                at = np.searchsorted(made["leaves"], leaf[start])
+                if at == len(made["leaves"]) or made["leaves"][at] != leaf[start]:
+                    continue
+                group["leaf"] = at
+            if not sparse:
+                group["rows"] = lambda part=whole[start:end]: part
+            else:
+                a, b = np.searchsorted(row, [start, end])
+                if end - start >= 4096:
+                    group = lists_of(group, row[a:b] - start, place[a:b], values[a:b], width)
+                else:
+
+                    def rows(n=end - start, r=row[a:b] - start, p=place[a:b], v=values[a:b]):
+                        filled = np.zeros((n, width))
+                        filled[r, p] = v
+                        return filled
+
+                    group["rows"] = rows
+            groups.append(group)
+        return made | {"groups": groups} if groups else None
+
+    def gathered(batches):
+        ids, vectors, leaves, values = [], [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = matrix(batch["embedding"])
+            filled = np.count_nonzero(rows)
+            sparse = filled * 4 < rows.size
+            ids.append(batch["doc_id"])
+            vectors.append((*thin(rows), rows.shape[1], len(rows)) if sparse else rows)
+            if centres:
+                leaves.append(np.asarray(batch["leaf"]))
+            values += filled + len(rows) if sparse else rows.size
+            if values >= held:
+                yield portion(ids, vectors, leaves)
+                ids, vectors, leaves, values = [], [], [], 0
+        if ids:
+            yield portion(ids, vectors, leaves)
+
+    return gathered
 
 
 def top_matches(scored: DataFrame, k: int) -> DataFrame:
@@ -160,66 +362,51 @@ def stored_blocks(questions: DataFrame) -> str:
 
 
 def score_where_they_lie(
-    folder: str, documents: DataFrame, k: int, schema: T.StructType, block: int
+    folder: str,
+    documents: DataFrame,
+    k: int,
+    schema: T.StructType,
+    block: int,
+    doc_block: int = DOC_BLOCK,
+    once: bool = False,
+    centres: str | None = None,
 ) -> DataFrame:
-    """Best matches per task: a task reads the question blocks anew for each batch of its documents.
+    """Best matches per task: a task reads the question blocks once for each portion of its documents.
 
-    It keeps the k best of every question over all its batches, as long as these
-    are ``HELD_MATCHES`` at most; beyond, it hands them on and begins again.
+    A portion has ``HELD_VALUES`` components at most; of a question, its k best in a
+    portion are handed on. ``once``: an id that occurs several times counts once.
+    With a folder of ``centres``, questions carry the last leaf that they visit
+    (``cut_score``, ``cut_leaf``), documents their ``leaf``, and only the leaves
+    up to it are compared.
     """
-    best, most = _block_scorer(k, schema), HELD_MATCHES
+    block = max(1, min(block, HELD_MATCHES // k))
+    search = _searcher(k, schema, HELD_PRODUCTS, once)
+    gathered = _gatherer(HELD_VALUES, doc_block, once, centres)
 
     def score(batches: Iterator) -> Iterator:
-        import pyarrow as pa
         import pyarrow.dataset as ds
 
-        def best_of(tables: list):
-            order = ["request_id", "distance", "doc_id"]
-            rows = pa.concat_tables(tables).to_pandas()
-            rows = rows.sort_values(order, ascending=[True, False, True])
-            kept = rows.groupby("request_id", sort=False).head(k)
-            return pa.Table.from_pandas(kept, schema=tables[0].schema, preserve_index=False)
-
         asked = ds.dataset(folder, schema=None, format="parquet")
-        held: dict[int, pa.Table] = {}
-        for batch in batches:
+        for portion in gathered(batches):
+            if portion is None:
+                continue
             blocks = asked.to_batches(batch_size=block, batch_readahead=1, fragment_readahead=1)
-            for number, part in enumerate(b for b in blocks if b.num_rows):
-                found = best(part["request_id"], part["embedding"], batch["doc_id"], batch["embedding"])
-                held[number] = best_of([held[number], found]) if number in held else found
-                if sum(t.num_rows for t in held.values()) > most:
-                    for table in held.values():
-                        yield from table.to_batches()
-                    held.clear()
-        for table in held.values():
-            yield from table.to_batches()
+            for part in blocks:
+                if part.num_rows:
+                    yield from search(part, portion)
 
     return documents.mapInArrow(score, schema)
 
 
-def score_blocks(
-    questions: DataFrame, documents: DataFrame, k: int, keys: list[str], schema: T.StructType
-) -> DataFrame:
-    """Block-wise best matches of two frames that share the block ``keys``."""
-    best = _block_scorer(k, schema)
-
-    def score(left, right):
-        return best(left["request_id"], left["embedding"], right["doc_id"], right["embedding"])
-
-    left = questions.select(*keys, "request_id", "embedding").groupBy(*keys)
-    right = documents.select(*keys, "doc_id", "embedding").groupBy(*keys)
-    return left.cogroup(right).applyInArrow(score, schema)
-
-
 def vector_top_k(
     questions: DataFrame, documents: DataFrame, k: int = 5, block: int = QUESTION_BLOCK
 ) -> DataFrame:
     """Exact top-k documents per question by dot product.
 
     The questions are written once to the shared folder. Documents are scanned
-    once, where they lie; each task goes through the question blocks and keeps k
-    rows per question, and ranks merge the tasks' rows before and after the one
-    shuffle of matches. Nothing passes through the driver.
+    once, where they lie, in portions of bounded size; each task goes through the
+    question blocks once a portion and keeps k rows per question, and ranks merge the
+    rows before and after the one shuffle of matches. Nothing passes through the driver.
     """
     _check_k(k)
     asked, filed = with_vector(questions, "request_id"), with_vector(documents, "doc_id")
@@ -368,43 +555,77 @@ class VectorLeaves:
     ) -> DataFrame:
         """Top-k among the documents of the visited leaves: the measured share of them, or ``searched``.
 
-        Leaves are cut into blocks by their own document and question counts, so
-        a leaf with a third of all documents is scored by many tasks.
+        Leaves are scored where they lie and copied nowhere. Of the leaves that a question
+        visits, only the last is stored beside it; what lies before it follows from the
+        centres. A leaf with a third of all documents is read by many tasks.
         """
         _check_k(k)
         asked = with_vector(questions, "request_id")
         schema = _match_schema(questions, self.leaves)
         visited = self.visited(self.searched if searched is None else searched)
-        probes = materialise(self.probes(asked, visited).drop("probe_rank"), "probes")
-
-        def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-            return rows.groupBy("leaf").agg(
-                F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name)
-            )
-
-        question_blocks = materialise(blocks(probes, question_block, "q_blocks"), "visited")
-        # cells are children of the tree's root: MOST_CHILDREN at most
-        reached = question_blocks.join(self.centres.select("leaf", "cell"), "leaf").select("cell").distinct()
-        documents = self.leaves.where(F.col("cell").isin([row["cell"] for row in reached.collect()]))
-        sizes = materialise(
-            blocks(documents, doc_block, "d_blocks").join(question_blocks, "leaf"), "blocks"
-        )
-        left = (
-            asked.join(probes, "request_id")
-            .join(sizes, "leaf")
-            .withColumn("q_block", F.pmod(F.xxhash64("request_id"), F.col("q_blocks")).cast("int"))
-            .withColumn("d_block", F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)))
-        )
-        right = (
-            documents.join(sizes, "leaf")
-            .withColumn("d_block", F.pmod(F.xxhash64("doc_id"), F.col("d_blocks")).cast("int"))
-            .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
-        )
-        scored = score_blocks(left, right, k, ["leaf", "q_block", "d_block"], schema)
+        documents, centres = self.leaves, None
+        if visited < self.centres.count():
+            centres = work_folder(asked.sparkSession, "leaf-centres")
+            self.centres.select("leaf", "cell", "centre").write.parquet(centres)
+            folder = work_folder(asked.sparkSession, "reach")
+            _reach(asked, centres, visited).write.parquet(folder)
+            # cells are children of the tree's root: MOST_CHILDREN at most
+            cells = asked.sparkSession.read.parquet(folder).select(F.explode("cells").alias("cell")).distinct()
+            documents = documents.where(F.col("cell").isin([row["cell"] for row in cells.collect()]))
+        else:
+            folder = stored_blocks(asked)
+        filed = documents.select("doc_id", "embedding", "leaf")
+        scored = score_where_they_lie(folder, filed, k, schema, question_block, doc_block, True, centres)
         once = scored.groupBy("request_id", "doc_id").agg(F.max("distance").alias("distance"))
         return top_matches(once, k)
 
 
+def _reach(asked: DataFrame, centres: str, visited: int) -> DataFrame:
+    """Questions with the last leaf that they visit, ``visited`` in all, and a batch's cells on its first row.
+
+    Leaves come by the product of their centres, higher first, then the smaller leaf.
+    """
+    schema = T.StructType(
+        [
+            *asked.select("request_id", "embedding").schema.fields,
+            T.StructField("cut_score", T.DoubleType()),
+            T.StructField("cut_leaf", T.LongType()),
+            T.StructField("cells", T.ArrayType(T.IntegerType())),
+        ]
+    )
+    layout, most = to_arrow_schema(schema), HELD_PRODUCTS
+
+    def reach(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+
+        def matrix(column):
+            return np.asarray(pc.list_flatten(column), dtype="float64").reshape(len(column), -1)
+
+        told = ds.dataset(centres, format="parquet").to_table().sort_by("leaf").combine_chunks()
+        leaves, cells = np.asarray(told["leaf"]), np.asarray(told["cell"])
+        points = matrix(told["centre"].combine_chunks()).T
+        step = max(1, most // len(leaves))
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                near = np.round(matrix(part["embedding"]) @ points, 6)
+                place = len(leaves) - visited
+                score = np.partition(near, place, axis=1)[:, place][:, None]
+                missing = visited - (near > score).sum(axis=1, keepdims=True)
+                level = near == score
+                last = (level.cumsum(axis=1) >= missing).argmax(axis=1)
+                seen = (near > score) | (level & (np.arange(len(leaves)) <= last[:, None]))
+                reached = [np.unique(cells[seen.any(axis=0)]).tolist(), *[None] * (part.num_rows - 1)]
+                columns = [part["request_id"], part["embedding"], score[:, 0], leaves[last], reached]
+                arrays = [pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, layout, strict=True)]
+                yield from pa.Table.from_arrays(arrays, names=layout.names).cast(layout).to_batches()
+
+    return asked.select("request_id", "embedding").mapInArrow(reach, schema)
+
+
 def _child_node():
     return F.col("node") * (MOST_CHILDREN + 1) + F.col("child") + 1
 

@@ -375,6 +375,42 @@ def test_pruned_search_reads_visited_cells_only(spark, tmp_path):
     assert "PartitionFilters" in one._jdf.queryExecution().toString()
 
 
+def test_leaf_search_copies_no_vector(spark, crowded, tmp_path):
+    """Vectors are neither joined to leaves nor shuffled; a question's leaves are one value beside it."""
+    matrix, asked = crowded
+    docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
+    leaves = saved_and_loaded(spark, docs_, str(tmp_path / "leaves"), leaf_size=20)
+    for searched in (0.3, 1.0):
+        plan = leaves.search(questions, 5, searched)._jdf.queryExecution().executedPlan().toString()
+        moved = [above for line, above in ancestors(plan) if "Exchange" in line]
+        assert moved and "CoGroup" not in plan and "Join" not in plan
+        assert all("embedding" not in line for line in plan.splitlines() if "Exchange" in line)
+
+
+@pytest.mark.parametrize("held", [300, 1 << 20])
+def test_sparse_vectors_in_portions(spark, monkeypatch, held):
+    """Long lists of vectors with mostly zeros, equal ones, empty ones and questions that hit nothing."""
+    monkeypatch.setattr(vectors, "HELD_VALUES", held)
+    monkeypatch.setattr(vectors, "DOC_BLOCK", 2000)
+    rng = np.random.default_rng(5)
+    matrix, asked = np.zeros((9000 if held > 300 else 500, 60)), np.zeros((30, 60))
+    for rows, words in ((matrix, 4), (asked, 6)):
+        np.add.at(rows, (np.repeat(np.arange(len(rows)), words), rng.integers(0, 59, len(rows) * words)), 1.0)
+    matrix[:, 0] += 2
+    matrix[::7] = matrix[3]
+    matrix[5::50], asked[0], asked[1] = 0.0, 0.0, np.eye(60)[59]
+    docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
+    assert found(vectors.vector_top_k(questions, docs_.coalesce(1), 5, block=8)) == brute_force(asked, matrix, 5)
+
+
+def test_an_id_that_comes_twice_is_found_once_in_leaves(spark):
+    rng = np.random.default_rng(6)
+    matrix, asked = rng.normal(size=(700, 6)), rng.normal(size=(9, 6))
+    docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
+    leaves = vectors.VectorLeaves.build(docs_.unionByName(docs_), leaf_size=40)
+    assert found(leaves.search(questions, 20, searched=1.0)) == brute_force(asked, matrix, 20)
+
+
 def test_k_is_bounded(spark, crowded):
     matrix, asked = crowded
     with pytest.raises(ValueError):
