@@ -108,7 +108,10 @@ def _fact_rows(spark, sf):
     recent = recent_documents(fx.document_table(spark, sf), fx.AS_OF, fx.DAYS)
     ranked = slowest_pairs(pair_facts(recent))
     asked = fx.requests(spark, sf).select("request_id", "airline")
-    return asked.join(ranked, "airline").select("request_id", "fact_rank", *FACT_NAMES)
+    # an airline is few rows here but many after the join: requests are spread by their own id, and stay so
+    spread = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "request_id")
+    joined = spread.join(F.broadcast(ranked), "airline")
+    return joined.select("request_id", "fact_rank", *FACT_NAMES)
 
 
 def _fact_sql() -> str:

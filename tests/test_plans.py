@@ -69,3 +69,14 @@ def test_a_missing_folder_is_no_source(spark, tmp_path):
     assert tables.available(spark, str(tmp_path / "nothing")) is None
     spark.range(1).write.parquet(str(tmp_path / "some"))
     assert tables.available(spark, str(tmp_path / "some")).select(F.count("*")).collect()[0][0] == 1
+
+
+def test_facts_of_one_airline_are_spread_over_tasks(spark, sf_dir):
+    """Nearly all questions with an airline name the same one; their facts are ranked by many tasks."""
+    from checks.requests import _fact_rows
+
+    rows = _fact_rows(spark, sf_dir)
+    held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(held) >= 4 and max(held) < sum(held) / 2
+    text = plan(QUERIES["first_fact"](spark, sf_dir))
+    assert text.index("Exchange hashpartitioning(request_id") > text.index("Join")
