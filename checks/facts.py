@@ -47,7 +47,9 @@ def days_back_filter(spark, sf):
     ),
 )
 def optional_filters(spark, sf):
-    recent = with_route(facts.recent_flights(fx.silver(spark, sf), fx.AS_OF, fx.DAYS))
+    flights = with_route(facts.recent_flights(fx.silver(spark, sf), fx.AS_OF, fx.DAYS))
+    # stored once: a task of the union would else rank its flights four times over, all at once in memory
+    recent = materialise(flights, "recent")
     return (
         facts.optional_filters(recent, "AA")
         .unionByName(facts.optional_filters(recent, route="ATL-LAX"))

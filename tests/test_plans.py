@@ -71,6 +71,12 @@ def test_a_missing_folder_is_no_source(spark, tmp_path):
     assert tables.available(spark, str(tmp_path / "some")).select(F.count("*")).collect()[0][0] == 1
 
 
+def test_filters_share_one_run_of_silver(spark, sf_dir):
+    """Four branches of a union would each sort the task's flights; stored flights are only filtered."""
+    text = plan(QUERIES["optional_filters"](spark, sf_dir))
+    assert text.count("FileScan parquet") == 4 and "Window" not in text and "Sort" not in text
+
+
 def test_facts_of_one_airline_are_spread_over_tasks(spark, sf_dir):
     """Nearly all questions with an airline name the same one; their facts are ranked by many tasks."""
     from checks.requests import _fact_rows
