@@ -28,6 +28,8 @@ QUESTION_BLOCK = 1024
 HELD_MATCHES = 500_000
 HELD_VALUES = 8_000_000
 HELD_PRODUCTS = 2_000_000
+#: Bytes of a row group of the stored questions, which a reader decodes as a whole.
+QUESTION_BYTES = 4 << 20
 #: Most children of a node of the leaf tree, sampled rows per child that it is fitted on, and most levels.
 MOST_CHILDREN = 1024
 SAMPLED_ROWS = 32
@@ -282,7 +284,11 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
             place = np.concatenate([v[1] for v in vectors])[by_row]
             values = np.concatenate([v[2] for v in vectors])[by_row]
         else:
-            whole = np.concatenate(vectors)[order]
+            whole, at = np.empty((len(order), width)), np.empty(len(order), "int64")
+            at[order] = np.arange(len(order))
+            for v in vectors:
+                whole[at[: len(v)]] = v
+                at = at[len(v) :]
         size = long if sparse and not leaves else doc_block
         # the first group is small where nothing else tells what the k best reach
         begun = [0, 512] if once and not leaves else [0]
@@ -333,10 +339,15 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
                 leaves.append(np.asarray(batch["leaf"]))
             values += filled + len(rows) if sparse else rows.size
             if values >= held:
-                yield portion(ids, vectors, leaves)
-                ids, vectors, leaves, values = [], [], [], 0
+                made = portion(ids, vectors, leaves)
+                # what the portion was made of is let go before it is searched
+                batch, rows, ids, vectors, leaves, values = None, None, [], [], [], 0
+                yield made
+                made = None
         if ids:
-            yield portion(ids, vectors, leaves)
+            made = portion(ids, vectors, leaves)
+            batch, rows, ids, vectors, leaves = None, None, [], [], []
+            yield made
 
     return gathered
 
@@ -357,7 +368,7 @@ def _check_k(k: int) -> None:
 def stored_blocks(questions: DataFrame) -> str:
     """The questions' ids and vectors as files that every task can read in blocks."""
     folder = work_folder(questions.sparkSession, "questions")
-    questions.select("request_id", "embedding").write.parquet(folder)
+    questions.select("request_id", "embedding").write.option("parquet.block.size", QUESTION_BYTES).parquet(folder)
     return folder
 
 
@@ -387,13 +398,18 @@ def score_where_they_lie(
         import pyarrow.dataset as ds
 
         asked = ds.dataset(folder, schema=None, format="parquet")
+        reading = ds.ParquetFragmentScanOptions(pre_buffer=False)
+        portion = None
         for portion in gathered(batches):
             if portion is None:
                 continue
-            blocks = asked.to_batches(batch_size=block, batch_readahead=1, fragment_readahead=1)
+            blocks = asked.to_batches(
+                batch_size=block, batch_readahead=1, fragment_readahead=1, fragment_scan_options=reading
+            )
             for part in blocks:
                 if part.num_rows:
                     yield from search(part, portion)
+            portion = blocks = part = None
 
     return documents.mapInArrow(score, schema)
 
@@ -568,7 +584,7 @@ class VectorLeaves:
             centres = work_folder(asked.sparkSession, "leaf-centres")
             self.centres.select("leaf", "cell", "centre").write.parquet(centres)
             folder = work_folder(asked.sparkSession, "reach")
-            _reach(asked, centres, visited).write.parquet(folder)
+            _reach(asked, centres, visited).write.option("parquet.block.size", QUESTION_BYTES).parquet(folder)
             # cells are children of the tree's root: MOST_CHILDREN at most
             cells = asked.sparkSession.read.parquet(folder).select(F.explode("cells").alias("cell")).distinct()
             documents = documents.where(F.col("cell").isin([row["cell"] for row in cells.collect()]))

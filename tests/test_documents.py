@@ -411,6 +411,39 @@ def test_an_id_that_comes_twice_is_found_once_in_leaves(spark):
     assert found(leaves.search(questions, 20, searched=1.0)) == brute_force(asked, matrix, 20)
 
 
+def test_memory_of_a_search_is_bounded(spark):
+    """Stored questions are read in small row groups, and a portion is held once, not beside its batches."""
+    import tracemalloc
+    from pathlib import Path
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(8)
+    asked = spark.range(20000).select(
+        F.col("id").alias("request_id"), F.transform(F.sequence(F.lit(1), F.lit(64)), lambda x: F.rand(3) * x).alias("embedding")
+    )
+    for file in Path(vectors.stored_blocks(asked.coalesce(1))).glob("*.parquet"):
+        told = pq.read_metadata(file)
+        sizes = [told.row_group(i).total_byte_size for i in range(told.num_row_groups)]
+        assert len(sizes) > 1 and max(sizes) <= 2 * vectors.QUESTION_BYTES
+
+    def batches():
+        for start in range(0, 40000, 1000):
+            values = pa.array(rng.normal(size=64000))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(1001) * 64, pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(start, start + 1000)), lists], ["doc_id", "embedding"])
+
+    tracemalloc.start()
+    held = []
+    for portion in vectors._gatherer(640_000, 8192, False, None)(batches()):
+        held.append(tracemalloc.get_traced_memory()[0])
+        portion = None
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(held) == 4 and max(held) < 1.6 * 640_000 * 8 and peak < 2.6 * 640_000 * 8
+
+
 def test_k_is_bounded(spark, crowded):
     matrix, asked = crowded
     with pytest.raises(ValueError):
