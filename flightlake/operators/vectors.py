@@ -112,7 +112,8 @@ def _searcher(k: int, schema: T.StructType, most: int, once: bool) -> Callable:
     for the different patterns of components that many documents have, and lists of the
     documents that have the others. The k best so far of a question keep all lower products from being
     looked at; ``most`` bounds the products that are formed at once. With
-    ``once``, an id counts once, by its best product.
+    ``once``, an id counts once, by its best product. ``floors``, if given, are products that the
+    k best of the block's questions are known to reach; the search raises them.
     """
     import numpy as np
     import pyarrow as pa
@@ -176,13 +177,17 @@ def _searcher(k: int, schema: T.StructType, most: int, once: bool) -> Callable:
         score = np.asarray(part["cut_score"])[:, None]
         return (near > score) | ((near == score) & (portion["leaves"] <= np.asarray(part["cut_leaf"])[:, None]))
 
-    def search(part, portion):
+    def search(part, portion, floors=None):
         asked, seen = portion["matrix"](part["embedding"]), visits(part, portion)
         widest = max(group["count"] for group in portion["groups"])
         step = max(1, min(len(asked), most // widest))
         for start in range(0, len(asked), step):
             block = asked[start : start + step]
             level, last = np.full(len(block), -np.inf), np.zeros(len(block), "int64")
+            if floors is not None:
+                level = floors[start : start + step]
+                # an equal product of an earlier portion may have the larger id
+                last[~np.isneginf(level)] = np.iinfo("int64").max
             state, waiting = [], 0
             for group in portion["groups"]:
                 rows = None if seen is None else np.flatnonzero(seen[start : start + step, group["leaf"]])
@@ -218,7 +223,7 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    long = 4 * doc_block
+    long = 16 * doc_block
 
     def matrix(column):
         if isinstance(column, pa.ChunkedArray):
@@ -230,6 +235,17 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
         row, place = np.nonzero(rows)
         return row, place, rows[row, place]
 
+    def different(rows):
+        """Different rows and where each is among them; sorted by one number each where that tells them apart."""
+        bits, told = rows.view("uint64"), np.zeros(len(rows), "uint64")
+        for column in bits.T:
+            told = (told ^ column) * np.uint64(0x9E3779B97F4A7C15)
+            told ^= told >> np.uint64(29)
+        _, first, number = np.unique(told, return_index=True, return_inverse=True)
+        if (bits[first][number] == bits).all():
+            return rows[first], number
+        return np.unique(rows, axis=0, return_inverse=True)
+
     def lists_of(group, row, place, values, width):
         count = group["count"]
         many = np.bincount(place, minlength=width)
@@ -239,7 +255,7 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
         full = number[place] >= 0
         columns = np.zeros((count, len(common)))
         columns[row[full], number[place[full]]] = values[full]
-        patterns, pattern = np.unique(columns, axis=0, return_inverse=True)
+        patterns, pattern = different(columns)
         row, place, values = row[~full], place[~full], values[~full]
         order = np.argsort(place.astype("uint16") if width <= 1 << 16 else place, kind="stable")
         row, place, values = row[order], place[order], values[order]
@@ -388,27 +404,30 @@ def score_where_they_lie(
     portion are handed on. ``once``: an id that occurs several times counts once.
     With a folder of ``centres``, questions carry the last leaf that they visit
     (``cut_score``, ``cut_leaf``), documents their ``leaf``, and only the leaves
-    up to it are compared.
+    up to it are compared. What a question's k best reach in a task's earlier portions
+    is kept, a number per question, and only products that reach it are handed on.
     """
     block = max(1, min(block, HELD_MATCHES // k))
     search = _searcher(k, schema, HELD_PRODUCTS, once)
     gathered = _gatherer(HELD_VALUES, doc_block, once, centres)
 
     def score(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow.dataset as ds
 
         asked = ds.dataset(folder, schema=None, format="parquet")
         reading = ds.ParquetFragmentScanOptions(pre_buffer=False)
-        portion = None
+        reached = {}
         for portion in gathered(batches):
             if portion is None:
                 continue
             blocks = asked.to_batches(
                 batch_size=block, batch_readahead=1, fragment_readahead=1, fragment_scan_options=reading
             )
-            for part in blocks:
+            for number, part in enumerate(blocks):
                 if part.num_rows:
-                    yield from search(part, portion)
+                    floors = None if once else reached.setdefault(number, np.full(part.num_rows, -np.inf))
+                    yield from search(part, portion, floors)
             portion = blocks = part = None
 
     return documents.mapInArrow(score, schema)

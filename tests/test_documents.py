@@ -411,6 +411,21 @@ def test_an_id_that_comes_twice_is_found_once_in_leaves(spark):
     assert found(leaves.search(questions, 20, searched=1.0)) == brute_force(asked, matrix, 20)
 
 
+def test_later_portions_hand_on_only_what_can_be_among_the_best(spark, monkeypatch):
+    """Ten portions in one task, the best documents in the first; equal ones of later portions still count."""
+    monkeypatch.setattr(vectors, "HELD_VALUES", 400)
+    rng = np.random.default_rng(2)
+    asked = np.abs(rng.normal(size=(12, 4)))
+    matrix = np.sort(np.abs(rng.normal(size=(1000, 1))), axis=0)[::-1] * np.ones((1, 4))
+    matrix[500:503] = matrix[0]
+    docs_ = points(spark, matrix, "doc_id").coalesce(1).sortWithinPartitions(F.desc(F.col("doc_id") % 1000 == 500), "doc_id")
+    questions = points(spark, asked, "request_id")
+    schema = vectors._match_schema(questions, docs_)
+    handed = vectors.score_where_they_lie(vectors.stored_blocks(questions), docs_, 5, schema, 7)
+    assert handed.count() <= 12 * (5 + 5)
+    assert found(vectors.vector_top_k(questions, docs_, 5, block=7)) == brute_force(asked, matrix, 5)
+
+
 def test_memory_of_a_search_is_bounded(spark):
     """Stored questions are read in small row groups, and a portion is held once, not beside its batches."""
     import tracemalloc
