@@ -27,7 +27,7 @@ QUESTION_BLOCK = 1024
 #: Matches of a block of questions, components of documents and products that a task holds at a time.
 HELD_MATCHES = 500_000
 HELD_VALUES = 8_000_000
-HELD_PRODUCTS = 2_000_000
+HELD_PRODUCTS = 1 << 18
 #: Bytes of a row group of the stored questions, which a reader decodes as a whole.
 QUESTION_BYTES = 4 << 20
 #: Most children of a node of the leaf tree, sampled rows per child that it is fitted on, and most levels.
@@ -223,7 +223,7 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    long = 16 * doc_block
+    long = 4 * doc_block
 
     def matrix(column):
         if isinstance(column, pa.ChunkedArray):
