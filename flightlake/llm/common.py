@@ -76,8 +76,11 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def few_or_shuffled(rows: DataFrame) -> DataFrame:
-    """A written table of short rows, marked for broadcast only if its count shows it small."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    """A written table of short rows, marked for broadcast if its count shows it small, else for a shuffle.
+
+    Unmarked, Spark would go by the bytes of the files, which may be a small part of those in memory.
+    """
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge")
 
 
 def without_rows(rows: DataFrame, removed: DataFrame, key: str) -> DataFrame:

@@ -93,7 +93,9 @@ def links(points: DataFrame, max_bits: int = 4, agreeing: int = 3) -> DataFrame:
 
     Each fingerprint goes to one grid cell per choice of coordinates. Pairs of a
     cell are compared by Manhattan distance, then by bits; a pair is kept by the
-    first choice whose cell it shares, so none comes twice.
+    first choice whose cell it shares, so none comes twice. Spark sizes the cells
+    like the fingerprints, of which each has dozens, and would broadcast them; the
+    join is told to shuffle.
     """
     if not 0 <= max_bits <= 32 - agreeing:
         raise ValueError("max_bits and agreeing must leave a segment for each group")
@@ -111,7 +113,7 @@ def links(points: DataFrame, max_bits: int = 4, agreeing: int = 3) -> DataFrame:
     return (
         cells.alias("a")
         .join(
-            cells.alias("b"),
+            cells.alias("b").hint("merge"),
             (F.col("a.cell") == F.col("b.cell"))
             & (F.col("a.choice") == F.col("b.choice"))
             & (a < b)

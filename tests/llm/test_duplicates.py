@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from flightlake.llm import queries, vector_dedup
+from flightlake.llm import common, queries, vector_dedup
 from flightlake.llm.components import components
 from flightlake.llm.simhash import deduplicated, fingerprint, links, near_duplicates
 from tests.llm.fixtures import ROWS, documents, empty
@@ -55,6 +55,21 @@ def test_fingerprints_are_exact():
     assert fingerprint(long.encode(), 4) % 2**64 == plain_fingerprint(long)
 
 
+def test_cells_are_never_broadcast(spark):
+    """Each fingerprint has dozens of cells; Spark sizes them like the fingerprints."""
+    found = links(spark.range(2000).selectExpr("xxhash64(id) fp"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_a_table_with_more_rows_than_are_broadcast_is_shuffled(spark, monkeypatch):
+    """Small as its files may be; the rows are the same."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    kept = common.without_rows(spark.range(100).toDF("k"), spark.range(0, 100, 3).toDF("k"), "k")
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["k"] for r in kept.collect()) == [k for k in range(100) if k % 3]
+
+
 def test_links_are_all_close_pairs_once(spark):
     rng = random.Random(4)
     points = {rng.getrandbits(64) for _ in range(300)}
