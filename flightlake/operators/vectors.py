@@ -28,6 +28,8 @@ QUESTION_BLOCK = 1024
 HELD_MATCHES = 500_000
 HELD_VALUES = 8_000_000
 HELD_PRODUCTS = 1 << 18
+#: Components that one of a vector with mostly zeros counts as: its row and place are held and sorted with it.
+THIN_WEIGHT = 4
 #: Bytes of a row group of the stored questions, which a reader decodes as a whole.
 QUESTION_BYTES = 4 << 20
 #: Most children of a node of the leaf tree, sampled rows per child that it is fitted on, and most levels.
@@ -104,6 +106,21 @@ def with_vector(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(F.size("embedding") > 0).select(key, vector)
 
 
+def thin_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Ids, the components that are not zero as ``values``, and which those are as ``filled``, a bit each.
+
+    Vectors that are mostly zeros reach Python in a small part of their bytes: an Arrow batch
+    of whole ones would be held in the JVM, its buffers and Python at once. Rows without a vector
+    are told by the reader; a filter here would compute the vectors twice.
+    """
+    vector = F.col("embedding").cast("array<double>").alias("embedding")
+    return rows.select(key, vector).select(
+        key,
+        F.array_remove("embedding", 0.0).alias("values"),
+        F.transform("embedding", lambda x: ~x.eqNullSafe(F.lit(0.0))).alias("filled"),
+    )
+
+
 def _searcher(k: int, schema: T.StructType, most: int, once: bool) -> Callable:
     """Best k documents of a portion for each question of a block, as ``search(part, portion)``.
 
@@ -216,14 +233,15 @@ def _searcher(k: int, schema: T.StructType, most: int, once: bool) -> Callable:
 def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Callable:
     """Document batches as portions of ``held`` components at most, their documents in order.
 
-    Zeros of vectors that have mostly zeros are neither held nor counted. With a
+    Zeros of vectors that have mostly zeros are neither held nor counted, their other
+    components as ``THIN_WEIGHT``. Batches have whole vectors or come from ``thin_rows``. With a
     folder of ``centres``, a group is documents of one leaf, else of following ids.
     """
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    long = 4 * doc_block
+    long, weight = 4 * doc_block, THIN_WEIGHT
 
     def matrix(column):
         if isinstance(column, pa.ChunkedArray):
@@ -233,7 +251,34 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
 
     def thin(rows):
         row, place = np.nonzero(rows)
-        return row, place, rows[row, place]
+        return *placed(row, place, rows.shape[1]), rows[row, place]
+
+    def placed(row, place, width):
+        return row.astype("int32"), place.astype("uint16" if width <= 1 << 16 else "int32")
+
+    def read(batch):
+        """Ids, vectors (whole, or thin where mostly zeros) and the number of components to hold; rows without one go."""
+        ids = batch["doc_id"]
+        if "embedding" in batch.schema.names:
+            rows = matrix(batch["embedding"])
+            filled = np.count_nonzero(rows)
+            if filled * 4 >= rows.size:
+                return ids, rows, rows.size
+            return ids, (*thin(rows), rows.shape[1], len(rows)), weight * (filled + len(rows))
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(batch["filled"]), 0))
+        ids = ids.filter(pa.array(sizes > 0))
+        bits = np.asarray(pc.list_flatten(batch["filled"]).to_numpy(zero_copy_only=False), dtype=bool)
+        # a copy, so that the batch is let go; a null component is no number
+        found = np.array(pc.list_flatten(batch["values"]), dtype="float64")
+        count, width = len(ids), len(bits) // max(1, len(ids))
+        if not count:
+            return ids, None, 0
+        if len(found) * 4 >= len(bits):
+            rows = np.zeros(len(bits))
+            rows[bits] = found
+            return ids, rows.reshape(count, -1), rows.size
+        at = np.flatnonzero(bits)
+        return ids, (*placed(at // width, at % width, width), found, width, count), weight * (len(found) + count)
 
     def different(rows):
         """Different rows and where each is among them; sorted by one number each where that tells them apart."""
@@ -346,14 +391,14 @@ def _gatherer(held: int, doc_block: int, once: bool, centres: str | None) -> Cal
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = matrix(batch["embedding"])
-            filled = np.count_nonzero(rows)
-            sparse = filled * 4 < rows.size
-            ids.append(batch["doc_id"])
-            vectors.append((*thin(rows), rows.shape[1], len(rows)) if sparse else rows)
+            told, rows, size = read(batch)
+            if not len(told):
+                continue
+            ids.append(told)
+            vectors.append(rows)
             if centres:
                 leaves.append(np.asarray(batch["leaf"]))
-            values += filled + len(rows) if sparse else rows.size
+            values += size
             if values >= held:
                 made = portion(ids, vectors, leaves)
                 # what the portion was made of is let go before it is searched
@@ -444,7 +489,7 @@ def vector_top_k(
     rows before and after the one shuffle of matches. Nothing passes through the driver.
     """
     _check_k(k)
-    asked, filed = with_vector(questions, "request_id"), with_vector(documents, "doc_id")
+    asked, filed = with_vector(questions, "request_id"), thin_rows(documents, "doc_id")
     return best_by_product(stored_blocks(asked), asked, filed, k, block)
 
 

@@ -459,6 +459,61 @@ def test_memory_of_a_search_is_bounded(spark):
     assert len(held) == 4 and max(held) < 1.6 * 640_000 * 8 and peak < 2.6 * 640_000 * 8
 
 
+def test_vectors_of_mostly_zeros_are_sent_and_held_thin(spark):
+    """A whole vector of 768 numbers has 6,144 bytes; a portion's peak in Python is a few times what it holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = spark.range(400).selectExpr("id doc_id", "concat('flight ', id, ' on route ', id % 20, ' was late') content")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes], "rows": [batch.num_rows]})
+
+    sent = vectors.thin_rows(vectors.embed_documents(texts), "doc_id").coalesce(1)
+    told = sent.mapInArrow(sizes, "bytes long, rows long").groupBy().sum().first()
+    assert told[0] < 300 * told[1] and told[1] == 400
+
+    def batches(width=768, filled=10):
+        rng = np.random.default_rng(3)
+        for start in range(0, 40_000, 1000):
+            bits = np.zeros((1000, width), bool)
+            bits[np.arange(1000)[:, None], rng.integers(0, width, (1000, filled))] = True
+            ends = pa.array(np.append(0, bits.sum(1).cumsum()), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(start, start + 1000)),
+                    pa.ListArray.from_arrays(ends, pa.array(rng.normal(size=bits.sum()))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(1001) * width, pa.int32()), pa.array(bits.ravel())),
+                ],
+                ["doc_id", "values", "filled"],
+            )
+
+    held = 800_000
+    tracemalloc.start()
+    portions = [len(portion["ids"]) for portion in vectors._gatherer(held, 2048, False, None)(batches())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(portions) == 40_000 and max(portions) * 11 * vectors.THIN_WEIGHT <= 1.1 * held
+    assert peak < 4 * held * 8
+
+
+@pytest.mark.parametrize("zeros", [0.0, 0.9])
+def test_rows_without_a_vector_and_negative_zeros(spark, zeros):
+    rng = np.random.default_rng(9)
+    asked, matrix = rng.normal(size=(9, 20)), rng.normal(size=(300, 20))
+    matrix[rng.random(matrix.shape) < zeros] = -0.0
+    matrix[:, 3] = np.where(np.arange(300) % 2, -0.0, 0.0)
+    docs_, questions = points(spark, matrix, "doc_id"), points(spark, asked, "request_id")
+    none = docs_.limit(40).withColumns(
+        {"doc_id": F.col("doc_id") + 5000, "embedding": F.when(F.col("doc_id") % 2 == 0, F.slice("embedding", 1, 0))}
+    )
+    for rows in (docs_.unionByName(none).coalesce(1), none.unionByName(docs_).repartition(3)):
+        assert found(vectors.vector_top_k(questions, rows, 5)) == brute_force(asked, matrix, 5)
+    assert vectors.vector_top_k(questions, none, 5).count() == 0
+
+
 def test_k_is_bounded(spark, crowded):
     matrix, asked = crowded
     with pytest.raises(ValueError):
