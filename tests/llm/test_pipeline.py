@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 
 import corpus_pipeline
-from flightlake.llm import line_crf
+from flightlake.llm import components, line_crf
 from flightlake.llm.packing import Encoder
 from flightlake.llm.secrets import RULES
 from flightlake.session import materialise
@@ -33,6 +33,20 @@ def masked(text):
     return text
 
 
+def test_the_duplicates_stage_broadcasts_no_cells(spark, monkeypatch):
+    plans = []
+
+    def noted(rows, purpose):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return materialise(rows, purpose)
+
+    monkeypatch.setattr(components, "materialise", noted)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert corpus_pipeline.near_duplicates(spark, docs, FOLDER).count() <= docs.count()
+    linked = [plan for plan in plans if "Generate posexplode" in plan]
+    assert linked and not any("BroadcastHashJoin" in plan for plan in linked)
+
+
 def test_every_stage_against_plain_python(spark, monkeypatch):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     model = line_crf.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
